@@ -154,11 +154,11 @@ def changed_datasets(formulas: Sequence[Formula]) -> list[str]:
 
 
 def add_result_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Add empty result columns: numbers start at 0.0, other types at null."""
+    """Add empty result columns: numbers start at 0 (the load rule for empty
+    NUMBER fields), other types at null."""
+    numeric = ("double", "float", "decimal", "bigint", "int", "long", "smallint", "tinyint")
     adds = []
     for name, dtype in columns.items():
-        if dtype in ("double", "float", "decimal") or dtype.startswith("decimal"):
-            adds.append(F.lit(0.0).cast(dtype).alias(name))
-        else:
-            adds.append(F.lit(None).cast(dtype).alias(name))
+        start = F.lit(0) if dtype.split("(")[0] in numeric else F.lit(None)
+        adds.append(start.cast(dtype).alias(name))
     return df.select("*", *adds)

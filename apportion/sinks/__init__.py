@@ -1 +1 @@
-"""sinks"""
+"""Sinks: insert/update split, merged target frame, JDBC and file writers."""
