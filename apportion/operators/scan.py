@@ -13,7 +13,7 @@ scan instead range-partitions on (key, order): a key holding a third of all
 rows is spread over a third of the partitions. The plan is
 
 1. one range shuffle + sort within partitions (the only shuffle of the data);
-2. a vectorised pass per partition (``mapInPandas``) computing the values
+2. a vectorised pass per partition (``mapInArrow``) computing the values
    *within the partition*;
 3. a summary of one row per partition (its first key and the running state
    of its last key), combined across partitions by window functions over at
@@ -22,10 +22,12 @@ rows is spread over a third of the partitions. The plan is
    by the data) to add what earlier partitions contribute to a key that
    starts before the partition.
 
-Step 2 runs twice over the same shuffle output (the exchange is reused): a
-narrow pass for the summary and the full pass for the rows. Both read the
-same sorted partitions, so they agree, also when a lost executor forces a
-recomputation.
+Steps 2 and 3 both read the same shuffle output (one exchange, reused) with
+a fixed partition count (AQE does not coalesce it), and both sort it by a
+total order, so partition ids and row order agree between them — also when a
+lost executor forces a recomputation. The per-partition pass uses Arrow
+batches (``mapInArrow``): only the key and value columns are converted, the
+payload columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PID, KIND, VAL, SEED = "__pid", "__kind", "__v", "__s"
 OUT_E, OUT_M, OUT_HASM, OUT_R, OUT_HASR, OUT_N, OUT_NEXT, OUT_PLAST = (
@@ -130,69 +134,80 @@ def _state_at(pdf: pd.DataFrame, keys: Sequence[str], res: dict, i: int) -> _Sta
     return _State(key, res["I"][i], m, bool(m != lowest), res["R"][i], bool(res["hasR"][i]), int(res["N"][i]))
 
 
-def _rows_out(pdf: pd.DataFrame, res: dict, upto: int, last_is_plast: bool) -> pd.DataFrame:
-    out = pdf.iloc[:upto].copy()
-    out[OUT_E] = res["E"][:upto]
-    out[OUT_M] = res["Mprev"][:upto]
-    out[OUT_HASM] = res["hasMprev"][:upto]
-    out[OUT_R] = res["R"][:upto]
-    out[OUT_HASR] = res["hasR"][:upto]
-    out[OUT_N] = res["N"][:upto]
-    nxt = res["nextsame"][:upto].copy()
-    plast = np.zeros(upto, dtype=bool)
-    if last_is_plast and upto:
-        nxt[-1] = False
-        plast[-1] = True
-    out[OUT_NEXT] = nxt
-    out[OUT_PLAST] = plast
-    return out
+def _narrow(batch: pa.RecordBatch, keys: Sequence[str]) -> pd.DataFrame:
+    cols = list(keys) + [KIND, VAL, SEED]
+    return pa.Table.from_batches([batch]).select(cols).to_pandas()
+
+
+def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, nextsame: np.ndarray,
+                 plast: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    arrays = list(batch.columns) + [
+        pa.array(res["E"], type=num), pa.array(res["Mprev"], type=num), pa.array(res["hasMprev"]),
+        pa.array(res["R"], type=num), pa.array(res["hasR"]), pa.array(res["N"], type=pa.int64()),
+        pa.array(nextsame), pa.array(plast)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
 
+def _finish_held(held: pa.RecordBatch, nextsame: bool, plast: bool, schema: pa.Schema) -> pa.RecordBatch:
+    arrays = list(held.columns)
+    arrays[-2] = pa.array([nextsame])
+    arrays[-1] = pa.array([plast])
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool):
-    """mapInPandas body: rows with local scan values, or one summary row per partition."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry: pd.DataFrame | None = None
+def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_schema: pa.Schema | None = None):
+    """mapInArrow body: rows with local scan values, or one summary row per partition.
+
+    Batches of one partition arrive in sort order; the running state of the
+    current key is carried from batch to batch. A batch's last row is held
+    back until the next batch shows whether the key continues.
+    """
+    num = pa.int64() if is_int else pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: _State | None = None
         first_key: tuple | None = None
         pid = None
+        held: pa.RecordBatch | None = None
+        held_key: tuple | None = None
         for batch in batches:
-            if len(batch) == 0:
+            n = batch.num_rows
+            if n == 0:
                 continue
+            pdf = _narrow(batch, keys)
             if pid is None:
-                pid = int(batch[PID].iloc[0])
-                first_key = tuple(batch.iloc[0][k] for k in keys)
-            block = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
-            block = block.reset_index(drop=True)
-            if len(block) == 1:
-                carry = block
-                continue
-            res = _scan_block(block, keys, state, is_int)
-            upto = len(block) - 1  # hold the last row back: its successor is in the next batch
+                pid = batch.column(batch.schema.get_field_index(PID))[0].as_py()
+                first_key = tuple(pdf.iloc[0][k] for k in keys)
+            res = _scan_block(pdf, keys, state, is_int)
             if emit_rows:
-                yield _rows_out(block, res, upto, last_is_plast=False)
-            state = _state_at(block, keys, res, upto - 1)
-            carry = block.iloc[upto:].reset_index(drop=True)
-        if carry is None:
+                if held is not None:
+                    yield _finish_held(held, _same_key(held_key, tuple(pdf.iloc[0][k] for k in keys)), False,
+                                       out_schema)
+                out = _with_values(batch, res, num, res["nextsame"], np.zeros(n, dtype=bool), out_schema)
+                if n > 1:
+                    yield out.slice(0, n - 1)
+                held = out.slice(n - 1, 1)
+                held_key = tuple(pdf.iloc[n - 1][k] for k in keys)
+            state = _state_at(pdf, keys, res, n - 1)
+        if state is None:
             return
-        res = _scan_block(carry, keys, state, is_int)
         if emit_rows:
-            yield _rows_out(carry, res, 1, last_is_plast=True)
+            yield _finish_held(held, False, True, out_schema)
             return
-        end = _state_at(carry, keys, res, 0)
         row = {PID: [pid]}
-        for k, fv, lv in zip(keys, first_key, end.key):
+        for k, fv, lv in zip(keys, first_key, state.key):
             row[f"__f_{k}"] = [fv]
             row[f"__l_{k}"] = [lv]
-        row.update({"__S": [end.I], "__Mend": [end.M], "__hasMend": [end.hasM],
-                    "__Rend": [end.R], "__hasRend": [end.hasR], "__Nend": [end.N]})
-        yield pd.DataFrame(row)
+        row.update({"__S": [state.I], "__Mend": [state.M], "__hasMend": [state.hasM],
+                    "__Rend": [state.R], "__hasRend": [state.hasR], "__Nend": [state.N]})
+        yield pa.RecordBatch.from_pandas(pd.DataFrame(row), schema=out_schema, preserve_index=False)
 
     return run
 
 
 def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                      value: str, seed: str | None = None, kind: str | None = None) -> DataFrame:
+                      value: str, seed: str | None = None, kind: str | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """Add the scan columns (see module docstring) to ``df``.
 
     ``order`` must make rows of a key totally ordered (end it with a unique
@@ -221,13 +236,14 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
                      (F.coalesce(to_num(F.col(seed)), zero) if seed else zero).alias(SEED))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [F.col(KIND).asc()]
     sort_cols += [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = (base.repartitionByRange(*sort_cols)
+    # an explicit partition count: AQE never coalesces it, so both passes see the same partitions
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (base.repartitionByRange(n_parts, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn(PID, F.spark_partition_id()))
 
     num = T.LongType() if is_int else T.DoubleType()
-    # 1. per-partition summary: narrow columns only
-    narrow = ranged.select(PID, *keys, KIND, VAL, SEED)
+    # 1. per-partition summary (same child plan as the row pass, so the exchange is shared)
     key_fields = {f.name: f for f in df.schema.fields if f.name in keys}
     summ_schema = T.StructType(
         [T.StructField(PID, T.IntegerType())]
@@ -236,7 +252,8 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         + [T.StructField("__S", num), T.StructField("__Mend", num), T.StructField("__hasMend", T.BooleanType()),
            T.StructField("__Rend", num), T.StructField("__hasRend", T.BooleanType()),
            T.StructField("__Nend", T.LongType())])
-    summary = narrow.mapInPandas(_partition_scan(list(keys), is_int, emit_rows=False), summ_schema)
+    summary = ranged.mapInArrow(_partition_scan(list(keys), is_int, False, to_arrow_schema(summ_schema)),
+                                summ_schema)
 
     # 2. combine partitions of the same key (<= #partitions rows; one small task)
     lkeys = [F.col(f"__l_{k}") for k in keys]
@@ -279,7 +296,7 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         T.StructField(OUT_HASM, T.BooleanType()), T.StructField(OUT_R, num), T.StructField(OUT_HASR, T.BooleanType()),
         T.StructField(OUT_N, T.LongType()), T.StructField(OUT_NEXT, T.BooleanType()),
         T.StructField(OUT_PLAST, T.BooleanType())])
-    rows = ranged.mapInPandas(_partition_scan(list(keys), is_int, emit_rows=True), row_schema)
+    rows = ranged.mapInArrow(_partition_scan(list(keys), is_int, True, to_arrow_schema(row_schema)), row_schema)
     j = rows.join(F.broadcast(carry), F.col(PID) == F.col("__cpid"), "left")
     here = same([F.col(k) for k in keys], fkeys)
     cE = F.when(here, F.col("__pS"))
