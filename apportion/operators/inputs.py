@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apportion.functions.filters import equality
+from apportion.functions.lists import get_list_fn
 from apportion.specs import DECOMPOSABLE_LIST_FNS, Input
 
 _seq = itertools.count()
@@ -105,7 +106,9 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None) -> tuple[list[Colum
 
         objs = F.transform(arr, to_map)
         return [agg], (objs if fn == "objects" else F.to_json(objs))
-    # a callable list function over the sorted value array (higher-order functions)
+    # a registered or given list function over the sorted value array (higher-order functions)
+    if isinstance(fn, str):
+        fn = get_list_fn(fn)
     return [agg], fn(F.transform(arr, lambda x: x["v0"]))
 
 

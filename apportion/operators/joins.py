@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+
+    The proof is a ``limit(max_rows + 1).count()`` — a bounded probe that stops
+    reading once the limit is passed. Beyond the bound the frame is returned
+    unchanged and the join stays a shuffle join (AQE may still broadcast it
+    if its measured size is small).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

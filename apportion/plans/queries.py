@@ -18,6 +18,7 @@ from apportion.functions.scalar import before_last, hash_bucket, json_map, text_
 from apportion.functions.udfs import before_last_udf, group_reduce
 from apportion.operators.allocate import waterfall
 from apportion.operators.formula import add_result_columns, settle
+from apportion.operators.joins import bounded_broadcast
 from apportion.operators.keys import first_per_key
 from apportion.sinks.upsert import merge_frame, split_changes
 from apportion.sources.load import DATE, NUMBER, STRING, Field, attach_old_id, duplicate_keys, normalise, run_script
@@ -123,15 +124,11 @@ def q_list_fn(spark: SparkSession, d: str) -> DataFrame:
                                  "sumsq_qty": "double"})
     lineitem = read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity"] + LINE_ORDER)
     on = {"o_orderkey": "l_orderkey"}
-
-    def sum_squares(arr: Column) -> Column:
-        return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)
-
     f = Formula.of("list_fns", "orders", [
         Item("max_qty", "$m", (list_of("m", "lineitem", "l_quantity", on=on, fn="max"),)),
         Item("min_price", "$m", (list_of("m", "lineitem", "l_extendedprice", on=on, fn="min"),)),
         Item("n_lines", "$n", (list_of("n", "lineitem", "l_quantity", on=on, fn="count"),)),
-        Item("sumsq_qty", "$q", (list_of("q", "lineitem", "l_quantity", on=on, fn=sum_squares,
+        Item("sumsq_qty", "$q", (list_of("q", "lineitem", "l_quantity", on=on, fn="sum_squares",
                                          order_by=LINE_ORDER),)),
     ])
     return settle({"orders": orders, "lineitem": lineitem}, [f])["orders"]
@@ -355,7 +352,7 @@ def q_dup_keys(spark: SparkSession, d: str) -> DataFrame:
 def q_in_list_join(spark: SparkSession, d: str) -> DataFrame:
     """Definitions joined with their sources, restricted to an id list."""
     nation = read_table(spark, d, "nation")
-    region = read_table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE"))
+    region = bounded_broadcast(read_table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE")), 10_000)
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         "n_nationkey", "n_name", "r_name")
 

@@ -88,7 +88,10 @@ class Input:
         if self.kind == "list":
             fn = self.fn or "array"
             if isinstance(fn, str) and fn not in DECOMPOSABLE_LIST_FNS + COLLECTED_LIST_FNS:
-                raise ValueError(f"unknown list function {fn!r}")
+                from apportion.functions.lists import get_list_fn, registered
+
+                if get_list_fn(fn) is None:
+                    raise ValueError(f"unknown list function {fn!r}; registered: {registered()}")
             if fn in ("first", "last") and not self.order_by:
                 raise ValueError(f"list function {fn!r} needs order_by")
             if not self.on and not (isinstance(fn, str) and fn in DECOMPOSABLE_LIST_FNS):

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch settlement job with no streaming source, sink or
+stateful operator, so there is nothing to rebuild here. Every operator in
+this library is a DataFrame transformation and can be applied inside
+``foreachBatch`` by a caller that needs it.
+"""
