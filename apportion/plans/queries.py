@@ -128,8 +128,7 @@ def q_list_fn(spark: SparkSession, d: str) -> DataFrame:
         Item("max_qty", "$m", (list_of("m", "lineitem", "l_quantity", on=on, fn="max"),)),
         Item("min_price", "$m", (list_of("m", "lineitem", "l_extendedprice", on=on, fn="min"),)),
         Item("n_lines", "$n", (list_of("n", "lineitem", "l_quantity", on=on, fn="count"),)),
-        Item("sumsq_qty", "$q", (list_of("q", "lineitem", "l_quantity", on=on, fn="sum_squares",
-                                         order_by=LINE_ORDER),)),
+        Item("sumsq_qty", "$q", (list_of("q", "lineitem", "l_quantity", on=on, fn="sum_squares"),)),
     ])
     return settle({"orders": orders, "lineitem": lineitem}, [f])["orders"]
 

@@ -44,12 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder comes from the session (a shared file system);
     only when it is unset — local tests — a fresh scratch folder is used.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the setting
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on this Spark Connect session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        # local runs only (tests, bench): a cluster names a shared folder in spark.checkpoint.dir
         configured = tempfile.mkdtemp(prefix="apportion-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
