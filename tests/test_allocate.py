@@ -74,3 +74,43 @@ def test_decimal_amounts_exact(spark):
     items = [("A", "x", 1, Decimal("0.10")), ("A", "y", 2, Decimal("0.20")), ("A", "z", 3, Decimal("0.30"))]
     got, _ = run(spark, items, {"A": Decimal("0.45")}, atype="decimal(18,2)")
     assert got == {3: Decimal("0.30"), 2: Decimal("0.15"), 1: Decimal("0.00")}
+
+
+def test_hot_key_at_volume_against_sql(spark):
+    """A key with a third of 60k rows, spread over 24 range partitions and
+    several Arrow batches each, against a window-function formula in DuckDB."""
+    import duckdb
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    n = 60_000
+    keys = np.where(rng.random(n) < 1 / 3, "hot", np.char.add("k", rng.integers(0, 5000, n).astype(str)))
+    items = pd.DataFrame({"k": keys, "o": rng.integers(0, 1000, n).astype(str), "id": np.arange(n),
+                          "amt": rng.integers(0, 100, n)})
+    tot = items.groupby("k").size().reset_index(name="c")
+    tot["total"] = (tot["c"] * 40).astype("int64")
+    tot = tot[["k", "total"]]
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        idf = spark.createDataFrame(items)
+        tdf = spark.createDataFrame(tot)
+        res = waterfall(idf, tdf, "k", "amt", [F.desc("o"), F.desc("id")], "total")
+        sel = res.select("id", "allocated")
+        got = {r["id"]: r["allocated"] for r in sel.collect()}
+        plan = sel._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    want = duckdb.sql("""
+        WITH s AS (SELECT i.id, i.amt, COALESCE(t.total, 0) AS total,
+                          COALESCE(SUM(amt) OVER (PARTITION BY i.k ORDER BY o DESC, id DESC
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prev,
+                          ROW_NUMBER() OVER (PARTITION BY i.k ORDER BY o DESC, id DESC) AS pos,
+                          COUNT(*) OVER (PARTITION BY i.k) AS n
+                   FROM items i LEFT JOIN tot t USING (k))
+        SELECT id, CASE WHEN pos = n THEN GREATEST(total - prev, 0)
+                        ELSE LEAST(amt, GREATEST(total - prev, 0)) END AS a FROM s""").fetchall()
+    assert got == {i: a for i, a in want}
+    assert "ReusedExchange" in plan  # both passes read one shuffle output
