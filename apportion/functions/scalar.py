@@ -18,7 +18,7 @@ def _c(c: Column | str) -> Column:
 def before_last(s: Column | str, sep: str = "_") -> Column:
     """Text before the last ``sep``; text without ``sep`` is returned unchanged, null stays null."""
     s = _c(s)
-    pos = F.locate(sep, F.reverse(s))  # 1-based position of the reversed separator, 0 if absent
+    pos = F.locate(sep[::-1], F.reverse(s))  # 1-based position of the reversed separator, 0 if absent
     cut = F.length(s) - pos - F.lit(len(sep) - 1)
     return F.when(pos == 0, s).otherwise(F.substring(s, F.lit(1), cut))
 

@@ -41,34 +41,41 @@ def register_sql_udfs(spark: SparkSession) -> None:
 
 
 def group_reduce(df: DataFrame, keys: Sequence[str], value: str, fn: str | Callable[[pd.Series], float],
-                 out: str, buckets: int | None = None) -> DataFrame:
+                 out: str, buckets: int | None = None, salts: int = 64) -> DataFrame:
     """Per-key user aggregate ``fn`` (a pandas reduction name such as ``"prod"``
     or a Series -> scalar callable) that is associative and commutative,
-    computed in two vectorised levels.
+    computed as a vectorised reduction tree.
 
-    Level 1 (``mapInPandas``) reduces each Arrow batch per key — a map-side
-    combine, so a hot key leaves every task as one partial row per batch.
-    Level 2 hash-buckets the partial rows by key and reduces each bucket with
-    one pandas ``groupby`` (``applyInPandas`` per bucket, many keys per call).
-    Results are doubles.
+    1. ``mapInPandas`` reduces each Arrow batch per key (map-side combine);
+    2. partial rows are grouped by (key, salt) — the salt spreads the partial
+       rows of one key over ``salts`` groups by the task that made them;
+    3. the at most ``salts`` rows per key are reduced per key.
+
+    Levels 2 and 3 hash-bucket the rows and run one pandas ``groupby`` per
+    bucket (``applyInPandas``), so each Python call handles many keys, and no
+    call ever receives more than a bounded share of a hot key. Results are
+    doubles.
     """
     keys = list(keys)
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_fields = [f for f in df.schema.fields if f.name in keys]
     schema = T.StructType(key_fields + [T.StructField(out, T.DoubleType())])
+    salted_schema = T.StructType(schema.fields + [T.StructField("__salt", T.IntegerType())])
+
+    def reduce_frame(pdf: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+        g = pdf.groupby(by, dropna=False, sort=False)[out].agg(fn)
+        return g.astype("float64").rename(out).reset_index()
 
-    def reduce_batches(batches: Iterator[pd.DataFrame], col: str) -> Iterator[pd.DataFrame]:
+    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                g = pdf.groupby(keys, dropna=False, sort=False)[col].agg(fn)
-                yield g.astype("float64").rename(out).reset_index()
-
-    partial = df.select(*keys, F.col(value).cast("double").alias(out)).mapInPandas(
-        lambda it: reduce_batches(it, out), schema)
-
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return next(reduce_batches(iter([pdf]), out), pd.DataFrame(columns=keys + [out]))
-
-    # the bucket is a grouping expression, so pandas sees only the partial rows
-    return partial.groupBy(hash_bucket(keys, n).alias("__bucket")).applyInPandas(final, schema)
+                yield reduce_frame(pdf, keys)
+
+    level1 = (df.select(*keys, F.col(value).cast("double").alias(out)).mapInPandas(per_batch, schema)
+              .withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts))))
+    level2 = level1.groupBy(hash_bucket(keys + ["__salt"], n).alias("__b")).applyInPandas(
+        lambda pdf: reduce_frame(pdf, keys + ["__salt"]), salted_schema)
+    # grouping expressions are not passed to pandas: the functions see only the rows
+    return level2.groupBy(hash_bucket(keys, n).alias("__b")).applyInPandas(
+        lambda pdf: reduce_frame(pdf.drop(columns="__salt"), keys), schema)
