@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
@@ -25,10 +26,25 @@ def save(df: DataFrame, path: str | None = None, fmt: str = "parquet", mode: str
     w.save(path) if path else w.save()
 
 
-def save_changed(frames: Mapping[str, DataFrame], order: Sequence[str], writer) -> list[str]:
-    """Write each changed data set once, in order of last change; ``writer(name, df)``."""
+def save_changed(frames: Mapping[str, DataFrame], order: Sequence[str], writer,
+                 persist: bool = True) -> list[str]:
+    """Write each changed data set once, in order of last change; ``writer(name, df)``.
+
+    A settled frame often feeds a later one (orders feed customers), so with
+    ``persist`` every frame to be written is kept (memory, spilling to disk)
+    until all writes are done: each is computed once, not once per consumer.
+    Lost cached blocks are recomputed from lineage.
+    """
+    kept = []
+    if persist:
+        for name in order:
+            kept.append(frames[name].persist(StorageLevel.MEMORY_AND_DISK))
     done = []
-    for name in order:
-        writer(name, frames[name])
-        done.append(name)
+    try:
+        for name in order:
+            writer(name, frames[name])
+            done.append(name)
+    finally:
+        for df in kept:
+            df.unpersist()
     return done

@@ -3,7 +3,7 @@ and the key-uniqueness guard."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -32,12 +32,23 @@ class Field:
 
 
 def run_script(spark: SparkSession, sql: str, params: Mapping[str, Any] | None = None,
+               raw: Mapping[str, str] | None = None, allowed_raw: Iterable[str] = (),
                **frames: DataFrame) -> DataFrame:
-    """Run a data set's SQL with named parameters (``:name``, bound as values,
-    never spliced as text) and DataFrames referenced as ``{name}``."""
+    """Run a data set's SQL.
+
+    * ``:name`` markers are bound from ``params`` as values (never spliced into
+      the text; ``IDENTIFIER(:name)`` binds a table or column name). A marker
+      without a value raises.
+    * ``{name}`` placeholders take DataFrames from ``frames`` or raw text from
+      ``raw``; raw text must be one of ``allowed_raw``.
+    """
     if params is None:
         raise ValueError("script parameters are required (pass {} for none)")
-    return spark.sql(sql, args=dict(params), **frames)
+    allowed = set(allowed_raw)
+    for name, text in (raw or {}).items():
+        if text not in allowed:
+            raise ValueError(f"raw text for {{{name}}} is not in the allow-list: {text!r}")
+    return spark.sql(sql, args=dict(params), **frames, **dict(raw or {}))
 
 
 def _normalise_col(df: DataFrame, f: Field) -> Column:

@@ -68,6 +68,13 @@ def test_run_script_parameters_are_bound(spark):
     assert got == 0  # the value is bound, not spliced into the text
     with pytest.raises(ValueError):
         run_script(spark, "SELECT 1", None)
+    cols = run_script(spark, "SELECT {c} FROM {o} LIMIT 1", {}, raw={"c": "o_orderkey"},
+                      allowed_raw={"o_orderkey"}, o=orders).columns
+    assert cols == ["o_orderkey"]
+    with pytest.raises(ValueError, match="allow-list"):
+        run_script(spark, "SELECT {c} FROM {o}", {}, raw={"c": "1; DROP TABLE x"}, o=orders)
+    with pytest.raises(Exception):
+        run_script(spark, "SELECT * FROM {o} WHERE o_orderstatus = :missing", {}, o=orders).collect()
     rng = run_script(spark, "SELECT count(*) AS n FROM {o} WHERE o_orderdate BETWEEN :a AND :b",
                      {"a": datetime.date(1995, 1, 1), "b": datetime.date(1995, 12, 31)}, o=orders).first()["n"]
     assert rng == orders.where("o_orderdate >= '1995-01-01' AND o_orderdate < '1996-01-01'").count()
