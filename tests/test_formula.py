@@ -184,3 +184,22 @@ def test_match_column_rewritten_rejoins(spark):
     ])
     r = apply_formula({"t": t, "s": s}, f)["t"].first()
     assert r["x"] == 1.0 and r["y"] == 1.0
+
+
+def test_later_formula_sees_changed_source(spark, frames):
+    # formula 1 changes the source; formula 2 sums it: the new values count
+    fs = [Formula.of("a", "s", [Item("a", "1")]),
+          Formula.of("b", "t", [Item("x", "$s", (sum_of("s", "s", "a", on="k"),))])]
+    out = settle(frames, fs)["t"]
+    assert dict(rows(out, "k", "x"))["k2"] == 2.0
+
+
+def test_formula_without_items_is_a_no_op(frames):
+    out = apply_formula(frames, Formula.of("empty", "t", []))
+    assert out["t"] is frames["t"]
+
+
+def test_self_aggregate_uses_current_frame(spark):
+    t = spark.createDataFrame([("g", 1.0, 0.0), ("g", 3.0, 0.0)], "k string, v double, s double")
+    f = Formula.of("f", "t", [Item("v", "v * 10"), Item("s", "$tot", (sum_of("tot", "t", "v", on="k"),))])
+    assert {r["s"] for r in apply_formula({"t": t}, f)["t"].collect()} == {40.0}
