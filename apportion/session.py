@@ -10,8 +10,14 @@ from pyspark.sql import SparkSession
 # Settings a settlement job relies on at any scale: AQE re-plans joins from
 # measured shuffle sizes (runtime broadcast, partition coalescing, skew-join
 # splitting), ANSI keeps arithmetic errors loud, timestamps are pinned to UTC.
+# Broadcasts are decided only on measured sizes: the planner's static
+# estimate (file sizes, blind to compression and filters) is switched off,
+# AQE broadcasts a join side whose shuffle output it has measured below the
+# adaptive threshold; explicit hints are used only for bounded data.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
