@@ -135,10 +135,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM i JOIN r ON r.o_custkey = i.o_custkey AND r.pos = i.pos""",
     "json_scan_sum": """
         SELECT event_type, COUNT(*) AS n, CAST(SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
-               ROUND(SUM(value), 2) AS sum_value
+               CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
         FROM events GROUP BY event_type""",
     "waterfall_json": """
-        WITH t AS (SELECT CAST(user_id AS VARCHAR) AS g, CAST(FLOOR(SUM(value)) AS BIGINT) AS total
+        WITH t AS (SELECT CAST(user_id AS VARCHAR) AS g, CAST(FLOOR(SUM(CAST(value AS DECIMAL(18,2)))) AS BIGINT) AS total
                    FROM events GROUP BY user_id),
         i AS (
             SELECT CAST(user_id AS VARCHAR) AS g, CAST(event_id AS VARCHAR) AS c,

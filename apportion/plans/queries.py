@@ -286,7 +286,7 @@ def q_json_scan_sum(spark: SparkSession, d: str) -> DataFrame:
     ev = read_json(spark, _events_json(spark, d), EVENTS_SCHEMA)
     k = json_map("props")["k"].cast("bigint")
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("sum_k"),
-                                        F.round(F.sum("value"), 2).alias("sum_value"))
+                                        F.sum(dec2("value")).cast("double").alias("sum_value"))
 
 
 def q_waterfall_json(spark: SparkSession, d: str) -> DataFrame:
@@ -296,7 +296,7 @@ def q_waterfall_json(spark: SparkSession, d: str) -> DataFrame:
                       F.col("event_id").cast("string").alias("contractID"),
                       json_map("props")["k"].cast("bigint").alias("eng"))
     totals = ev.groupBy(F.col("user_id").cast("string").alias("generatorID")).agg(
-        F.floor(F.sum("value")).cast("bigint").alias("eng"))
+        F.floor(F.sum(dec2("value"))).cast("bigint").alias("eng"))
     out = waterfall(items, totals, "generatorID", "eng", [F.desc("contractID")], "eng", out="allocated")
     return out.select("generatorID", "contractID", "allocated")
 
