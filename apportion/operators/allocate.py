@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportion.operators.scan import keyed_prefix_scan
+from apportion.operators.scan import from_scaled, keyed_prefix_scan
 
 
 def pick_total(totals: DataFrame, keys: Sequence[str], total: str, order_by: Sequence[str] = ()) -> DataFrame:
@@ -53,12 +53,12 @@ def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, am
     seeds = t.select(*keys, F.col(total).cast(atype).alias("__seed"), F.lit(0).alias("__wk"))
     rows = items.withColumn("__wk", F.lit(1))
     both = rows.unionByName(seeds, allowMissingColumns=True)
-    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk")
+    # raw: the arithmetic below runs on the scan's longs/doubles; one conversion at the end
+    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True)
     scanned = scanned.where(F.col("__wk") == 1)
-    remaining = F.greatest(F.coalesce(F.col("scan_R"), F.lit(0).cast(atype)), F.col("scan_M")) - F.col("scan_E")
-    amt = F.coalesce(F.col(amount), F.lit(0).cast(atype))
-    take = F.when(F.col("scan_last"), remaining).otherwise(F.least(amt, remaining))
-    cols = [F.col(c) for c in items.columns] + [take.cast(atype).alias(out)]
+    remaining = F.greatest(F.coalesce(F.col("scan_R"), F.lit(0)), F.col("scan_M")) - F.col("scan_E")
+    take = F.when(F.col("scan_last"), remaining).otherwise(F.least(F.col("scan_V"), remaining))
+    cols = [F.col(c) for c in items.columns] + [from_scaled(take, atype).alias(out)]
     if with_position:
         cols += [F.col("scan_N").alias(f"{out}_position"), F.col("scan_last").alias(f"{out}_is_last")]
     return scanned.select(*cols)

@@ -43,8 +43,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 PID, KIND, VAL, SEED = "__pid", "__kind", "__v", "__s"
-OUT_E, OUT_M, OUT_HASM, OUT_R, OUT_HASR, OUT_N, OUT_NEXT, OUT_PLAST = (
-    "__E", "__M", "__hasM", "__R", "__hasR", "__N", "__nextsame", "__plast")
+OUT_E, OUT_M, OUT_HASM, OUT_R, OUT_HASR, OUT_N, OUT_PFIRST, OUT_NEXT, OUT_PLAST = (
+    "__E", "__M", "__hasM", "__R", "__hasR", "__N", "__pfirst", "__nextsame", "__plast")
 
 
 def _key_change(pdf: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
@@ -139,12 +139,12 @@ def _narrow(batch: pa.RecordBatch, keys: Sequence[str]) -> pd.DataFrame:
     return pa.Table.from_batches([batch]).select(cols).to_pandas()
 
 
-def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, nextsame: np.ndarray,
+def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, pfirst: np.ndarray, nextsame: np.ndarray,
                  plast: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     arrays = list(batch.columns) + [
         pa.array(res["E"], type=num), pa.array(res["Mprev"], type=num), pa.array(res["hasMprev"]),
         pa.array(res["R"], type=num), pa.array(res["hasR"]), pa.array(res["N"], type=pa.int64()),
-        pa.array(nextsame), pa.array(plast)]
+        pa.array(pfirst), pa.array(nextsame), pa.array(plast)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
@@ -183,7 +183,9 @@ def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_sche
                 if held is not None:
                     yield _finish_held(held, _same_key(held_key, tuple(pdf.iloc[0][k] for k in keys)), False,
                                        out_schema)
-                out = _with_values(batch, res, num, res["nextsame"], np.zeros(n, dtype=bool), out_schema)
+                pfirst = np.zeros(n, dtype=bool)
+                pfirst[0] = state is None
+                out = _with_values(batch, res, num, pfirst, res["nextsame"], np.zeros(n, dtype=bool), out_schema)
                 if n > 1:
                     yield out.slice(0, n - 1)
                 held = out.slice(n - 1, 1)
@@ -205,9 +207,24 @@ def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_sche
     return run
 
 
+def _orderable(name: str, dtype: T.DataType) -> Column:
+    """A sortable stand-in for a column (maps are not orderable in Spark)."""
+    text = dtype.simpleString()
+    return F.to_json(F.col(name)) if "map<" in text or text.startswith("map") else F.col(name)
+
+
+def from_scaled(c: Column, vtype: T.DataType) -> Column:
+    """Convert a value of the scan's integer domain back to ``vtype`` (decimals are scaled longs)."""
+    if isinstance(vtype, T.DecimalType):
+        if vtype.scale == 0:
+            return c.cast(vtype)
+        return (c.cast(T.DecimalType(38, 0)) / F.lit(10 ** vtype.scale)).cast(vtype)
+    return c.cast(vtype)
+
+
 def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                       value: str, seed: str | None = None, kind: str | None = None,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, raw: bool = False) -> DataFrame:
     """Add the scan columns (see module docstring) to ``df``.
 
     ``order`` must make rows of a key totally ordered (end it with a unique
@@ -215,7 +232,10 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     carry ``seed`` and must sort before the key's other rows) and only rows
     with ``kind = 1`` count as values. Output columns: ``scan_E``,
     ``scan_M``, ``scan_R``, ``scan_N``, ``scan_last``; exact integer
-    arithmetic for decimal values.
+    arithmetic for decimal values. With ``raw`` the sums stay in the scan's
+    number domain (decimals as scaled longs, see :func:`from_scaled`) and
+    the value itself is added as ``scan_V``, so callers can finish their
+    arithmetic on longs and convert once.
     """
     vtype = df.schema[value].dataType
     is_dec = isinstance(vtype, T.DecimalType)
@@ -238,8 +258,14 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     sort_cols += [F.col(o) if isinstance(o, str) else o for o in order]
     # an explicit partition count: AQE never coalesces it, so both passes see the same partitions
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The sort ends with a key that references every payload column. It never
+    # decides the order (the user's order is total before it, and comparisons
+    # stop at the first difference), but it keeps the optimizer from pruning
+    # columns below the sort for the narrow summary pass — so both passes keep
+    # the very same exchange, which Spark then runs once and reuses.
+    payload = F.struct(*[_orderable(f.name, f.dataType) for f in base.schema.fields])
     ranged = (base.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
+              .sortWithinPartitions(*sort_cols, payload)
               .withColumn(PID, F.spark_partition_id()))
 
     num = T.LongType() if is_int else T.DoubleType()
@@ -252,8 +278,8 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         + [T.StructField("__S", num), T.StructField("__Mend", num), T.StructField("__hasMend", T.BooleanType()),
            T.StructField("__Rend", num), T.StructField("__hasRend", T.BooleanType()),
            T.StructField("__Nend", T.LongType())])
-    summary = ranged.mapInArrow(_partition_scan(list(keys), is_int, False, to_arrow_schema(summ_schema)),
-                                summ_schema)
+    summary = ranged.select(PID, *keys, KIND, VAL, SEED).mapInArrow(
+        _partition_scan(list(keys), is_int, False, to_arrow_schema(summ_schema)), summ_schema)
 
     # 2. combine partitions of the same key (<= #partitions rows; one small task)
     lkeys = [F.col(f"__l_{k}") for k in keys]
@@ -294,8 +320,8 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     row_schema = T.StructType(base.schema.fields + [
         T.StructField(PID, T.IntegerType()), T.StructField(OUT_E, num), T.StructField(OUT_M, num),
         T.StructField(OUT_HASM, T.BooleanType()), T.StructField(OUT_R, num), T.StructField(OUT_HASR, T.BooleanType()),
-        T.StructField(OUT_N, T.LongType()), T.StructField(OUT_NEXT, T.BooleanType()),
-        T.StructField(OUT_PLAST, T.BooleanType())])
+        T.StructField(OUT_N, T.LongType()), T.StructField(OUT_PFIRST, T.BooleanType()),
+        T.StructField(OUT_NEXT, T.BooleanType()), T.StructField(OUT_PLAST, T.BooleanType())])
     rows = ranged.mapInArrow(_partition_scan(list(keys), is_int, True, to_arrow_schema(row_schema)), row_schema)
     j = rows.join(F.broadcast(carry), F.col(PID) == F.col("__cpid"), "left")
     here = same([F.col(k) for k in keys], fkeys)
@@ -307,19 +333,19 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     M_local = F.when(F.col(OUT_HASM), F.coalesce(cE, F.lit(0)) + F.col(OUT_M))
     M = F.greatest(cM, M_local)
     R = F.coalesce(F.when(F.col(OUT_HASR), F.col(OUT_R)), cR)
-    N = F.coalesce(cN, F.lit(0)) + F.col(OUT_N)
+    # guard: a partition's first row must carry the first key its summary saw
+    N = F.when(F.col(OUT_PFIRST) & ~here,
+               F.raise_error(F.lit("keyed scan: row and summary passes saw different partitions"))
+               ).otherwise(F.coalesce(cN, F.lit(0)) + F.col(OUT_N))
     last = ~F.col(OUT_NEXT) & ~(F.col(OUT_PLAST) & F.coalesce(F.col("__cont"), F.lit(False)))
 
-    def back(c: Column) -> Column:
-        if is_dec:
-            return (c.cast(T.DecimalType(38, 0)) / F.lit(10 ** scale)).cast(T.DecimalType(38, scale))
-        return c
-
-    out = j.select(
-        *[F.col(c) for c in df.columns], F.col(KIND),
-        back(E).alias("scan_E"), back(M).alias("scan_M"), back(R).alias("scan_R"),
-        N.alias("scan_N"), last.alias("scan_last"),
-    )
+    if raw:
+        sums = [E.alias("scan_E"), M.alias("scan_M"), R.alias("scan_R"), F.col(VAL).alias("scan_V")]
+    else:
+        out_type = T.DecimalType(38, scale) if is_dec else num
+        sums = [from_scaled(E, out_type).alias("scan_E"), from_scaled(M, out_type).alias("scan_M"),
+                from_scaled(R, out_type).alias("scan_R")]
+    out = j.select(*[F.col(c) for c in df.columns], F.col(KIND), *sums, N.alias("scan_N"), last.alias("scan_last"))
     if not kind:
         out = out.drop(KIND)
     return out
