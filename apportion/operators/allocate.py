@@ -37,7 +37,8 @@ def pick_total(totals: DataFrame, keys: Sequence[str], total: str, order_by: Seq
 
 def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, amount: str,
               order_by: Sequence[Column | str], total: str, out: str = "allocated",
-              with_position: bool = False, total_order_by: Sequence[str] = ()) -> DataFrame:
+              with_position: bool = False, total_order_by: Sequence[str] = (),
+              partitions: int | None = None) -> DataFrame:
     """Allocate ``totals[total]`` over ``items`` per key (see module docstring).
 
     ``order_by`` orders the items of a key (Columns may be ``F.desc``); end it
@@ -46,6 +47,10 @@ def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, am
     without items produce nothing. Returns ``items`` plus ``out`` (same type
     as ``amount``) and, with ``with_position``, the 1-based position and a
     last-item flag.
+
+    ``partitions`` is the number of range partitions of the scan (default:
+    ``spark.sql.shuffle.partitions``); size it so one partition's rows sort
+    comfortably in one task (about 128-512 MB of items each).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     atype = items.schema[amount].dataType
@@ -54,7 +59,8 @@ def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, am
     rows = items.withColumn("__wk", F.lit(1))
     both = rows.unionByName(seeds, allowMissingColumns=True)
     # raw: the arithmetic below runs on the scan's longs/doubles; one conversion at the end
-    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True)
+    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True,
+                                partitions=partitions)
     scanned = scanned.where(F.col("__wk") == 1)
     remaining = F.greatest(F.coalesce(F.col("scan_R"), F.lit(0)), F.col("scan_M")) - F.col("scan_E")
     take = F.when(F.col("scan_last"), remaining).otherwise(F.least(F.col("scan_V"), remaining))

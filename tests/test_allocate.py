@@ -114,3 +114,34 @@ def test_hot_key_at_volume_against_sql(spark):
                         ELSE LEAST(amt, GREATEST(total - prev, 0)) END AS a FROM s""").fetchall()
     assert got == {i: a for i, a in want}
     assert "ReusedExchange" in plan  # both passes read one shuffle output
+
+
+def test_keyed_prefix_scan_without_seeds(spark):
+    """Running sums, positions and last flags per key against pandas, doubles, several partitions."""
+    import numpy as np
+    import pandas as pd
+
+    from apportion.operators.scan import keyed_prefix_scan
+
+    rng = np.random.default_rng(2)
+    n = 3000
+    pdf = pd.DataFrame({"k": rng.integers(0, 40, n), "o": rng.permutation(n), "v": rng.integers(-5, 9, n) * 0.5})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        out = keyed_prefix_scan(spark.createDataFrame(pdf), ["k"], ["o"], "v", partitions=11).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    want = pdf.sort_values(["k", "o"]).copy()
+    g = want.groupby("k")["v"]
+    want["E"] = g.cumsum() - want["v"]
+    want["N"] = want.groupby("k").cumcount() + 1
+    want["last"] = want["N"] == want.groupby("k")["v"].transform("size")
+    incl = g.cumsum()
+    want["M"] = incl.groupby(want["k"]).transform(lambda s: s.cummax().shift(1))
+    got = out.set_index("o").loc[want["o"]]
+    assert np.allclose(got["scan_E"].to_numpy(), want["E"].to_numpy())
+    assert (got["scan_N"].to_numpy() == want["N"].to_numpy()).all()
+    assert (got["scan_last"].to_numpy() == want["last"].to_numpy()).all()
+    m_got, m_want = got["scan_M"].to_numpy(dtype=float), want["M"].to_numpy(dtype=float)
+    assert np.allclose(np.nan_to_num(m_got, nan=-1e9), np.nan_to_num(m_want, nan=-1e9))
+    assert got["scan_R"].isna().all()
