@@ -141,7 +141,15 @@ def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joi
         aggs.append(F.count(F.lit(1)).alias(count_col))
         temps.append(count_col)
     keys = [fresh("k") for _ in first.on]
-    right = src.groupBy(*[F.col(r).alias(k) for (_, r), k in zip(first.on, keys)]).agg(*aggs)
+    # Grouped by a struct of the keys, the aggregate is hash-partitioned by
+    # that struct, not by the join keys, so the join gets its own shuffle of
+    # the (one row per key) right side. With both join inputs plain shuffles,
+    # AQE's skew-join handling can split a hot key of the target side over
+    # several tasks; reusing the aggregate's partitioning would rule that out.
+    packed = fresh("kk")
+    right = (src.groupBy(F.struct(*[F.col(r).alias(k) for (_, r), k in zip(first.on, keys)]).alias(packed))
+             .agg(*aggs)
+             .select(*[F.col(packed)[k].alias(k) for k in keys], *[F.col(t) for t in temps]))
     on = [F.col(left) == F.col(k) for (left, _), k in zip(first.on, keys)]
     cond_all = on[0]
     for c in on[1:]:
