@@ -27,12 +27,16 @@ from apportion.operators.scan import from_scaled, keyed_prefix_scan
 
 
 def pick_total(totals: DataFrame, keys: Sequence[str], total: str, order_by: Sequence[str] = ()) -> DataFrame:
-    """One total per key: the first by ``order_by``, else the smallest (a fixed choice)."""
+    """One total per key: the first by ``order_by``, else the smallest (a fixed
+    choice). Totals with a null key match no item (as in a join)."""
     if order_by:
         agg = F.min_by(F.col(total), F.struct(*[F.col(c) for c in order_by]))
     else:
         agg = F.min(total)
-    return totals.groupBy(*keys).agg(agg.alias(total))
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    return totals.where(not_null).groupBy(*keys).agg(agg.alias(total))
 
 
 def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, amount: str,

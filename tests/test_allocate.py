@@ -145,3 +145,29 @@ def test_keyed_prefix_scan_without_seeds(spark):
     m_got, m_want = got["scan_M"].to_numpy(dtype=float), want["M"].to_numpy(dtype=float)
     assert np.allclose(np.nan_to_num(m_got, nan=-1e9), np.nan_to_num(m_want, nan=-1e9))
     assert got["scan_R"].isna().all()
+
+
+def test_edge_cases_nulls_and_duplicate_totals(spark):
+    items = spark.createDataFrame(
+        [("A", "x", 1, 10), ("A", "y", 2, None), ("A", "z", 3, 5),   # null amount counts as 0
+         (None, "x", 4, 7), (None, "y", 5, 3),                       # null key is its own group
+         ("B", "x", 6, 4)],                                          # no total row
+        "k string, o string, id long, amt bigint")
+    totals = spark.createDataFrame([("A", 12), ("A", 30), (None, 8), ("C", 99)], "k string, total bigint")
+    res = waterfall(items, totals, "k", "amt", [F.desc("o"), F.desc("id")], "total", with_position=True)
+    got = {r["id"]: (r["allocated"], r["allocated_position"], r["allocated_is_last"]) for r in res.collect()}
+    # A: total picks the smallest (12); order z(5), y(0), x(10 -> last takes 7)
+    assert got[3] == (5, 1, False) and got[2] == (0, 2, False) and got[1] == (7, 3, True)
+    # null-key items form their own group; a null-key total matches nothing (as in a join)
+    assert got[5] == (0, 1, False) and got[4] == (0, 2, True)
+    assert got[6] == (0, 1, True)
+    assert set(got) == {1, 2, 3, 4, 5, 6}  # C has a total but no items: nothing
+
+
+def test_multi_column_keys(spark):
+    items = spark.createDataFrame([("a", "bc", 1, 5), ("ab", "c", 2, 5), ("a", "bc", 3, 5)],
+                                  "g string, h string, id long, amt bigint")
+    totals = spark.createDataFrame([("a", "bc", 7), ("ab", "c", 1)], "g string, h string, total bigint")
+    res = waterfall(items, totals, ["g", "h"], "amt", [F.asc("id")], "total")
+    got = {r["id"]: r["allocated"] for r in res.collect()}
+    assert got == {1: 5, 3: 2, 2: 1}
