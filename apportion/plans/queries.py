@@ -20,7 +20,7 @@ from apportion.operators.allocate import waterfall
 from apportion.operators.formula import add_result_columns, settle
 from apportion.operators.joins import bounded_broadcast
 from apportion.operators.keys import first_per_key
-from apportion.sinks.upsert import merge_frame, split_changes
+from apportion.sinks.upsert import merge_changes, tag_changes
 from apportion.sources.load import DATE, NUMBER, STRING, Field, attach_old_id, duplicate_keys, normalise, run_script
 from apportion.sources.readers import read_format, read_json, read_table, scratch_path
 from apportion.specs import Formula, Item, avg_of, list_of, lookup, sum_of
@@ -437,29 +437,27 @@ def q_udaf_group(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------- sinks
 
-def _changes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+CUSTOMER_TARGET = {"c_custkey": "cust_id", "c_name": "name", "c_acctbal": "balance"}
+
+
+def _changes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     changed = _filtered_customers(spark, d)
     stored = _stored_customers(spark, d).select(
         F.col("c_custkey").alias("cust_id"), F.col("c_name").alias("name"),
         dec2("c_acctbal").alias("balance"))
-    with_id = attach_old_id(changed, stored, {"c_custkey": "cust_id"}, "cust_id")
-    inserts, updates = split_changes(with_id, {"c_custkey": "cust_id", "c_name": "name", "c_acctbal": "balance"},
-                                     pk="cust_id")
-    return stored, inserts, updates
+    return stored, attach_old_id(changed, stored, {"c_custkey": "cust_id"}, "cust_id")
 
 
 def q_upsert_split(spark: SparkSession, d: str) -> DataFrame:
-    """Changed rows split into inserts (no stored id) and updates (by stored key)."""
-    _, ins, upd = _changes(spark, d)
-    out = (ins.select(F.lit("insert").alias("action"), "cust_id", "name", "balance")
-           .unionByName(upd.select(F.lit("update").alias("action"), "cust_id", "name", "balance")))
-    return as_double(out, "balance")
+    """Changed rows tagged as inserts (no stored id) or updates (by stored key), in one pass."""
+    _, with_id = _changes(spark, d)
+    return as_double(tag_changes(with_id, CUSTOMER_TARGET, pk="cust_id"), "balance")
 
 
 def q_upsert_merge(spark: SparkSession, d: str) -> DataFrame:
-    """The stored table after applying the inserts and updates."""
-    stored, ins, upd = _changes(spark, d)
-    return as_double(merge_frame(stored, ins, upd, "cust_id"), "balance")
+    """The stored table after the inserts and updates (one full outer join on the key)."""
+    stored, with_id = _changes(spark, d)
+    return as_double(merge_changes(stored, with_id, CUSTOMER_TARGET, pk="cust_id"), "balance")
 
 
 def q_ordered_topk(spark: SparkSession, d: str) -> DataFrame:

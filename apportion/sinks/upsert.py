@@ -48,3 +48,41 @@ def merge_frame(target: DataFrame, inserts: DataFrame, updates: DataFrame, pk: s
     return (kept.unionByName(upd_full.select(*target.columns))
             .unionByName(inserts.select(*[F.col(c) if c in inserts.columns else F.lit(None).alias(c)
                                           for c in target.columns])))
+
+
+def tag_changes(changed: DataFrame, mapping: Mapping[str, str], pk: str, old_id: str = "OLD_ID",
+                dates: Sequence[str] = (), action: str = "action") -> DataFrame:
+    """Inserts and updates in one pass: ``action`` ('insert'/'update') plus the
+    mapped columns; an update's primary key comes from ``old_id``, an insert's
+    from its mapped key column (null when the key is generated by the store)."""
+    is_new = F.col(old_id).isNull()
+    cols = [F.when(is_new, F.lit("insert")).otherwise(F.lit("update")).alias(action)]
+    mapped = dict(zip(mapping.values(), _mapped(changed, mapping, dates)))
+    pk_new = F.col(next(s for s, d in mapping.items() if d == pk)) if pk in mapped else F.lit(None)
+    cols.append(F.when(is_new, pk_new).otherwise(F.col(old_id)).alias(pk))
+    for src, dst in mapping.items():
+        if dst != pk:
+            c = F.col(src)
+            cols.append((text_to_ts(c) if src in dates else c).alias(dst))
+    return changed.select(*cols)
+
+
+def merge_changes(stored: DataFrame, changed: DataFrame, mapping: Mapping[str, str], pk: str,
+                  old_id: str = "OLD_ID", dates: Sequence[str] = ()) -> DataFrame:
+    """The stored table after the changes, in ONE full outer join on the key:
+    stored rows without a change stay, matched rows take the mapped columns
+    from the change (unmapped columns from the stored row), changes without a
+    stored id are appended (a null ``old_id`` never matches)."""
+    tagged = tag_changes(changed, mapping, pk, old_id, dates, action="__action")
+    new_cols = {c: f"__new_{c}" for c in tagged.columns if c != "__action"}
+    right = tagged.select(F.col("__action"), *[F.col(c).alias(n) for c, n in new_cols.items()])
+    match = (F.col(pk) == F.col(new_cols[pk])) & (F.col("__action") == "update")
+    j = stored.join(right, match, "full_outer")
+    has_change = F.col("__action").isNotNull()
+    out = []
+    for c in stored.columns:
+        if c in new_cols:
+            out.append(F.when(has_change, F.col(new_cols[c])).otherwise(F.col(c)).alias(c))
+        else:
+            out.append(F.col(c))
+    return j.select(*out)

@@ -149,3 +149,23 @@ def test_checkpoint_dir_from_session(spark):
     d = spark.sparkContext.getCheckpointDir()
     assert d
     assert scratch_path(spark, "x").startswith(d.rstrip("/"))
+
+
+def test_tag_and_merge_in_one_pass(spark):
+    from apportion.sinks.upsert import merge_changes, tag_changes
+
+    changed = spark.createDataFrame(
+        [("a", 10.0, "20200101000000", "ID-A"), ("b", 20.0, "20200202000000", None)],
+        "k string, v double, d string, OLD_ID string")
+    mapping = {"k": "pk", "v": "val", "d": "day"}
+    tagged = {r["action"]: r for r in tag_changes(changed, mapping, pk="pk", dates=["d"]).collect()}
+    assert tagged["update"]["pk"] == "ID-A" and tagged["insert"]["pk"] == "b"
+    assert tagged["insert"]["day"] == datetime.datetime(2020, 2, 2)
+    stored = spark.createDataFrame([("ID-A", 1.0, None, "keep"), ("ID-Z", 2.0, None, "z")],
+                                   "pk string, val double, day timestamp_ntz, note string")
+    merged = {r["pk"]: r for r in merge_changes(stored, changed, mapping, "pk", dates=["d"]).collect()}
+    assert merged["ID-A"]["val"] == 10.0 and merged["ID-A"]["note"] == "keep"
+    assert merged["ID-A"]["day"] == datetime.datetime(2020, 1, 1)
+    assert merged["ID-Z"]["val"] == 2.0 and merged["b"]["val"] == 20.0 and merged["b"]["note"] is None
+    plan = merge_changes(stored, changed, mapping, "pk")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and "Union" not in plan
