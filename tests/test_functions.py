@@ -2,7 +2,7 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+
 
 from apportion.functions.scalar import before_last, hash_bucket, json_map, natural_key_id, row_map, text_to_ts, ts_to_text
 from apportion.functions.udfs import before_last_udf, group_reduce, register_sql_udfs

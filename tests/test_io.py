@@ -2,8 +2,6 @@
 parameterised scripts, normalisation, stored ids, upserts, saves, checkpoints."""
 
 import datetime
-import os
-import tempfile
 
 import pytest
 from pyspark.sql import functions as F
