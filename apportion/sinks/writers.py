@@ -48,3 +48,23 @@ def save_changed(frames: Mapping[str, DataFrame], order: Sequence[str], writer,
         for df in kept:
             df.unpersist()
     return done
+
+
+def jdbc_merge_writer(spark, url: str, props: Mapping[str, str] | None = None, batch_size: int = 2000,
+                      partitions: int | None = None):
+    """A ``write(target, inserts, updates)`` callback for :func:`apportion.plans.job.save`
+    that applies the changes to a JDBC table without per-row statements: read the
+    stored table, merge in Spark, cut the lineage with a reliable checkpoint (so
+    the table is never read while it is being replaced), then overwrite it in one
+    batched write (``truncate`` keeps the table definition)."""
+    from apportion.sinks.upsert import merge_frame
+    from apportion.sources.jdbc import read_query
+
+    def write(target, inserts: DataFrame, updates: DataFrame) -> None:
+        stored = read_query(spark, url, f"SELECT * FROM {target.table}", props)
+        merged = merge_frame(stored, inserts, updates, target.pk).checkpoint(eager=True)
+        opts = dict(props or {})
+        opts.setdefault("truncate", "true")
+        write_jdbc(merged, url, target.table, opts, mode="overwrite", batch_size=batch_size, partitions=partitions)
+
+    return write

@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from apportion.plans.job import DataSet, Target, load, run, save
-from apportion.sinks.upsert import merge_frame
-from apportion.sinks.writers import write_jdbc
+from apportion.sinks.writers import jdbc_merge_writer, write_jdbc
 from apportion.sources.jdbc import read_query
 from apportion.sources.load import DATE, NUMBER, STRING, Field
 from apportion.sources.readers import read_table
@@ -54,12 +53,11 @@ def test_settlement_end_to_end(spark):
     res = run(spark, [ORDERS, LINES], FORMULAS, PARAMS, tables, read_stored=read_stored)
     assert res.changed == ["orders"]
     written = []
+    merge_into_db = jdbc_merge_writer(spark, URL, DERBY)
 
     def write(target, inserts, updates):
-        stored = read_stored(target.table)
-        merged = merge_frame(stored, inserts, updates, target.pk).checkpoint(eager=True)
-        write_jdbc(merged, URL, target.table, DERBY, mode="overwrite")
         written.append((target.table, inserts.count(), updates.count()))
+        merge_into_db(target, inserts, updates)
 
     assert save(res, [ORDERS, LINES], write) == ["orders"]
     n_all, n_f = in_range.count(), stored0.count()
