@@ -210,7 +210,9 @@ def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_sche
 def _orderable(name: str, dtype: T.DataType) -> Column:
     """A sortable stand-in for a column (maps are not orderable in Spark)."""
     text = dtype.simpleString()
-    return F.to_json(F.col(name)) if "map<" in text or text.startswith("map") else F.col(name)
+    if "map<" in text or "variant" in text:
+        return F.to_json(F.col(name))
+    return F.col(name)
 
 
 def from_scaled(c: Column, vtype: T.DataType) -> Column:

@@ -171,3 +171,12 @@ def test_multi_column_keys(spark):
     res = waterfall(items, totals, ["g", "h"], "amt", [F.asc("id")], "total")
     got = {r["id"]: r["allocated"] for r in res.collect()}
     assert got == {1: 5, 3: 2, 2: 1}
+
+
+def test_payload_with_maps_passes_through(spark):
+    items = spark.createDataFrame([("A", 1, 5, {"x": "1"}), ("A", 2, 5, {"y": "2"})],
+                                  "k string, id long, amt bigint, m map<string,string>")
+    totals = spark.createDataFrame([("A", 7)], "k string, total bigint")
+    got = {r["id"]: (r["allocated"], r["m"]) for r in
+           waterfall(items, totals, "k", "amt", ["id"], "total").collect()}
+    assert got == {1: (5, {"x": "1"}), 2: (2, {"y": "2"})}
