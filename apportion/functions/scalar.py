@@ -46,6 +46,14 @@ def hash_bucket(cols: list[Column | str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[_c(c) for c in cols]), F.lit(n)).cast("int")
 
 
+def text_bucket(cols: list[Column | str], n: int) -> Column:
+    """Bucket in [0, n) from the MD5 of the key text: slower than
+    :func:`hash_bucket`, but any engine with MD5 computes the same bucket
+    (e.g. a database computing split predicates, or an SQL check)."""
+    text = F.concat_ws("|", *[_c(c).cast("string") for c in cols])
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint"), F.lit(n)).cast("int")
+
+
 def natural_key_id(cols: list[str]) -> Column:
     """Deterministic row id from the natural key (replaces random per-load ids)."""
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)

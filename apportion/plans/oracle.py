@@ -213,6 +213,10 @@ ORACLE_SQL: dict[str, str] = {
                strptime(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') = o_orderdate
                    AS sec_roundtrip
         FROM orders""",
+    "hash_bucket_portable": """
+        SELECT CAST((('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT) % 50 AS INTEGER) AS bucket,
+               COUNT(*) AS n
+        FROM orders GROUP BY 1""",
     "udf_scalar": """
         SELECT p_partkey,
                CASE WHEN position(' ' IN p_name) = 0 THEN p_name

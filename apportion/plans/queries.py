@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportion.functions.scalar import before_last, hash_bucket, json_map, text_to_ts, ts_to_text
+from apportion.functions.scalar import before_last, hash_bucket, json_map, text_bucket, text_to_ts, ts_to_text
 from apportion.functions.udfs import before_last_udf, group_reduce
 from apportion.operators.allocate import waterfall
 from apportion.operators.formula import add_result_columns, settle
@@ -423,6 +423,12 @@ def q_hash_bucket(spark: SparkSession, d: str) -> DataFrame:
     return orders.groupBy(hash_bucket(["o_orderkey"], 50).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_hash_bucket_portable(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per MD5-based bucket of the order key (the same buckets in any engine)."""
+    orders = read_table(spark, d, "orders", ["o_orderkey"])
+    return orders.groupBy(text_bucket(["o_orderkey"], 50).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_udf_scalar(spark: SparkSession, d: str) -> DataFrame:
     """Vectorised pandas UDF in place of a row UDF."""
     part = read_table(spark, d, "part", ["p_partkey", "p_name"])
@@ -500,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "string_fns": q_string_fns,
     "date_fns": q_date_fns,
     "hash_bucket": q_hash_bucket,
+    "hash_bucket_portable": q_hash_bucket_portable,
     "udf_scalar": q_udf_scalar,
     "udaf_group": q_udaf_group,
     "upsert_split": q_upsert_split,

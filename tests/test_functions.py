@@ -74,3 +74,15 @@ def test_bounded_broadcast(spark):
     big = spark.range(100)
     assert bounded_broadcast(big, 10) is big
     assert bounded_broadcast(small, 10) is not small
+
+
+def test_text_bucket_matches_plain_md5(spark):
+    import hashlib
+
+    from apportion.functions.scalar import text_bucket
+
+    df = spark.createDataFrame([(123,), (9,), (None,)], "k bigint")
+    got = [r[0] for r in df.select(text_bucket(["k"], 50)).collect()]
+    want = [int(hashlib.md5(str(v).encode()).hexdigest()[:15], 16) % 50 for v in (123, 9)]
+    assert got[:2] == want
+    assert got[2] == int(hashlib.md5(b"").hexdigest()[:15], 16) % 50  # a null key text is empty
