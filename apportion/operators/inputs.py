@@ -90,6 +90,10 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None) -> tuple[list[Colum
             "last": lambda: F.max_by(F.col(f), order),
         }[fn]()
         return [agg.alias(tmp)], F.col(tmp)
+    registered = get_list_fn(fn) if isinstance(fn, str) else None
+    if registered is not None and registered.agg is not None:
+        # a registered function with an aggregate form: combined map-side, no list
+        return [registered.agg(F.col(f)).alias(tmp)], F.col(tmp)
     agg, arr = _sorted_rows(inp, tmp)
     if fn == "array":
         return [agg], F.transform(arr, lambda x: x["v0"])
@@ -107,8 +111,8 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None) -> tuple[list[Colum
         objs = F.transform(arr, to_map)
         return [agg], (objs if fn == "objects" else F.to_json(objs))
     # a registered or given list function over the sorted value array (higher-order functions)
-    if isinstance(fn, str):
-        fn = get_list_fn(fn)
+    if registered is not None:
+        fn = registered.fn
     return [agg], fn(F.transform(arr, lambda x: x["v0"]))
 
 

@@ -94,7 +94,7 @@ class Input:
                     raise ValueError(f"unknown list function {fn!r}; registered: {registered()}")
             if fn in ("first", "last") and not self.order_by:
                 raise ValueError(f"list function {fn!r} needs order_by")
-            if not self.on and not (isinstance(fn, str) and fn in DECOMPOSABLE_LIST_FNS):
+            if not self.on and not _decomposable(fn):
                 # a keyless list would gather the whole source into one value
                 raise ValueError("a list input without match columns needs a decomposable list function")
 
@@ -108,6 +108,17 @@ class Input:
         return self.fn or "array"
 
 
+def _decomposable(fn: Any) -> bool:
+    if not isinstance(fn, str):
+        return False
+    if fn in DECOMPOSABLE_LIST_FNS:
+        return True
+    from apportion.functions.lists import get_list_fn
+
+    reg = get_list_fn(fn)
+    return reg is not None and reg.agg is not None
+
+
 def _mk(kind: str, name: str, dataset: str, field: str, on: Any = None, filter: Any = None, **kw: Any) -> Input:
     return Input(name=name, dataset=dataset, field=field, kind=kind, on=_pairs(on), filter=_filter(filter), **kw)
 

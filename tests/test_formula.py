@@ -203,3 +203,19 @@ def test_self_aggregate_uses_current_frame(spark):
     t = spark.createDataFrame([("g", 1.0, 0.0), ("g", 3.0, 0.0)], "k string, v double, s double")
     f = Formula.of("f", "t", [Item("v", "v * 10"), Item("s", "$tot", (sum_of("tot", "t", "v", on="k"),))])
     assert {r["s"] for r in apply_formula({"t": t}, f)["t"].collect()} == {40.0}
+
+
+def test_registered_list_functions(spark, frames):
+    from apportion.functions.lists import register_list_fn
+
+    register_list_fn("first_minus_last", fn=lambda arr: F.element_at(arr, 1) - F.element_at(arr, -1))
+    t = frames["t"]
+    f = Formula.of("f", "t", [
+        Item("x", "$sp", (list_of("sp", "s", "a", on="k", fn="spread"),)),            # aggregate form
+        Item("y", "$fl", (list_of("fl", "s", "a", on="k", fn="first_minus_last", order_by=["tag"]),)),
+    ])
+    out = {r["k"]: (r["x"], r["y"]) for r in apply_formula({**frames, "t": t}, f)["t"].collect()}
+    assert out["k2"] == (6.0, 6.0) and out["k1"] == (0.0, 0.0)
+    plan = apply_formula({**frames, "t": t}, Formula.of("g", "t", [
+        Item("x", "$sp", (list_of("sp", "s", "a", on="k", fn="spread"),))]))["t"]._jdf.queryExecution()
+    assert "collect_list" not in plan.optimizedPlan().toString()
