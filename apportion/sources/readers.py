@@ -13,10 +13,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from apportion.session import ensure_checkpoint_dir
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None,
                where: Column | str | None = None) -> DataFrame:
-    """One parquet table ``<base>/<name>.parquet`` with optional projection and predicate."""
-    df = spark.read.parquet(os.path.join(base, f"{name}.parquet"))
+    """One parquet table ``<base>/<name>.parquet`` with optional projection and predicate.
+
+    The unprojected table handle is kept per session and file version (local
+    files: path + modification time), so repeated reads skip file listing and
+    footer reads; projections and predicates are applied per call.
+    """
+    path = os.path.join(base, f"{name}.parquet")
+    try:
+        key = (id(spark._jsparkSession), path, os.stat(path).st_mtime_ns)
+    except (OSError, AttributeError):
+        key = None
+    df = _TABLES.get(key) if key else None
+    if df is None:
+        df = spark.read.parquet(path)
+        if key:
+            _TABLES[key] = df
     return select_where(df, columns, where)
 
 
