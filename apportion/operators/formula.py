@@ -85,7 +85,7 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
         cond = F.col(cname)
         temps.append(cname)
 
-    # group key -> (signature -> binding); groups become stale when an item
+    # (data set, match) -> (signature -> binding); groups become stale when an item
     # rewrites one of their target-side match columns, or (self aggregates)
     # any column of the target.
     live: dict[tuple, dict[tuple, Column]] = {}
@@ -117,7 +117,7 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
             bound[inp.name] = c
         df = apply_item(df, item, bound, cond)
         for key in list(live):
-            ds, on, _ = key
+            ds, on = key
             if ds == target or item.field in {left for left, _ in on}:
                 del live[key]
 

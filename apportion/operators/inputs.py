@@ -1,12 +1,15 @@
 """Plan formula inputs as aggregate-then-join.
 
-All inputs of one formula that share (source data set, match columns,
-filter) are served by ONE ``groupBy(match).agg(...)`` on the filtered source
-and ONE left join onto the target — one shuffle per distinct match, however
-many inputs use it. Aggregation runs before the join, so Spark's partial
-(map-side) aggregation collapses hot keys before anything is shuffled, and
-the joined right side has one row per key. Lookups carry a row count so a
-key that matches several rows raises at evaluation (no extra job).
+All inputs of one formula that share a source data set and match columns are
+served by ONE ``groupBy(match).agg(...)`` and ONE left join onto the target —
+one join per distinct match, however many inputs use it. Inputs with
+different filters on the same match share it too: the source is filtered by
+the OR of their filters (pushed to the scan) and each aggregate only sees
+its own rows (``sum(CASE WHEN filter THEN x END)``). Aggregation runs before
+the join, so Spark's partial (map-side) aggregation collapses hot keys
+before anything is shuffled, and the joined right side has one row per key.
+Lookups carry a row count so a key that matches several rows raises at
+evaluation (no extra job).
 """
 
 from __future__ import annotations
@@ -44,57 +47,73 @@ def input_signature(inp: Input) -> tuple:
     """Inputs with equal signatures in a group compute the same value."""
     fn = inp.list_fn if inp.kind == "list" else None
     return (inp.kind, inp.field, fn if isinstance(fn, str) or fn is None else id(fn),
-            inp.order_by, inp.fields, inp.on_duplicate)
+            inp.order_by, inp.fields, inp.on_duplicate, inp.filter_key)
 
 
-def _sorted_rows(inp: Input, tmp: str) -> tuple[Column, Column]:
+class _Rows:
+    """Column access restricted to the rows of one filter (None = all rows)."""
+
+    def __init__(self, cond: Column | None):
+        self.cond = cond
+
+    def col(self, name: str) -> Column:
+        return F.col(name) if self.cond is None else F.when(self.cond, F.col(name))
+
+    def one(self) -> Column:
+        return F.lit(1) if self.cond is None else F.when(self.cond, F.lit(1))
+
+    def order(self, names: Sequence[str]) -> Column:
+        o = F.struct(*[F.col(c) for c in names])
+        return o if self.cond is None else F.when(self.cond, o)
+
+
+def _sorted_rows(inp: Input, tmp: str, rows: _Rows) -> tuple[Column, Column]:
     """(aggregate, post-join array) for list forms that need the list itself."""
     value_fields = inp.fields if inp.list_fn in ("objects", "json") else (inp.field,)
-    if inp.order_by:
-        parts = [F.col(c).alias(f"o{i}") for i, c in enumerate(inp.order_by)]
-    else:
-        parts = []
+    parts = [F.col(c).alias(f"o{i}") for i, c in enumerate(inp.order_by)]
     parts += [F.col(c).alias(f"v{i}") for i, c in enumerate(value_fields)]
-    agg = F.collect_list(F.struct(*parts)).alias(tmp)
+    row = F.struct(*parts)
+    if rows.cond is not None:
+        row = F.when(rows.cond, row)  # collect_list skips the nulls of other filters
+    agg = F.collect_list(row).alias(tmp)
     # structs compare field by field, so sorting them orders by order_by, then values
     arr = F.array_sort(F.col(tmp))
     return agg, arr
 
 
-def _aggregates(inp: Input, tmp: str, count_col: str | None) -> tuple[list[Column], Column]:
+def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows) -> tuple[list[Column], Column]:
     """Aggregate expressions for one input and its binding over the joined row."""
     f = inp.field
     if inp.kind == "value":
         if inp.on_duplicate == "any":
-            return [F.min(f).alias(tmp)], F.col(tmp)
+            return [F.min(rows.col(f)).alias(tmp)], F.col(tmp)
         guarded = F.when(
             F.col(count_col) > 1,
             F.raise_error(F.concat(F.lit(f"lookup {inp.dataset}.{f}: key matches "),
                                    F.col(count_col).cast("string"), F.lit(" rows"))),
         ).otherwise(F.col(tmp))
-        return [F.any_value(f).alias(tmp)], guarded
+        return [F.any_value(rows.col(f), True).alias(tmp)], guarded
     if inp.kind == "sum":
-        return [F.sum(f).alias(tmp)], F.col(tmp)
+        return [F.sum(rows.col(f)).alias(tmp)], F.col(tmp)
     if inp.kind == "avg":
-        return [F.avg(f).alias(tmp)], F.col(tmp)
+        return [F.avg(rows.col(f)).alias(tmp)], F.col(tmp)
     fn = inp.list_fn
     if isinstance(fn, str) and fn in DECOMPOSABLE_LIST_FNS:
-        order = F.struct(*[F.col(c) for c in inp.order_by]) if inp.order_by else None
         agg = {
-            "count": lambda: F.count(F.lit(1)),
-            "sum": lambda: F.sum(f),
-            "avg": lambda: F.avg(f),
-            "min": lambda: F.min(f),
-            "max": lambda: F.max(f),
-            "first": lambda: F.min_by(F.col(f), order),
-            "last": lambda: F.max_by(F.col(f), order),
+            "count": lambda: F.count(rows.one()),
+            "sum": lambda: F.sum(rows.col(f)),
+            "avg": lambda: F.avg(rows.col(f)),
+            "min": lambda: F.min(rows.col(f)),
+            "max": lambda: F.max(rows.col(f)),
+            "first": lambda: F.min_by(F.col(f), rows.order(inp.order_by)),
+            "last": lambda: F.max_by(F.col(f), rows.order(inp.order_by)),
         }[fn]()
         return [agg.alias(tmp)], F.col(tmp)
     registered = get_list_fn(fn) if isinstance(fn, str) else None
     if registered is not None and registered.agg is not None:
         # a registered function with an aggregate form: combined map-side, no list
-        return [registered.agg(F.col(f)).alias(tmp)], F.col(tmp)
-    agg, arr = _sorted_rows(inp, tmp)
+        return [registered.agg(rows.col(f)).alias(tmp)], F.col(tmp)
+    agg, arr = _sorted_rows(inp, tmp, rows)
     if fn == "array":
         return [agg], F.transform(arr, lambda x: x["v0"])
     if fn == "text":
@@ -116,34 +135,58 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None) -> tuple[list[Colum
     return [agg], fn(F.transform(arr, lambda x: x["v0"]))
 
 
+def _filtered_source(source: DataFrame, inputs: Sequence[Input]) -> tuple[DataFrame, dict[tuple, _Rows]]:
+    """The source restricted to the union of the inputs' filters, and the row
+    selector of each filter (no per-aggregate condition when there is one filter)."""
+    by_filter: dict[tuple, Column | None] = {}
+    for inp in inputs:
+        if inp.filter_key not in by_filter:
+            by_filter[inp.filter_key] = equality(source, inp.filter)
+    conds = list(by_filter.values())
+    if len(conds) == 1:
+        only = conds[0]
+        src = source if only is None else source.where(only)
+        return src, {k: _Rows(None) for k in by_filter}
+    if any(c is None for c in conds):
+        src = source  # one input takes all rows
+    else:
+        union = conds[0]
+        for c in conds[1:]:
+            union = union | c
+        src = source.where(union)
+    return src, {k: _Rows(c) for k, c in by_filter.items()}
+
+
 def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joined:
-    """Aggregate ``source`` once for all ``inputs`` (same group key) and left-join onto ``df``."""
+    """Aggregate ``source`` once for all ``inputs`` (same data set and match) and left-join onto ``df``."""
     first = inputs[0]
-    src = source
-    cond = equality(src, first.filter)
-    if cond is not None:
-        src = src.where(cond)
+    src, selectors = _filtered_source(source, inputs)
     by_sig: dict[tuple, list[Input]] = {}
     for inp in inputs:
         by_sig.setdefault(input_signature(inp), []).append(inp)
-    needs_count = any(i.kind == "value" and i.on_duplicate == "error" for i in inputs)
 
     if not first.on:
-        return _scalar_group(df, src, by_sig)
+        return _scalar_group(df, src, by_sig, selectors)
 
-    count_col = fresh("n") if needs_count else None
+    count_cols: dict[tuple, str] = {}
     aggs: list[Column] = []
     bindings: dict[tuple, Column] = {}
     temps: list[str] = []
     for sig, group in by_sig.items():
+        inp = group[0]
+        rows = selectors[inp.filter_key]
+        count_col = None
+        if inp.kind == "value" and inp.on_duplicate == "error":
+            if inp.filter_key not in count_cols:
+                count_cols[inp.filter_key] = fresh("n")
+                aggs.append(F.count(rows.one()).alias(count_cols[inp.filter_key]))
+                temps.append(count_cols[inp.filter_key])
+            count_col = count_cols[inp.filter_key]
         tmp = fresh("in")
-        exprs, binding = _aggregates(group[0], tmp, count_col)
+        exprs, binding = _aggregates(inp, tmp, count_col, rows)
         aggs += exprs
         temps.append(tmp)
         bindings[sig] = binding
-    if count_col:
-        aggs.append(F.count(F.lit(1)).alias(count_col))
-        temps.append(count_col)
     keys = [fresh("k") for _ in first.on]
     # Grouped by a struct of the keys, the aggregate is hash-partitioned by
     # that struct, not by the join keys, so the join gets its own shuffle of
@@ -162,7 +205,8 @@ def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joi
     return Joined(out, bindings, temps)
 
 
-def _scalar_group(df: DataFrame, src: DataFrame, by_sig: dict[tuple, list[Input]]) -> Joined:
+def _scalar_group(df: DataFrame, src: DataFrame, by_sig: dict[tuple, list[Input]],
+                  selectors: dict[tuple, _Rows]) -> Joined:
     """Inputs without match columns: one scalar subquery, no join.
 
     Sum/avg/decomposable lists aggregate the whole filtered source; a lookup
@@ -173,11 +217,13 @@ def _scalar_group(df: DataFrame, src: DataFrame, by_sig: dict[tuple, list[Input]
     agg_sigs: list[tuple[tuple, str]] = []
     for sig, group in by_sig.items():
         inp = group[0]
+        rows = selectors[inp.filter_key]
         if inp.kind == "value":
-            bindings[sig] = src.select(F.col(inp.field)).scalar()
+            one = src if rows.cond is None else src.where(rows.cond)
+            bindings[sig] = one.select(F.col(inp.field)).scalar()
             continue
         tmp = fresh("in")
-        exprs, _ = _aggregates(inp, tmp, None)
+        exprs, _ = _aggregates(inp, tmp, None, rows)
         aggs += exprs
         agg_sigs.append((sig, tmp))
     if aggs:

@@ -100,8 +100,12 @@ class Input:
 
     @property
     def group_key(self) -> tuple:
-        """Inputs with equal (data set, match, filter) share one aggregate and one join."""
-        return (self.dataset, self.on, tuple((k, repr(v)) for k, v in self.filter))
+        """Inputs with equal (data set, match) share one aggregate and one join."""
+        return (self.dataset, self.on)
+
+    @property
+    def filter_key(self) -> tuple:
+        return tuple((k, repr(v)) for k, v in self.filter)
 
     @property
     def list_fn(self) -> str | Callable[[Column], Column]:

@@ -219,3 +219,30 @@ def test_registered_list_functions(spark, frames):
     plan = apply_formula({**frames, "t": t}, Formula.of("g", "t", [
         Item("x", "$sp", (list_of("sp", "s", "a", on="k", fn="spread"),))]))["t"]._jdf.queryExecution()
     assert "collect_list" not in plan.optimizedPlan().toString()
+
+
+def test_different_filters_share_one_join(spark, frames):
+    t = add_result_columns(frames["t"], {"txt": "string", "n": "bigint"})
+    f = Formula.of("f", "t", [
+        Item("x", "$su", (sum_of("su", "s", "a", on="k", filter={"tag": "u"}),)),
+        Item("y", "$sv", (sum_of("sv", "s", "a", on="k", filter={"tag": "v"}),)),
+        Item("txt", "$l", (list_of("l", "s", "a", on="k", fn="text", order_by=["a"]),)),   # no filter: all rows
+        Item("n", "$c", (list_of("c", "s", "a", on="k", fn="count", filter={"tag": "v"}),)),
+    ])
+    out_df = apply_formula({**frames, "t": t}, f)["t"]
+    out = {r["k"]: (r["x"], r["y"], r["txt"], r["n"]) for r in out_df.collect()}
+    assert out["k1"] == (10.0, 0.0, "10.0", 0)
+    assert out["k2"] == (7.0, 1.0, "1.0,7.0", 1)
+    assert out["k3"] == (0.0, 0.0, None, 0)
+    plan = out_df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1
+
+
+def test_filtered_lookups_count_their_own_rows(spark, frames):
+    # k2 has two source rows, one per tag: a lookup filtered to one tag is unique
+    f = Formula.of("f", "t", [
+        Item("x", "$a", (lookup("a", "s", "a", on="k", filter={"tag": "v"}),)),
+        Item("y", "$b", (lookup("b", "s", "b", on="k", filter={"tag": "u"}),)),
+    ])
+    out = {r["k"]: (r["x"], r["y"]) for r in apply_formula(frames, f)["t"].collect()}
+    assert out["k2"] == (1.0, 0.0) and out["k1"] == (0.0, 4.0)
