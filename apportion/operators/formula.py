@@ -16,10 +16,12 @@ filters and fuses the projections into whole-stage codegen.
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from apportion.functions.filters import equality
 from apportion.operators.inputs import fresh, input_signature, join_group
@@ -49,6 +51,16 @@ def _item_column(item: Item, bound: Mapping[str, Column]) -> Column:
     return F.expr(_bind_sql(item.expr, {n: f"`__b_{n}`" for n in bound}))
 
 
+def _default_literal(value: float, dtype: T.DataType) -> Column:
+    """The default of an unmatched input, typed like the source field so a
+    decimal stays exact (0.0 next to a decimal sum would make it a double)."""
+    if isinstance(dtype, T.DecimalType):
+        return F.lit(Decimal(str(value)))
+    if isinstance(dtype, T.IntegralType) and float(value).is_integer():
+        return F.lit(int(value))
+    return F.lit(float(value))
+
+
 def apply_item(df: DataFrame, item: Item, bound: Mapping[str, Column], cond: Column | None) -> DataFrame:
     """Set ``item.field`` from the bound inputs for rows where ``cond`` holds.
 
@@ -113,7 +125,8 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
                     live[key] = joined.bindings
                 c = live[key][input_signature(inp)]
             if inp.default is not None:
-                c = F.coalesce(c, F.lit(float(inp.default)))
+                source = df if inp.dataset == target else frames[inp.dataset]
+                c = F.coalesce(c, _default_literal(inp.default, source.schema[inp.field].dataType))
             bound[inp.name] = c
         df = apply_item(df, item, bound, cond)
         for key in list(live):

@@ -246,3 +246,17 @@ def test_filtered_lookups_count_their_own_rows(spark, frames):
     ])
     out = {r["k"]: (r["x"], r["y"]) for r in apply_formula(frames, f)["t"].collect()}
     assert out["k2"] == (1.0, 0.0) and out["k1"] == (0.0, 4.0)
+
+
+def test_default_keeps_decimal_exact(spark):
+    from decimal import Decimal
+
+    # 19 significant digits: a double in between would lose the cents
+    t = spark.createDataFrame([("a", "0"), ("z", "0")], "k string, x string").withColumn(
+        "x", F.col("x").cast("decimal(24,2)"))
+    s = spark.createDataFrame([("a", "12345678901234567.89")], "k string, v string").withColumn(
+        "v", F.col("v").cast("decimal(20,2)"))
+    f = Formula.of("f", "t", [Item("x", "$s + 0.05", (sum_of("s", "s", "v", on="k", default=0.0),))])
+    out = apply_formula({"t": t, "s": s}, f)["t"]
+    assert dict((r["k"], r["x"]) for r in out.collect()) == {"a": Decimal("12345678901234567.94"),
+                                                             "z": Decimal("0.05")}
