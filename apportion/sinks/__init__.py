@@ -1 +1,2 @@
-"""Sinks: insert/update split, merged target frame, JDBC and file writers."""
+"""Sinks: insert/update tagging and splitting, merged target frames, JDBC and
+file writers, and saving changed data sets in order of last change."""
