@@ -72,3 +72,29 @@ def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, am
     if with_position:
         cols += [F.col("scan_N").alias(f"{out}_position"), F.col("scan_last").alias(f"{out}_is_last")]
     return scanned.select(*cols)
+
+
+def cogroup_running(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, amount: str,
+                    order_by: Sequence[Column | str], total: str, prefix: str = "cg",
+                    total_order_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """The co-grouped view a per-key allocation works on, without gathering a key.
+
+    Items and totals meet per key in the same single range shuffle as in
+    :func:`waterfall` (totals as seed rows). Each item gets its key's total
+    (``<prefix>_total``, null when the key has none), the sum of the earlier
+    items' amounts (``<prefix>_before``), its 1-based position and a
+    last-item flag. Keys with a total but no items produce nothing.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    atype = items.schema[amount].dataType
+    t = pick_total(totals, keys, total, total_order_by)
+    seeds = t.select(*keys, F.col(total).cast(atype).alias("__seed"), F.lit(0).alias("__wk"))
+    both = items.withColumn("__wk", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
+    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True,
+                                partitions=partitions)
+    scanned = scanned.where(F.col("__wk") == 1)
+    return scanned.select(
+        *[F.col(c) for c in items.columns],
+        from_scaled(F.col("scan_R"), atype).alias(f"{prefix}_total"),
+        from_scaled(F.col("scan_E"), atype).alias(f"{prefix}_before"),
+        F.col("scan_N").alias(f"{prefix}_position"), F.col("scan_last").alias(f"{prefix}_is_last"))

@@ -111,6 +111,18 @@ ORACLE_SQL: dict[str, str] = {
                          ELSE LEAST(i.amt, GREATEST(COALESCE(t.total, 0) - i.prev, 0)) END AS DOUBLE) AS allocated,
                i.pos AS allocated_position, i.pos = i.n AS allocated_is_last
         FROM i LEFT JOIN t ON t.c_custkey = i.o_custkey""",
+    "cogroup_pair": f"""
+        WITH t AS (SELECT c_custkey, MIN(CAST(GREATEST(CAST(c_acctbal AS {D2}), 0) * 500 AS {D2})) AS total
+                   FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY c_custkey)
+        SELECT o.o_orderkey, o.o_custkey, CAST(t.total AS DOUBLE) AS cg_total,
+               CAST(COALESCE(SUM(CAST(o.o_totalprice AS {D2})) OVER (
+                   PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS cg_before,
+               ROW_NUMBER() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC)
+                   AS cg_position,
+               ROW_NUMBER() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC)
+                   = COUNT(*) OVER (PARTITION BY o.o_custkey) AS cg_is_last
+        FROM orders o LEFT JOIN t ON t.c_custkey = o.o_custkey""",
     "waterfall_fold": f"""
         WITH RECURSIVE t AS (
             SELECT c_custkey, CAST(CAST(c_acctbal AS {D2}) * 500 AS {D2}) AS total

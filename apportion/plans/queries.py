@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from apportion.functions.scalar import before_last, hash_bucket, json_map, text_bucket, text_to_ts, ts_to_text
 from apportion.functions.udfs import before_last_udf, group_reduce
-from apportion.operators.allocate import waterfall
+from apportion.operators.allocate import cogroup_running, waterfall
 from apportion.operators.formula import add_result_columns, settle
 from apportion.operators.joins import bounded_broadcast
 from apportion.operators.keys import first_per_key
@@ -267,6 +267,15 @@ def q_waterfall(spark: SparkSession, d: str) -> DataFrame:
     return _alloc(*_alloc_inputs(spark, d, signed=False))
 
 
+def q_cogroup_pair(spark: SparkSession, d: str) -> DataFrame:
+    """Orders co-grouped with their customer's total in one range shuffle: per order the
+    key's total, the sum of the newer orders, its position and whether it is the oldest."""
+    items, totals = _alloc_inputs(spark, d, signed=False)
+    out = cogroup_running(items, totals, "o_custkey", "amt", [F.desc("o_orderdate"), F.desc("o_orderkey")], "total")
+    return as_double(out.select("o_orderkey", "o_custkey", "cg_total", "cg_before", "cg_position", "cg_is_last"),
+                     "cg_total", "cg_before")
+
+
 def q_waterfall_fold(spark: SparkSession, d: str) -> DataFrame:
     """The sequential rule with signed amounts and totals (negative amounts refill)."""
     return _alloc(*_alloc_inputs(spark, d, signed=True))
@@ -490,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "constant_formula": q_constant_formula,
     "waterfall": q_waterfall,
     "waterfall_fold": q_waterfall_fold,
+    "cogroup_pair": q_cogroup_pair,
     "json_scan_sum": q_json_scan_sum,
     "waterfall_json": q_waterfall_json,
     "scan_project": q_scan_project,
