@@ -85,6 +85,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c.c_custkey, COALESCE(CAST(CAST(x.e AS DECIMAL(28,4)) AS DOUBLE), 0.0) AS exposure,
                COALESCE(ROUND(x.a, 8), 0.0) AS avg_gap
         FROM customer c LEFT JOIN x ON c.c_custkey = x.o_custkey""",
+    "formula_chain_checkpointed": f"""
+        WITH li AS (
+            SELECT l_orderkey,
+                   CAST(CAST(l_extendedprice AS {D2}) * (1 - CAST(l_discount AS {D2})) AS DECIMAL(20,4)) AS net
+            FROM lineitem),
+        b AS (SELECT l_orderkey, SUM(net) AS billed FROM li GROUP BY l_orderkey),
+        o AS (
+            SELECT o.o_orderkey, o.o_custkey,
+                   CASE WHEN o.o_orderstatus = 'F'
+                        THEN CAST(CAST(o.o_totalprice AS {D2}) - COALESCE(CAST(b.billed AS DECIMAL(24,4)), 0)
+                                  AS DECIMAL(24,4))
+                        ELSE CAST(0 AS DECIMAL(24,4)) END AS gap
+            FROM orders o LEFT JOIN b ON o.o_orderkey = b.l_orderkey),
+        x AS (SELECT o_custkey, SUM(gap) AS e, AVG(gap) AS a FROM o GROUP BY o_custkey)
+        SELECT c.c_custkey, COALESCE(CAST(CAST(x.e AS DECIMAL(28,4)) AS DOUBLE), 0.0) AS exposure,
+               COALESCE(ROUND(x.a, 8), 0.0) AS avg_gap
+        FROM customer c LEFT JOIN x ON c.c_custkey = x.o_custkey""",
     "formula_filter": f"""
         SELECT c.c_custkey, c.c_mktsegment,
                CAST(CASE WHEN c.c_mktsegment = 'BUILDING' AND s.s IS NOT NULL
@@ -209,6 +226,9 @@ ORACLE_SQL: dict[str, str] = {
             SELECT user_id, event_type, value,
                    ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
         WHERE rn = 1""",
+    "text_scan": f"""
+        SELECT o_orderstatus AS status, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS {D2})) AS DOUBLE) AS total
+        FROM orders GROUP BY o_orderstatus""",
     "json_map": """
         SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
     "string_fns": """

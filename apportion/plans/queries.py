@@ -22,7 +22,7 @@ from apportion.operators.joins import bounded_broadcast
 from apportion.operators.keys import first_per_key
 from apportion.sinks.upsert import merge_changes, tag_changes
 from apportion.sources.load import DATE, NUMBER, STRING, Field, attach_old_id, duplicate_keys, normalise, run_script
-from apportion.sources.readers import read_format, read_json, read_table, scratch_path
+from apportion.sources.readers import read_format, read_json, read_table, read_text, scratch_path
 from apportion.specs import Formula, Item, avg_of, list_of, lookup, sum_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,6 +217,13 @@ def q_formula_chain(spark: SparkSession, d: str) -> DataFrame:
     return as_double(out, "exposure")
 
 
+def q_formula_chain_checkpointed(spark: SparkSession, d: str) -> DataFrame:
+    """The flagship chain with its lineage cut after every formula by a reliable
+    checkpoint into ``spark.checkpoint.dir`` (what a long chain does)."""
+    out = settle(formula_chain_frames(spark, d), formula_chain_formulas(), checkpoint_every=1)["customer"]
+    return as_double(out, "exposure")
+
+
 def q_formula_filter(spark: SparkSession, d: str) -> DataFrame:
     """Conditional update: only BUILDING customers change; no orders (null result) keeps the old value."""
     out = _filtered_customers(spark, d)
@@ -400,6 +407,17 @@ def q_first_per_key(spark: SparkSession, d: str) -> DataFrame:
     return first_per_key(ev, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
 
 
+def q_text_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written as '|'-separated text lines and scanned back as text; count and sum per status."""
+    path = scratch_path(spark, "orders-text")
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    orders.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus",
+                              dec2("o_totalprice").cast("string")).alias("value")).write.text(path)
+    parts = F.split(F.col("value"), r"\|")
+    lines = read_text(spark, path).select(parts[1].alias("status"), parts[2].cast("decimal(18,2)").alias("price"))
+    return lines.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("price").cast("double").alias("total"))
+
+
 def q_json_map(spark: SparkSession, d: str) -> DataFrame:
     """JSON object text -> map -> value."""
     ev = read_table(spark, d, "events", ["event_id", "props"])
@@ -495,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "self_chain": q_self_chain,
     "multi_input": q_multi_input,
     "formula_chain": q_formula_chain,
+    "formula_chain_checkpointed": q_formula_chain_checkpointed,
     "formula_filter": q_formula_filter,
     "constant_formula": q_constant_formula,
     "waterfall": q_waterfall,
@@ -513,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "distinct_expr": q_distinct_expr,
     "first_per_key": q_first_per_key,
     "json_map": q_json_map,
+    "text_scan": q_text_scan,
     "string_fns": q_string_fns,
     "date_fns": q_date_fns,
     "hash_bucket": q_hash_bucket,
