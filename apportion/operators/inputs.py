@@ -53,8 +53,9 @@ def input_signature(inp: Input) -> tuple:
 class _Rows:
     """Column access restricted to the rows of one filter (None = all rows)."""
 
-    def __init__(self, cond: Column | None):
+    def __init__(self, cond: Column | None, keyed: bool = True):
         self.cond = cond
+        self.keyed = keyed
 
     def col(self, name: str) -> Column:
         return F.col(name) if self.cond is None else F.when(self.cond, F.col(name))
@@ -66,6 +67,14 @@ class _Rows:
         o = F.struct(*[F.col(c) for c in names])
         return o if self.cond is None else F.when(self.cond, o)
 
+    def guard(self, agg: Column) -> Column:
+        """Null when no row of this filter has the key — as if the input had
+        its own join and the key did not match (a count would say 0, a list [])."""
+        if self.cond is None or not self.keyed:
+            # keyless: one global aggregate either way (count 0, sum null on no rows)
+            return agg
+        return F.when(F.count(self.one()) > 0, agg)
+
 
 def _sorted_rows(inp: Input, tmp: str, rows: _Rows) -> tuple[Column, Column]:
     """(aggregate, post-join array) for list forms that need the list itself."""
@@ -75,7 +84,7 @@ def _sorted_rows(inp: Input, tmp: str, rows: _Rows) -> tuple[Column, Column]:
     row = F.struct(*parts)
     if rows.cond is not None:
         row = F.when(rows.cond, row)  # collect_list skips the nulls of other filters
-    agg = F.collect_list(row).alias(tmp)
+    agg = rows.guard(F.collect_list(row)).alias(tmp)
     # structs compare field by field, so sorting them orders by order_by, then values
     arr = F.array_sort(F.col(tmp))
     return agg, arr
@@ -94,9 +103,9 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows) -> tup
         ).otherwise(F.col(tmp))
         return [F.any_value(rows.col(f), True).alias(tmp)], guarded
     if inp.kind == "sum":
-        return [F.sum(rows.col(f)).alias(tmp)], F.col(tmp)
+        return [rows.guard(F.sum(rows.col(f))).alias(tmp)], F.col(tmp)
     if inp.kind == "avg":
-        return [F.avg(rows.col(f)).alias(tmp)], F.col(tmp)
+        return [rows.guard(F.avg(rows.col(f))).alias(tmp)], F.col(tmp)
     fn = inp.list_fn
     if isinstance(fn, str) and fn in DECOMPOSABLE_LIST_FNS:
         agg = {
@@ -108,11 +117,11 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows) -> tup
             "first": lambda: F.min_by(F.col(f), rows.order(inp.order_by)),
             "last": lambda: F.max_by(F.col(f), rows.order(inp.order_by)),
         }[fn]()
-        return [agg.alias(tmp)], F.col(tmp)
+        return [rows.guard(agg).alias(tmp)], F.col(tmp)
     registered = get_list_fn(fn) if isinstance(fn, str) else None
     if registered is not None and registered.agg is not None:
         # a registered function with an aggregate form: combined map-side, no list
-        return [registered.agg(rows.col(f)).alias(tmp)], F.col(tmp)
+        return [rows.guard(registered.agg(rows.col(f))).alias(tmp)], F.col(tmp)
     agg, arr = _sorted_rows(inp, tmp, rows)
     if fn == "array":
         return [agg], F.transform(arr, lambda x: x["v0"])
@@ -217,7 +226,7 @@ def _scalar_group(df: DataFrame, src: DataFrame, by_sig: dict[tuple, list[Input]
     agg_sigs: list[tuple[tuple, str]] = []
     for sig, group in by_sig.items():
         inp = group[0]
-        rows = selectors[inp.filter_key]
+        rows = _Rows(selectors[inp.filter_key].cond, keyed=False)
         if inp.kind == "value":
             one = src if rows.cond is None else src.where(rows.cond)
             bindings[sig] = one.select(F.col(inp.field)).scalar()

@@ -260,3 +260,66 @@ def test_default_keeps_decimal_exact(spark):
     out = apply_formula({"t": t, "s": s}, f)["t"]
     assert dict((r["k"], r["x"]) for r in out.collect()) == {"a": Decimal("12345678901234567.94"),
                                                              "z": Decimal("0.05")}
+
+
+@pytest.mark.parametrize("seed,ns", [(1, 2000), (2, 120)])
+def test_random_formulas_against_pandas(spark, seed, ns):
+    """Random targets/sources with null keys, several filters on one match and a
+    formula filter, against a plain pandas evaluation of the same rules."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(seed)
+    nt = 300  # ns=120: many keys lack some tags, so filters sharing a join must still act alone
+    keys = [f"k{i}" for i in range(60)] + [None]
+    tpdf = pd.DataFrame({"id": np.arange(nt), "k": rng.choice(keys, nt), "g": rng.choice(["A", "B"], nt),
+                         "x": np.zeros(nt), "y": np.zeros(nt), "z": np.zeros(nt), "t": [None] * nt})
+    spdf = pd.DataFrame({"k": rng.choice(keys, ns), "tag": rng.choice(["u", "v", "w"], ns),
+                         "a": rng.integers(-50, 50, ns).astype(float)})
+    t = spark.createDataFrame(tpdf, "id long, k string, g string, x double, y double, z double, t string")
+    s = spark.createDataFrame(spdf, "k string, tag string, a double")
+    f = Formula.of("f", "t", [
+        Item("x", "$su - $av", (sum_of("su", "s", "a", on="k", filter={"tag": "u"}),
+                                avg_of("av", "s", "a", on="k", filter={"tag": "v"}, default=0.0))),
+        Item("y", "$n + x", (list_of("n", "s", "a", on="k", fn="count", filter={"tag": "w"}),)),
+        Item("z", "$mn", (lookup("mn", "s", "a", on="k", filter={"tag": "w"}, on_duplicate="any"),)),
+        Item("t", "$tx", (list_of("tx", "s", "a", on="k", fn="text", filter={"tag": "u"}, order_by=["a"]),)),
+    ], filter={"g": "A"})
+    res = apply_formula({"t": t, "s": s}, f)["t"].collect()
+    got = {r["id"]: (r["x"], r["y"], r["z"]) for r in res}
+    got_t = {r["id"]: r["t"] for r in res}
+
+    src = spdf[spdf["k"].notna()]
+    su = src[src.tag == "u"].groupby("k")["a"].sum()
+    av = src[src.tag == "v"].groupby("k")["a"].mean()
+    cnt = src[src.tag == "w"].groupby("k").size()
+    mn = src[src.tag == "w"].groupby("k")["a"].min()
+    tx = src[src.tag == "u"].groupby("k")["a"].apply(lambda v: ",".join(str(float(a)) for a in sorted(v)))
+    for row in tpdf.itertuples():
+        x = y = z = 0.0
+        want_t = tx.get(row.k) if (row.g == "A" and row.k is not None) else None
+        assert got_t[row.id] == want_t, row
+        if row.g == "A":
+            k = row.k
+            s_u = su.get(k) if k is not None else None
+            a_v = av.get(k, 0.0) if k is not None else 0.0
+            if s_u is not None:
+                x = s_u - a_v
+            n = cnt.get(k) if k is not None else None
+            if n is not None:
+                y = n + x
+            m = mn.get(k) if k is not None else None
+            if m is not None:
+                z = m
+        assert got[row.id] == pytest.approx((x, y, z)), row
+
+
+def test_keyless_count_same_with_or_without_shared_filters(spark, frames):
+    lone = Formula.of("f", "t", [Item("x", "$c", (list_of("c", "s", "a", fn="count", filter={"tag": "zz"}),))])
+    shared = Formula.of("f", "t", [
+        Item("x", "$c", (list_of("c", "s", "a", fn="count", filter={"tag": "zz"}),)),
+        Item("y", "$s", (sum_of("s", "s", "a", filter={"tag": "u"}),)),
+    ])
+    a = {r["x"] for r in apply_formula(frames, lone)["t"].collect()}
+    b = {r["x"] for r in apply_formula(frames, shared)["t"].collect()}
+    assert a == b == {0.0}
