@@ -180,3 +180,13 @@ def test_payload_with_maps_passes_through(spark):
     got = {r["id"]: (r["allocated"], r["m"]) for r in
            waterfall(items, totals, "k", "amt", ["id"], "total").collect()}
     assert got == {1: (5, {"x": "1"}), 2: (2, {"y": "2"})}
+
+
+def test_empty_inputs(spark):
+    items = spark.createDataFrame([], "k string, id long, amt bigint")
+    totals = spark.createDataFrame([("A", 5)], "k string, total bigint")
+    assert waterfall(items, totals, "k", "amt", ["id"], "total").count() == 0
+    items2 = spark.createDataFrame([("A", 1, 3), (None, 2, 4)], "k string, id long, amt bigint")
+    no_totals = spark.createDataFrame([], "k string, total bigint")
+    got = {r["id"]: r["allocated"] for r in waterfall(items2, no_totals, "k", "amt", ["id"], "total").collect()}
+    assert got == {1: 0, 2: 0}
