@@ -69,6 +69,9 @@ def _same_key(a: tuple, b: tuple) -> bool:
     return True
 
 
+_INT_LIMIT = 2 ** 62
+
+
 class _State:
     """Running state of the current key as of the last processed row."""
 
@@ -98,6 +101,9 @@ def _scan_block(pdf: pd.DataFrame, keys: Sequence[str], state: _State | None, is
     if cont0:
         I = I + np.where(in_first, state.I, 0).astype(dtype)
         cnt = cnt + np.where(in_first, state.N, 0)
+    if is_int and n and np.abs(I).max() > _INT_LIMIT:
+        # int64 sums would wrap silently past 2**63; stop well before
+        raise OverflowError("keyed scan: running sum leaves the exact 64-bit range; use a smaller decimal scale")
     E = I - v
 
     Ix = np.where(item, I, lowest).astype(dtype)
