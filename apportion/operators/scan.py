@@ -25,9 +25,11 @@ rows is spread over a third of the partitions. The plan is
 Steps 2 and 3 both read the same shuffle output (one exchange, reused) with
 a fixed partition count (AQE does not coalesce it), and both sort it by a
 total order, so partition ids and row order agree between them — also when a
-lost executor forces a recomputation. The per-partition pass uses Arrow
-batches (``mapInArrow``): only the key and value columns are converted, the
-payload columns pass through untouched.
+lost executor forces a recomputation; a guard raises if a partition's first
+key ever differs from its summary. The summary pass sees only the key and
+value columns; the row pass uses Arrow batches (``mapInArrow``) in which only
+those columns are converted, while the payload columns pass through
+untouched. Decimal values are scanned as exact scaled 64-bit integers.
 """
 
 from __future__ import annotations
