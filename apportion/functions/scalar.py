@@ -59,6 +59,14 @@ def natural_key_id(cols: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in cols])), 256)
 
 
+def random_id() -> Column:
+    """A random id per row (``uuid()``), for callers that want the load-time
+    random ids. It is non-deterministic: a recomputed partition gets new ids,
+    so write or checkpoint the frame before anything joins on them; prefer
+    :func:`natural_key_id`."""
+    return F.expr("uuid()")
+
+
 def json_map(c: Column | str) -> Column:
     """JSON object text -> map<string,string>."""
     return F.from_json(_c(c), "map<string,string>")

@@ -86,3 +86,10 @@ def test_text_bucket_matches_plain_md5(spark):
     want = [int(hashlib.md5(str(v).encode()).hexdigest()[:15], 16) % 50 for v in (123, 9)]
     assert got[:2] == want
     assert got[2] == int(hashlib.md5(b"").hexdigest()[:15], 16) % 50  # a null key text is empty
+
+
+def test_random_id_is_unique_per_row(spark):
+    from apportion.functions.scalar import random_id
+
+    ids = [r[0] for r in spark.range(100).select(random_id()).collect()]
+    assert len(set(ids)) == 100 and all(len(i) == 36 for i in ids)
