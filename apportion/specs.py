@@ -162,7 +162,9 @@ class Item:
 
     ``expr`` is a Spark SQL expression in which ``$name`` refers to an input
     and bare names to the target row's columns, or a callable receiving the
-    inputs as Columns. A null result keeps the old value.
+    inputs as Columns. A null result keeps the old value. ``$name`` is bound
+    wherever it appears in the text (also inside string literals), so a
+    literal dollar sign followed by a letter needs a Column callable.
     """
 
     field: str
