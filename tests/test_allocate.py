@@ -190,3 +190,16 @@ def test_empty_inputs(spark):
     no_totals = spark.createDataFrame([], "k string, total bigint")
     got = {r["id"]: r["allocated"] for r in waterfall(items2, no_totals, "k", "amt", ["id"], "total").collect()}
     assert got == {1: 0, 2: 0}
+
+
+def test_without_aqe_the_exchange_is_still_shared(spark):
+    """Consistency of the two passes does not depend on AQE: plain exchange reuse."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        items = [("A", "c1", 1, 30), ("A", "c2", 2, 50), ("A", "c3", 3, 10), ("B", "c1", 4, 5)]
+        got, res = run(spark, items, {"A": 55, "B": 8})
+        plan = res._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {3: 10, 2: 45, 1: 0, 4: 8}
+    assert "ReusedExchange" in plan
