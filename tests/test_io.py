@@ -167,3 +167,11 @@ def test_tag_and_merge_in_one_pass(spark):
     assert merged["ID-Z"]["val"] == 2.0 and merged["b"]["val"] == 20.0 and merged["b"]["note"] is None
     plan = merge_changes(stored, changed, mapping, "pk")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1 and "Union" not in plan
+
+
+def test_run_script_binds_identifiers(spark):
+    orders = read_table(spark, SF, "orders")
+    orders.createOrReplaceTempView("apportion_orders_v")
+    n = run_script(spark, "SELECT count(*) AS n FROM IDENTIFIER(:t) WHERE o_orderstatus = :s",
+                   {"t": "apportion_orders_v", "s": "F"}).first()["n"]
+    assert n == orders.where("o_orderstatus = 'F'").count()
