@@ -66,3 +66,21 @@ def test_waterfall_shuffles_items_once(spark):
 def test_per_key_work_is_partially_aggregated(spark, name):
     plan = initial_plan(QUERIES[name](spark, SF))
     assert "partial_" in plan or "MapInPandas" in plan
+
+
+def test_or_of_input_filters_reaches_the_scan(spark):
+    from apportion.operators.formula import add_result_columns, settle
+    from apportion.sources.readers import read_table
+    from apportion.specs import Formula, Item, sum_of
+
+    orders = add_result_columns(read_table(spark, SF, "orders", ["o_orderkey"]), {"r": "double", "a": "double"})
+    li = read_table(spark, SF, "lineitem", ["l_orderkey", "l_extendedprice", "l_returnflag"])
+    on = {"o_orderkey": "l_orderkey"}
+    f = Formula.of("f", "orders", [
+        Item("r", "$r", (sum_of("r", "lineitem", "l_extendedprice", on=on, filter={"l_returnflag": "R"}),)),
+        Item("a", "$a", (sum_of("a", "lineitem", "l_extendedprice", on=on, filter={"l_returnflag": "A"}),)),
+    ])
+    plan = initial_plan(settle({"orders": orders, "lineitem": li}, [f])["orders"])
+    assert re.search(r"PushedFilters: \[[^\]]*(Or\(EqualTo\(l_returnflag,R\),EqualTo\(l_returnflag,A\)\)|"
+                     r"In\(l_returnflag, \[(A,R|R,A)\]\))", plan), plan
+    assert len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", plan)) == 1
