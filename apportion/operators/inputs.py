@@ -76,9 +76,15 @@ class _Rows:
         return F.when(F.count(self.one()) > 0, agg)
 
 
-def _sorted_rows(inp: Input, tmp: str, rows: _Rows) -> tuple[Column, Column]:
+def _object_fields(inp: Input, source_columns: Sequence[str]) -> tuple[str, ...]:
+    """Fields of a list element: the given ones, else every source column."""
+    return tuple(inp.fields) if inp.fields else tuple(source_columns)
+
+
+def _sorted_rows(inp: Input, tmp: str, rows: _Rows, source_columns: Sequence[str]) -> tuple[Column, Column]:
     """(aggregate, post-join array) for list forms that need the list itself."""
-    value_fields = inp.fields if inp.list_fn in ("objects", "json") else (inp.field,)
+    objects = inp.list_fn in ("objects", "json")
+    value_fields = _object_fields(inp, source_columns) if objects else (inp.field,)
     parts = [F.col(c).alias(f"o{i}") for i, c in enumerate(inp.order_by)]
     parts += [F.col(c).alias(f"v{i}") for i, c in enumerate(value_fields)]
     row = F.struct(*parts)
@@ -90,7 +96,8 @@ def _sorted_rows(inp: Input, tmp: str, rows: _Rows) -> tuple[Column, Column]:
     return agg, arr
 
 
-def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows) -> tuple[list[Column], Column]:
+def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows,
+                source_columns: Sequence[str] = ()) -> tuple[list[Column], Column]:
     """Aggregate expressions for one input and its binding over the joined row."""
     f = inp.field
     if inp.kind == "value":
@@ -122,13 +129,13 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows) -> tup
     if registered is not None and registered.agg is not None:
         # a registered function with an aggregate form: combined map-side, no list
         return [rows.guard(registered.agg(rows.col(f))).alias(tmp)], F.col(tmp)
-    agg, arr = _sorted_rows(inp, tmp, rows)
+    agg, arr = _sorted_rows(inp, tmp, rows, source_columns)
     if fn == "array":
         return [agg], F.transform(arr, lambda x: x["v0"])
     if fn == "text":
         return [agg], F.array_join(F.transform(arr, lambda x: x["v0"].cast("string")), ",")
     if fn in ("objects", "json"):
-        names = list(inp.fields)
+        names = list(_object_fields(inp, source_columns))
 
         def to_map(x: Column) -> Column:
             return F.map_from_arrays(
@@ -192,7 +199,7 @@ def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joi
                 temps.append(count_cols[inp.filter_key])
             count_col = count_cols[inp.filter_key]
         tmp = fresh("in")
-        exprs, binding = _aggregates(inp, tmp, count_col, rows)
+        exprs, binding = _aggregates(inp, tmp, count_col, rows, source.columns)
         aggs += exprs
         temps.append(tmp)
         bindings[sig] = binding

@@ -151,6 +151,8 @@ def list_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = N
     ``fn`` is a decomposable name (count/sum/avg/min/max/first/last), a
     collected form (array/text/objects/json, sorted by ``order_by``), or a
     callable receiving the sorted array Column (higher-order functions).
+    ``objects``/``json`` elements map ``fields`` (all source columns when
+    none are given) to their values as text.
     """
     return _mk("list", name, dataset, field, on, filter, fn=fn, order_by=tuple(order_by),
                fields=tuple(fields), default=default)

@@ -323,3 +323,10 @@ def test_keyless_count_same_with_or_without_shared_filters(spark, frames):
     a = {r["x"] for r in apply_formula(frames, lone)["t"].collect()}
     b = {r["x"] for r in apply_formula(frames, shared)["t"].collect()}
     assert a == b == {0.0}
+
+
+def test_objects_default_to_all_source_columns(spark, frames):
+    t = add_result_columns(frames["t"], {"js": "string"})
+    f = Formula.of("f", "t", [Item("js", "$j", (list_of("j", "s", "a", on="k", fn="json", order_by=["tag"]),))])
+    out = {r["k"]: r["js"] for r in apply_formula({**frames, "t": t}, f)["t"].collect()}
+    assert out["k1"] == '[{"k":"k1","a":"10.0","b":"4.0","tag":"u"}]'
