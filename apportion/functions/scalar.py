@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed formats shared with the reference's data sets.
+# The text formats dates travel in.
 TEXT_TIMESTAMP = "yyyyMMddHHmmss"      # DATE values travel as this text
 TEXT_MONTH = "yyyyMM"
 TEXT_SECONDS = "yyyy-MM-dd HH:mm:ss"

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Hash-predicate templates per database dialect; {col}, {n}, {i} are filled in.
+# Hash-predicate templates per database dialect; {col}, {n}, {i} are filled in.
 HASH_PREDICATES = {
     "oracle": "MOD(ORA_HASH({col}, 10000), {n}) = {i}",
     "postgres": "MOD(ABS(HASHTEXT(CAST({col} AS TEXT))), {n}) = {i}",

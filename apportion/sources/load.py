@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from apportion.functions.scalar import natural_key_id, ts_to_text
 
-# Fixed type codes of data set fields.
+# Type codes of data set fields.
 STRING, NUMBER, DATE = 1, 2, 3
 
 
