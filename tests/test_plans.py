@@ -84,3 +84,38 @@ def test_or_of_input_filters_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*(Or\(EqualTo\(l_returnflag,R\),EqualTo\(l_returnflag,A\)\)|"
                      r"In\(l_returnflag, \[(A,R|R,A)\]\))", plan), plan
     assert len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", plan)) == 1
+
+
+def test_hot_target_key_is_split_by_aqe(spark):
+    """A third of the target rows on one key: the formula join runs as a skew join."""
+    from pyspark.sql import functions as F
+
+    from apportion.operators.formula import add_result_columns, settle
+    from apportion.sources.readers import read_table
+    from apportion.specs import Formula, Item, sum_of
+
+    li = read_table(spark, "/root/testdata/sf0.01", "lineitem", ["l_orderkey", "l_returnflag", "l_extendedprice"])
+    # several map tasks (the test file has one row group): AQE splits a skewed
+    # partition along map outputs
+    items = add_result_columns(li.select(
+        F.when(F.col("l_returnflag") == "R", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("k"),
+        F.col("l_extendedprice").alias("amt")).repartition(8), {"share": "double"})
+    totals = items.groupBy("k").agg(F.sum("amt").alias("tot"))
+    f = Formula.of("share", "items", [Item("share", "amt / $t", (sum_of("t", "totals", "tot", on="k"),))])
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        check = settle({"items": items, "totals": totals}, [f])["items"].agg(F.sum("share").alias("s"))
+        plan = final_plan(check)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan, [l for l in plan.splitlines() if "Join" in l or "AQEShuffleRead" in l or "ShuffleQueryStage" in l]
