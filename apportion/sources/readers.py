@@ -26,8 +26,8 @@ def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str]
     """
     path = os.path.join(base, f"{name}.parquet")
     try:
-        key = (id(spark._jsparkSession), path, os.stat(path).st_mtime_ns)
-    except (OSError, AttributeError):
+        key = (spark._jsparkSession.sessionUUID(), path, os.stat(path).st_mtime_ns)
+    except Exception:  # remote paths, Spark Connect: no handle reuse
         key = None
     df = _TABLES.get(key) if key else None
     if df is None:
