@@ -147,8 +147,16 @@ def _narrow(batch: pa.RecordBatch, keys: Sequence[str]) -> pd.DataFrame:
     return pa.Table.from_batches([batch]).select(cols).to_pandas()
 
 
+def _extra_fields(num: pa.DataType) -> list[pa.Field]:
+    return [pa.field(OUT_E, num), pa.field(OUT_M, num), pa.field(OUT_HASM, pa.bool_()), pa.field(OUT_R, num),
+            pa.field(OUT_HASR, pa.bool_()), pa.field(OUT_N, pa.int64()), pa.field(OUT_PFIRST, pa.bool_()),
+            pa.field(OUT_NEXT, pa.bool_()), pa.field(OUT_PLAST, pa.bool_())]
+
+
 def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, pfirst: np.ndarray, nextsame: np.ndarray,
-                 plast: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+                 plast: np.ndarray) -> pa.RecordBatch:
+    # the input columns keep their own Arrow types (time zones included)
+    schema = pa.schema(list(batch.schema) + _extra_fields(num))
     arrays = list(batch.columns) + [
         pa.array(res["E"], type=num), pa.array(res["Mprev"], type=num), pa.array(res["hasMprev"]),
         pa.array(res["R"], type=num), pa.array(res["hasR"]), pa.array(res["N"], type=pa.int64()),
@@ -156,11 +164,11 @@ def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, pfirst: np.
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _finish_held(held: pa.RecordBatch, nextsame: bool, plast: bool, schema: pa.Schema) -> pa.RecordBatch:
+def _finish_held(held: pa.RecordBatch, nextsame: bool, plast: bool) -> pa.RecordBatch:
     arrays = list(held.columns)
     arrays[-2] = pa.array([nextsame])
     arrays[-1] = pa.array([plast])
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+    return pa.RecordBatch.from_arrays(arrays, schema=held.schema)
 
 
 def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_schema: pa.Schema | None = None):
@@ -189,11 +197,10 @@ def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_sche
             res = _scan_block(pdf, keys, state, is_int)
             if emit_rows:
                 if held is not None:
-                    yield _finish_held(held, _same_key(held_key, tuple(pdf.iloc[0][k] for k in keys)), False,
-                                       out_schema)
+                    yield _finish_held(held, _same_key(held_key, tuple(pdf.iloc[0][k] for k in keys)), False)
                 pfirst = np.zeros(n, dtype=bool)
                 pfirst[0] = state is None
-                out = _with_values(batch, res, num, pfirst, res["nextsame"], np.zeros(n, dtype=bool), out_schema)
+                out = _with_values(batch, res, num, pfirst, res["nextsame"], np.zeros(n, dtype=bool))
                 if n > 1:
                     yield out.slice(0, n - 1)
                 held = out.slice(n - 1, 1)
@@ -202,7 +209,7 @@ def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_sche
         if state is None:
             return
         if emit_rows:
-            yield _finish_held(held, False, True, out_schema)
+            yield _finish_held(held, False, True)
             return
         row = {PID: [pid]}
         for k, fv, lv in zip(keys, first_key, state.key):
@@ -332,7 +339,7 @@ def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         T.StructField(OUT_HASM, T.BooleanType()), T.StructField(OUT_R, num), T.StructField(OUT_HASR, T.BooleanType()),
         T.StructField(OUT_N, T.LongType()), T.StructField(OUT_PFIRST, T.BooleanType()),
         T.StructField(OUT_NEXT, T.BooleanType()), T.StructField(OUT_PLAST, T.BooleanType())])
-    rows = ranged.mapInArrow(_partition_scan(list(keys), is_int, True, to_arrow_schema(row_schema)), row_schema)
+    rows = ranged.mapInArrow(_partition_scan(list(keys), is_int, True), row_schema)
     j = rows.join(F.broadcast(carry), F.col(PID) == F.col("__cpid"), "left")
     here = same([F.col(k) for k in keys], fkeys)
     cE = F.when(here, F.col("__pS"))

@@ -203,3 +203,21 @@ def test_without_aqe_the_exchange_is_still_shared(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert got == {3: 10, 2: 45, 1: 0, 4: 8}
     assert "ReusedExchange" in plan
+
+
+def test_timestamp_payload_in_another_session_time_zone(spark):
+    import datetime
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        items = spark.createDataFrame(
+            [("A", 1, 5, datetime.datetime(2024, 3, 10, 1, 30)), ("A", 2, 5, datetime.datetime(2024, 3, 10, 3, 30))],
+            "k string, id long, amt bigint, ts timestamp")
+        totals = spark.createDataFrame([("A", 7)], "k string, total bigint")
+        res = waterfall(items, totals, "k", "amt", ["ts", "id"], "total")
+        got = {r["id"]: (r["allocated"], r["ts"]) for r in res.collect()}
+        want = {r["id"]: r["ts"] for r in items.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {i: v[0] for i, v in got.items()} == {1: 5, 2: 2}
+    assert {i: v[1] for i, v in got.items()} == want
