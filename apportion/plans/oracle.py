@@ -205,7 +205,9 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "in_list_join": """
-        SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+        SELECT c.c_custkey, n.n_name, r.r_name
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey
         WHERE r.r_name IN ('ASIA', 'EUROPE')""",
     "nested_left_join": """
         SELECT c.c_custkey, COALESCE(x.n_lines, 0) AS n_lines, COALESCE(x.qty, 0.0) AS qty
