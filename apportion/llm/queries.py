@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
 from apportion.llm.line_quality import line_quality
 from apportion.llm.packing import pack_power_of_two
@@ -22,6 +23,11 @@ def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_slots(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations (and conversation -7) formatted with their loss mask, digested from the output."""
+    return conversation_digests(format_conversations(with_marked_conversation(table(spark, sf_dir, "conversations"))))
+
+
 def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as power-of-two pieces of at most 4096 ids."""
     return pack_power_of_two(table(spark, sf_dir, "documents"), f"{tokenizer_folder()}/word_bpe_49k.json", with_ids=False)
@@ -30,7 +36,23 @@ def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": q_op2,
     "op6_virtual_slots": q_op6,
+    "op7_chat_template": q_op7,
     "op9_power_of_two_packing": q_op9,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # formatted_chars: the marks of a turn have 24 code points, and each opening inside a text or role gets one more
+    "op7_chat_template": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), marked AS (
+            SELECT *, length(regexp_replace(role || chr(10) || text, '<(\\*)\|', '<\\\1|', 'g')) - 1 AS chars FROM said
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(chars + 24) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id""",
+}
