@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
 from apportion.llm.line_quality import line_quality
+from apportion.llm.nbsvm import score_quality
 from apportion.llm.packing import pack_power_of_two
 from apportion.llm.sharding import shard_by_slots
 
@@ -18,6 +19,11 @@ def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def q_op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by naive Bayes support vectors."""
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes, by fixed virtual slots."""
     return shard_by_slots(table(spark, sf_dir, "documents"), n_shards=40)
@@ -35,6 +41,7 @@ def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": q_op2,
+    "op5_nb_support_vectors": q_op5,
     "op6_virtual_slots": q_op6,
     "op7_chat_template": q_op7,
     "op9_power_of_two_packing": q_op9,
