@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
+from apportion.llm.lbl import score_documents
 from apportion.llm.line_quality import line_quality
 from apportion.llm.nbsvm import score_quality
 from apportion.llm.packing import pack_power_of_two
@@ -39,12 +40,18 @@ def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_power_of_two(table(spark, sf_dir, "documents"), f"{tokenizer_folder()}/word_bpe_49k.json", with_ids=False)
 
 
+def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under the log-bilinear model, and their unigram base."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": q_op2,
     "op5_nb_support_vectors": q_op5,
     "op6_virtual_slots": q_op6,
     "op7_chat_template": q_op7,
     "op9_power_of_two_packing": q_op9,
+    "op10_log_bilinear": q_op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
