@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apportion.llm.ads_ann import nearest
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
 from apportion.llm.lbl import score_documents
@@ -20,6 +21,11 @@ def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def q_op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth embedding, by adaptive dimension scan."""
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def q_op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by naive Bayes support vectors."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -47,6 +53,7 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": q_op2,
+    "op4_adaptive_scan": q_op4,
     "op5_nb_support_vectors": q_op5,
     "op6_virtual_slots": q_op6,
     "op7_chat_template": q_op7,
