@@ -11,6 +11,7 @@ from apportion.llm.chat import conversation_digests, format_conversations, with_
 from apportion.llm.common import table, tokenizer_folder
 from apportion.llm.lbl import score_documents
 from apportion.llm.line_quality import line_quality
+from apportion.llm.minmax_dedup import MinMaxRules, near_duplicates
 from apportion.llm.nbsvm import score_quality
 from apportion.llm.packing import pack_power_of_two
 from apportion.llm.sharding import shard_by_slots
@@ -41,6 +42,11 @@ def q_op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(with_marked_conversation(table(spark, sf_dir, "conversations"))))
 
 
+def q_op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), MinMaxRules(words=2))
+
+
 def q_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as power-of-two pieces of at most 4096 ids."""
     return pack_power_of_two(table(spark, sf_dir, "documents"), f"{tokenizer_folder()}/word_bpe_49k.json", with_ids=False)
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_nb_support_vectors": q_op5,
     "op6_virtual_slots": q_op6,
     "op7_chat_template": q_op7,
+    "op8_min_max_hash": q_op8,
     "op9_power_of_two_packing": q_op9,
     "op10_log_bilinear": q_op10,
 }
