@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apportion.llm import maxplus
 from apportion.llm.ads_ann import nearest
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
@@ -22,6 +23,13 @@ def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def q_op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to pieces and decoded again: counts, scores and checksums of both."""
+    vocabulary = f"{tokenizer_folder()}/piece_bpe_32k.model"
+    encoded = maxplus.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return maxplus.digests(maxplus.decode(encoded, vocabulary))
+
+
 def q_op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest rows of every hundredth embedding, by adaptive dimension scan."""
     return nearest(table(spark, sf_dir, "embeddings"))
@@ -59,6 +67,7 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_quality": q_op2,
+    "op3_max_plus_pieces": q_op3,
     "op4_adaptive_scan": q_op4,
     "op5_nb_support_vectors": q_op5,
     "op6_virtual_slots": q_op6,
