@@ -12,12 +12,18 @@ from apportion.llm.chat import conversation_digests, format_conversations, with_
 from apportion.llm.common import table, tokenizer_folder
 from apportion.llm.lbl import score_documents
 from apportion.llm.line_quality import line_quality
+from apportion.llm.lpf_dedup import repeat_digests
 from apportion.llm.minmax_dedup import MinMaxRules, near_duplicates
 from apportion.llm.nbsvm import score_quality
 from apportion.llm.packing import pack_power_of_two
 from apportion.llm.sharding import shard_by_slots
 
 
+def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes covered by 200-byte strings that start more than once."""
+    return repeat_digests(table(spark, sf_dir, "documents"), length=200, keep="none")
+
+
 def q_op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning verdicts of all documents."""
     return line_quality(table(spark, sf_dir, "documents"), with_text=False)
@@ -66,6 +72,7 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_previous_factors": q_op1,
     "op2_line_quality": q_op2,
     "op3_max_plus_pieces": q_op3,
     "op4_adaptive_scan": q_op4,
