@@ -27,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -142,7 +143,9 @@ class Trainer:
         true = np.einsum("ij,ij->i", q, p.target[target]) + p.bias[target] - log_noise[target]
         fake = q @ p.target[noise].T + (p.bias[noise] - log_noise[noise])
         g_true = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - P(data)
-        g_fake = -1 / (1 + np.exp(np.clip(-fake, -30, 30)))
+        g_fake = np.clip(fake, -30, 30, out=fake)
+        np.exp(np.negative(fake, out=fake), out=fake)
+        np.divide(-1, np.add(fake, 1, out=fake), out=g_fake)
         dq = g_true[:, None] * p.target[target] + g_fake @ p.target[noise]
         grad = Params(np.zeros_like(p.context), np.zeros_like(p.place), np.zeros_like(p.target), np.zeros_like(p.bias))
         _scatter(grad.target, target, g_true[:, None] * q)
@@ -159,23 +162,29 @@ class Trainer:
         self.n += n
 
 
-def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int = 2048) -> np.ndarray:
-    """log10 P(target class | context), normalised over all classes."""
-    out = np.empty(len(target), np.float64)
+def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int = 512) -> np.ndarray:
+    """log10 P(target class | context), normalised over all classes; each distinct context is normalised once."""
+    key = ctx[0]
+    for c in ctx[1:]:
+        key = key * CLASSES + c
+    _, one, back = np.unique(key, return_index=True, return_inverse=True)
     wide = np.ascontiguousarray(np.concatenate([params.target, params.bias[:, None]], axis=1).T)
-    ones = np.ones(CLASSES, np.float32)
+    q = np.ones((len(one), WIDTH + 1), np.float32)
+    q[:, :WIDTH] = sum(params.context[c[one]] * w for c, w in zip(ctx, params.place))
+    far = len(one) and np.abs(q).max(0) @ np.abs(wide).max(1) > 80  # exp would leave single precision
+    total, ones = np.empty(len(one), np.float64), np.ones(CLASSES, np.float32)
     logits = np.empty((rows, CLASSES), np.float32)
-    for a in range(0, len(target), rows):
-        t = target[a : a + rows]
-        q = np.ones((len(t), WIDTH + 1), np.float32)
-        q[:, :WIDTH] = sum(params.context[c[a : a + rows]] * w for c, w in zip(ctx, params.place))
-        z = logits[: len(t)]
-        np.matmul(q, wide, out=z)
-        np.clip(z, -60, 60, out=z)
-        chosen = z[np.arange(len(t)), t].astype(np.float64)
+    for a in range(0, len(one), rows):
+        z = logits[: len(q[a : a + rows])]
+        np.matmul(q[a : a + rows], wide, out=z)
+        if far:
+            np.clip(z, -80, 80, out=z)
         np.exp(z, out=z)
-        out[a : a + rows] = (chosen - np.log((z @ ones).astype(np.float64))) / np.log(10)
-    return out
+        total[a : a + rows] = z @ ones
+    chosen = np.einsum("ij,ij->i", q[back], wide.T[target]).astype(np.float64)
+    if far:
+        chosen = np.clip(chosen, -80, 80)
+    return (chosen - np.log(total)[back]) / np.log(10)
 
 
 @dataclass
@@ -236,16 +245,14 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words, count, n, v, share / share.sum(), tokens_of, words_of)
 
 
-_TABLES: dict[int, tuple] = {}
+_TABLE: list[tuple] = []
 
 
 def _table(shared) -> tuple:
     """The broadcast vocabulary's table, built once in a worker process."""
-    key = id(shared.value)
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = shared.value.table()
-    return _TABLES[key]
+    if not _TABLE or _TABLE[0][0] is not shared.value:
+        _TABLE[:] = [(shared.value, shared.value.table())]
+    return _TABLE[0][1]
 
 
 def train_round(train: DataFrame, vocab, params: Params) -> Params:
@@ -257,12 +264,15 @@ def train_round(train: DataFrame, vocab, params: Params) -> Params:
         index, of_class, _, _ = _table(vocab)
         trainer = Trainer(Params.of(start.value), vocab.value.share)
         for part in text_slices(batches):
-            classes, first = [], []
+            words, first = [], []
             for text in texts(part):
-                words = tokens(text)
-                first.append(np.full(len(words), len(classes)))
-                classes += [of_class[i] if (i := index.get(w)) is not None else rest_class(w) for w in words]
-            target = np.array(classes, np.int64)
+                own = tokens(text)
+                first.append(np.full(len(own), len(words)))
+                words += own
+            at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+            target = np.where(at >= 0, of_class[at] if len(of_class) else 0, 0).astype(np.int64)
+            rare = np.flatnonzero(at < 0)
+            target[rare] = [rest_class(words[i]) for i in rare.tolist()]
             ctx = contexts(target, np.concatenate(first))
             for a in range(0, len(target), BATCH):
                 trainer.learn(ctx[:, a : a + BATCH], target[a : a + BATCH])
