@@ -12,8 +12,8 @@ The sequential rule has a closed form: with ``E`` the sum of the earlier
 amounts and ``M`` the largest running sum among the earlier items,
 ``remaining = max(total, M) - E``. So the allocation is a keyed prefix scan
 (:mod:`apportion.operators.scan`), which splits a hot key over many tasks,
-instead of a per-key loop. Totals join the items inside the same range
-shuffle as seed rows, so the items are shuffled exactly once.
+instead of a per-key loop. Totals join the items inside the scan's range
+shuffle as seed rows, so no join of the items by key is needed.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportion.operators.scan import from_scaled, keyed_prefix_scan
+from apportion.operators.scan import keyed_prefix_scan, sum_type
 
 
 def pick_total(totals: DataFrame, keys: Sequence[str], total: str, order_by: Sequence[str] = ()) -> DataFrame:
@@ -52,28 +52,36 @@ def waterfall(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, am
     as ``amount``) and, with ``with_position``, the 1-based position and a
     last-item flag.
 
-    ``partitions`` is the number of range partitions of the scan (default:
-    ``spark.sql.shuffle.partitions``); size it so one partition's rows sort
-    comfortably in one task (about 128-512 MB of items each).
+    ``partitions`` is the number of ranges of the scan (default:
+    ``spark.sql.shuffle.partitions``); size it so one range's rows sort
+    comfortably in one task (about 128-512 MB of items each). The scan stores
+    its rows in the shared folder when this function is called.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     atype = items.schema[amount].dataType
-    t = pick_total(totals, keys, total, total_order_by)
-    seeds = t.select(*keys, F.col(total).cast(atype).alias("__seed"), F.lit(0).alias("__wk"))
-    rows = items.withColumn("__wk", F.lit(1))
-    both = rows.unionByName(seeds, allowMissingColumns=True)
-    # raw: the arithmetic below runs on the scan's longs/doubles; one conversion at the end
-    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True,
-                                partitions=partitions)
-    scanned = scanned.where(F.col("__wk") == 1)
-    remaining = F.greatest(F.coalesce(F.col("scan_R"), F.lit(0)), F.col("scan_M")) - F.col("scan_E")
-    take = F.when(F.col("scan_last"), remaining).otherwise(F.least(F.col("scan_V"), remaining))
-    cols = [F.col(c) for c in items.columns] + [from_scaled(take, atype).alias(out)]
+    scanned = _scanned(items, totals, keys, amount, order_by, total, total_order_by, partitions)
+    wide = sum_type(atype)
+    zero = F.lit(0).cast(wide)
+    remaining = (F.greatest(F.coalesce("scan_R", zero), "scan_M") - F.col("scan_E")).cast(wide)
+    own = F.coalesce(F.col(amount).cast(wide), zero)
+    take = F.when(F.col("scan_last"), remaining).otherwise(F.least(own, remaining))
+    cols = [F.col(c) for c in items.columns] + [take.cast(atype).alias(out)]
     if with_position:
         cols += [F.col("scan_N").alias(f"{out}_position"), F.col("scan_last").alias(f"{out}_is_last")]
     return scanned.select(*cols)
 
 
+def _scanned(items: DataFrame, totals: DataFrame, keys: Sequence[str], amount: str, order_by: Sequence[Column | str],
+             total: str, total_order_by: Sequence[str], partitions: int | None) -> DataFrame:
+    """The items after the prefix scan, with the totals as seed rows (in the type of the sums)."""
+    t = pick_total(totals, keys, total, total_order_by)
+    wide = sum_type(items.schema[amount].dataType)
+    seeds = t.select(*keys, F.col(total).cast(wide).alias("__seed"), F.lit(0).alias("__wk"))
+    both = items.withColumn("__wk", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
+    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", partitions=partitions)
+    return scanned.where(F.col("__wk") == 1)
+
+
 def cogroup_running(items: DataFrame, totals: DataFrame, keys: Sequence[str] | str, amount: str,
                     order_by: Sequence[Column | str], total: str, prefix: str = "cg",
                     total_order_by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
@@ -87,14 +95,9 @@ def cogroup_running(items: DataFrame, totals: DataFrame, keys: Sequence[str] | s
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     atype = items.schema[amount].dataType
-    t = pick_total(totals, keys, total, total_order_by)
-    seeds = t.select(*keys, F.col(total).cast(atype).alias("__seed"), F.lit(0).alias("__wk"))
-    both = items.withColumn("__wk", F.lit(1)).unionByName(seeds, allowMissingColumns=True)
-    scanned = keyed_prefix_scan(both, keys, order_by, value=amount, seed="__seed", kind="__wk", raw=True,
-                                partitions=partitions)
-    scanned = scanned.where(F.col("__wk") == 1)
+    scanned = _scanned(items, totals, keys, amount, order_by, total, total_order_by, partitions)
     return scanned.select(
         *[F.col(c) for c in items.columns],
-        from_scaled(F.col("scan_R"), atype).alias(f"{prefix}_total"),
-        from_scaled(F.col("scan_E"), atype).alias(f"{prefix}_before"),
+        F.col("scan_R").cast(atype).alias(f"{prefix}_total"),
+        F.col("scan_E").cast(sum_type(atype) if atype.typeName() != "double" else atype).alias(f"{prefix}_before"),
         F.col("scan_N").alias(f"{prefix}_position"), F.col("scan_last").alias(f"{prefix}_is_last"))

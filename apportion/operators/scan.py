@@ -8,361 +8,117 @@ Per key, in a given order, every row gets
 * ``N``   – the row's 1-based position in its key,
 * ``last``– whether it is the key's last row.
 
-A ``Window.partitionBy(key)`` would put all rows of a key into one task. This
-scan instead range-partitions on (key, order): a key holding a third of all
-rows is spread over a third of the partitions. The plan is
-
-1. one range shuffle + sort within partitions (the only shuffle of the data);
-2. a vectorised pass per partition (``mapInArrow``) computing the values
-   *within the partition*;
-3. a summary of one row per partition (its first key and the running state
-   of its last key), combined across partitions by window functions over at
-   most ``#partitions`` rows;
-4. a broadcast join of that summary (size bounded by the partition count, not
-   by the data) to add what earlier partitions contribute to a key that
-   starts before the partition.
-
-Steps 2 and 3 both read the same shuffle output (one exchange, reused) with
-a fixed partition count (AQE does not coalesce it), and both sort it by a
-total order, so partition ids and row order agree between them — also when a
-lost executor forces a recomputation; a guard raises if a partition's first
-key ever differs from its summary. The summary pass sees only the key and
-value columns; the row pass uses Arrow batches (``mapInArrow``) in which only
-those columns are converted, while the payload columns pass through
-untouched. Decimal values are scanned as exact scaled 64-bit integers.
+A ``Window.partitionBy(key)`` would put all rows of a key into one task. Here
+the rows are range-partitioned on (key, order) once and *stored* in the
+shared folder together with the number of their range, so a row's range is
+data: every later step reads the same number, whatever plan, cache or
+recomputation it runs under. Then
+
+1. windows over (range, key) compute the values inside a range — a key that
+   holds a third of all rows is spread over a third of the ranges;
+2. the keys that cross a range border (fewer than there are ranges) are
+   summed per range, and windows over these few rows (at most two per range)
+   give what earlier ranges add;
+3. a broadcast join of that table (its size bounded by the number of ranges,
+   not by the data) adds it.
+
+Integers and decimals are summed as decimals of up to 38 digits, so no sum of
+64-bit values overflows and results are exact. Double sums depend on where
+the range borders lie in their last digits; use decimals where that matters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
-
-PID, KIND, VAL, SEED = "__pid", "__kind", "__v", "__s"
-OUT_E, OUT_M, OUT_HASM, OUT_R, OUT_HASR, OUT_N, OUT_PFIRST, OUT_NEXT, OUT_PLAST = (
-    "__E", "__M", "__hasM", "__R", "__hasR", "__N", "__pfirst", "__nextsame", "__plast")
-
-
-def _key_change(pdf: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
-    n = len(pdf)
-    change = np.zeros(n, dtype=bool)
-    for k in keys:
-        col = pdf[k]
-        prev = col.shift(1)
-        neq = (col != prev) & ~(col.isna() & prev.isna())
-        change |= neq.to_numpy(dtype=bool)
-    return change
-
-
-def _same_key(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        xn, yn = pd.isna(x), pd.isna(y)
-        if xn or yn:
-            if not (xn and yn):
-                return False
-        elif x != y:
-            return False
-    return True
-
-
-_INT_LIMIT = 2 ** 62
-
-
-class _State:
-    """Running state of the current key as of the last processed row."""
-
-    def __init__(self, key: tuple, I, M, hasM: bool, R, hasR: bool, N: int):
-        self.key, self.I, self.M, self.hasM, self.R, self.hasR, self.N = key, I, M, hasM, R, hasR, N
-
-
-def _scan_block(pdf: pd.DataFrame, keys: Sequence[str], state: _State | None, is_int: bool):
-    """Scan one block of sorted rows starting from ``state``; returns per-row arrays."""
-    n = len(pdf)
-    dtype = np.int64 if is_int else np.float64
-    lowest = np.iinfo(np.int64).min if is_int else -np.inf
-    kind = pdf[KIND].to_numpy()
-    item = kind == 1
-    v = np.where(item, pdf[VAL].to_numpy(dtype=dtype), 0).astype(dtype)
-    change = _key_change(pdf, keys)
-    first_key = tuple(pdf.iloc[0][k] for k in keys)
-    cont0 = state is not None and _same_key(first_key, state.key)
-    change[0] = not cont0
-    idx = np.arange(n)
-    seg = np.cumsum(change)
-    segstart = np.maximum.accumulate(np.where(change, idx, 0))
-    in_first = seg == seg[0]
-
-    I = pd.Series(v).groupby(seg).cumsum().to_numpy(dtype=dtype)
-    cnt = pd.Series(item.astype(np.int64)).groupby(seg).cumsum().to_numpy()
-    if cont0:
-        I = I + np.where(in_first, state.I, 0).astype(dtype)
-        cnt = cnt + np.where(in_first, state.N, 0)
-    if is_int and n and np.abs(I).max() > _INT_LIMIT:
-        # int64 sums would wrap silently past 2**63; stop well before
-        raise OverflowError("keyed scan: running sum leaves the exact 64-bit range; use a smaller decimal scale")
-    E = I - v
-
-    Ix = np.where(item, I, lowest).astype(dtype)
-    Mx = pd.Series(Ix).groupby(seg).cummax().to_numpy(dtype=dtype)
-    if cont0 and state.hasM:
-        Mx = np.where(in_first, np.maximum(Mx, state.M), Mx).astype(dtype)
-    Mprev = np.empty(n, dtype=dtype)
-    Mprev[0] = lowest
-    Mprev[1:] = Mx[:-1]
-    Mprev[change] = lowest
-    if cont0 and state.hasM:
-        Mprev[0] = state.M
-    hasMprev = Mprev != lowest
-
-    is_seed = kind == 0
-    seedpos = np.maximum.accumulate(np.where(is_seed, idx, -1))
-    hasR = seedpos >= segstart
-    svals = pdf[SEED].to_numpy(dtype=dtype)
-    R = np.where(hasR, svals[np.maximum(seedpos, 0)], 0).astype(dtype)
-    if cont0 and state.hasR:
-        take = in_first & ~hasR
-        R = np.where(take, state.R, R).astype(dtype)
-        hasR = hasR | take
-
-    nextsame = np.zeros(n, dtype=bool)
-    nextsame[:-1] = ~change[1:]
-    return dict(I=I, E=E, Mx=Mx, Mprev=Mprev, hasMprev=hasMprev, R=R, hasR=hasR, N=cnt, nextsame=nextsame)
-
-
-def _state_at(pdf: pd.DataFrame, keys: Sequence[str], res: dict, i: int) -> _State:
-    key = tuple(pdf.iloc[i][k] for k in keys)
-    lowest = res["Mx"].dtype.type(np.iinfo(np.int64).min) if res["Mx"].dtype == np.int64 else -np.inf
-    m = res["Mx"][i]
-    return _State(key, res["I"][i], m, bool(m != lowest), res["R"][i], bool(res["hasR"][i]), int(res["N"][i]))
 
+from apportion.sources.readers import stored
 
-def _narrow(batch: pa.RecordBatch, keys: Sequence[str]) -> pd.DataFrame:
-    cols = list(keys) + [KIND, VAL, SEED]
-    return pa.Table.from_batches([batch]).select(cols).to_pandas()
+RANGE, ROW, KIND, VAL, SEED = "__range", "__row", "__kind", "__v", "__s"
 
 
-def _extra_fields(num: pa.DataType) -> list[pa.Field]:
-    return [pa.field(OUT_E, num), pa.field(OUT_M, num), pa.field(OUT_HASM, pa.bool_()), pa.field(OUT_R, num),
-            pa.field(OUT_HASR, pa.bool_()), pa.field(OUT_N, pa.int64()), pa.field(OUT_PFIRST, pa.bool_()),
-            pa.field(OUT_NEXT, pa.bool_()), pa.field(OUT_PLAST, pa.bool_())]
+def _number(dtype: T.DataType) -> T.DataType:
+    """The type values are read in; sums of it get ten digits more (38 at most)."""
+    if isinstance(dtype, T.DecimalType):
+        return dtype
+    if isinstance(dtype, T.IntegralType):
+        return T.DecimalType(20, 0)
+    return T.DoubleType()
 
 
-def _with_values(batch: pa.RecordBatch, res: dict, num: pa.DataType, pfirst: np.ndarray, nextsame: np.ndarray,
-                 plast: np.ndarray) -> pa.RecordBatch:
-    # the input columns keep their own Arrow types (time zones included)
-    schema = pa.schema(list(batch.schema) + _extra_fields(num))
-    arrays = list(batch.columns) + [
-        pa.array(res["E"], type=num), pa.array(res["Mprev"], type=num), pa.array(res["hasMprev"]),
-        pa.array(res["R"], type=num), pa.array(res["hasR"]), pa.array(res["N"], type=pa.int64()),
-        pa.array(pfirst), pa.array(nextsame), pa.array(plast)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
-def _finish_held(held: pa.RecordBatch, nextsame: bool, plast: bool) -> pa.RecordBatch:
-    arrays = list(held.columns)
-    arrays[-2] = pa.array([nextsame])
-    arrays[-1] = pa.array([plast])
-    return pa.RecordBatch.from_arrays(arrays, schema=held.schema)
-
-
-def _partition_scan(keys: Sequence[str], is_int: bool, emit_rows: bool, out_schema: pa.Schema | None = None):
-    """mapInArrow body: rows with local scan values, or one summary row per partition.
-
-    Batches of one partition arrive in sort order; the running state of the
-    current key is carried from batch to batch. A batch's last row is held
-    back until the next batch shows whether the key continues.
-    """
-    num = pa.int64() if is_int else pa.float64()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: _State | None = None
-        first_key: tuple | None = None
-        pid = None
-        held: pa.RecordBatch | None = None
-        held_key: tuple | None = None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            pdf = _narrow(batch, keys)
-            if pid is None:
-                pid = batch.column(batch.schema.get_field_index(PID))[0].as_py()
-                first_key = tuple(pdf.iloc[0][k] for k in keys)
-            res = _scan_block(pdf, keys, state, is_int)
-            if emit_rows:
-                if held is not None:
-                    yield _finish_held(held, _same_key(held_key, tuple(pdf.iloc[0][k] for k in keys)), False)
-                pfirst = np.zeros(n, dtype=bool)
-                pfirst[0] = state is None
-                out = _with_values(batch, res, num, pfirst, res["nextsame"], np.zeros(n, dtype=bool))
-                if n > 1:
-                    yield out.slice(0, n - 1)
-                held = out.slice(n - 1, 1)
-                held_key = tuple(pdf.iloc[n - 1][k] for k in keys)
-            state = _state_at(pdf, keys, res, n - 1)
-        if state is None:
-            return
-        if emit_rows:
-            yield _finish_held(held, False, True)
-            return
-        row = {PID: [pid]}
-        for k, fv, lv in zip(keys, first_key, state.key):
-            row[f"__f_{k}"] = [fv]
-            row[f"__l_{k}"] = [lv]
-        row.update({"__S": [state.I], "__Mend": [state.M], "__hasMend": [state.hasM],
-                    "__Rend": [state.R], "__hasRend": [state.hasR], "__Nend": [state.N]})
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(row), schema=out_schema, preserve_index=False)
-
-    return run
-
-
-def _orderable(name: str, dtype: T.DataType) -> Column:
-    """A sortable stand-in for a column (maps are not orderable in Spark)."""
-    text = dtype.simpleString()
-    if "map<" in text or "variant" in text:
-        return F.to_json(F.col(name))
-    return F.col(name)
-
-
-def from_scaled(c: Column, vtype: T.DataType) -> Column:
-    """Convert a value of the scan's integer domain back to ``vtype`` (decimals are scaled longs)."""
-    if isinstance(vtype, T.DecimalType):
-        if vtype.scale == 0:
-            return c.cast(vtype)
-        return (c.cast(T.DecimalType(38, 0)) / F.lit(10 ** vtype.scale)).cast(vtype)
-    return c.cast(vtype)
+def sum_type(dtype: T.DataType) -> T.DataType:
+    """The type of the scan's sums for values of ``dtype``."""
+    num = _number(dtype)
+    return T.DecimalType(38, num.scale) if isinstance(num, T.DecimalType) else num
 
 
 def keyed_prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                       value: str, seed: str | None = None, kind: str | None = None,
-                      partitions: int | None = None, raw: bool = False) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """Add the scan columns (see module docstring) to ``df``.
 
-    ``order`` must make rows of a key totally ordered (end it with a unique
-    column). With ``kind`` given, rows with ``kind = 0`` are seed rows (they
-    carry ``seed`` and must sort before the key's other rows) and only rows
-    with ``kind = 1`` count as values. Output columns: ``scan_E``,
-    ``scan_M``, ``scan_R``, ``scan_N``, ``scan_last``; exact integer
-    arithmetic for decimal values. With ``raw`` the sums stay in the scan's
-    number domain (decimals as scaled longs, see :func:`from_scaled`) and
-    the value itself is added as ``scan_V``, so callers can finish their
-    arithmetic on longs and convert once.
+    Rows that ``order`` leaves tied keep one fixed, arbitrary order. With
+    ``kind`` given, rows with ``kind = 0`` are seed rows (they carry ``seed``)
+    and only rows with ``kind = 1`` count as values. Null keys form a key of
+    their own; a null value counts as 0. Output columns: ``scan_E``,
+    ``scan_M``, ``scan_R`` (in :func:`sum_type`), ``scan_N``, ``scan_last``.
+    ``partitions`` is the number of ranges (default: the session's shuffle
+    partitions; size it so that a range sorts comfortably in one task).
     """
-    vtype = df.schema[value].dataType
-    is_dec = isinstance(vtype, T.DecimalType)
-    is_int = is_dec or isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    scale = vtype.scale if is_dec else 0
-
-    def to_num(c: Column) -> Column:
-        if is_dec:
-            return (c * F.lit(10 ** scale)).cast("long") if scale else c.cast("long")
-        return c.cast("long") if is_int else c.cast("double")
-
-    kind_col = F.col(kind) if kind else F.lit(1)
-    # value and seed go to pandas non-null (a null number counts as 0), so
-    # int64 columns stay exact instead of turning into float64 with NaN
-    zero = F.lit(0).cast("long" if is_int else "double")
-    base = df.select("*", kind_col.cast("int").alias(KIND),
-                     F.coalesce(to_num(F.col(value)), zero).alias(VAL),
-                     (F.coalesce(to_num(F.col(seed)), zero) if seed else zero).alias(SEED))
-    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [F.col(KIND).asc()]
-    sort_cols += [F.col(o) if isinstance(o, str) else o for o in order]
-    # an explicit partition count: AQE never coalesces it, so both passes see the same partitions
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The sort ends with a key that references every payload column. It never
-    # decides the order (the user's order is total before it, and comparisons
-    # stop at the first difference), but it keeps the optimizer from pruning
-    # columns below the sort for the narrow summary pass — so both passes keep
-    # the very same exchange, which Spark then runs once and reuses.
-    payload = F.struct(*[_orderable(f.name, f.dataType) for f in base.schema.fields])
-    ranged = (base.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols, payload)
-              .withColumn(PID, F.spark_partition_id()))
-
-    num = T.LongType() if is_int else T.DoubleType()
-    # 1. per-partition summary (same child plan as the row pass, so the exchange is shared)
-    key_fields = {f.name: f for f in df.schema.fields if f.name in keys}
-    summ_schema = T.StructType(
-        [T.StructField(PID, T.IntegerType())]
-        + [T.StructField(f"__f_{k}", key_fields[k].dataType) for k in keys]
-        + [T.StructField(f"__l_{k}", key_fields[k].dataType) for k in keys]
-        + [T.StructField("__S", num), T.StructField("__Mend", num), T.StructField("__hasMend", T.BooleanType()),
-           T.StructField("__Rend", num), T.StructField("__hasRend", T.BooleanType()),
-           T.StructField("__Nend", T.LongType())])
-    summary = ranged.select(PID, *keys, KIND, VAL, SEED).mapInArrow(
-        _partition_scan(list(keys), is_int, False, to_arrow_schema(summ_schema)), summ_schema)
-
-    # 2. combine partitions of the same key (<= #partitions rows; one small task)
-    lkeys = [F.col(f"__l_{k}") for k in keys]
-    fkeys = [F.col(f"__f_{k}") for k in keys]
-    w_key = Window.partitionBy(*lkeys).orderBy(PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    abs_m = F.when(F.col("__hasMend"), F.col("__cS") - F.col("__S") + F.col("__Mend"))
-    cum = (summary
-           .withColumn("__cS", F.sum("__S").over(w_key))
-           .withColumn("__cM", F.max(abs_m).over(w_key))
-           .withColumn("__cR", F.first(F.when(F.col("__hasRend"), F.col("__Rend")), ignorenulls=True).over(w_key))
-           .withColumn("__cN", F.sum("__Nend").over(w_key)))
-    w_all = Window.orderBy(PID)
-
-    def same(a: list[Column], b: list[Column]) -> Column:
-        out = F.lit(True)
-        for x, y in zip(a, b):
-            out = out & x.eqNullSafe(y)
-        return out
-
-    prev_l = [F.lag(c).over(w_all) for c in lkeys]
-    next_f = [F.lead(c).over(w_all) for c in fkeys]
-    carry = cum.select(
-        PID, *fkeys,
-        same(fkeys, prev_l).alias("__in"),
-        F.lag("__cS").over(w_all).alias("__pS"), F.lag("__cM").over(w_all).alias("__pM"),
-        F.lag("__cR").over(w_all).alias("__pR"), F.lag("__cN").over(w_all).alias("__pN"),
-        (F.lead(PID).over(w_all).isNotNull() & same(lkeys, next_f)).alias("__cont"),
-    )
-    carry = carry.select(
-        F.col(PID).alias("__cpid"), *fkeys, "__cont",
-        F.when(F.col("__in"), F.col("__pS")).alias("__pS"),
-        F.when(F.col("__in"), F.col("__pM")).alias("__pM"),
-        F.when(F.col("__in"), F.col("__pR")).alias("__pR"),
-        F.when(F.col("__in"), F.col("__pN")).alias("__pN"),
-    )
-
-    # 3. rows with local scan values + broadcast carry (bounded by the partition count)
-    row_schema = T.StructType(base.schema.fields + [
-        T.StructField(PID, T.IntegerType()), T.StructField(OUT_E, num), T.StructField(OUT_M, num),
-        T.StructField(OUT_HASM, T.BooleanType()), T.StructField(OUT_R, num), T.StructField(OUT_HASR, T.BooleanType()),
-        T.StructField(OUT_N, T.LongType()), T.StructField(OUT_PFIRST, T.BooleanType()),
-        T.StructField(OUT_NEXT, T.BooleanType()), T.StructField(OUT_PLAST, T.BooleanType())])
-    rows = ranged.mapInArrow(_partition_scan(list(keys), is_int, True), row_schema)
-    j = rows.join(F.broadcast(carry), F.col(PID) == F.col("__cpid"), "left")
-    here = same([F.col(k) for k in keys], fkeys)
-    cE = F.when(here, F.col("__pS"))
-    cM = F.when(here, F.col("__pM"))
-    cR = F.when(here, F.col("__pR"))
-    cN = F.when(here, F.col("__pN"))
-    E = F.coalesce(cE, F.lit(0)) + F.col(OUT_E)
-    M_local = F.when(F.col(OUT_HASM), F.coalesce(cE, F.lit(0)) + F.col(OUT_M))
-    M = F.greatest(cM, M_local)
-    R = F.coalesce(F.when(F.col(OUT_HASR), F.col(OUT_R)), cR)
-    # guard: a partition's first row must carry the first key its summary saw
-    N = F.when(F.col(OUT_PFIRST) & ~here,
-               F.raise_error(F.lit("keyed scan: row and summary passes saw different partitions"))
-               ).otherwise(F.coalesce(cN, F.lit(0)) + F.col(OUT_N))
-    last = ~F.col(OUT_NEXT) & ~(F.col(OUT_PLAST) & F.coalesce(F.col("__cont"), F.lit(False)))
-
-    if raw:
-        sums = [E.alias("scan_E"), M.alias("scan_M"), R.alias("scan_R"), F.col(VAL).alias("scan_V")]
-    else:
-        out_type = T.DecimalType(38, scale) if is_dec else num
-        sums = [from_scaled(E, out_type).alias("scan_E"), from_scaled(M, out_type).alias("scan_M"),
-                from_scaled(R, out_type).alias("scan_R")]
-    out = j.select(*[F.col(c) for c in df.columns], F.col(KIND), *sums, N.alias("scan_N"), last.alias("scan_last"))
-    if not kind:
-        out = out.drop(KIND)
-    return out
+    num, wide = _number(df.schema[value].dataType), sum_type(df.schema[value].dataType)
+    zero = F.lit(0).cast(wide)
+    own = [F.col(o) if isinstance(o, str) else o for o in order]
+    base = df.select(
+        "*", (F.col(kind) if kind else F.lit(1)).cast("int").alias(KIND),
+        F.coalesce(F.col(value).cast(num), F.lit(0).cast(num)).alias(VAL),
+        (F.col(seed).cast(wide) if seed else F.lit(None).cast(wide)).alias(SEED))
+    base = base.withColumn(VAL, F.when(F.col(KIND) == 1, F.col(VAL)).otherwise(F.lit(0).cast(num)))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = base.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], F.col(KIND).asc(), *own)
+    rows = stored(ranged.withColumn(RANGE, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id()),
+                  "scan")
+
+    here = Window.partitionBy(RANGE, *keys).orderBy(KIND, *own, ROW)
+    before = here.rowsBetween(Window.unboundedPreceding, -1)
+    upto = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def inside(frame: DataFrame) -> DataFrame:
+        """Prefix sums inside a range and key: ``__E`` before the row, ``__I`` with it (values only)."""
+        e = F.coalesce(F.sum(VAL).over(before).cast(wide), zero)
+        return (frame.withColumn("__E", e)
+                .withColumn("__I", F.when(F.col(KIND) == 1, (F.col("__E") + F.col(VAL)).cast(wide))))
+
+    # keys that cross a range border, and what each of their ranges holds
+    crossing = (rows.groupBy(*keys).agg(F.min(RANGE).alias("__lo"), F.max(RANGE).alias("__hi"))
+                .where("__lo < __hi").select(*[F.col(k).alias(f"__c_{k}") for k in keys], "__hi"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys])
+    held = inside(rows.join(F.broadcast(crossing), same)).groupBy(RANGE, *[f"__c_{k}" for k in keys], "__hi").agg(
+        F.sum(VAL).cast(wide).alias("__S"), F.sum(KIND).alias("__Nend"), F.max(SEED).cast(wide).alias("__Rend"),
+        F.max("__I").alias("__Mend"))
+    earlier = (Window.partitionBy(*[f"__c_{k}" for k in keys]).orderBy(RANGE)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (held.withColumn("__cE", F.coalesce(F.sum("__S").over(earlier).cast(wide), zero))
+             .withColumn("__cM", F.max((F.col("__cE") + F.col("__Mend")).cast(wide)).over(earlier))
+             .withColumn("__cR", F.max("__Rend").over(earlier))
+             .withColumn("__cN", F.sum("__Nend").over(earlier))
+             .select(F.col(RANGE).alias("__c_range"), *[f"__c_{k}" for k in keys], "__hi", "__cE", "__cM", "__cR", "__cN"))
+
+    scanned = (inside(rows)
+               .withColumn("__M", F.max("__I").over(before))
+               .withColumn("__R", F.first(SEED, ignorenulls=True).over(upto).cast(wide))
+               .withColumn("__N", F.sum(KIND).over(upto))
+               .withColumn("__last", F.lead(F.lit(1)).over(here).isNull()))
+    out = scanned.join(F.broadcast(carry), (F.col(RANGE) == F.col("__c_range")) & same, "left")
+    c = F.coalesce(F.col("__cE"), zero)
+    return out.select(
+        *[F.col(x) for x in df.columns],
+        (c + F.col("__E")).cast(wide).alias("scan_E"),
+        F.greatest(F.col("__cM"), (c + F.col("__M")).cast(wide)).alias("scan_M"),
+        F.coalesce("__R", "__cR").alias("scan_R"),
+        (F.coalesce(F.col("__cN"), F.lit(0)) + F.col("__N")).alias("scan_N"),
+        (F.col("__last") & (F.coalesce(F.col("__hi"), F.col(RANGE)) == F.col(RANGE))).alias("scan_last"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -11,14 +13,10 @@ from pyspark.sql import SparkSession
 # Settings a settlement job relies on at any scale: AQE re-plans joins from
 # measured shuffle sizes (runtime broadcast, partition coalescing, skew-join
 # splitting), ANSI keeps arithmetic errors loud, timestamps are pinned to UTC.
-# Broadcasts are decided only on measured sizes: the planner's static
-# estimate (file sizes, blind to compression and filters) is switched off,
-# AQE broadcasts a join side whose shuffle output it has measured below the
-# adaptive threshold; explicit hints are used only for bounded data.
+# Broadcast joins follow Spark's own byte thresholds; explicit hints are used
+# only for data of a proven bound.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
@@ -83,8 +81,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder comes from the session (a shared file system);
-    only when it is unset — local tests — a fresh scratch folder is used.
+    The folder comes from the session (a file system that all executors
+    share). Only a local master, where driver and executors are one process,
+    gets a temporary folder when the setting is unset; it is removed at exit.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -97,7 +96,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        # local runs only (tests, bench): a cluster names a shared folder in spark.checkpoint.dir
-        configured = tempfile.mkdtemp(prefix="apportion-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="apportion-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -4,7 +4,6 @@ scan (``ReadSchema`` / ``PushedFilters`` in ``explain``)."""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Sequence
 
@@ -13,28 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from apportion.session import ensure_checkpoint_dir
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None,
                where: Column | str | None = None) -> DataFrame:
-    """One parquet table ``<base>/<name>.parquet`` with optional projection and predicate.
-
-    The unprojected table handle is kept per session and file version (local
-    files: path + modification time), so repeated reads skip file listing and
-    footer reads; projections and predicates are applied per call.
-    """
-    path = os.path.join(base, f"{name}.parquet")
-    try:
-        key = (spark._jsparkSession.sessionUUID(), path, os.stat(path).st_mtime_ns)
-    except Exception:  # remote paths, Spark Connect: no handle reuse
-        key = None
-    df = _TABLES.get(key) if key else None
-    if df is None:
-        df = spark.read.parquet(path)
-        if key:
-            _TABLES[key] = df
-    return select_where(df, columns, where)
+    """One parquet table ``<base>/<name>.parquet`` with optional projection and predicate."""
+    return select_where(spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet"), columns, where)
 
 
 def read_format(spark: SparkSession, fmt: str, path: str | None = None, columns: Sequence[str] | None = None,
@@ -70,6 +51,13 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location (never a machine-local temp dir)."""
+    """A fresh folder below the shared one that ``spark.checkpoint.dir`` names."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/apportion-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: the lineage ends there and the rows are fixed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
