@@ -127,7 +127,8 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
             if inp.default is not None:
                 source = df if inp.dataset == target else frames[inp.dataset]
                 c = F.coalesce(c, _default_literal(inp.default, source.schema[inp.field].dataType))
-            bound[inp.name] = c
+            # an input is evaluated (and a lookup's guard raises) only for the formula's rows
+            bound[inp.name] = c if cond is None else F.when(cond, c)
         df = apply_item(df, item, bound, cond)
         for key in list(live):
             ds, on = key

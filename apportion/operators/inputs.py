@@ -82,7 +82,7 @@ def _object_fields(inp: Input, source_columns: Sequence[str]) -> tuple[str, ...]
 
 
 def _sorted_rows(inp: Input, tmp: str, rows: _Rows, source_columns: Sequence[str]) -> tuple[Column, Column]:
-    """(aggregate, post-join array) for list forms that need the list itself."""
+    """(aggregate, post-join array of values) for list forms that need the list itself."""
     objects = inp.list_fn in ("objects", "json")
     value_fields = _object_fields(inp, source_columns) if objects else (inp.field,)
     parts = [F.col(c).alias(f"o{i}") for i, c in enumerate(inp.order_by)]
@@ -90,10 +90,14 @@ def _sorted_rows(inp: Input, tmp: str, rows: _Rows, source_columns: Sequence[str
     row = F.struct(*parts)
     if rows.cond is not None:
         row = F.when(rows.cond, row)  # collect_list skips the nulls of other filters
-    agg = rows.guard(F.collect_list(row)).alias(tmp)
-    # structs compare field by field, so sorting them orders by order_by, then values
-    arr = F.array_sort(F.col(tmp))
-    return agg, arr
+    # structs compare field by field, so sorting them orders by order_by, then values;
+    # only the values leave the aggregate
+    arr = F.array_sort(F.collect_list(row))
+    if objects:
+        values = F.transform(arr, lambda x: F.struct(*[x[f"v{i}"].alias(f"v{i}") for i in range(len(value_fields))]))
+    else:
+        values = F.transform(arr, lambda x: x["v0"])
+    return rows.guard(values).alias(tmp), F.col(tmp)
 
 
 def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows,
@@ -131,9 +135,9 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows,
         return [rows.guard(registered.agg(rows.col(f))).alias(tmp)], F.col(tmp)
     agg, arr = _sorted_rows(inp, tmp, rows, source_columns)
     if fn == "array":
-        return [agg], F.transform(arr, lambda x: x["v0"])
+        return [agg], arr
     if fn == "text":
-        return [agg], F.array_join(F.transform(arr, lambda x: x["v0"].cast("string")), ",")
+        return [agg], F.array_join(F.transform(arr, lambda x: x.cast("string")), ",")
     if fn in ("objects", "json"):
         names = list(_object_fields(inp, source_columns))
 
@@ -148,7 +152,7 @@ def _aggregates(inp: Input, tmp: str, count_col: str | None, rows: _Rows,
     # a registered or given list function over the sorted value array (higher-order functions)
     if registered is not None:
         fn = registered.fn
-    return [agg], fn(F.transform(arr, lambda x: x["v0"]))
+    return [agg], fn(arr)
 
 
 def _filtered_source(source: DataFrame, inputs: Sequence[Input]) -> tuple[DataFrame, dict[tuple, _Rows]]:
@@ -204,15 +208,18 @@ def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joi
         temps.append(tmp)
         bindings[sig] = binding
     keys = [fresh("k") for _ in first.on]
-    # Grouped by a struct of the keys, the aggregate is hash-partitioned by
-    # that struct, not by the join keys, so the join gets its own shuffle of
-    # the (one row per key) right side. With both join inputs plain shuffles,
-    # AQE's skew-join handling can split a hot key of the target side over
-    # several tasks; reusing the aggregate's partitioning would rule that out.
-    packed = fresh("kk")
-    right = (src.groupBy(F.struct(*[F.col(r).alias(k) for (_, r), k in zip(first.on, keys)]).alias(packed))
-             .agg(*aggs)
-             .select(*[F.col(packed)[k].alias(k) for k in keys], *[F.col(t) for t in temps]))
+    named = [F.col(r).alias(k) for (_, r), k in zip(first.on, keys)]
+    if any(i.hot_keys for i in inputs):
+        # Grouped by a struct of the keys, the aggregate is hash-partitioned by
+        # that struct, not by the join keys, so the join gets its own shuffle of
+        # the (one row per key) right side. With both join inputs plain shuffles,
+        # AQE's skew-join handling can split a hot key of the target side over
+        # several tasks; reusing the aggregate's partitioning would rule that out.
+        packed = fresh("kk")
+        right = (src.groupBy(F.struct(*named).alias(packed)).agg(*aggs)
+                 .select(*[F.col(packed)[k].alias(k) for k in keys], *[F.col(t) for t in temps]))
+    else:
+        right = src.groupBy(*named).agg(*aggs)  # the join reuses the aggregate's partitioning
     on = [F.col(left) == F.col(k) for (left, _), k in zip(first.on, keys)]
     cond_all = on[0]
     for c in on[1:]:

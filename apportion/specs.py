@@ -77,6 +77,7 @@ class Input:
     order_by: tuple[str, ...] = ()
     fields: tuple[str, ...] = ()
     on_duplicate: str = "error"
+    hot_keys: bool = False  # the target has very frequent match keys: let AQE split the join at one more shuffle
 
     def __post_init__(self) -> None:
         if not self.name.isidentifier():
@@ -128,19 +129,20 @@ def _mk(kind: str, name: str, dataset: str, field: str, on: Any = None, filter:
 
 
 def lookup(name: str, dataset: str, field: str, on: Any = None, filter: Any = None,
-           default: float | None = None, on_duplicate: str = "error") -> Input:
+           default: float | None = None, on_duplicate: str = "error", hot_keys: bool = False) -> Input:
     """One-to-one lookup; several matching rows raise unless ``on_duplicate='any'``."""
-    return _mk("value", name, dataset, field, on, filter, default=default, on_duplicate=on_duplicate)
+    return _mk("value", name, dataset, field, on, filter, default=default, on_duplicate=on_duplicate,
+               hot_keys=hot_keys)
 
 
 def sum_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = None,
-           default: float | None = None) -> Input:
-    return _mk("sum", name, dataset, field, on, filter, default=default)
+           default: float | None = None, hot_keys: bool = False) -> Input:
+    return _mk("sum", name, dataset, field, on, filter, default=default, hot_keys=hot_keys)
 
 
 def avg_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = None,
-           default: float | None = None) -> Input:
-    return _mk("avg", name, dataset, field, on, filter, default=default)
+           default: float | None = None, hot_keys: bool = False) -> Input:
+    return _mk("avg", name, dataset, field, on, filter, default=default, hot_keys=hot_keys)
 
 
 def list_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = None,
