@@ -5,9 +5,9 @@ parameters and formula ids, then submit), written as a composition of the
 library's lazy operators:
 
 1. each data set runs its SQL with bound parameters over the given tables;
-2. when it has a stored target and key fields, the stored rows are checked
-   for unique keys (among the keys the script produces) and their primary key
-   is attached as ``OLD_ID`` (null = new row);
+2. when it has a stored target and key fields, the stored row's primary key
+   is attached as ``OLD_ID`` (null = new row; a key that matches several
+   stored rows raises when it is evaluated);
 3. fields are renamed and typed (numbers double with null -> 0.0, dates as
    ``yyyyMMddHHmmss`` text) in one projection;
 4. formulas are applied in order (:func:`apportion.operators.formula.settle`);
@@ -21,12 +21,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from apportion.operators.formula import changed_datasets, settle
 from apportion.sinks.upsert import split_changes
-from apportion.sources.load import DATE, Field, assert_unique, attach_old_id, normalise, run_script
+from apportion.sinks.writers import save_changed
+from apportion.sources.load import DATE, Field, attach_old_id, normalise, run_script
 from apportion.specs import Formula
 
 OLD_ID = "OLD_ID"
@@ -73,7 +73,6 @@ def load(spark: SparkSession, ds: DataSet, params: Mapping[str, Any], tables: Ma
     extra: list[str] = []
     if ds.target is not None and stored is not None:
         keys = {f.source: ds.target.columns[f.out] for f in ds.fields if f.is_key}
-        assert_unique(stored, list(keys.values()), src, list(keys))
         src = attach_old_id(src, stored, keys, ds.target.pk, out=OLD_ID)
         extra = [OLD_ID]
     return normalise(src, ds.fields, row_id="row_id", extra=extra)
@@ -106,15 +105,10 @@ def save(result: SettlementResult, datasets: Sequence[DataSet],
     one is computed once)."""
     by_name = {d.name: d for d in datasets}
     todo = [n for n in result.changed if by_name.get(n) is not None and by_name[n].target is not None]
-    kept = [result.frames[n].persist(StorageLevel.MEMORY_AND_DISK) for n in todo]
-    try:
-        for name in todo:
-            ds = by_name[name]
-            dates = [f.out for f in ds.fields if f.type == DATE]
-            inserts, updates = split_changes(result.frames[name], ds.target.columns, ds.target.pk,
-                                             old_id=OLD_ID, dates=dates)
-            write(ds.target, inserts, updates)
-    finally:
-        for df in kept:
-            df.unpersist()
-    return todo
+
+    def write_one(name: str, frame: DataFrame) -> None:
+        ds = by_name[name]
+        dates = [f.out for f in ds.fields if f.type == DATE]
+        write(ds.target, *split_changes(frame, ds.target.columns, ds.target.pk, old_id=OLD_ID, dates=dates))
+
+    return save_changed(result.frames, todo, write_one)

@@ -70,19 +70,19 @@ def tag_changes(changed: DataFrame, mapping: Mapping[str, str], pk: str, old_id:
 def merge_changes(stored: DataFrame, changed: DataFrame, mapping: Mapping[str, str], pk: str,
                   old_id: str = "OLD_ID", dates: Sequence[str] = ()) -> DataFrame:
     """The stored table after the changes, in ONE full outer join on the key:
-    stored rows without a change stay, matched rows take the mapped columns
-    from the change (unmapped columns from the stored row), changes without a
-    stored id are appended (a null ``old_id`` never matches)."""
+    stored rows without a change stay, updated rows take the mapped columns
+    from the change (unmapped columns from the stored row), inserts are
+    appended. Several updates of one stored row raise when it is evaluated."""
     tagged = tag_changes(changed, mapping, pk, old_id, dates, action="__action")
-    new_cols = {c: f"__new_{c}" for c in tagged.columns if c != "__action"}
-    right = tagged.select(F.col("__action"), *[F.col(c).alias(n) for c, n in new_cols.items()])
-    match = (F.col(pk) == F.col(new_cols[pk])) & (F.col("__action") == "update")
+    new = {c: f"__new_{c}" for c in tagged.columns if c != "__action"}
+    # one group per updated row (its count is the guard), one per insert
+    alone = F.when(F.col("__action") == "insert", F.monotonically_increasing_id())
+    right = (tagged.select("__action", *[F.col(c).alias(n) for c, n in new.items()], alone.alias("__alone"))
+             .groupBy(new[pk], "__action", "__alone")
+             .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[n for n in new.values()])).alias("__row")))
+    match = (F.col(pk) == F.col(new[pk])) & (F.col("__action") == "update")
     j = stored.join(right, match, "full_outer")
-    has_change = F.col("__action").isNotNull()
-    out = []
-    for c in stored.columns:
-        if c in new_cols:
-            out.append(F.when(has_change, F.col(new_cols[c])).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    several = F.raise_error(F.concat(F.lit("several changes of one stored row: "), F.col(new[pk]).cast("string")))
+    changes = F.when(F.col("__n") > 1, several.cast("boolean")).otherwise(F.col("__n").isNotNull())
+    return j.select(*[F.when(changes, F.col("__row")[new[c]]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+                      for c in stored.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame
 
 def write_jdbc(df: DataFrame, url: str, table: str, props: Mapping[str, str] | None = None,
                mode: str = "append", batch_size: int = 2000, partitions: int | None = None) -> None:
-    """Batched JDBC insert; ``partitions`` caps concurrent connections to the database."""
+    """Batched JDBC insert; ``partitions`` caps concurrent connections to the database
+    (a shuffle, so the stage that computes the rows keeps its own width)."""
     if partitions:
-        df = df.coalesce(partitions)
+        df = df.repartition(partitions)
     (df.write.mode(mode).option("batchsize", str(batch_size))
      .jdbc(url, table, properties=dict(props or {})))
 
 
 def save(df: DataFrame, path: str | None = None, fmt: str = "parquet", mode: str = "overwrite",
-         partition_by: Sequence[str] = (), **options: str) -> None:
-    """Save through any data source (never overwrite the path being read)."""
+         partition_by: Sequence[str] = (), partitions: int | None = None, **options: str) -> None:
+    """Save through any data source (never overwrite the path being read), in ``partitions`` parts if given."""
+    if partitions:
+        df = df.repartition(partitions)
     w = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -50,21 +53,36 @@ def save_changed(frames: Mapping[str, DataFrame], order: Sequence[str], writer,
     return done
 
 
-def jdbc_merge_writer(spark, url: str, props: Mapping[str, str] | None = None, batch_size: int = 2000,
-                      partitions: int | None = None):
-    """A ``write(target, inserts, updates)`` callback for :func:`apportion.plans.job.save`
-    that applies the changes to a JDBC table without per-row statements: read the
-    stored table, merge in Spark, cut the lineage with a reliable checkpoint (so
-    the table is never read while it is being replaced), then overwrite it in one
-    batched write (``truncate`` keeps the table definition)."""
-    from apportion.sinks.upsert import merge_frame
-    from apportion.sources.jdbc import read_query
+def update_statement(table: str, staging: str, columns: Sequence[str], pk: str) -> str:
+    """The SQL MERGE that applies a staging table of updates to the stored one."""
+    sets = ", ".join(f"t.{c} = s.{c}" for c in columns if c != pk)
+    return f"MERGE INTO {table} t USING {staging} s ON (t.{pk} = s.{pk}) WHEN MATCHED THEN UPDATE SET {sets}"
+
+
+def jdbc_merge_writer(url: str, execute: Callable[[str], None], props: Mapping[str, str] | None = None,
+                      batch_size: int = 2000, partitions: int | None = None, suffix: str = "_STAGING",
+                      types: Mapping[str, str] | None = None):
+    """A ``write(target, inserts, updates)`` callback for :func:`apportion.plans.job.save`.
+
+    Inserts and updates go to staging tables (parallel batches); then the
+    database applies each with one statement, given to ``execute`` (a
+    function of the caller's own database connection). The stored table is
+    neither read nor replaced by Spark, and a failure before the statement
+    leaves it as it was. ``types`` gives the database types of staging
+    columns whose default type cannot be compared (long text keys).
+    """
 
     def write(target, inserts: DataFrame, updates: DataFrame) -> None:
-        stored = read_query(spark, url, f"SELECT * FROM {target.table}", props)
-        merged = merge_frame(stored, inserts, updates, target.pk).checkpoint(eager=True)
         opts = dict(props or {})
-        opts.setdefault("truncate", "true")
-        write_jdbc(merged, url, target.table, opts, mode="overwrite", batch_size=batch_size, partitions=partitions)
+        for name, rows in (("UPD", updates), ("INS", inserts)):
+            staging = f"{target.table}{suffix}_{name}"
+            given = [f"{c} {types[c]}" for c in rows.columns if c in (types or {})]
+            own = {"createTableColumnTypes": ", ".join(given)} if given else {}
+            write_jdbc(rows, url, staging, opts | own, mode="overwrite", batch_size=batch_size, partitions=partitions)
+            columns = ", ".join(rows.columns)
+            if name == "UPD":
+                execute(update_statement(target.table, staging, rows.columns, target.pk))
+            else:  # an insert's key may be the store's to make
+                execute(f"INSERT INTO {target.table} ({columns}) SELECT {columns} FROM {staging}")
 
     return write

@@ -22,11 +22,12 @@ HASH_PREDICATES = {
 
 
 def hash_predicates(column: str, n: int, dialect: str = "oracle") -> list[str]:
-    """``n`` disjoint predicates covering all non-null values of ``column``."""
-    if not 1 <= n <= 9999:
-        raise ValueError("n must be in 1..9999")
+    """``n`` disjoint predicates that cover all rows (the first one also takes the null values)."""
+    if n < 1 or dialect == "oracle" and n > 9999:  # that dialect hashes into 10,001 values
+        raise ValueError("n must be in 1..9999" if dialect == "oracle" else "n must be positive")
     tpl = HASH_PREDICATES[dialect]
-    return [tpl.format(col=column, n=n, i=i) for i in range(n)]
+    first = f"({tpl.format(col=column, n=n, i=0)} OR {column} IS NULL)"
+    return [first] + [tpl.format(col=column, n=n, i=i) for i in range(1, n)]
 
 
 def read_query(spark: SparkSession, url: str, query: str, props: Mapping[str, str] | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,11 +62,11 @@ def _normalise_col(df: DataFrame, f: Field) -> Column:
         base = F.col(f.source)
         src_type = df.schema[f.source].dataType
     if f.type == NUMBER:
-        if isinstance(src_type, T.StringType):
-            num = F.try_cast(base, "double") if hasattr(F, "try_cast") else base.try_cast("double")
-        else:
-            num = base.cast("double")
-        return F.coalesce(num, F.lit(0.0)).alias(f.out)
+        if not isinstance(src_type, T.StringType):
+            return F.coalesce(base.cast("double"), F.lit(0.0)).alias(f.out)
+        num = base.try_cast("double")
+        bad = F.raise_error(F.concat(F.lit(f"field {f.source}: not a number: "), base)).cast("double")
+        return F.when(base.isNull(), F.lit(0.0)).when(num.isNull(), bad).otherwise(num).alias(f.out)
     if f.type == DATE:
         return ts_to_text(base).alias(f.out)
     if f.type == STRING:
@@ -77,7 +79,7 @@ def _normalise_col(df: DataFrame, f: Field) -> Column:
 def normalise(df: DataFrame, fields: Sequence[Field], row_id: str | None = "row_id",
               extra: Sequence[str] = ()) -> DataFrame:
     """Rename and type every field in one projection (numbers: double with
-    null -> 0.0; dates: ``yyyyMMddHHmmss`` text; binary: hex; rest: text),
+    null -> 0.0, text that is no number raises; dates: ``yyyyMMddHHmmss`` text; binary: hex; rest: text),
     with a deterministic row id from the key fields first."""
     keys = [f.source for f in fields if f.is_key]
     cols = [_normalise_col(df, f) for f in fields]
@@ -89,17 +91,23 @@ def normalise(df: DataFrame, fields: Sequence[Field], row_id: str | None = "row_
 
 def attach_old_id(src: DataFrame, target: DataFrame, keys: Sequence[str] | Mapping[str, str],
                   pk: str, out: str = "OLD_ID") -> DataFrame:
-    """Add the stored row's primary key (null = new row) by a left join on the natural key."""
+    """Add the stored row's primary key (null = new row) by a left join on the natural key.
+
+    A source row whose key matches several stored rows raises when it is
+    evaluated; duplicates among other keys do not matter.
+    """
     pairs = list(keys.items()) if isinstance(keys, Mapping) else [(k, k) for k in keys]
     if not pairs:
         raise ValueError("attach_old_id needs at least one key field")
     tk = [f"__t{i}" for i in range(len(pairs))]
-    right = target.select(*[F.col(r).alias(t) for (_, r), t in zip(pairs, tk)], F.col(pk).alias(out))
-    cond = None
-    for (left, _), t in zip(pairs, tk):
-        c = F.col(left) == F.col(t)
-        cond = c if cond is None else cond & c
-    return src.join(right, cond, "left").drop(*tk)
+    named = [F.col(r).alias(t) for (_, r), t in zip(pairs, tk)]
+    right = (target.where(reduce(and_, [F.col(r).isNotNull() for _, r in pairs])).groupBy(*named)
+             .agg(F.count(F.lit(1)).alias("__n"), F.any_value(pk).alias("__pk")))
+    cond = reduce(and_, [F.col(left) == F.col(t) for (left, _), t in zip(pairs, tk)])
+    several = F.raise_error(F.concat(F.lit(f"stored rows are not unique on {[r for _, r in pairs]}: "),
+                                     F.to_json(F.struct(*tk))))
+    guarded = F.when(F.col("__n") > 1, several).otherwise(F.col("__pk")).alias(out)
+    return src.join(right, cond, "left").select(*[F.col(c) for c in src.columns], guarded)
 
 
 def duplicate_keys(target: DataFrame, keys: Sequence[str], src: DataFrame | None = None,

@@ -35,9 +35,18 @@ def test_jdbc_roundtrip_and_splits(spark):
 
 def test_hash_predicates_bounds():
     assert len(hash_predicates("ID", 50)) == 50
-    assert hash_predicates("ID", 2)[1] == "MOD(ORA_HASH(ID, 10000), 2) = 1"
-    with pytest.raises(ValueError):
-        hash_predicates("ID", 10000)
+    assert hash_predicates("ID", 2) == ["(MOD(ORA_HASH(ID, 10000), 2) = 0 OR ID IS NULL)", "MOD(ORA_HASH(ID, 10000), 2) = 1"]
+    assert len(hash_predicates("ID", 20000, "mysql")) == 20000
+    for n, dialect in ((10000, "oracle"), (0, "mysql")):
+        with pytest.raises(ValueError):
+            hash_predicates("ID", n, dialect)
+
+
+def test_split_reads_null_keys(spark):
+    url = "jdbc:derby:memory:apportion_t3;create=true"
+    rows = spark.createDataFrame([(k, k) for k in range(10)] + [(None, -1), (None, -2)], "k int, v int")
+    write_jdbc(rows, url, "SPLIT", DERBY, mode="overwrite")
+    assert read_split(spark, url, "SPLIT", hash_predicates('"k"', 3, "derby"), DERBY).count() == 12
 
 
 def test_text_and_json_sources(spark):
@@ -81,7 +90,7 @@ def test_run_script_parameters_are_bound(spark):
 def test_normalise_rules(spark):
     df = spark.createDataFrame(
         [("1", "2.5", None, datetime.datetime(2020, 1, 2, 3, 4, 5), bytearray(b"\x01\xff")),
-         ("2", "oops", 3.0, None, None)],
+         ("2", None, 3.0, None, None)],
         "id string, txt string, num double, ts timestamp_ntz, raw binary")
     out = normalise(df, [Field("id", "ID", STRING, is_key=True), Field("txt", "T", NUMBER),
                          Field("num", "N", NUMBER), Field("ts", "D", DATE), Field("raw", "R", STRING),
@@ -89,6 +98,10 @@ def test_normalise_rules(spark):
     assert out[0]["T"] == 2.5 and out[0]["N"] == 0.0 and out[0]["D"] == "20200102030405" and out[0]["R"] == "01FF"
     assert out[1]["T"] == 0.0 and out[1]["D"] is None and out[1]["R"] is None and out[1]["M"] == 0.0
     assert out[0]["row_id"] != out[1]["row_id"] and len(out[0]["row_id"]) == 64
+    for text in ("oops", "12,5", ""):
+        bad = spark.createDataFrame([(text,)], "txt string")
+        with pytest.raises(Exception, match="not a number"):
+            normalise(bad, [Field("txt", "T", NUMBER)]).collect()
 
 
 def test_attach_old_id_and_uniqueness_guard(spark):
@@ -102,6 +115,12 @@ def test_attach_old_id_and_uniqueness_guard(spark):
         assert_unique(dup, ["k"], src)
     # duplicates on keys the source does not have are ignored
     assert_unique(dup, ["k"], src.where("k <> 'c'"))
+    assert attach_old_id(src.where("k <> 'c'"), dup, ["k"], "pk").count() == 2
+    with pytest.raises(Exception, match="not unique"):
+        attach_old_id(src, dup, ["k"], "pk").collect()
+    nulls = tgt.unionByName(spark.createDataFrame([(None, "N1"), (None, "N2")], "k string, pk string"))
+    odd = src.unionByName(spark.createDataFrame([(None, 4)], "k string, v int"))
+    assert {r["v"]: r["OLD_ID"] for r in attach_old_id(odd, nulls, ["k"], "pk").collect()} == {1: "ID-A", 2: None, 3: "ID-C", 4: None}
 
 
 def test_split_and_merge(spark):
@@ -143,6 +162,33 @@ def test_save_overwrite_and_changed_order(spark):
     assert seen == ["b", "a"]
 
 
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    from apportion import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_appended_files_are_read(spark):
+    base = scratch_path(spark, "append")
+    spark.range(10).withColumn("p", F.lit(1)).write.partitionBy("p").parquet(base + "/t.parquet")
+    assert read_table(spark, base, "t").count() == 10
+    spark.range(5).withColumn("p", F.lit(1)).write.mode("append").partitionBy("p").parquet(base + "/t.parquet")
+    assert read_table(spark, base, "t").count() == 15
+
+
 def test_checkpoint_dir_from_session(spark):
     d = spark.sparkContext.getCheckpointDir()
     assert d
@@ -167,6 +213,11 @@ def test_tag_and_merge_in_one_pass(spark):
     assert merged["ID-Z"]["val"] == 2.0 and merged["b"]["val"] == 20.0 and merged["b"]["note"] is None
     plan = merge_changes(stored, changed, mapping, "pk")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1 and "Union" not in plan
+    twice = changed.unionByName(changed)
+    with pytest.raises(Exception, match="several changes"):
+        merge_changes(stored, twice, mapping, "pk", dates=["d"]).collect()
+    inserts = twice.where("OLD_ID is null")  # rows without a stored id are appended, each
+    assert merge_changes(stored, inserts, mapping, "pk", dates=["d"]).count() == 4
 
 
 def test_run_script_binds_identifiers(spark):
