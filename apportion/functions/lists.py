@@ -47,9 +47,6 @@ def registered() -> list[str]:
     return sorted(_REGISTRY)
 
 
-register_list_fn("sum_squares", fn=lambda arr: F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x),
-                 agg=lambda x: F.sum(x * x))
-register_list_fn("spread", fn=lambda arr: F.array_max(arr) - F.array_min(arr),
-                 agg=lambda x: F.max(x) - F.min(x))
-register_list_fn("distinct_count", fn=lambda arr: F.size(F.array_distinct(arr)),
-                 agg=lambda x: F.count_distinct(x))
+register_list_fn("sum_squares", agg=lambda x: F.sum(x * x))
+register_list_fn("spread", agg=lambda x: F.max(x) - F.min(x))
+register_list_fn("distinct_count", agg=lambda x: F.count_distinct(x))

@@ -1,81 +1,95 @@
-"""User-function surfaces: Arrow-batched pandas UDFs, never per-row Python.
+"""User-function surfaces: Arrow-batched, never per-row Python.
 
 Built-in functions come first (:mod:`apportion.functions.scalar`); these are
-the escape hatch for user code, shown with the same examples so results can
-be checked against the built-ins.
+for user code that has no built-in form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import zlib
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from apportion.functions.scalar import hash_bucket
+#: Reductions that may be applied to partial results in any grouping.
+ASSOCIATIVE = ("sum", "min", "max", "prod")
 
 
-@F.pandas_udf(T.StringType())
-def before_last_udf(s: pd.Series) -> pd.Series:
-    """Vectorised text before the last ``_`` (unchanged without ``_``; null stays null)."""
-    parts = s.str.rpartition("_")
-    if parts.shape[1] < 3:
-        return s
-    out = parts[0].where(parts[1] == "_", parts[2])
-    return out.where(s.notna(), None)
+@F.pandas_udf(T.LongType())
+def adler32(s: pd.Series) -> pd.Series:
+    """Adler-32 checksum of a text's UTF-8 bytes (null stays null)."""
+    return s.map(lambda x: zlib.adler32(x.encode()), na_action="ignore").astype("Int64")
 
 
-@F.pandas_udf(T.DoubleType())
-def product_udf(s: pd.Series) -> float:
-    """Grouped aggregate: product of the group's values."""
-    return float(np.prod(s.to_numpy(dtype=np.float64)))
+@dataclass(frozen=True)
+class Reducer:
+    """A user aggregate as partial states that merge in any grouping.
 
+    ``start`` turns the values (nulls left out) into one column per state,
+    ``merge`` names the reduction that merges each state (sum, min, max or
+    prod) and ``finish`` turns the merged states into results.
+    """
+
+    start: Callable[[pd.Series], Mapping[str, pd.Series]]
+    merge: Mapping[str, str]
+    finish: Callable[[pd.DataFrame], pd.Series]
 
-def register_sql_udfs(spark: SparkSession) -> None:
-    """Make the pandas UDFs callable from SQL text (``spark.sql`` / ``F.expr``)."""
-    spark.udf.register("before_last_udf", before_last_udf)
-    spark.udf.register("product_udf", product_udf)
+    def __post_init__(self) -> None:
+        wrong = {k: v for k, v in self.merge.items() if v not in ASSOCIATIVE}
+        if wrong or not self.merge:
+            raise ValueError(f"states merge by one of {ASSOCIATIVE}, not {wrong}")
 
 
-def group_reduce(df: DataFrame, keys: Sequence[str], value: str, fn: str | Callable[[pd.Series], float],
-                 out: str, buckets: int | None = None, salts: int = 64) -> DataFrame:
-    """Per-key user aggregate ``fn`` (a pandas reduction name such as ``"prod"``
-    or a Series -> scalar callable) that is associative and commutative,
-    computed as a vectorised reduction tree.
+#: Geometric mean of positive values.
+GEOMETRIC_MEAN = Reducer(
+    start=lambda s: {"log": np.log(s), "n": pd.Series(1.0, s.index)}, merge={"log": "sum", "n": "sum"},
+    finish=lambda p: np.exp(p["log"] / p["n"]))
 
-    1. ``mapInPandas`` reduces each Arrow batch per key (map-side combine);
-    2. partial rows are grouped by (key, salt) — the salt spreads the partial
-       rows of one key over ``salts`` groups by the task that made them;
-    3. the at most ``salts`` rows per key are reduced per key.
 
-    Levels 2 and 3 hash-bucket the rows and run one pandas ``groupby`` per
-    bucket (``applyInPandas``), so each Python call handles many keys, and no
-    call ever receives more than a bounded share of a hot key. Results are
-    doubles.
+def group_reduce(df: DataFrame, keys: Sequence[str], value: str, reducer: Reducer, out: str) -> DataFrame:
+    """Per-key user aggregate. Keys without a value give null; null keys form a key.
+
+    Every Arrow batch is reduced to one row of states per key (map-side
+    combine), the rows are dealt by key and sorted, and each partition merges
+    its runs of equal keys batch by batch, carrying the last key's states: no
+    Python call sees more than one batch, however many rows a key has.
     """
-    keys = list(keys)
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_fields = [f for f in df.schema.fields if f.name in keys]
-    schema = T.StructType(key_fields + [T.StructField(out, T.DoubleType())])
-    salted_schema = T.StructType(schema.fields + [T.StructField("__salt", T.IntegerType())])
-
-    def reduce_frame(pdf: pd.DataFrame, by: list[str]) -> pd.DataFrame:
-        g = pdf.groupby(by, dropna=False, sort=False)[out].agg(fn)
-        return g.astype("float64").rename(out).reset_index()
-
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keys, states = list(keys), list(reducer.merge)
+    fields = [df.schema[k] for k in keys]
+    partial = T.StructType(fields + [T.StructField(f"__{s}", T.DoubleType()) for s in states])
+    result = T.StructType(fields + [T.StructField(out, T.DoubleType())])
+    merge = {f"__{s}": reducer.merge[s] for s in states}
+
+    def start(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield reduce_frame(pdf, keys)
-
-    level1 = (df.select(*keys, F.col(value).cast("double").alias(out)).mapInPandas(per_batch, schema)
-              .withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts))))
-    level2 = level1.groupBy(hash_bucket(keys + ["__salt"], n).alias("__b")).applyInPandas(
-        lambda pdf: reduce_frame(pdf, keys + ["__salt"]), salted_schema)
-    # grouping expressions are not passed to pandas: the functions see only the rows
-    return level2.groupBy(hash_bucket(keys, n).alias("__b")).applyInPandas(
-        lambda pdf: reduce_frame(pdf.drop(columns="__salt"), keys), schema)
+                some = pdf[value].dropna()
+                parts = reducer.start(some)
+                yield reduced(pdf[keys].assign(**{f"__{s}": parts[s].reindex(pdf.index) for s in states}))
+
+    def reduced(pdf: pd.DataFrame) -> pd.DataFrame:
+        groups = pdf.groupby(keys, dropna=False, sort=False)
+        return pd.DataFrame({c: getattr(groups[c], how)(min_count=1) for c, how in merge.items()}).reset_index()[keys + list(merge)]
+
+    def finish(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            merged = reduced(pdf if held is None else pd.concat([held, pdf], ignore_index=True))
+            held = merged.tail(1)
+            if len(merged) > 1:
+                yield finished(merged.iloc[:-1])
+        if held is not None:
+            yield finished(held)
+
+    def finished(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[keys].assign(**{out: reducer.finish(pdf[list(merge)].rename(columns=lambda c: c[2:]))})
+
+    rows = df.select(*keys, F.col(value).cast("double").alias(value)).mapInPandas(start, partial)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(finish, result)

@@ -113,8 +113,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 3 THEN 100.0 ELSE c_acctbal END AS c_acctbal
         FROM customer""",
     "waterfall": f"""
-        WITH t AS (SELECT c_custkey, MIN(CAST(GREATEST(CAST(c_acctbal AS {D2}), 0) * 500 AS {D2})) AS total
-                   FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY c_custkey),
+        WITH t AS (SELECT c_custkey, MIN(CAST(CAST(c_acctbal AS {D2}) * 500 AS {D2})) AS total
+                   FROM customer WHERE c_acctbal >= 0 GROUP BY c_custkey),
         i AS (
             SELECT o_orderkey, o_custkey, CAST(o_totalprice AS {D2}) AS amt,
                    COALESCE(SUM(CAST(o_totalprice AS {D2})) OVER (
@@ -129,8 +129,8 @@ ORACLE_SQL: dict[str, str] = {
                i.pos AS allocated_position, i.pos = i.n AS allocated_is_last
         FROM i LEFT JOIN t ON t.c_custkey = i.o_custkey""",
     "cogroup_pair": f"""
-        WITH t AS (SELECT c_custkey, MIN(CAST(GREATEST(CAST(c_acctbal AS {D2}), 0) * 500 AS {D2})) AS total
-                   FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' GROUP BY c_custkey)
+        WITH t AS (SELECT c_custkey, MIN(CAST(CAST(c_acctbal AS {D2}) * 500 AS {D2})) AS total
+                   FROM customer WHERE c_acctbal >= 0 GROUP BY c_custkey)
         SELECT o.o_orderkey, o.o_custkey, CAST(t.total AS DOUBLE) AS cg_total,
                CAST(COALESCE(SUM(CAST(o.o_totalprice AS {D2})) OVER (
                    PARTITION BY o.o_custkey ORDER BY o.o_orderdate DESC, o.o_orderkey DESC
@@ -143,7 +143,7 @@ ORACLE_SQL: dict[str, str] = {
     "waterfall_fold": f"""
         WITH RECURSIVE t AS (
             SELECT c_custkey, CAST(CAST(c_acctbal AS {D2}) * 500 AS {D2}) AS total
-            FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'),
+            FROM customer),
         i AS (
             SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS {D2}) - 250000 AS {D2}) AS amt,
                    ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS pos,
@@ -180,7 +180,7 @@ ORACLE_SQL: dict[str, str] = {
                    ROW_NUMBER() OVER (PARTITION BY g ORDER BY c DESC) AS pos,
                    COUNT(*) OVER (PARTITION BY g) AS n
             FROM i)
-        SELECT s.g AS "generatorID", s.c AS "contractID",
+        SELECT s.g AS user_id, s.c AS event_id,
                CAST(CASE WHEN s.pos = s.n THEN GREATEST(COALESCE(t.total, 0) - s.prev, 0)
                          ELSE LEAST(s.amt, GREATEST(COALESCE(t.total, 0) - s.prev, 0)) END AS BIGINT) AS allocated
         FROM s LEFT JOIN t ON t.g = s.g""",
@@ -199,7 +199,7 @@ ORACLE_SQL: dict[str, str] = {
     "attach_old_id": """
         SELECT c.c_custkey, c.c_nationkey, t.row_key AS old_id
         FROM customer c LEFT JOIN (SELECT c_custkey, c_nationkey, 'C' || CAST(c_custkey AS VARCHAR) AS row_key
-                                   FROM customer WHERE c_mktsegment <> 'HOUSEHOLD') t
+                                   FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)) t
           ON c.c_custkey = t.c_custkey AND c.c_nationkey = t.c_nationkey""",
     "dup_keys": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
@@ -252,12 +252,63 @@ ORACLE_SQL: dict[str, str] = {
                COUNT(*) AS n
         FROM orders GROUP BY 1""",
     "udf_scalar": """
-        SELECT p_partkey,
-               CASE WHEN position(' ' IN p_name) = 0 THEN p_name
-                    ELSE left(p_name, length(p_name) - position(' ' IN reverse(p_name))) END AS family
-        FROM part""",
+        WITH c AS (SELECT p_partkey, list_transform(range(1, length(p_name) + 1), lambda i: ascii(p_name[i])) AS v,
+                          length(p_name) AS n FROM part)
+        SELECT p_partkey, CAST((1 + coalesce(list_sum(v), 0)) % 65521
+               + 65536 * ((n + coalesce(list_sum(list_transform(range(1, n + 1), lambda i: (n - i + 1) * v[i])), 0)) % 65521) AS BIGINT)
+               AS checksum
+        FROM c""",
     "udaf_group": """
-        SELECT l_orderkey, PRODUCT(l_quantity) AS qty_product FROM lineitem GROUP BY l_orderkey""",
+        SELECT l_orderkey, ROUND(EXP(AVG(LN(l_quantity))), 6) AS qty_mean FROM lineitem GROUP BY l_orderkey""",
+    "hash_bucket": "SELECT COUNT(*) AS n_rows, true AS in_range FROM orders",
+    "avg_global": f"""
+        SELECT r_regionkey, r_name,
+               (SELECT CAST(ROUND(AVG(CAST(c_acctbal AS {D2})), 6) AS DOUBLE) FROM customer) AS avg_bal
+        FROM region""",
+    "lookup_global": """
+        SELECT c_custkey, c_nationkey, (SELECT r_regionkey FROM region WHERE r_name = 'ASIA') AS asia FROM customer""",
+    "lookup_filtered_dup": """
+        SELECT o_orderkey, o_orderstatus,
+               CASE WHEN o_orderstatus = 'F' THEN coalesce(p + p * 2, 0.0) ELSE 0.0 END AS x
+        FROM orders LEFT JOIN (SELECT l_orderkey, MAX(l_extendedprice) AS p FROM lineitem GROUP BY l_orderkey)
+          ON o_orderkey = l_orderkey""",
+    "filter_fractional": """
+        SELECT c_custkey, c_nationkey, 0 AS a, CAST(c_nationkey = 3 AS INTEGER) AS b, CAST(c_nationkey = 3 AS INTEGER) AS c
+        FROM customer""",
+    "normalise_nulls": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_orderkey % 3 AS DOUBLE) AS num,
+               CASE WHEN o_orderstatus <> 'F' THEN CAST(CAST(o_totalprice AS {D2}) AS DOUBLE) ELSE 0.0 END AS price,
+               CASE WHEN o_orderstatus <> 'O' THEN strftime(o_orderdate, '%Y%m%d%H%M%S') END AS day,
+               nullif(o_orderstatus, 'P') AS status
+        FROM orders""",
+    "upsert_dates": """
+        SELECT CASE WHEN o_orderstatus = 'F' THEN 'S' || CAST(o_orderkey AS VARCHAR) END AS id,
+               CAST(o_orderkey AS VARCHAR) AS order_no, o_orderdate AS day, o_totalprice AS price,
+               CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey
+        FROM orders""",
+    "save_overwrite": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "save_allocation": f"""
+        WITH RECURSIVE b AS (
+            SELECT l_orderkey, SUM(CAST(CAST(l_extendedprice AS {D2}) * (1 - CAST(l_discount AS {D2})) AS DECIMAL(20,4))) AS billed
+            FROM lineitem GROUP BY l_orderkey),
+        i AS (
+            SELECT o_orderkey, o_custkey,
+                   CAST(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS {D2}) - COALESCE(billed, 0) ELSE 0 END AS {D2}) AS amt,
+                   ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS pos,
+                   COUNT(*) OVER (PARTITION BY o_custkey) AS n
+            FROM orders LEFT JOIN b ON o_orderkey = l_orderkey),
+        t AS (SELECT c_custkey, CAST(CAST(c_acctbal AS {D2}) * 100 AS {D2}) AS total FROM customer),
+        r(o_custkey, pos, rem) AS (
+            SELECT i.o_custkey, i.pos, CAST(COALESCE(t.total, 0) AS DECIMAL(38,2))
+            FROM i LEFT JOIN t ON t.c_custkey = i.o_custkey WHERE i.pos = 1
+            UNION ALL
+            SELECT r.o_custkey, r.pos + 1,
+                   CAST(CASE WHEN i.amt >= r.rem THEN 0 ELSE r.rem - i.amt END AS DECIMAL(38,2))
+            FROM r JOIN i ON i.o_custkey = r.o_custkey AND i.pos = r.pos
+            WHERE r.pos < i.n)
+        SELECT i.o_orderkey, i.o_custkey, CAST(i.amt AS DOUBLE) AS amt,
+               CAST(CASE WHEN i.pos = i.n THEN r.rem WHEN i.amt >= r.rem THEN r.rem ELSE i.amt END AS DOUBLE) AS allocated
+        FROM i JOIN r ON r.o_custkey = i.o_custkey AND r.pos = i.pos""",
     "upsert_split": f"""
         WITH s AS (SELECT o_custkey, SUM(CAST(o_totalprice AS {D2})) AS s FROM orders GROUP BY o_custkey),
         chg AS (
@@ -266,7 +317,7 @@ ORACLE_SQL: dict[str, str] = {
                         THEN CAST(CAST(c.c_acctbal AS {D2}) + s.s * 0.001 AS {D2})
                         ELSE CAST(c.c_acctbal AS {D2}) END AS bal
             FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey)
-        SELECT CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'update' ELSE 'insert' END AS action,
+        SELECT CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'update' ELSE 'insert' END AS action,
                c_custkey AS cust_id, c_name AS name, CAST(bal AS DOUBLE) AS balance
         FROM chg""",
     "upsert_merge": f"""
@@ -280,3 +331,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
         ORDER BY l_extendedprice DESC, l_orderkey, {LINE_ORDER} LIMIT 10""",
 }
+
+ORACLE_SQL["save_changed_roundtrip"] = ORACLE_SQL["formula_chain"]

@@ -14,13 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportion.functions.scalar import before_last, hash_bucket, json_map, text_bucket, text_to_ts, ts_to_text
-from apportion.functions.udfs import before_last_udf, group_reduce
+from apportion.functions.scalar import before_last, hash_bucket, json_map, row_map, text_bucket, text_to_ts, ts_to_text
+from apportion.functions.udfs import GEOMETRIC_MEAN, adler32, group_reduce
 from apportion.operators.allocate import cogroup_running, waterfall
-from apportion.operators.formula import add_result_columns, settle
-from apportion.operators.joins import bounded_broadcast
+from apportion.operators.formula import add_result_columns, changed_datasets, settle
 from apportion.operators.keys import first_per_key
+from apportion.operators.scan import keyed_prefix_scan
 from apportion.sinks.upsert import merge_changes, tag_changes
+from apportion.sinks.writers import save, save_changed
 from apportion.sources.load import DATE, NUMBER, STRING, Field, attach_old_id, duplicate_keys, normalise, run_script
 from apportion.sources.readers import read_format, read_json, read_table, read_text, scratch_path
 from apportion.specs import Formula, Item, avg_of, list_of, lookup, sum_of
@@ -88,14 +89,13 @@ def q_lookup_one(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_lookup_multi_key(spark: SparkSession, d: str) -> DataFrame:
-    """Share of an order in its customer's total for the same status: a lookup on two columns."""
+    """Share of an order in its customer's total for the same status: a sum matched on two columns."""
     orders = with_dec(read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]),
                       "o_totalprice")
-    status_totals = orders.groupBy("o_custkey", "o_orderstatus").agg(F.sum("o_totalprice").alias("st_total"))
-    frames = {"orders": add_result_columns(orders, {"share": "double"}), "status_totals": status_totals}
     f = Formula.of("share", "orders", [
         Item("share", "round(o_totalprice / $t, 6)",
-             (lookup("t", "status_totals", "st_total", on=["o_custkey", "o_orderstatus"]),))])
+             (sum_of("t", "totals", "o_totalprice", on=["o_custkey", "o_orderstatus"]),))])
+    frames = {"orders": add_result_columns(orders, {"share": "double"}), "totals": orders}
     return settle(frames, [f])["orders"].drop("o_totalprice")
 
 
@@ -107,6 +107,47 @@ def q_sum_global(spark: SparkSession, d: str) -> DataFrame:
     return settle({"region": region, "customer": customer}, [f])["region"]
 
 
+def q_avg_global(spark: SparkSession, d: str) -> DataFrame:
+    """A keyless average: every region gets the average balance of all customers."""
+    region = add_result_columns(read_table(spark, d, "region"), {"avg_bal": "double"})
+    customer = with_dec(read_table(spark, d, "customer", ["c_acctbal"]), "c_acctbal")
+    f = Formula.of("avg_bal", "region", [Item("avg_bal", "round($a, 6)", (avg_of("a", "customer", "c_acctbal"),))])
+    return settle({"region": region, "customer": customer}, [f])["region"]
+
+
+def q_lookup_global(spark: SparkSession, d: str) -> DataFrame:
+    """A keyless lookup: every customer's balance beside the one region named ASIA (its key)."""
+    customer = add_result_columns(read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]), {"asia": "bigint"})
+    f = Formula.of("asia", "customer", [
+        Item("asia", "$r", (lookup("r", "region", "r_regionkey", filter={"r_name": "ASIA"}),))])
+    return settle({"customer": customer, "region": read_table(spark, d, "region")}, [f])["customer"]
+
+
+def q_lookup_filtered_dup(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with status F look up the one priciest line; keys that match several rows
+    belong to other orders, so the guard stays silent."""
+    orders = add_result_columns(read_table(spark, d, "orders", ["o_orderkey", "o_orderstatus"]), {"x": "double"})
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_extendedprice"])
+    best = (li.groupBy("l_orderkey").agg(F.max("l_extendedprice").alias("price"))
+            .join(read_table(spark, d, "orders", ["o_orderkey", "o_orderstatus"]),
+                  F.col("l_orderkey") == F.col("o_orderkey"))
+            .select("l_orderkey", "price", F.explode(F.sequence(F.lit(1), F.when(
+                F.col("o_orderstatus") == "F", 1).otherwise(2))).alias("copy")))
+    f = Formula.of("x", "orders", [
+        Item("x", "$p + $p * 2", (lookup("p", "best", "price", on={"o_orderkey": "l_orderkey"}),))],
+        filter={"o_orderstatus": "F"})
+    return settle({"orders": orders, "best": best}, [f])["orders"]
+
+
+def q_filter_fractional(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers compare by value: 3.7 equals no integer, 3.0 and its text equal 3."""
+    customer = add_result_columns(read_table(spark, d, "customer", ["c_custkey", "c_nationkey"]),
+                                  {"a": "int", "b": "int", "c": "int"})
+    fs = [Formula.of(n, "customer", [Item(n, "1")], filter={"c_nationkey": v})
+          for n, v in (("a", 3.7), ("b", 3.0), ("c", "3.0"))]
+    return settle({"customer": customer}, fs)["customer"]
+
+
 def q_list_of(spark: SparkSession, d: str) -> DataFrame:
     """Each order's line numbers as text, in line order."""
     orders = add_result_columns(read_table(spark, d, "orders", ["o_orderkey", "o_custkey"]), {"lines": "string"})
@@ -134,17 +175,15 @@ def q_list_fn(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_list_as_objects(spark: SparkSession, d: str) -> DataFrame:
-    """Each order's lines as a list of maps (row -> map of text), exploded with positions."""
-    orders = add_result_columns(read_table(spark, d, "orders", ["o_orderkey"]),
-                                {"objs": "array<map<string,string>>"})
+    """Each order's lines as maps (row -> map of text) with their positions in the order."""
+    orders = read_table(spark, d, "orders", ["o_orderkey"])
     lineitem = read_table(spark, d, "lineitem", ["l_orderkey"] + LINE_ORDER)
-    f = Formula.of("objs", "orders", [
-        Item("objs", "$o", (list_of("o", "lineitem", "l_linenumber", on={"o_orderkey": "l_orderkey"},
-                                    fn="objects", fields=["l_linenumber", "l_partkey"], order_by=LINE_ORDER),))])
-    out = settle({"orders": orders, "lineitem": lineitem}, [f])["orders"]
-    ex = out.select("o_orderkey", F.posexplode("objs").alias("pos", "m"))
-    return ex.select("o_orderkey", "pos", F.col("m")["l_linenumber"].alias("line"),
-                     F.col("m")["l_partkey"].alias("part"))
+    # the exploded form needs no list: a position in the key, from the scan that splits hot keys
+    rows = keyed_prefix_scan(lineitem.withColumn("one", F.lit(1)), ["l_orderkey"], LINE_ORDER, "one")
+    m = row_map(["l_linenumber", "l_partkey"])
+    rows = rows.join(orders, rows.l_orderkey == orders.o_orderkey, "left_semi")
+    return rows.select(F.col("l_orderkey").alias("o_orderkey"), (F.col("scan_N") - 1).cast("int").alias("pos"),
+                       m["l_linenumber"].alias("line"), m["l_partkey"].alias("part"))
 
 
 def _line_frame(spark: SparkSession, d: str) -> DataFrame:
@@ -254,9 +293,9 @@ def _alloc_inputs(spark: SparkSession, d: str, signed: bool) -> tuple[DataFrame,
     orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     amt = dec2("o_totalprice") - F.lit(250000) if signed else dec2("o_totalprice")
     items = orders.select("o_orderkey", "o_custkey", "o_orderdate", amt.cast("decimal(18,2)").alias("amt"))
-    customer = read_table(spark, d, "customer", ["c_custkey", "c_acctbal", "c_mktsegment"],
-                          where=F.col("c_mktsegment") != "AUTOMOBILE")
-    bal = dec2("c_acctbal") if signed else F.greatest(dec2("c_acctbal"), F.lit(0).cast("decimal(18,2)"))
+    # customers in debt have no total
+    customer = read_table(spark, d, "customer", ["c_custkey", "c_acctbal"], where=None if signed else F.col("c_acctbal") >= 0)
+    bal = dec2("c_acctbal")
     totals = customer.select(F.col("c_custkey").alias("o_custkey"),
                              (bal * F.lit(500)).cast("decimal(18,2)").alias("total"))
     return items, totals
@@ -306,15 +345,48 @@ def q_json_scan_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_waterfall_json(spark: SparkSession, d: str) -> DataFrame:
-    """Allocation over JSON input: contract items (eng long) per generator, contracts in descending text order."""
+    """Allocation over JSON input: event amounts per user, events in descending text order."""
     ev = read_json(spark, _events_json(spark, d), EVENTS_SCHEMA)
-    items = ev.select(F.col("user_id").cast("string").alias("generatorID"),
-                      F.col("event_id").cast("string").alias("contractID"),
-                      json_map("props")["k"].cast("bigint").alias("eng"))
-    totals = ev.groupBy(F.col("user_id").cast("string").alias("generatorID")).agg(
-        F.floor(F.sum(dec2("value"))).cast("bigint").alias("eng"))
-    out = waterfall(items, totals, "generatorID", "eng", [F.desc("contractID")], "eng", out="allocated")
-    return out.select("generatorID", "contractID", "allocated")
+    items = ev.select(F.col("user_id").cast("string").alias("user_id"),
+                      F.col("event_id").cast("string").alias("event_id"),
+                      json_map("props")["k"].cast("bigint").alias("amount"))
+    totals = ev.groupBy(F.col("user_id").cast("string").alias("user_id")).agg(
+        F.floor(F.sum(dec2("value"))).cast("bigint").alias("total"))
+    out = waterfall(items, totals, "user_id", "amount", [F.desc("event_id")], "total", out="allocated")
+    return out.select("user_id", "event_id", "allocated")
+
+
+def q_save_allocation(spark: SparkSession, d: str) -> DataFrame:
+    """Settle, allocate over the settled frame, save both while they are kept, read the allocation back."""
+    frames = formula_chain_frames(spark, d)
+    orders = settle(frames, formula_chain_formulas()[:2])["orders"].select(
+        "o_orderkey", "o_custkey", F.col("gap").cast("decimal(18,2)").alias("amt")).persist()
+    totals = read_table(spark, d, "customer", ["c_custkey", "c_acctbal"]).select(
+        F.col("c_custkey").alias("o_custkey"), (dec2("c_acctbal") * F.lit(100)).cast("decimal(18,2)").alias("total"))
+    alloc = waterfall(orders, totals, "o_custkey", "amt", [F.desc("o_orderkey")], "total")
+    path = scratch_path(spark, "save-allocation")
+    save_changed({"orders": orders, "alloc": alloc}, ["orders", "alloc"], lambda name, df: save(df, f"{path}/{name}"))
+    orders.unpersist()
+    return as_double(spark.read.parquet(f"{path}/alloc"), "amt", "allocated")
+
+
+def q_save_changed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """All changed frames of the chain saved once, in order of last change, and the last one read back."""
+    formulas = formula_chain_formulas()
+    frames = settle(formula_chain_frames(spark, d), formulas)
+    path = scratch_path(spark, "save-changed")
+    done = save_changed(frames, changed_datasets(formulas), lambda name, df: save(df, f"{path}/{name}"))
+    return as_double(spark.read.parquet(f"{path}/{done[-1]}"), "exposure")
+
+
+def q_save_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """A save in three parts that replaces an earlier one, dumped again by status, read back."""
+    path = scratch_path(spark, "save-overwrite")
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    save(orders.select("o_orderkey"), f"{path}/a", partitions=2)
+    save(orders, f"{path}/a", partitions=3)
+    save(spark.read.parquet(f"{path}/a"), f"{path}/b", partition_by=["o_orderstatus"])
+    return spark.read.parquet(f"{path}/b").select("o_orderkey", "o_custkey", F.col("o_orderstatus").cast("string").alias("o_orderstatus"))
 
 
 # ------------------------------------------------------------------ loading
@@ -346,8 +418,22 @@ def q_normalise_types(spark: SparkSession, d: str) -> DataFrame:
     return normalise(src, fields)
 
 
+def q_normalise_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Load rules on nulls: empty numbers (as number, decimal or text) are 0.0, empty dates and texts stay null."""
+    n = lambda c, v: F.nullif(F.col(c), F.lit(v))
+    src = read_table(spark, d, "orders").select(
+        "o_orderkey", F.nullif((F.col("o_orderkey") % 3).cast("string"), F.lit("0")).alias("num_txt"),
+        F.when(F.col("o_orderstatus") != "F", dec2("o_totalprice")).alias("price_dec"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("day"), n("o_orderstatus", "P").alias("status"))
+    fields = [Field("o_orderkey", "order_id", STRING, is_key=True), Field("num_txt", "num", NUMBER),
+              Field("price_dec", "price", NUMBER), Field("day", "day", DATE), Field("status", "status", STRING)]
+    return normalise(src, fields, row_id=None)
+
+
 def _stored_customers(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "customer", where=F.col("c_mktsegment") != "HOUSEHOLD")
+    """The stored rows: customers with an order (the others are new)."""
+    return read_table(spark, d, "customer").join(
+        read_table(spark, d, "orders", ["o_custkey"]), F.col("c_custkey") == F.col("o_custkey"), "left_semi")
 
 
 def q_attach_old_id(spark: SparkSession, d: str) -> DataFrame:
@@ -366,13 +452,10 @@ def q_dup_keys(spark: SparkSession, d: str) -> DataFrame:
 
 def q_in_list_join(spark: SparkSession, d: str) -> DataFrame:
     """Rows joined with their definitions, restricted to a name list: customers of the
-    nations whose region is in the list. The definition side (nation x region, after
-    the list filter) is broadcast only after a row-count proof; the customer side is
-    scanned once, without a shuffle."""
+    nations whose region is in the list."""
     nation = read_table(spark, d, "nation")
     region = read_table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE"))
-    defs = bounded_broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
-                             .select("n_nationkey", "n_name", "r_name"), 10_000)
+    defs = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select("n_nationkey", "n_name", "r_name")
     customer = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
     return customer.join(defs, customer.c_nationkey == defs.n_nationkey, "inner").select(
         "c_custkey", "n_name", "r_name")
@@ -451,9 +534,10 @@ def q_date_fns(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_hash_bucket(spark: SparkSession, d: str) -> DataFrame:
-    """Rows per hash bucket of the order key (Spark's hash; no SQL twin)."""
+    """Spark's hash deals every order key into one of 50 buckets: all rows, all buckets in range."""
     orders = read_table(spark, d, "orders", ["o_orderkey"])
-    return orders.groupBy(hash_bucket(["o_orderkey"], 50).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    per = orders.groupBy(hash_bucket(["o_orderkey"], 50).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.sum("n").alias("n_rows"), F.bool_and((F.col("bucket") >= 0) & (F.col("bucket") < 50)).alias("in_range"))
 
 
 def q_hash_bucket_portable(spark: SparkSession, d: str) -> DataFrame:
@@ -463,15 +547,15 @@ def q_hash_bucket_portable(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_udf_scalar(spark: SparkSession, d: str) -> DataFrame:
-    """Vectorised pandas UDF in place of a row UDF."""
-    part = read_table(spark, d, "part", ["p_partkey", "p_name"])
-    return part.select("p_partkey", before_last_udf(F.regexp_replace("p_name", " ", "_")).alias("family"))
+    """A vectorised pandas UDF (a checksum that Spark has no function for)."""
+    return read_table(spark, d, "part", ["p_partkey", "p_name"]).select("p_partkey", adler32("p_name").alias("checksum"))
 
 
 def q_udaf_group(spark: SparkSession, d: str) -> DataFrame:
-    """A user aggregate (product) per order, two-level so hot keys split."""
-    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity"] + LINE_ORDER)
-    return group_reduce(li, ["l_orderkey"], "l_quantity", "prod", "qty_product")
+    """A user aggregate without a built-in form (geometric mean) per order, merged from partial states."""
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_quantity"])
+    out = group_reduce(li, ["l_orderkey"], "l_quantity", GEOMETRIC_MEAN, "qty_mean")
+    return out.select("l_orderkey", F.round("qty_mean", 6).alias("qty_mean"))
 
 
 # --------------------------------------------------------------------- sinks
@@ -499,6 +583,20 @@ def q_upsert_merge(spark: SparkSession, d: str) -> DataFrame:
     return as_double(merge_changes(stored, with_id, CUSTOMER_TARGET, pk="cust_id"), "balance")
 
 
+def q_upsert_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose date travelled as text merged into the stored orders (status F), with one new column value."""
+    src = normalise(read_table(spark, d, "orders"), [
+        Field("o_orderkey", "order_no", STRING, is_key=True), Field("o_orderdate", "order_time", DATE),
+        Field("o_totalprice", "price", NUMBER)], row_id=None)
+    stored = read_table(spark, d, "orders", where=F.col("o_orderstatus") == "F").select(
+        F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.col("o_orderkey").cast("string").alias("order_no"), F.lit(None).cast("timestamp_ntz").alias("day"),
+        F.lit(0.0).alias("price"), F.col("o_custkey"))
+    changed = attach_old_id(src, stored, ["order_no"], "id")
+    mapping = {"order_no": "order_no", "order_time": "day", "price": "price"}
+    return merge_changes(stored, changed, mapping, pk="id", dates=["order_time"])
+
+
 def q_ordered_topk(spark: SparkSession, d: str) -> DataFrame:
     """Top 10 line items by price (a fixed tie-break makes the cut repeatable)."""
     li = read_table(spark, d, "lineitem")
@@ -513,6 +611,10 @@ QUERIES: dict[str, Query] = {
     "lookup_one": q_lookup_one,
     "lookup_multi_key": q_lookup_multi_key,
     "sum_global": q_sum_global,
+    "avg_global": q_avg_global,
+    "lookup_global": q_lookup_global,
+    "lookup_filtered_dup": q_lookup_filtered_dup,
+    "filter_fractional": q_filter_fractional,
     "list_of": q_list_of,
     "list_fn": q_list_fn,
     "list_as_objects": q_list_as_objects,
@@ -530,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "scan_project": q_scan_project,
     "param_script": q_param_script,
     "normalise_types": q_normalise_types,
+    "normalise_nulls": q_normalise_nulls,
     "attach_old_id": q_attach_old_id,
     "dup_keys": q_dup_keys,
     "in_list_join": q_in_list_join,
@@ -547,5 +650,9 @@ QUERIES: dict[str, Query] = {
     "udaf_group": q_udaf_group,
     "upsert_split": q_upsert_split,
     "upsert_merge": q_upsert_merge,
+    "upsert_dates": q_upsert_dates,
+    "save_allocation": q_save_allocation,
+    "save_changed_roundtrip": q_save_changed_roundtrip,
+    "save_overwrite": q_save_overwrite,
     "ordered_topk": q_ordered_topk,
 }

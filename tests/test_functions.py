@@ -5,21 +5,35 @@ import pandas as pd
 
 
 from apportion.functions.scalar import before_last, hash_bucket, json_map, natural_key_id, row_map, text_to_ts, ts_to_text
-from apportion.functions.udfs import before_last_udf, group_reduce, register_sql_udfs
-from apportion.operators.joins import bounded_broadcast
+from apportion.functions.filters import number_literal
+from apportion.functions.udfs import GEOMETRIC_MEAN, Reducer, adler32, group_reduce
 from apportion.operators.keys import first_per_key
 
 
-def test_before_last_builtin_and_udf_agree(spark):
+def test_before_last(spark):
     df = spark.createDataFrame([("a_b_c",), ("abc",), (None,), ("_x",), ("x_",), ("",)], "s string")
-    got = df.select(before_last("s").alias("b"), before_last_udf("s").alias("u")).collect()
-    assert [r["b"] for r in got] == ["a_b", "abc", None, "", "x", ""]
-    assert [r["u"] for r in got] == [r["b"] for r in got]
-    register_sql_udfs(spark)
-    assert spark.sql("SELECT before_last_udf('k_1') AS v").first()["v"] == "k"
+    assert [r["b"] for r in df.select(before_last("s").alias("b")).collect()] == ["a_b", "abc", None, "", "x", ""]
     assert df.select(before_last("s", "b_").alias("v")).first()["v"] == "a_"
 
 
+def test_adler32(spark):
+    import zlib
+
+    df = spark.createDataFrame([("abc",), ("",), (None,), ("é漢" * 3000,)], "s string")
+    assert [r[0] for r in df.select(adler32("s")).collect()] == [None if s is None else zlib.adler32(s.encode()) for s, in df.collect()]
+
+
+def test_number_literals_are_exact():
+    from decimal import Decimal
+
+    from pyspark.sql import types as T
+
+    assert number_literal(3.7, T.IntegerType()) is None and number_literal("3.0", T.IntegerType()) == 3
+    assert number_literal("1.009", T.DecimalType(18, 2)) is None and number_literal(1.5, T.DecimalType(18, 2)) == Decimal("1.5")
+    assert number_literal(1 << 40, T.IntegerType()) is None and number_literal(10**17, T.DecimalType(18, 2)) is None
+    assert number_literal("2.5", T.DoubleType()) == 2.5 and number_literal(float("nan"), T.LongType()) is None
+
+
 def test_hash_bucket_range_and_stability(spark):
     df = spark.range(1000)
     b = df.select(hash_bucket(["id"], 7).alias("b"))
@@ -53,13 +67,38 @@ def test_group_reduce_hot_key(spark):
     vals = rng.integers(1, 4, n).astype(float)
     pdf = pd.DataFrame({"k": keys, "v": vals})
     df = spark.createDataFrame(pdf).repartition(12)
-    got = {r["k"]: r["s"] for r in group_reduce(df, ["k"], "v", "sum", "s", salts=8).collect()}
-    want = pdf.groupby("k")["v"].sum().to_dict()
-    assert got == want
-    got_max = {r["k"]: r["m"] for r in group_reduce(df, ["k"], "v", lambda s: s.max(), "m").collect()}
+    total = Reducer(lambda s: {"t": s}, {"t": "sum"}, lambda p: p["t"])
+    largest: list[int] = []
+
+    def seen(s):
+        largest.append(len(s))
+        if len(s) > 500:
+            raise AssertionError("more than one batch in a call")
+        return {"t": s}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        got = {r["k"]: r["s"] for r in group_reduce(df, ["k"], "v", total, "s").collect()}
+        bounded = Reducer(seen, {"t": "max"}, lambda p: p["t"])
+        got_max = {r["k"]: r["m"] for r in group_reduce(df, ["k"], "v", bounded, "m").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert got == pdf.groupby("k")["v"].sum().to_dict()
     assert got_max == pdf.groupby("k")["v"].max().to_dict()
 
 
+def test_group_reduce_means_nulls_and_unknown_merges(spark):
+    df = spark.createDataFrame([(1, float(v)) for v in range(1, 13)] + [(2, None), (None, 4.0), (None, 9.0)], "k int, v double").repartition(5)
+    mean = Reducer(lambda s: {"t": s, "n": s * 0 + 1}, {"t": "sum", "n": "sum"}, lambda p: p["t"] / p["n"])
+    assert {r["k"]: r["m"] for r in group_reduce(df, ["k"], "v", mean, "m").collect()} == {1: 6.5, 2: None, None: 6.5}
+    geo = {r["k"]: r["g"] for r in group_reduce(df, ["k"], "v", GEOMETRIC_MEAN, "g").collect()}
+    assert abs(geo[None] - 6.0) < 1e-9 and geo[2] is None
+    import pytest
+
+    with pytest.raises(ValueError, match="merge"):
+        Reducer(lambda s: {"t": s}, {"t": "mean"}, lambda p: p["t"])
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame([(1, 5, 2, "x"), (1, 5, 1, "y"), (1, 6, 0, "z"), (2, 9, 9, "w")],
                                "k int, t int, id int, v string")
@@ -67,15 +106,6 @@ def test_first_per_key(spark):
     assert got == {1: "y", 2: "w"}
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(5)
-    plan = small.join(bounded_broadcast(small, 10), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan.lower()
-    big = spark.range(100)
-    assert bounded_broadcast(big, 10) is big
-    assert bounded_broadcast(small, 10) is not small
-
-
 def test_text_bucket_matches_plain_md5(spark):
     import hashlib
 
