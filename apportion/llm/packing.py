@@ -13,8 +13,10 @@ their own. Extra columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,40 +26,78 @@ from pyspark.sql import DataFrame
 from apportion.llm.common import text_slices, texts
 
 #: Words whose ids a worker keeps between texts.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 #: Stands for the closing id among the words (no word holds a line break).
 END = b"\n"
+#: A word and the marks behind its last ASCII letter (no apostrophe, and none of the signs of special tokens).
+_STEM = re.compile(rb"(?s)(.*[A-Za-z])([!-&(-/:;=?@\[-`{}~]+)|(.*)")
 
 
 class WordIds:
     """Token ids of words, each distinct word encoded once.
 
     The tokenizer drops white space and merges inside words only, so a text's
-    ids are those of its words (runs without ASCII white space) in order.
+    ids are those of its words (runs without ASCII white space) in order. A
+    word is a stem and the marks behind it; stems of letters alone are encoded
+    many at a time, as each ends with the first id that closes a word.
     """
 
     def __init__(self, vocabulary: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.end_id = end_id
+        # for stems of a-z alone, which the normaliser and the letter rules leave as they are
+        self.plain = Tokenizer.from_file(vocabulary)
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        known = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(known.values()) + 1, bool)
+        self.closes[[i for piece, i in known.items() if piece.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
+        # word -> row of (stem, marks); the first stem is empty, the second the closing id
         self.index: dict[bytes, int] = {END: 0}
-        self.starts, self.lens, self.flat = np.zeros(1, np.int64), np.ones(1, np.int64), np.array([self.end_id], np.uint32)
+        self.rows = np.array([[1, 0]], np.int64)
+        self.stems: dict[bytes | None, int] = {None: 0, END: 1}
+        self.starts, self.lens, self.flat = np.zeros(2, np.int64), np.array([0, 1]), np.array([self.end_id], np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        new = list({w for w in words if w not in self.index})
-        if not new:
-            return
-        got = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
+    def add_stems(self, stems: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
+        self.stems.update(zip(stems, range(len(self.stems), len(self.stems) + len(stems))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum()))])
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        self.flat = np.concatenate([self.flat, ids])
+
+    def learn_joined(self, tokenizer, new: list[bytes]) -> bool:
+        """Learn stems of letters many at a time; False if they cannot be told apart."""
+        joined = tokenizer.encode_batch_fast([b" ".join(new[a : a + 2000]).decode() for a in range(0, len(new), 2000)], add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in joined)])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(new) or len(ends) and ends[-1] != len(ids):
+            return False
+        self.add_stems(new, ids, np.diff(ends, prepend=0))
+        return True
+
+    def learn_stems(self, new: list[bytes]) -> None:
+        plain = [x for x in new if x.isalpha() and x.islower()]  # of bytes: a-z alone
+        rest = [x for x in new if not (x.isalpha() and x.islower())]
+        letters = [x for x in rest if x.decode().isalpha()]
+        others = [x for x in rest if not x.decode().isalpha()]
+        for tokenizer, stems in ((self.plain, plain), (self.tokenizer, letters)):
+            if not self.learn_joined(tokenizer, stems):
+                others = others + stems
+        got = [x.ids for x in self.tokenizer.encode_batch_fast([x.decode() for x in others], add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        self.add_stems(others, np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum())), lens)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Learn distinct new words: closing marks are a token run of their own behind an ASCII letter."""
+        split = [(m[1], m[2]) if (m := _STEM.fullmatch(w))[1] else (w, None) for w in words]
+        self.learn_stems(list({x for pair in split for x in pair if x not in self.stems}))
+        rows = np.array([(self.stems[stem], self.stems[marks]) for stem, marks in split], np.int64)
+        self.rows = np.concatenate([self.rows, rows])
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each closed by the end id, and each document's number of ids."""
@@ -66,15 +106,30 @@ class WordIds:
         words: list[bytes] = []
         ends = np.empty(len(docs), np.int64)
         for i, text in enumerate(docs):
-            words += text.split()
+            # the tokenizer lowers letters itself, except in the names of its special tokens
+            words += text.split() if b"<|" in text else text.lower().split()
             words.append(END)
             ends[i] = len(words)
-        self.learn(words)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        if len(gaps := np.flatnonzero(found < 0)):
+            new = [words[i] for i in gaps.tolist()]
+            self.learn(list(dict.fromkeys(new)))
+            found[gaps] = [self.index[w] for w in new]
+        at = self.rows[found].ravel()
         lens = self.lens[at]
         upto = np.cumsum(lens)
         ids = self.flat[np.repeat(self.starts[at] - (upto - lens), lens) + np.arange(int(upto[-1]))]
-        return ids, np.diff(upto[ends - 1], prepend=0)
+        return ids, np.diff(upto[2 * ends - 1], prepend=0)
+
+
+_ENCODERS: dict[tuple[str, int], WordIds] = {}
+
+
+def worker_encoder(vocabulary: str, end_id: int) -> WordIds:
+    """One encoder per worker process: later tasks find its words."""
+    if (vocabulary, end_id) not in _ENCODERS:
+        _ENCODERS[vocabulary, end_id] = WordIds(vocabulary, end_id)
+    return _ENCODERS[vocabulary, end_id]
 
 
 def binary_lengths(n: int, longest: int) -> list[int]:
@@ -94,7 +149,7 @@ def pack_power_of_two(docs: DataFrame, vocabulary: str, end_id: int = 2, longest
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int" + ", ids array<int>" * with_ids
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sequence = WordIds(vocabulary, end_id), TaskContext.get().partitionId() << 40
+        encoder, sequence = worker_encoder(vocabulary, end_id), TaskContext.get().partitionId() << 40
         for part in text_slices(batches):
             ids, counts = encoder.encode(texts(part))
             rows: list[tuple] = []
