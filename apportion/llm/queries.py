@@ -85,6 +85,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # texts as hex, two signs per byte; a window is known by its hash
+    "op1_previous_factors": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ), w AS (
+            SELECT doc_id, i, hash(substr(h, 2 * i + 1, 400)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM d)
+        ), c AS (
+            SELECT k FROM w GROUP BY k HAVING count(*) > 1
+        ), m AS (
+            SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM w JOIN c USING (k)
+        ), g AS (
+            SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM m
+        ), spans AS (
+            SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM g GROUP BY doc_id, s
+        ), pieces AS (
+            SELECT doc_id, a AS place, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM spans
+            UNION ALL SELECT doc_id, max(n), coalesce(max(b), 0), max(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY place) AS k FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+        ), sums AS (
+            SELECT doc_id, sum(b - a) AS removed, count(*) AS runs FROM spans GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+               coalesce(runs, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)""",
+    "op8_min_max_hash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                lambda x: x <> '') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w)
+            UNION ALL SELECT doc_id, w[1] FROM w WHERE len(w) = 1
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+            JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+        ), reach AS (
+            SELECT doc_id, doc_id AS r FROM documents UNION SELECT doc_id, b FROM reach JOIN links ON a = r
+        )
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+        FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)""",
     # formatted_chars: the marks of a turn have 24 code points, and each opening inside a text or role gets one more
     "op7_chat_template": r"""
         WITH said AS (
