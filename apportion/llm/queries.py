@@ -129,6 +129,46 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
         FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)""",
+    "op2_line_quality": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), three AS (
+            SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+        ), twice AS (
+            SELECT doc_id, a, b, c FROM three GROUP BY doc_id, a, b, c HAVING count(*) > 1
+        ), repeats AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM three JOIN twice USING (doc_id, a, b, c), range(3) r(k) GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+                   list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   length(regexp_replace(line, '[^\p{L}]', '', 'g')) AS cased, length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) AS capitals
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), judged AS (
+            SELECT doc_id, line, chars,
+                   length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > 0.3 * len(w)
+                   OR len(list_filter(w, lambda x: x IN ('|', '||', '/', '//', '>', '>>', '»', '›', '·', '•', '-', '–', '—', '*', '←', '→'))) > 0.2 * len(w)
+                   OR (2 * len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x))) > len(w) AND cased >= 12 AND capitals > 0.8 * cased)
+                   OR (len(w) <= 30 AND regexp_matches(lower(line), 'cookie|privacy policy|terms of (?:use|service)|all rights reserved|copyright ©|©|javascript|lorem ipsum|click here|read more|sign (?:in|up)|log ?in|subscribe|newsletter|back to top|share (?:this|on)|follow us|skip to content'))
+                   OR (len(w) <= 6 AND NOT regexp_matches(line, '[.!?:;…。！？]["''”’»)\]]*[\x20\x09-\x0D]*$')) AS failed
+            FROM lines
+        ), per AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+                   count(*) FILTER (failed) AS n_failed_lines, coalesce(sum(chars) FILTER (failed), 0) AS lost
+            FROM judged GROUP BY doc_id
+        ), base AS (
+            SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+                   coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(lost, 0) AS lost
+            FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN per USING (doc_id)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.3 * word_chars AS kept,
+               n_lines, n_failed_lines, CAST(word_chars - lost AS BIGINT) AS kept_word_chars
+        FROM base""",
     # formatted_chars: the marks of a turn have 24 code points, and each opening inside a text or role gets one more
     "op7_chat_template": r"""
         WITH said AS (
