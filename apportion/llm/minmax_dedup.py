@@ -8,10 +8,11 @@ The values are banded. Documents of one and the same set are one class from
 the start; classes that share a band are candidates and are confirmed on the
 full sets.
 
-A band with thousands of classes is not expanded into pairs: its classes are
-first compared with its smallest one. Only where a band still holds more than
-one component after that are pairs across components compared, so no link
-between components is lost.
+A band with thousands of classes is not expanded into pairs. Each class is
+first compared with one hub, the smallest class of the bands that it shares.
+Where a band still holds more than one component after that, its classes meet
+in blocks of bounded size, inside which everything across components is
+compared and only links leave; so no link between components is lost.
 
 A null or empty text (no words) has an empty set and is linked with nothing;
 a text of fewer words than a shingle is one shingle. Rows of one ``doc_id`` are
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from apportion.llm.common import text_slices, texts, written
 from apportion.llm.components import components
 
 CACHED_WORDS = 500_000
+#: Classes of a block in which a band's classes are compared.
+BLOCK = 1024
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
 
@@ -141,33 +145,83 @@ def signatures(docs: DataFrame, rules: MinMaxRules) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, rules: MinMaxRules) -> DataFrame:
-    """The pairs (u, v) of document ids whose full sets are similar enough."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    found = docs.join(wanted, "doc_id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"]).drop("h")
-    found = written(found, "candidates")
-    left = found.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    right = found.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.join(left, "u").join(right, "v")
+def full_sets(docs: DataFrame, nodes: DataFrame, rules: MinMaxRules) -> DataFrame:
+    """(node, full, brief): the shingle hashes of the wanted documents, and their low halves."""
+    found = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(rules.words)
+        for part in text_slices(batches):
+            sets = shingles.sets(texts(part))
+            full = pa.array([x.tobytes() for x in sets], pa.binary())
+            brief = pa.array([x.astype(np.uint32).tobytes() for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), full, brief], names=["node", "full", "brief"])
+
+    return found.select("doc_id", "text").mapInArrow(run, "node long, full binary, brief binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, rules: MinMaxRules) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough."""
+    left = sets.select(F.col("node").alias("u"), F.col("full").alias("full_u"))
+    right = sets.select(F.col("node").alias("v"), F.col("full").alias("full_v"))
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, last, held = Shingles(rules.words), None, np.zeros(0, np.uint64)
-        for part in text_slices(batches, "text_u"):
-            ours = shingles.sets(texts(part, "text_u"))
+        for part in text_slices(batches, "full_u"):
             keep = []
-            for mine, other in zip(ours, part.column("text_v")):
-                text = other.as_py() or ""
-                if text != last:  # pairs of one v lie together
-                    last, held = text, shingles.sets([text.encode()])[0]
-                small, big = (mine, held) if len(mine) <= len(held) else (held, mine)
+            for a, b in zip(part.column("full_u").to_pylist(), part.column("full_v").to_pylist()):
+                small, big = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
                 at = np.searchsorted(big, small)
                 common = int((big[np.minimum(at, len(big) - 1)] == small).sum()) if len(big) else 0
-                keep.append(common > 0 and 100 * common >= rules.percent * (len(mine) + len(held) - common))
+                keep.append(common > 0 and 100 * common >= rules.percent * (len(small) + len(big) - common))
             kept = part.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("u"), kept.column("v")], names=["u", "v"])
 
-    return both.select("u", "v", "text_u", "text_v").mapInArrow(check, "u long, v long").distinct()
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "full_u", "full_v").mapInArrow(check, "u long, v long").distinct()
+
+
+def _similar(nodes: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of different components whose brief sets are similar enough; two hashes may meet by chance, so by a slack of two."""
+    sizes = np.array([len(x) for x in sets])
+    known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    names, place, count = np.unique(component, return_inverse=True, return_counts=True)
+    out, has = [], np.zeros(len(known), np.int32)
+    for x in np.flatnonzero(place != count.argmax()):  # of two components, one is not the largest
+        own = codes[starts[x] : starts[x] + sizes[x]]
+        has[own] = 1
+        common = np.add.reduceat(has[codes], starts) + 2
+        has[own] = 0
+        near = (component != component[x]) & (100 * common >= percent * (sizes + sizes[x] - common))
+        out += [(int(max(nodes[x], nodes[y])), int(min(nodes[x], nodes[y]))) for y in np.flatnonzero(near)]
+    return out
+
+
+def across_components(rows: DataFrame, sets: DataFrame, rules: MinMaxRules) -> DataFrame:
+    """Candidate links (u, v) between components inside bands: each band's classes meet in pairs of bounded blocks.
+
+    A band of n classes is ceil(n / BLOCK) blocks; a row goes to as many tasks
+    as there are blocks, and only likely links leave a task.
+    """
+    sized = rows.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = rows.join(sized, "band").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("band", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "node", "component")
+    met = met.join(sets.select("node", "brief"), "node").repartition("band", "a", "b").sortWithinPartitions("band", "a", "b")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("band", "a", "b", "node", "component", "brief"))))
+        found: set[tuple[int, int]] = set()
+        for _, group in groupby(rows, key=lambda r: r[:3]):
+            *_, nodes, component, brief = zip(*group)  # two blocks at most
+            if len(set(component)) > 1:
+                found.update(_similar(np.array(nodes), np.array(component), [np.frombuffer(x, np.uint32) for x in brief], rules.percent))
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["u", "v"])
+                found.clear()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["u", "v"])
+
+    return met.mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, rules: MinMaxRules | None = None) -> DataFrame:
@@ -177,27 +231,22 @@ def near_duplicates(docs: DataFrame, rules: MinMaxRules | None = None) -> DataFr
     signed = written(signatures(rows, rules), "signatures")
     able = signed.where("digest is not null and doc_id is not null")
     # copies of a set are one class, named by its smallest id
-    classes = written(able.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
-    banded = classes.select(F.explode("bands").alias("band"), "node", "n")
+    classes = written(able.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
+    banded = classes.select(F.explode("bands").alias("band"), "node")
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("band", "hub")
     shared = written(banded.join(hubs, "band"), "shared-bands")  # the classes that share a band with another one
-    near = lambda a, b: (F.col(a) * 100 >= F.col(b) * rules.percent) & (F.col(b) * 100 >= F.col(a) * rules.percent)  # noqa: E731  sizes that can be similar
+    sets = written(full_sets(rows.where("doc_id is not null"), shared.select("node").distinct(), rules), "sets")
 
-    rows = rows.where("doc_id is not null")
-    sized = shared.select(F.col("node").alias("hub"), F.col("n").alias("n_hub")).distinct()
-    star = shared.where("node <> hub").select("node", "hub", "n").distinct().join(sized, "hub").where(near("n", "n_hub"))
-    links = written(confirmed(star.select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct(), rows, rules), "links")
+    # each class against the hub with which it shares most bands
+    ties = shared.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
+    best = ties.groupBy("node").agg(F.max(F.struct("n", (-F.col("hub")).alias("hub"))).alias("best"))
+    links = written(confirmed(best.select(F.col("node").alias("u"), (-F.col("best.hub")).alias("v")), sets, rules), "links")
 
-    # bands that hold several components: pairs across them, but for those compared already
-    first = components(links)
-    placed = shared.join(first, "node", "left").select("band", "node", "n", "hub", F.coalesce("component", "node").alias("component"))
+    # bands that still hold several components: everything across them
+    placed = shared.join(components(links), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
-    open_rows = written(placed.join(mixed, "band", "left_semi"), "mixed-bands")
-    other = open_rows.select("band", F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("component").alias("component_v"))
-    across = open_rows.where("node <> hub").join(other, "band")
-    across = across.where("node > v and component <> component_v and v <> hub").where(near("n", "n_v"))
-    more = confirmed(across.select(F.col("node").alias("u"), "v").distinct(), rows, rules)
-    final = components(links.union(more))
+    likely = written(across_components(placed.join(mixed, "band", "left_semi"), sets, rules), "likely-links")
+    final = components(links.union(confirmed(likely, sets, rules)))
 
     named = classes.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
