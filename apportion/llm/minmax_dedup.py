@@ -249,7 +249,9 @@ def near_duplicates(docs: DataFrame, rules: MinMaxRules | None = None) -> DataFr
     final = components(links.union(confirmed(likely, sets, rules)))
 
     named = classes.select("digest", "node").join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    full = signed.where("digest is not null").select("doc_id", "n_shingles", "digest").join(named, "digest", "left").drop("digest")
+    bare = signed.where("digest is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component"))
+    out = full.unionByName(bare)  # empty sets stay out of the join: they may be many
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
