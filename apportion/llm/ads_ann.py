@@ -10,8 +10,8 @@ that they lie beyond the tenth best. Survivors are measured exactly on the
 original vectors.
 
 Null, zero, empty or other-length vectors and vectors with null or non-finite
-components take no part. Repeated rows are candidates of their own; a query
-never finds rows of its own id. An empty table gives no rows.
+components take no part. Repeated rows are candidates of their own and ask
+once; a query never finds rows of its own id. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 #: Vectors that the centroids and the width are fitted on, at most.
 SAMPLE = 20_000
-#: Candidates in a block at most (on average), columns in a column block.
-BLOCK, COLUMNS = 1024, 16
+#: Candidates and queries that meet in a task at once (on average), columns in a column block.
+BLOCK, QUERIES, COLUMNS = 1024, 4096, 16
 #: Slack of the hypothesis test: the chance to drop a true neighbour is about exp(-2.1 ** 2 / 2) at each test.
 EPSILON = 2.1
 
@@ -109,7 +109,8 @@ def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_shar
     spark = vectors.sparkSession
     rows = usable(vectors)
     schema = "query_id long, rank int, vec_id long, score double"
-    n_rows = rows.count()
+    asking = F.col("vec_id") % query_step == 0
+    n_rows, n_queries = rows.agg(F.count("*"), F.count(F.when(asking, 1))).first()
     if not n_rows:
         return spark.createDataFrame([], schema)
     index = fit_index(rows, n_rows)
@@ -136,10 +137,14 @@ def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_shar
     listed = rows.mapInArrow(assign, "vec_id long, v array<double>, list int")
     # bounded by n_lists rows: how many blocks each list needs
     blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
-    stored = listed.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n_blocks")).cast("int"))
-    queries = rows.where(F.col("vec_id") % query_step == 0).mapInArrow(probed, "query_id long, q array<double>, lists array<int>")
+    # dealt by row, not by id: rows of one id must not share a block
+    stored = listed.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.monotonically_increasing_id(), F.col("n_blocks")).cast("int"))
+    parts = max(1, -(-n_queries // QUERIES))
+    stored = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    queries = rows.where(asking).dropDuplicates(["vec_id", "v"]).mapInArrow(probed, "query_id long, q array<double>, lists array<int>")
     asked = queries.select("query_id", "q", F.explode("lists").alias("list")).join(F.broadcast(blocks), "list")
-    asked = asked.select("query_id", "q", "list", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+    part = F.pmod(F.xxhash64("query_id", F.monotonically_increasing_id()), F.lit(parts)).cast("int").alias("part")
+    asked = asked.select("query_id", "q", "list", part, F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
 
     def scan(key: tuple, candidates: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
@@ -155,7 +160,8 @@ def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_shar
                 out["score"] += score.tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = stored.select("list", "block", "vec_id", "v").groupBy("list", "block").cogroup(asked.groupBy("list", "block")).applyInPandas(scan, "query_id long, vec_id long, score double")
+    meet = ("list", "block", "part")
+    found = stored.select(*meet, "vec_id", "v").groupBy(*meet).cogroup(asked.groupBy(*meet)).applyInPandas(scan, "query_id long, vec_id long, score double")
     # at most `top` rows of a query from each block that it probed
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
