@@ -89,12 +89,12 @@ def _scan(rotated: np.ndarray, original: np.ndarray, ids: np.ndarray, q_rotated:
     probe = alive[: 4 * top]
     best = np.sort(((original[probe] - q) ** 2).sum(1))
     limit = best[top - 1] if len(best) >= top else np.inf
-    partial = np.zeros(len(alive))
+    partial, rounding = np.zeros(len(alive)), 1e-10 * float(q @ q)  # of the rotation
     for a in range(0, width, COLUMNS):
         b = min(a + COLUMNS, width)
         partial += ((rotated[alive, a:b] - q_rotated[a:b]) ** 2).sum(1)
-        scale = b / width * (1 + EPSILON / np.sqrt(b)) ** 2 if b < width else 1 + 1e-9
-        keep = partial <= limit * scale
+        scale = b / width * (1 + EPSILON / np.sqrt(b)) ** 2 if b < width else 1
+        keep = partial <= limit * scale + rounding
         if b < width and keep.sum() >= top:  # the best so far tighten the threshold
             guess = alive[keep][np.argpartition(partial[keep], top - 1)[:top]]
             limit = min(limit, np.sort(((original[guess] - q) ** 2).sum(1))[top - 1])
