@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from apportion.session import ensure_checkpoint_dir, ship_package
 
+T = TypeVar("T")
+
 #: Bytes of text that a worker handles at once (one longer text is handled alone).
 SLICE_BYTES = 1 << 20
 
@@ -68,6 +71,21 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+_KEPT: list[tuple] = []
+
+
+def kept_in_worker(key: Hashable, build: Callable[[], T]) -> T:
+    """What ``build`` made for ``key`` in this worker process: later tasks find it, until another operator keeps its own.
+
+    One thing is kept at a time, so a worker that serves many operators holds
+    the tables of the last one only.
+    """
+    if not _KEPT or _KEPT[0][0] != key:
+        _KEPT.clear()
+        _KEPT.append((key, build()))
+    return _KEPT[0][1]
+
+
 def tokenizer_folder() -> str:
     """Folder of the public vocabulary files (a parameter of the operators that use one)."""
     return os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from apportion.llm.common import text_slices
+from apportion.llm.common import kept_in_worker, text_slices
 
 SYMBOLS = "#*$%&|<>"
 #: What closes a line of prose, before quotes and brackets.
@@ -129,6 +129,7 @@ def line_quality(docs: DataFrame, rules: LineRules | None = None, with_text: boo
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
+        kept_in_worker("lines", lambda: None)  # other operators' tables go
         for part in text_slices(batches):
             ids, out = part.column("doc_id"), []
             for text in part.column("text").to_pylist():
@@ -145,6 +146,7 @@ def clean_documents(docs: DataFrame, rules: LineRules | None = None) -> DataFram
     names = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_in_worker("lines", lambda: None)
         for part in text_slices(batches):
             judged = [judge(text or "", rules) for text in part.column("text").to_pylist()]
             keep = pa.array([digest[6] for digest, _ in judged], pa.bool_())

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportion.llm.common import text_slices, texts, written
+from apportion.llm.common import kept_in_worker, text_slices, texts, written
 
 LENGTH = 200
 #: Bytes of the substrings whose hashes choose anchors (a power of two).
@@ -100,6 +100,7 @@ def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
     """(gram, stretch, doc, at, first, last): an anchor's hash, its stretch's hash, and its places; ``at`` is h << 32 | place."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_in_worker("anchors", lambda: None)  # other operators' tables go
         for part in text_slices(batches):
             out: list[tuple[np.ndarray, ...]] = []
             for doc, h, text in zip(part.column("doc").to_pylist(), part.column("h").to_pylist(), texts(part)):
@@ -243,7 +244,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
         raise ValueError("keep is 'first' or 'none'")
     rows = keyed(docs, length)
     every = anchor_rows(rows, length)
-    often = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # counted by a struct of the hash, so that the join deals both sides anew and can split an anchor that very many share
+    often = every.groupBy(F.struct("gram").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key.gram")
     found = written(every.join(often, "gram"), "anchors")
 
     earliest = F.min(F.struct("doc", "at", "first", "last")).alias("earliest")

@@ -32,10 +32,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportion.llm.common import text_slices, texts, written
+from apportion.llm.common import kept_in_worker, text_slices, texts, written
 from apportion.llm.components import components
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 #: Classes of a block in which a band's classes are compared.
 BLOCK = 1024
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -130,7 +130,7 @@ def signatures(docs: DataFrame, rules: MinMaxRules) -> DataFrame:
     """doc_id, n_shingles, digest of the set (null if empty) and its band keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(rules.words)
+        shingles = kept_in_worker(("shingles", rules.words), lambda: Shingles(rules.words))
         for part in text_slices(batches):
             sets = shingles.sets(texts(part))
             full = [s for s in sets if len(s)]
@@ -150,7 +150,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, rules: MinMaxRules) -> DataFram
     found = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(rules.words)
+        shingles = kept_in_worker(("shingles", rules.words), lambda: Shingles(rules.words))
         for part in text_slices(batches):
             sets = shingles.sets(texts(part))
             full = pa.array([x.tobytes() for x in sets], pa.binary())

@@ -26,14 +26,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportion.llm.common import text_slices, texts
+from apportion.llm.common import kept_in_worker, text_slices, texts
 
 #: Feature columns are 2 to this power.
 BITS = 20
 #: Labelled rows that a fit reads at most.
 MAX_ROWS = 8000
 #: Distinct words whose hashes a worker keeps between texts.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _RUNS = ((re.compile("[a-z\\u00df-\\u00f6\\u00f8-\\u00ff]+"), "a"), (re.compile("[A-Z\\u00c0-\\u00d6\\u00d8-\\u00de]+"), "A"), (re.compile("[0-9]+"), "0"), (re.compile(r"(.)\1+"), r"\1\1"))
@@ -190,7 +190,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
     labelled = chosen.groupBy("doc_id").agg(F.min("quality").alias("label"))  # at most max_rows rows
 
     def indicators(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features = kept_in_worker("features", Features)
         for part in text_slices(batches):
             doc, column = features.of(texts(part))
             cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
@@ -211,7 +211,7 @@ def with_scores(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size, whatever the data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features = kept_in_worker("features", Features)
         for part in text_slices(batches):
             score = shared.value.probability(*features.of(texts(part)), part.num_rows)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
@@ -230,7 +230,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> D
     shared = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, max_rows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features = kept_in_worker("features", Features)
         for part in text_slices(batches):
             score = shared.value.probability(*features.of(texts(part)), part.num_rows)
             yield part.filter(pa.array(score >= 0.5))
