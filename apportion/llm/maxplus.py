@@ -34,18 +34,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportion.llm.common import text_slices, written
+from apportion.llm.common import SLICE_BYTES, kept_in_worker, text_slices, written
 
 #: Stands for a space.
 SIGN = "▁"
 #: Characters of a chunk.
 CHUNK = 1 << 18
 #: Distinct words whose pieces a worker keeps between texts.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
+#: Characters up to which words are solved many at a time.
+TOGETHER = 40
 #: Score below the worst piece of a character without a piece.
 UNKNOWN_PENALTY = 10.0
 NEVER = -np.inf
-_WORD = re.compile(f"{SIGN}*[^{SIGN}]+|{SIGN}+")
 
 ENCODED = "row long, doc_id long, chunk int, n_pieces long, score double, ids array<int>"
 
@@ -71,10 +72,15 @@ class Pieces:
                 self.pieces[piece] = (i, model.get_score(i))
                 self.bytes_of.append(piece.replace(SIGN, " ").encode())
         self.longest = max(map(len, self.pieces))
-        self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        #: Every start of a piece, with the piece that it is (or None).
+        self.starts_of = {p[:k]: self.pieces.get(p[:k]) for p in self.pieces for k in range(1, len(p) + 1)}
+        self._lattice_arrays()
         self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         #: Every path passes the place before a word sign behind another character.
         self.words_part = all(SIGN not in p.lstrip(SIGN) for p in self.pieces)
+        # line breaks and tabs that no longer piece holds stand alone, too
+        alone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.pieces if len(p) > 1))
+        self.word = re.compile(f"[{alone}]|{SIGN}*[^{SIGN}{alone}]+|{SIGN}+" if alone else f"{SIGN}*[^{SIGN}]+|{SIGN}+")
         self.forget()
 
     # ---- words, each distinct one solved once
@@ -86,17 +92,82 @@ class Pieces:
     def words(self, text: str) -> list[str]:
         if not text:
             return []
-        return _WORD.findall(text) if self.words_part else [text]
+        return self.word.findall(text) if self.words_part else [text]
 
     def learn(self, words: list[str]) -> None:
-        solved = [self.solve(w) for w in words]
-        lens = np.fromiter((len(ids) for ids, _ in solved), np.int64, len(solved))
+        """Solve distinct new words: those of one length together, long ones and those with byte pieces one by one."""
+        by_size: dict[int, list[str]] = {}
+        for w in words:
+            by_size.setdefault(len(w), []).append(w)
+        single = [w for n in by_size if n > TOGETHER for w in by_size[n]]
+        for n, group in by_size.items():
+            if n <= TOGETHER:
+                ids, lens, scores = self.solve_same_length(group, n)
+                plain = lens > 0
+                self._add([w for w, ok in zip(group, plain.tolist()) if ok], ids, lens[plain], scores[plain])
+                single += [w for w, ok in zip(group, plain.tolist()) if not ok]
+        if single:
+            solved = [self.solve(w) for w in single]
+            lens = np.fromiter((len(ids) for ids, _ in solved), np.int64, len(solved))
+            self._add(single, np.fromiter((i for ids, _ in solved for i in ids), np.int32, int(lens.sum())), lens, np.array([x for _, x in solved]))
+
+    def _add(self, words: list[str], ids: np.ndarray, lens: np.ndarray, scores: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
-        self.scores = np.concatenate([self.scores, [s for _, s in solved]])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for ids, _ in solved for i in ids), np.int32, int(lens.sum()))])
+        self.scores = np.concatenate([self.scores, scores])
+        self.flat = np.concatenate([self.flat, ids])
         self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
 
+    def _lattice_arrays(self) -> None:
+        """The starts of pieces as a numbered tree: keys (node, character) in order, the node behind, and each node's piece."""
+        number = {"": 0} | {start: i + 1 for i, start in enumerate(self.starts_of)}
+        signs = sorted({c for start in self.starts_of for c in start[-1]})
+        self.sign_of = np.zeros(0x110000, np.int64)  # 0: in no piece
+        self.sign_of[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.n_signs = len(signs) + 1
+        keys = np.array([number[x[:-1]] * self.n_signs + self.sign_of[ord(x[-1])] for x in self.starts_of])
+        order = np.argsort(keys)
+        self.keys, self.behind = keys[order], np.arange(1, len(keys) + 1)[order]
+        self.piece_of = np.array([-1] + [hit[0] if hit else -1 for hit in self.starts_of.values()], np.int32)
+        self.score_of = np.array([NEVER] + [hit[1] if hit else NEVER for hit in self.starts_of.values()])
+
+    def solve_same_length(self, words: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all best cuts, and each word's number of ids (0: it needs byte pieces) and score."""
+        n = len(words)
+        signs = self.sign_of[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)].reshape(n, size)
+        best = np.full((n, size + 1), NEVER)
+        back, piece = np.zeros((n, size + 1), np.int64), np.full((n, size + 1), -1, np.int32)
+        best[:, 0] = 0
+        for i in range(size):
+            rows, node = np.arange(n), np.zeros(n, np.int64)
+            for j in range(i + 1, min(i + self.longest, size) + 1):
+                key = node * self.n_signs + signs[rows, j - 1]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                on = self.keys[at] == key
+                rows, node = rows[on], self.behind[at[on]]
+                if not len(rows):
+                    break
+                score = best[rows, i] + self.score_of[node]
+                better = score > best[rows, j]
+                r = rows[better]
+                best[r, j], back[r, j], piece[r, j] = score[better], i, self.piece_of[node[better]]
+        # a place that no piece reaches, or a character without a piece, is left to the byte pieces
+        able = (best > NEVER).all(1) & self._all_single(signs)
+        ids, place, rows = np.full((n, size), -1, np.int32), np.full(n, size), np.flatnonzero(able)
+        for k in range(size):
+            ids[rows, k] = piece[rows, place[rows]]
+            place[rows] = back[rows, place[rows]]
+            rows = rows[place[rows] > 0]
+            if not len(rows):
+                break
+        ordered = ids[:, ::-1]
+        return ordered[ordered >= 0], (ids >= 0).sum(1), best[:, size]
+
+    def _all_single(self, signs: np.ndarray) -> np.ndarray:
+        """Whether every character of each word is a piece (else its byte pieces compete)."""
+        at = np.minimum(np.searchsorted(self.keys, signs), len(self.keys) - 1)
+        return ((self.keys[at] == signs) & (self.piece_of[self.behind[at]] >= 0)).all(1)
+
     def encode(self, marked: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, and each text's number of ids and total score."""
         if len(self.index) > CACHED_WORDS:
@@ -126,26 +197,25 @@ class Pieces:
         for place, score in entry.items():
             if place <= size and score > best[place]:
                 best[place], back[place] = score, -1
-        pieces, prefixes, unknown = self.pieces, self.prefixes, self.unknown
+        starts_of, unknown = self.starts_of, self.unknown
         for i in range(min(upto, size)):
             base = best[i]
             if base == NEVER:
                 continue
             for j in range(i + 1, size + 1):
-                part = text[i:j]
-                if part not in prefixes:
-                    if j == i + 1 and base + unknown > best[j]:
-                        best[j], back[j] = base + unknown, i
-                    break
-                hit = pieces.get(part)
-                if hit is not None:
+                hit = starts_of.get(text[i:j], 0)
+                if hit:
                     score = base + hit[1]
-                elif j == i + 1:
+                elif j == i + 1:  # a character without a piece
                     score = base + unknown
-                else:
+                elif hit is None:
                     continue
+                else:
+                    break
                 if score > best[j]:
                     best[j], back[j] = score, i
+                if hit == 0:
+                    break
         return best, back
 
     def trace(self, text: str, back: list[int], end: int) -> tuple[list[int], int]:
@@ -159,6 +229,9 @@ class Pieces:
         return out[::-1], end
 
     def solve(self, text: str) -> tuple[list[int], float]:
+        hit = self.pieces.get(text)
+        if len(text) == 1 and hit:
+            return [hit[0]], hit[1]
         best, back = self.run(text, len(text), {0: 0.0})
         return self.trace(text, back, len(text))[0], best[len(text)]
 
@@ -224,14 +297,9 @@ def max_plus_scan(matrices: np.ndarray) -> np.ndarray:
     return out
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def worker_pieces(vocabulary: str) -> Pieces:
     """One vocabulary per worker process: later tasks find its words."""
-    if vocabulary not in _LOADED:
-        _LOADED[vocabulary] = Pieces(vocabulary)
-    return _LOADED[vocabulary]
+    return kept_in_worker(("pieces", vocabulary), lambda: Pieces(vocabulary))
 
 
 def marked(text: str) -> str:
@@ -254,7 +322,7 @@ def encode(docs: DataFrame, vocabulary: str, chunk: int = CHUNK) -> DataFrame:
 
     def small(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, row = worker_pieces(vocabulary), TaskContext.get().partitionId() << 40
-        for part in text_slices(batches):
+        for part in text_slices(batches, budget=2 * SLICE_BYTES):  # more new words at once
             ids, counts, scores = pieces.encode([marked(x or "") for x in part.column("text").to_pylist()])
             keyed = pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + part.num_rows)), part.column("doc_id")], names=["row", "doc_id"])
             row += part.num_rows
@@ -330,43 +398,55 @@ def _encode_giants(giants: DataFrame, vocabulary: str, chunk: int) -> DataFrame:
     return placed.join(exits, ["row", "chunk"]).mapInArrow(trace, ENCODED)
 
 
+class _Texts:
+    """The bytes of the pieces in one array, to put texts together from ids."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.lens = np.array([len(x) for x in pieces.bytes_of])
+        self.flat = np.frombuffer(b"".join(pieces.bytes_of), np.uint8)
+        self.starts = np.cumsum(self.lens) - self.lens
+
+    def of(self, part: pa.RecordBatch) -> list[bytes]:
+        """The text of each row's ids; the space before a text's first word is dropped."""
+        ids = np.asarray(part.column("ids").flatten(), np.int64)
+        lens = self.lens[ids]
+        upto = np.concatenate([[0], np.cumsum(lens)])
+        text = self.flat[np.repeat(self.starts[ids] - upto[:-1], lens) + np.arange(int(upto[-1]))].tobytes()
+        ends = upto[np.concatenate([[0], np.cumsum(np.asarray(part.column("n_pieces")))])].tolist()
+        return [text[p + (k == 0) : q] if q > p else b"" for p, q, k in zip(ends, ends[1:], part.column("chunk").to_pylist())]
+
+
+def _few(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, 256):
+            yield batch.slice(a, 256)
+
+
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """The text of each row's ids beside its columns; the space before a text's first word is dropped."""
-    schema = f"{ENCODED}, text binary"
+    """The text of each row's ids (UTF-8) beside its columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = worker_pieces(vocabulary)
-        lens = np.array([len(x) for x in pieces.bytes_of])
-        flat = np.frombuffer(b"".join(pieces.bytes_of), np.uint8)
-        starts = np.cumsum(lens) - lens
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                lists = part.column("ids")
-                ids = np.asarray(lists.flatten(), np.int64)
-                upto = np.concatenate([[0], np.cumsum(lens[ids])])
-                text = flat[np.repeat(starts[ids] - upto[:-1], lens[ids]) + np.arange(int(upto[-1]))].tobytes()
-                ends = upto[np.concatenate([[0], np.cumsum(np.asarray(part.column("n_pieces")))])]
-                out = [text[p:q] for p, q in zip(ends, ends[1:])]
-                out = [t[1:] if k == 0 else t for t, k in zip(out, part.column("chunk").to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, "text"])
-
-    return encoded.mapInArrow(run, schema)
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, chunk, n_pieces, score, checksums of ids (little-endian unsigned 32 bits) and of the decoded bytes."""
+        texts = _Texts(worker_pieces(vocabulary))
+        for part in _few(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts.of(part), pa.binary())], names=[*part.schema.names, "text"])
+
+    return encoded.mapInArrow(run, f"{ENCODED}, text binary")
+
+
+def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, chunk, n_pieces, score, checksums of ids (little-endian unsigned 32 bits) and of the bytes decoded from them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        texts = _Texts(worker_pieces(vocabulary))
+        for part in _few(batches):
             ids, counts = np.asarray(part.column("ids").flatten()).astype("<u4"), np.asarray(part.column("n_pieces"))
             ends = np.concatenate([[0], np.cumsum(counts)])
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
-            text = part.column("text").to_pylist()
+            text = texts.of(part)
             columns = [part.column(c) for c in ("doc_id", "chunk", "n_pieces", "score")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(crc, pa.int64()), pa.array([len(t) for t in text], pa.int64()), pa.array([zlib.crc32(t) for t in text], pa.int64())],
                 names=["doc_id", "chunk", "n_pieces", "score", "ids_crc32", "n_bytes", "text_crc32"],
             )
 
-    return decoded.mapInArrow(run, "doc_id long, chunk int, n_pieces long, score double, ids_crc32 long, n_bytes long, text_crc32 long")
+    return encoded.mapInArrow(run, "doc_id long, chunk int, n_pieces long, score double, ids_crc32 long, n_bytes long, text_crc32 long")

@@ -33,7 +33,7 @@ def q_op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to pieces and decoded again: counts, scores and checksums of both."""
     vocabulary = f"{tokenizer_folder()}/piece_bpe_32k.model"
     encoded = maxplus.encode(table(spark, sf_dir, "documents"), vocabulary)
-    return maxplus.digests(maxplus.decode(encoded, vocabulary))
+    return maxplus.digests(encoded, vocabulary)
 
 
 def q_op4(spark: SparkSession, sf_dir: str) -> DataFrame:
