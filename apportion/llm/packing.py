@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from apportion.llm.common import text_slices, texts
+from apportion.llm.common import kept_in_worker, text_slices, texts
 
 #: Words whose ids a worker keeps between texts.
 CACHED_WORDS = 1_000_000
@@ -33,6 +33,15 @@ END = b"\n"
 _STEM = re.compile(rb"(?s)(.*[A-Za-z])([!-&(-/:;=?@\[-`{}~]+)|(.*)")
 
 
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for ``n`` rows, at least doubled when it grows."""
+    if n <= len(array):
+        return array
+    out = np.zeros((max(n, 2 * len(array)), *array.shape[1:]), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class WordIds:
     """Token ids of words, each distinct word encoded once.
 
@@ -57,17 +66,24 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        # word -> row of (stem, marks); the first stem is empty, the second the closing id
-        self.index: dict[bytes, int] = {END: 0}
-        self.rows = np.array([[1, 0]], np.int64)
-        self.stems: dict[bytes | None, int] = {None: 0, END: 1}
-        self.starts, self.lens, self.flat = np.zeros(2, np.int64), np.array([0, 1]), np.array([self.end_id], np.uint32)
+        # word -> row; a row has its stem's ids and the row of the marks behind it; row 0 is empty
+        self.index: dict[bytes, int] = {b"": 0, END: 1}
+        self.rows = np.zeros((1 << 12, 3), np.int64)  # start and length of the stem's ids, row of the marks
+        self.rows[1, 1] = 1
+        self.flat, self.n_ids = np.zeros(1 << 12, np.uint32), 1
+        self.flat[0] = self.end_id
+
+    def add(self, words: list[bytes], rows: np.ndarray) -> None:
+        n = len(self.index)
+        self.rows = _room(self.rows, n + len(words))
+        self.rows[n : n + len(words)] = rows
+        self.index.update(zip(words, range(n, n + len(words))))
 
     def add_stems(self, stems: list[bytes], ids: np.ndarray, lens: np.ndarray) -> None:
-        self.stems.update(zip(stems, range(len(self.stems), len(self.stems) + len(stems))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
-        self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, ids])
+        self.add(stems, np.stack([self.n_ids + np.cumsum(lens) - lens, lens, np.zeros_like(lens)], axis=1))
+        self.flat = _room(self.flat, self.n_ids + len(ids))
+        self.flat[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n_ids += len(ids)
 
     def learn_joined(self, tokenizer, new: list[bytes]) -> bool:
         """Learn stems of letters many at a time; False if they cannot be told apart."""
@@ -93,11 +109,25 @@ class WordIds:
 
     def learn(self, words: list[bytes]) -> None:
         """Learn distinct new words: closing marks are a token run of their own behind an ASCII letter."""
-        split = [(m[1], m[2]) if (m := _STEM.fullmatch(w))[1] else (w, None) for w in words]
-        self.learn_stems(list({x for pair in split for x in pair if x not in self.stems}))
-        rows = np.array([(self.stems[stem], self.stems[marks]) for stem, marks in split], np.int64)
-        self.rows = np.concatenate([self.rows, rows])
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+        stems: dict[bytes, None] = {}
+        whole, first, last = [], [], []
+        for w in words:
+            m = _STEM.fullmatch(w)
+            if m[1] is None:
+                stems[w] = None
+            else:
+                stem, marks = m.group(1, 2)
+                stems[stem] = stems[marks] = None
+                whole.append(w)
+                first.append(stem)
+                last.append(marks)
+        self.learn_stems([x for x in stems if x not in self.index])
+        if whole:
+            own = np.fromiter(map(self.index.__getitem__, first), np.int64, len(whole))
+            behind = np.fromiter(map(self.index.__getitem__, last), np.int64, len(whole))
+            rows = self.rows[own]
+            rows[:, 2] = behind
+            self.add(whole, rows)
 
     def encode(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents, each closed by the end id, and each document's number of ids."""
@@ -115,23 +145,13 @@ class WordIds:
             new = [words[i] for i in gaps.tolist()]
             self.learn(list(dict.fromkeys(new)))
             found[gaps] = [self.index[w] for w in new]
-        at = self.rows[found].ravel()
-        lens = self.lens[at]
+        rows = self.rows[np.stack([found, self.rows[found, 2]], axis=1).ravel()]
+        lens = rows[:, 1]
         upto = np.cumsum(lens)
-        ids = self.flat[np.repeat(self.starts[at] - (upto - lens), lens) + np.arange(int(upto[-1]))]
+        ids = self.flat[np.repeat(rows[:, 0] - (upto - lens), lens) + np.arange(int(upto[-1]))]
         return ids, np.diff(upto[2 * ends - 1], prepend=0)
 
 
-_ENCODERS: dict[tuple[str, int], WordIds] = {}
-
-
-def worker_encoder(vocabulary: str, end_id: int) -> WordIds:
-    """One encoder per worker process: later tasks find its words."""
-    if (vocabulary, end_id) not in _ENCODERS:
-        _ENCODERS[vocabulary, end_id] = WordIds(vocabulary, end_id)
-    return _ENCODERS[vocabulary, end_id]
-
-
 def binary_lengths(n: int, longest: int) -> list[int]:
     """``n`` as a sum of powers of two of at most ``longest``, largest first."""
     rest = n % longest
@@ -149,7 +169,7 @@ def pack_power_of_two(docs: DataFrame, vocabulary: str, end_id: int = 2, longest
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int" + ", ids array<int>" * with_ids
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sequence = worker_encoder(vocabulary, end_id), TaskContext.get().partitionId() << 40
+        encoder, sequence = kept_in_worker(("packing", vocabulary, end_id), lambda: WordIds(vocabulary, end_id)), TaskContext.get().partitionId() << 40
         for part in text_slices(batches):
             ids, counts = encoder.encode(texts(part))
             rows: list[tuple] = []
