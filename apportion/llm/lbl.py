@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportion.llm.common import text_slices, texts, written
+from apportion.llm.common import kept_in_worker, text_slices, texts, written
 
 END = b""
 #: Words whose counts each worker holds; the rest meets its counts in a join.
@@ -222,10 +222,19 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals and the frequent words of (word, n) rows."""
-    end = F.col("word") == F.lit(END)
-    top = counts.orderBy(end.desc(), F.desc("n"), "word").limit(TOP_WORDS).toArrow().combine_chunks()
-    order = np.argsort(-np.where([w == END for w in top.column("word").to_pylist()], np.iinfo(np.int64).max, top.column("n").to_numpy()), kind="stable") if len(top) else np.zeros(0, np.int64)
-    top = top.take(pa.array(order))
+    # words by steps of their counts: how far down may the frequent ones reach?
+    step = F.floor(F.log2("n") * 16)
+    left, least = TOP_WORDS - 1, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):  # 64 * 16 rows at most
+        left -= r.words
+        if left < 0:
+            break
+        least = r.step
+    frequent = F.col("word") == F.lit(END)
+    top = counts.where(frequent if least is None else frequent | (step >= least)).toArrow()  # TOP_WORDS rows at most
+    top = top.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
+    order = sorted(range(len(top)), key=[w != END for w in top.column("word").to_pylist()].__getitem__)  # the end first
+    top = top.take(pa.array(order, pa.int64()))
     rest = F.crc32(F.expr("substring(word, -2, 2)")) % REST
     totals = counts.groupBy(rest.alias("rest")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     tokens_of, words_of = np.zeros(REST), np.zeros(REST)
@@ -245,14 +254,22 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words, count, n, v, share / share.sum(), tokens_of, words_of)
 
 
-_TABLE: list[tuple] = []
+class _SameObject:
+    """A key that is equal for one and the same object only, and keeps it alive."""
+
+    def __init__(self, of) -> None:
+        self.of = of
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, _SameObject) and other.of is self.of
+
+    def __hash__(self) -> int:
+        return id(self.of)
 
 
 def _table(shared) -> tuple:
     """The broadcast vocabulary's table, built once in a worker process."""
-    if not _TABLE or _TABLE[0][0] is not shared.value:
-        _TABLE[:] = [(shared.value, shared.value.table())]
-    return _TABLE[0][1]
+    return kept_in_worker(_SameObject(shared.value), shared.value.table)
 
 
 def train_round(train: DataFrame, vocab, params: Params) -> Params:
