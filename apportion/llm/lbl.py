@@ -2,31 +2,37 @@
 
 Tokens are words (A-Z lowered) and one end per text. Spark counts every token
 of the training texts; the counts are exact and stay distributed. The model
-predicts a token's class from the classes of the tokens before it: the most
-frequent words are classes of their own, all other words fall into a fixed
-number of rest classes by their last two bytes, inside which a smoothed
-unigram shares out the class's probability (one share is kept for unseen
-words). The probabilities of all words of a context sum to one.
+predicts a token's class from the classes of the tokens before it. The end and
+every word that the training texts hold ``LEAST`` times or more (and the most
+frequent ones of a small corpus) are classes of their own, so the classes grow with the
+corpus. The other words fall into rest classes, one for seven words with a
+class: ranges of the words' last five bytes, read from the end, that hold
+about equally many training tokens. Inside a rest class a smoothed unigram
+shares out the class's probability (one share is kept for unseen words). The
+probabilities of all words of a context sum to one.
 
 The class model is log-bilinear: the predicted vector is the sum of the context
 vectors, each weighted by its place, and a class's logit is its product with
-the class vector plus a bias. It learns by noise-contrastive estimation in
-numpy from all training texts: each partition runs over its own texts from the
-same start, and the partitions' parameters are averaged, twice (each text is
-used in one of the two rounds). Scoring normalises over all classes with
-batched matrix products.
+the class vector plus a bias. Classes stand in groups, about as many as a group
+has members: a group's probability is normalised over the groups, a class's
+over its group, so a token costs about the root of the number of classes.
+Groups have vectors and biases of their own. All learn by noise-contrastive
+estimation in numpy from all training texts, in ``ROUNDS`` rounds that share
+out the texts: each partition runs over its own texts from the same start with
+noise of its own, and the partitions' changes of a vector are averaged by how
+often each partition changed it.
 
 A null or empty text is its end token alone. A null id hashes like the empty
 text. Repeated rows are scored (and learned from) each. Without training
-tokens all counts are zero and the class model is uniform.
+tokens all counts are zero and the class model is nearly uniform.
 """
 
 from __future__ import annotations
 
-import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
@@ -40,10 +46,17 @@ from apportion.llm.common import kept_in_worker, text_slices, texts, written
 END = b""
 #: Words whose counts each worker holds; the rest meets its counts in a join.
 TOP_WORDS = 1 << 19
-#: Classes: the end, the most frequent words, and the rest classes.
+#: Classes and rest classes of a small corpus; a word of LEAST training tokens is always a class.
 CLASSES, REST = 512, 64
+LEAST = 64
 CONTEXT, WIDTH = 3, 16
-NOISE, BATCH, STEP = 48, 4096, 0.15
+#: Noise classes and noise groups for each NEAR tokens of a batch.
+NOISE, GROUP_NOISE, NEAR = 48, 16, 256
+BATCH, STEP, ROUNDS = 8192, 0.15, 4
+#: Squared gradients that a vector has at the start of a round.
+SEEN = 1e-4
+#: Last bytes of a word that its rest class depends on.
+ENDING = 5
 #: Distinct words that a counting worker holds before it hands them on.
 HELD_WORDS = 200_000
 
@@ -54,8 +67,27 @@ def tokens(text: bytes) -> list[bytes]:
     return out
 
 
+def endings(words: pa.Array) -> np.ndarray:
+    """The last bytes of each word as a number, the last byte first; missing bytes are zero."""
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.zeros(0, np.int64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out = np.zeros(len(words), np.int64)
+    for k in range(ENDING):
+        has = np.diff(ends) > k
+        out[has] += data[ends[1:][has] - k - 1].astype(np.int64) << 8 * (ENDING - 1 - k)
+    return out
+
+
+#: Where the second and later rest classes begin when nothing is counted.
+EVEN = np.arange(1, REST) * (256**ENDING // REST)
+
+
 def rest_class(word: bytes) -> int:
-    return CLASSES - REST + zlib.crc32(word[-2:]) % REST
+    """A word's rest class in the layout of a corpus without counts."""
+    return CLASSES - REST + bisect_right(EVEN, int(endings(pa.array([word], pa.binary()))[0]))
 
 
 def held_out_column() -> Column:
@@ -84,27 +116,39 @@ def token_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def group_size(classes: int) -> int:
+    """Members of a group of classes (the last may have less): consecutive classes stand together."""
+    return int(np.ceil(np.sqrt(classes)))
+
+
 @dataclass
 class Params:
-    """Context vectors, place weights, class vectors, class biases."""
+    """Context vectors, place weights, vectors of the classes and behind them of their groups (last column: bias)."""
 
     context: np.ndarray
     place: np.ndarray
     target: np.ndarray
-    bias: np.ndarray
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.context, self.place, self.target, self.bias)])
+    def rows(self) -> np.ndarray:
+        narrow = np.concatenate([self.context, self.place])
+        return np.concatenate([np.pad(narrow, ((0, 0), (0, 1))), self.target])
 
     @staticmethod
-    def of(flat: np.ndarray) -> Params:
-        a, b = CLASSES * WIDTH, CONTEXT * WIDTH
-        return Params(flat[:a].reshape(CLASSES, WIDTH), flat[a : a + b].reshape(CONTEXT, WIDTH), flat[a + b : 2 * a + b].reshape(CLASSES, WIDTH), flat[2 * a + b :])
+    def of(rows: np.ndarray, classes: int) -> Params:
+        rows, n = rows.astype(np.float32), classes
+        return Params(rows[:n, :WIDTH].copy(), rows[n : n + CONTEXT, :WIDTH].copy(), rows[n + CONTEXT :].copy())
 
     @staticmethod
     def start(share: np.ndarray) -> Params:
-        rng = np.random.default_rng(10)
-        return Params(rng.normal(0, 0.3, (CLASSES, WIDTH)).astype(np.float32), np.ones((CONTEXT, WIDTH), np.float32), rng.normal(0, 0.1, (CLASSES, WIDTH)).astype(np.float32), np.log(share).astype(np.float32))
+        rng, n = np.random.default_rng(10), len(share)
+        every = with_groups(share)
+        target = np.concatenate([rng.normal(0, 0.1, (len(every), WIDTH)), np.log(every)[:, None]], axis=1)
+        return Params(rng.normal(0, 0.3, (n, WIDTH)).astype(np.float32), np.ones((CONTEXT, WIDTH), np.float32), target.astype(np.float32))
+
+
+def with_groups(share: np.ndarray) -> np.ndarray:
+    """The shares of the classes and behind them those of the groups."""
+    return np.concatenate([share, np.add.reduceat(share, np.arange(0, len(share), group_size(len(share))))])
 
 
 def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -117,79 +161,109 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _scatter(into: np.ndarray, rows: np.ndarray, add: np.ndarray) -> None:
-    """into[rows] += add, rows repeating."""
-    order = np.argsort(rows.astype(np.int16), kind="stable")
-    rows = rows[order]
-    cuts = np.flatnonzero(np.diff(rows, prepend=-1))
-    into[rows[cuts]] += np.add.reduceat(add[order], cuts, axis=0)
-
-
 class Trainer:
     """Noise-contrastive estimation with adaptive steps over a stream of (context, target) batches."""
 
-    def __init__(self, params: Params, share: np.ndarray) -> None:
-        self.p = Params.of(params.flat().astype(np.float32))
-        self.share, self.upto = share, np.cumsum(share)
-        self.seen = Params.of(np.full_like(self.p.flat(), 1e-2))  # sums of squared gradients
-        self.rng, self.n = np.random.default_rng(3), 0
+    def __init__(self, params: Params, share: np.ndarray, seed: int | tuple[int, int] = 3) -> None:
+        self.p = Params(*(x.astype(np.float32) for x in params.__dict__.values()))
+        self.classes, self.size = len(share), group_size(len(share))
+        every = with_groups(share)
+        self.upto, self.group_upto = np.cumsum(every[: self.classes]), np.cumsum(every[self.classes :])
+        per = np.where(np.arange(len(every)) < self.classes, NOISE, GROUP_NOISE)
+        self.log_noise = np.log(per * every).astype(np.float32)
+        self.seen = Params(*(np.full_like(x, SEEN) for x in self.p.__dict__.values()))  # sums of squared gradients
+        self.hits = Params(*(np.zeros(len(x), np.int64) for x in self.p.__dict__.values()))  # changes of each vector
+        self.rng, self.n = np.random.default_rng(seed), 0
+
+    def noise(self, blocks: int) -> np.ndarray:
+        """Classes and groups by their shares, for each block of tokens."""
+        own = np.minimum(np.searchsorted(self.upto, self.rng.random((blocks, NOISE))), self.classes - 1)
+        group = np.minimum(np.searchsorted(self.group_upto, self.rng.random((blocks, GROUP_NOISE))), len(self.group_upto) - 1)
+        return np.concatenate([own, group + self.classes], axis=1)
+
+    def change(self, name: str, rows: np.ndarray, add: np.ndarray, n: int) -> None:
+        """A step along the gradient sums of the rows (repeating)."""
+        order = np.argsort(rows.astype(np.int32), kind="stable")
+        rows = rows[order]
+        cuts = np.flatnonzero(np.diff(rows, prepend=-1))
+        rows, g = rows[cuts], np.add.reduceat(add[order], cuts, axis=0) / np.float32(n)
+        seen = getattr(self.seen, name)
+        s = g * g
+        s *= np.float32(n)  # steps follow the batch's own scale
+        s += seen[rows]
+        seen[rows] = s
+        g *= np.float32(STEP * np.sqrt(n))
+        g /= np.sqrt(s, out=s)
+        getattr(self.p, name)[rows] += g
+        getattr(self.hits, name)[rows] += 1
 
     def learn(self, ctx: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        noise = np.minimum(np.searchsorted(self.upto, self.rng.random(NOISE)), CLASSES - 1)
-        log_noise = np.log(NOISE * self.share).astype(np.float32)
+        blocks = -(-n // NEAR)
+        noise = self.noise(blocks)
         vectors = [p.context[c] for c in ctx]
-        q = sum(v * w for v, w in zip(vectors, p.place))
-        true = np.einsum("ij,ij->i", q, p.target[target]) + p.bias[target] - log_noise[target]
-        fake = q @ p.target[noise].T + (p.bias[noise] - log_noise[noise])
-        g_true = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - P(data)
-        g_fake = np.clip(fake, -30, 30, out=fake)
+        q = np.zeros((blocks * NEAR, WIDTH + 1), np.float32)
+        q[:n, :WIDTH] = sum(v * w for v, w in zip(vectors, p.place))
+        q[:n, WIDTH] = 1
+        dq = np.zeros((n, WIDTH + 1), np.float32)
+        rows, adds = [noise.ravel()], []
+        far = p.target[noise]
+        near = q.reshape(blocks, NEAR, -1)
+        fake = near @ far.transpose(0, 2, 1)
+        fake -= self.log_noise[noise][:, None, :]
+        np.clip(fake, -30, 30, out=fake)
         np.exp(np.negative(fake, out=fake), out=fake)
-        np.divide(-1, np.add(fake, 1, out=fake), out=g_fake)
-        dq = g_true[:, None] * p.target[target] + g_fake @ p.target[noise]
-        grad = Params(np.zeros_like(p.context), np.zeros_like(p.place), np.zeros_like(p.target), np.zeros_like(p.bias))
-        _scatter(grad.target, target, g_true[:, None] * q)
-        np.add.at(grad.target, noise, g_fake.T @ q)
-        grad.bias += np.bincount(target, g_true, CLASSES).astype(np.float32)
-        np.add.at(grad.bias, noise, g_fake.sum(0))
-        for k in range(CONTEXT):
-            _scatter(grad.context, ctx[k], dq * p.place[k])
-            grad.place[k] = np.einsum("ij,ij->j", dq, vectors[k])
-        for name in ("context", "place", "target", "bias"):
-            g, s = getattr(grad, name) / n, getattr(self.seen, name)
-            s += g * g * n  # steps follow the batch's own scale
-            getattr(p, name).__iadd__(STEP * g * np.sqrt(n) / np.sqrt(s))
+        np.divide(-1, np.add(fake, 1, out=fake), out=fake)  # -P(data)
+        fake.reshape(blocks * NEAR, -1)[n:] = 0
+        adds.append((fake.transpose(0, 2, 1) @ near).reshape(-1, WIDTH + 1))
+        dq += (fake @ far).reshape(blocks * NEAR, -1)[:n]
+        for unit in (target, self.classes + target // self.size):
+            own = p.target[unit]
+            true = np.einsum("ij,ij->i", q[:n], own) - self.log_noise[unit]
+            g = (1 / (1 + np.exp(np.clip(true, -30, 30))))[:, None]  # 1 - P(data)
+            dq += g * own
+            rows.append(unit)
+            adds.append(g * q[:n])
+        dq = dq[:, :WIDTH]
+        place = [np.einsum("ij,ij->j", dq, v) for v in vectors]
+        context = np.concatenate([dq * w for w in p.place])
+        self.change("target", np.concatenate(rows), np.concatenate(adds), n)
+        self.change("context", np.concatenate(list(ctx)), context, n)
+        self.change("place", np.arange(CONTEXT), np.array(place), n)
         self.n += n
 
 
-def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int = 512) -> np.ndarray:
-    """log10 P(target class | context), normalised over all classes; each distinct context is normalised once."""
-    key = ctx[0]
-    for c in ctx[1:]:
-        key = key * CLASSES + c
-    _, one, back = np.unique(key, return_index=True, return_inverse=True)
-    wide = np.ascontiguousarray(np.concatenate([params.target, params.bias[:, None]], axis=1).T)
-    q = np.ones((len(one), WIDTH + 1), np.float32)
-    q[:, :WIDTH] = sum(params.context[c[one]] * w for c, w in zip(ctx, params.place))
-    far = len(one) and np.abs(q).max(0) @ np.abs(wide).max(1) > 80  # exp would leave single precision
-    total, ones = np.empty(len(one), np.float64), np.ones(CLASSES, np.float32)
-    logits = np.empty((rows, CLASSES), np.float32)
-    for a in range(0, len(one), rows):
-        z = logits[: len(q[a : a + rows])]
-        np.matmul(q[a : a + rows], wide, out=z)
+def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int = 1024) -> np.ndarray:
+    """log10 P(target class | context): of its group among the groups, and of the class inside its group."""
+    classes = len(params.context)
+    size = group_size(classes)
+    group = target // size
+    order = np.argsort(group, kind="stable")
+    out, bounds = np.empty(len(target), np.float64), np.searchsorted(group[order], np.arange(-(-classes // size) + 1))
+    own, groups = params.target[:classes], np.ascontiguousarray(params.target[classes:].T)
+    most = np.abs(params.target).max(0)
+
+    def part(q: np.ndarray, wide: np.ndarray, chosen: np.ndarray, far: bool) -> np.ndarray:
+        z = q @ wide
         if far:
             np.clip(z, -80, 80, out=z)
-        np.exp(z, out=z)
-        total[a : a + rows] = z @ ones
-    chosen = np.einsum("ij,ij->i", q[back], wide.T[target]).astype(np.float64)
-    if far:
-        chosen = np.clip(chosen, -80, 80)
-    return (chosen - np.log(total)[back]) / np.log(10)
+        picked = z[np.arange(len(z)), chosen].astype(np.float64)
+        return picked - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
+
+    for k in np.flatnonzero(np.diff(bounds)).tolist():
+        wide = np.ascontiguousarray(own[k * size : (k + 1) * size].T)
+        for a in range(bounds[k], bounds[k + 1], rows):
+            at = order[a : min(a + rows, bounds[k + 1])]
+            q = np.ones((len(at), WIDTH + 1), np.float32)
+            q[:, :WIDTH] = sum(params.context[c[at]] * w for c, w in zip(ctx, params.place))
+            far = np.abs(q).max(0) @ most > 80  # exp would leave single precision
+            out[at] = part(q, groups, np.full(len(at), k), far) + part(q, wide, target[at] - k * size, far)
+    return out / np.log(10)
 
 
 @dataclass
 class Vocabulary:
-    """What every worker needs of the counts; of a size set by TOP_WORDS and CLASSES, not by the corpus."""
+    """What every worker needs of the counts: TOP_WORDS words at most, and what is known of each class."""
 
     words: pa.Array  # frequent words, most frequent first
     counts: np.ndarray
@@ -198,34 +272,79 @@ class Vocabulary:
     share: np.ndarray  # smoothed share of each class in the training tokens
     rest_tokens: np.ndarray  # training tokens and distinct words of each rest class
     rest_words: np.ndarray
+    edges: np.ndarray = field(default_factory=lambda: EVEN)  # the ending at which each rest class but the first begins
 
     @property
     def base_unit(self) -> float:
         return float(np.log10(self.n + (self.v + 1)))
 
+    @property
+    def own(self) -> int:
+        """Words that are classes."""
+        return len(self.share) - len(self.rest_tokens)
+
+    def rest_classes(self, words: pa.Array) -> np.ndarray:
+        return self.own + np.searchsorted(self.edges, endings(words), "right")
+
     def table(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
         """Word index, and by index the class, log10(count + 1) and the log10 share inside the class."""
-        words = self.words.to_pylist()
-        own = CLASSES - REST
-        of_class = np.fromiter((i if i < own else rest_class(w) for i, w in enumerate(words)), np.int16, len(words))
+        own = self.own
+        of_class = self.rest_classes(self.words).astype(np.int32)
+        of_class[:own] = np.arange(min(own, len(of_class)))
         logs = np.log10(self.counts + 1.0)
         inside = logs - self.log_rest()[of_class]
         inside[:own] = 0
+        words = self.words.to_pylist()
         return dict(zip(words, range(len(words)))), of_class, logs, inside
 
     def log_rest(self) -> np.ndarray:
         """log10 of the smoothed token total of each class: every word of it has count + 1, and unseen words together 1."""
-        out = np.zeros(CLASSES)
-        out[CLASSES - REST :] = np.log10(self.rest_tokens + self.rest_words + 1.0)
+        out = np.zeros(len(self.share))
+        out[self.own :] = np.log10(self.rest_tokens + self.rest_words + 1.0)
         return out
 
 
+def _sums(counts: DataFrame, key) -> DataFrame:
+    """(key, n, v): tokens and distinct words by a number that ``key`` makes of the words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, at = np.unique(key(batch.column("word")), return_inverse=True)
+            n = np.bincount(at, np.asarray(batch.column("n")).astype(np.float64), len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64)), pa.array(np.bincount(at, minlength=len(keys)))], names=["key", "n", "v"])
+
+    return counts.mapInArrow(run, "key long, n long, v long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+
+
+def rest_edges(counts: DataFrame, taken: pa.Array, taken_counts: np.ndarray, rest: int, n: int) -> np.ndarray:
+    """The endings that cut the tokens outside ``taken`` into ``rest`` ranges of about the same size."""
+    left = n - float(taken_counts.sum())
+    sums = _sums(counts, endings)
+    for k in range(1, ENDING - 1):
+        # endings of few tokens are told apart by a byte less, by two bytes at last: 66,000 rows and some for each class come back
+        key = F.when(F.col("n") * 8 * rest >= left, F.col("key")).otherwise(F.col("key") - F.col("key") % 256**k)
+        sums = sums.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
+    got = sums.toArrow().sort_by("key")
+    keys, tokens_of = np.asarray(got.column("key")), np.asarray(got.column("n")).astype(np.float64)
+    if not len(keys):
+        return EVEN
+    of = endings(taken)
+    for k in range(ENDING - 1):  # where the words with classes have been counted
+        at = np.minimum(np.searchsorted(keys, of), len(keys) - 1)
+        of = np.where(keys[at] == of, of, of - of % 256 ** (k + 1))
+    np.subtract.at(tokens_of, at, taken_counts)
+    before = np.cumsum(np.maximum(tokens_of, 0))
+    cut = np.searchsorted(before, before[-1] * np.arange(1, rest) / rest, "left") + 1
+    return np.unique(keys[np.unique(cut[cut < len(keys)])])
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """Totals and the frequent words of (word, n) rows."""
+    """Totals, frequent words and classes of (word, n) rows."""
     # words by steps of their counts: how far down may the frequent ones reach?
     step = F.floor(F.log2("n") * 16)
     left, least = TOP_WORDS - 1, None
-    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):  # 64 * 16 rows at most
+    steps = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect(), reverse=True)  # 64 * 16 rows at most
+    for r in steps:
         left -= r.words
         if left < 0:
             break
@@ -235,23 +354,23 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     top = top.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
     order = sorted(range(len(top)), key=[w != END for w in top.column("word").to_pylist()].__getitem__)  # the end first
     top = top.take(pa.array(order, pa.int64()))
-    rest = F.crc32(F.expr("substring(word, -2, 2)")) % REST
-    totals = counts.groupBy(rest.alias("rest")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    tokens_of, words_of = np.zeros(REST), np.zeros(REST)
-    for r in totals:
-        tokens_of[r.rest], words_of[r.rest] = r.n, r.v
-    n, v = int(tokens_of.sum()), int(words_of.sum())
     words = top.column("word").combine_chunks() if len(top) else pa.array([], pa.binary())
     count = top.column("n").to_numpy().astype(np.float64) if len(top) else np.zeros(0)
-    own = CLASSES - REST
-    share = np.full(CLASSES, 0.5)
-    share[: min(own, len(count))] += count[:own]
-    for w, c in zip(words.slice(0, own).to_pylist(), count[:own]):
-        k = zlib.crc32(w[-2:]) % REST
-        tokens_of[k] -= c
-        words_of[k] -= 1
+    n, v = sum(r.n for r in steps), sum(r.words for r in steps)
+    own = max(CLASSES - REST, 1 + int((count[1:] >= LEAST).sum()))
+    taken, taken_counts = words.slice(0, own), count[:own]
+    edges = rest_edges(counts, taken, taken_counts, max(REST, own * REST // (CLASSES - REST)), n)
+    rest = len(edges) + 1
+    tokens_of, words_of = np.zeros(rest), np.zeros(rest)
+    for r in _sums(counts, lambda w: np.searchsorted(edges, endings(w), "right")).collect():
+        tokens_of[r.key], words_of[r.key] = r.n, r.v
+    of = np.searchsorted(edges, endings(taken), "right")
+    np.subtract.at(tokens_of, of, taken_counts)
+    np.subtract.at(words_of, of, 1)
+    share = np.full(own + rest, 0.5)
+    share[: len(taken)] += taken_counts
     share[own:] += tokens_of
-    return Vocabulary(words, count, n, v, share / share.sum(), tokens_of, words_of)
+    return Vocabulary(words, count, n, v, share / share.sum(), tokens_of, words_of, edges)
 
 
 class _SameObject:
@@ -272,14 +391,15 @@ def _table(shared) -> tuple:
     return kept_in_worker(_SameObject(shared.value), shared.value.table)
 
 
-def train_round(train: DataFrame, vocab, params: Params) -> Params:
-    """One pass of all partitions over their texts from the same parameters; their average, weighted by tokens."""
+def train_round(train: DataFrame, vocab, params: Params, turn: int = 0) -> Params:
+    """One pass of all partitions over their texts from the same parameters; a vector's mean change, weighted by how often it was changed."""
     spark = train.sparkSession
-    start = spark.sparkContext.broadcast(params.flat())
+    start = spark.sparkContext.broadcast(params)
+    columns = [f"x{k}" for k in range(WIDTH + 1)]
 
     def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, of_class, _, _ = _table(vocab)
-        trainer = Trainer(Params.of(start.value), vocab.value.share)
+        trainer = Trainer(start.value, vocab.value.share, (turn, TaskContext.get().partitionId()))
         for part in text_slices(batches):
             words, first = [], []
             for text in texts(part):
@@ -289,16 +409,24 @@ def train_round(train: DataFrame, vocab, params: Params) -> Params:
             at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
             target = np.where(at >= 0, of_class[at] if len(of_class) else 0, 0).astype(np.int64)
             rare = np.flatnonzero(at < 0)
-            target[rare] = [rest_class(words[i]) for i in rare.tolist()]
+            target[rare] = vocab.value.rest_classes(pa.array([words[i] for i in rare.tolist()], pa.binary()))
             ctx = contexts(target, np.concatenate(first))
             for a in range(0, len(target), BATCH):
                 trainer.learn(ctx[:, a : a + BATCH], target[a : a + BATCH])
         if trainer.n:
-            flat = trainer.p.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * trainer.n), pa.array(np.full(len(flat), trainer.n, np.int64))], names=["i", "x", "n"])
+            hits = np.concatenate(list(trainer.hits.__dict__.values()))
+            changed = np.flatnonzero(hits)
+            moved = (trainer.p.rows()[changed].astype(np.float64) - start.value.rows()[changed]) * hits[changed, None]
+            arrays = [pa.array(changed), pa.array(hits[changed]), *(pa.array(x.astype(np.float32)) for x in moved.T)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["i", "hits", *columns])
 
-    sums = train.select("text").mapInArrow(learn, "i int, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow().sort_by("i")
-    return Params.of(sums.column("x").to_numpy().astype(np.float32)) if len(sums) else params
+    schema = "i long, hits long, " + ", ".join(f"{c} float" for c in columns)
+    means = [(F.sum(c) / F.sum("hits")).alias(c) for c in columns]
+    got = written(train.select("text").mapInArrow(learn, schema).groupBy("i").agg(*means), "params").toArrow()
+    rows = params.rows().astype(np.float64)
+    if len(got):
+        rows[np.asarray(got.column("i"))] += np.stack([np.asarray(got.column(c)) for c in columns], axis=1)
+    return Params.of(rows, len(params.context))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -310,24 +438,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     vocab_value = vocabulary(counts)
     vocab = spark.sparkContext.broadcast(vocab_value)
     params = Params.start(vocab_value.share)
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
-    for turn in (0, 1):
-        params = train_round(train.where(half == turn), vocab, params)
-    final = spark.sparkContext.broadcast(params.flat())
+    share_of = F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS))
+    for turn in range(ROUNDS):
+        params = train_round(train.where(share_of == turn), vocab, params, turn)
+    final = spark.sparkContext.broadcast(params)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, of_class, logs, inside = _table(vocab)
-        v, p, row = vocab.value, Params.of(final.value), TaskContext.get().partitionId() << 40
+        v, p, row = vocab.value, final.value, TaskContext.get().partitionId() << 40
         log_rest = v.log_rest()
         for part in text_slices(batches):
-            at, first, tails, unknown_class = [], [], [], []
+            at, first, tails, unknown = [], [], [], []
             ends = np.empty(part.num_rows, np.int64)
             for i, text in enumerate(texts(part)):
                 words = tokens(text)
                 first.append(np.full(len(words), len(at)))
                 got = [index.get(w, -1) for w in words]
                 rare = [w for w, k in zip(words, got) if k < 0]
-                unknown_class += map(rest_class, rare)
+                unknown += rare
                 tails.append(Counter(rare))
                 at += got
                 ends[i] = len(at)
@@ -335,7 +463,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             known = at >= 0
             target = np.empty(len(at), np.int64)
             target[known] = of_class[at[known]]
-            target[~known] = unknown_class
+            target[~known] = v.rest_classes(pa.array(unknown, pa.binary()))
             model = log10_classes(p, contexts(target, np.concatenate(first)), target)
             model[known] += inside[at[known]]
             model[~known] -= log_rest[target[~known]]

@@ -83,3 +83,30 @@ def test_training_lowers_the_loss():
         trainer.learn(ctx[:, a : a + lbl.BATCH], target[a : a + lbl.BATCH])
     pick = rng.integers(100, len(target), 500)
     assert lbl.log10_classes(trainer.p, ctx[:, pick], target[pick]).mean() > lbl.log10_classes(start, ctx[:, pick], target[pick]).mean() + 0.3
+
+
+@pytest.mark.parametrize("n_words", [1000, 5000])
+def test_classes_grow_with_the_counted_words(spark, n_words):
+    often = [(b"w%d" % i, lbl.LEAST + i % 3) for i in range(n_words)]
+    rare = [(b"r%04dish" % i, 1 + i % 5) for i in range(9000)]  # of a hundred endings
+    counts = spark.createDataFrame([(lbl.END, 7), *often, *rare], "word binary, n long")
+    vocabulary = lbl.vocabulary(counts)
+    index, of_class, _, _ = vocabulary.table()
+    assert len({int(of_class[index[w]]) for w, _ in often}) == n_words == vocabulary.own - 1
+    assert (vocabulary.n, vocabulary.v) == (7 + sum(n for _, n in often + rare), 1 + n_words + 9000)
+    sizes = np.bincount(of_class[[index[w] for w, _ in rare]], minlength=len(vocabulary.share))[vocabulary.own :]
+    assert len(sizes) > lbl.REST and sizes.max() <= 3 * 9000 / len(sizes) and vocabulary.rest_words.tolist() == sizes.tolist()
+
+
+def test_grown_class_probabilities_sum_to_one_and_learn():
+    classes = 3001  # the last group is short
+    share = np.full(classes, 1 / classes)
+    target = np.tile(np.arange(1000, 3000, 10), 400)
+    ctx = lbl.contexts(target, np.zeros(len(target), np.int64))
+    start = lbl.Params.start(share)
+    trainer = lbl.Trainer(start, share, (0, 1))
+    for a in range(0, len(target), lbl.BATCH):
+        trainer.learn(ctx[:, a : a + lbl.BATCH], target[a : a + lbl.BATCH])
+    every = lbl.log10_classes(trainer.p, np.repeat(ctx[:, 500:501], classes, axis=1), np.arange(classes))
+    assert abs((10**every).sum() - 1) < 1e-5
+    assert lbl.log10_classes(trainer.p, ctx[:, :600], target[:600]).mean() > lbl.log10_classes(start, ctx[:, :600], target[:600]).mean() + 0.3
