@@ -45,9 +45,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two pieces of what is left."""
+    """Power-of-two pieces of what is left, with their ids."""
     ship_package(spark)
-    return pack_power_of_two(docs, f"{tokenizer_folder()}/word_bpe_49k.json", with_ids=False)
+    return pack_power_of_two(docs, f"{tokenizer_folder()}/word_bpe_49k.json")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

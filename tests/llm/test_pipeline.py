@@ -4,6 +4,7 @@ from collections import Counter
 import corpus_pipeline
 from test_lpf_dedup import given
 from test_minmax_dedup import brute as components_of
+from test_packing import expected, rebuilt
 
 from apportion.llm.common import table, written
 from apportion.llm.line_quality import LineRules, judge
@@ -64,3 +65,9 @@ def test_stages_on_odd_rows(spark, clashing, no_docs):
             out = written(stage(spark, docs, SF), "t")
             assert name == "packing" or out.columns == docs.columns
             assert docs is clashing or out.count() == 0
+
+
+def test_packing_keeps_the_ids(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    rows = dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF).collect()
+    assert rebuilt(rows) == expected([(r.doc_id, r.text) for r in docs.collect()])
