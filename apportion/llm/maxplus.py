@@ -433,8 +433,34 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.mapInArrow(run, f"{ENCODED}, text binary")
 
 
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials modulo the one of crc32, highest bit first as crc32 has them."""
+    out = 0
+    for k in range(31, -1, -1):
+        if a >> k & 1:
+            out ^= b
+        b = b >> 1 ^ 0xEDB88320 if b & 1 else b >> 1
+    return out
+
+
+def crc32_joined(first: int, second: int, n: int) -> int:
+    """crc32 of two byte strings in a row, from theirs and the length of the second."""
+    power, square, bits = 1 << 31, 1 << 30, 8 * n
+    while bits:
+        if bits & 1:
+            power = _times(square, power)
+        square, bits = _times(square, square), bits >> 1
+    return _times(power, first) ^ second
+
+
+DIGESTS = "doc_id long, chunk int, n_pieces long, score double, ids_crc32 long, n_bytes long, text_crc32 long"
+
+
 def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, chunk, n_pieces, score, checksums of ids (little-endian unsigned 32 bits) and of the bytes decoded from them."""
+    """doc_id, chunk (0), n_pieces, score, checksums of ids (little-endian unsigned 32 bits) and of the bytes decoded from them.
+
+    One row per text: the chunks of a giant one are joined in their order.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _Texts(worker_pieces(vocabulary))
@@ -443,10 +469,26 @@ def digests(encoded: DataFrame, vocabulary: str) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(counts)])
             crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
             text = texts.of(part)
-            columns = [part.column(c) for c in ("doc_id", "chunk", "n_pieces", "score")]
+            columns = [part.column(c) for c in ("row", "doc_id", "chunk", "n_pieces", "score")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(crc, pa.int64()), pa.array([len(t) for t in text], pa.int64()), pa.array([zlib.crc32(t) for t in text], pa.int64())],
-                names=["doc_id", "chunk", "n_pieces", "score", "ids_crc32", "n_bytes", "text_crc32"],
+                names=["row", "doc_id", "chunk", "n_pieces", "score", "ids_crc32", "n_bytes", "text_crc32"],
             )
 
-    return encoded.mapInArrow(run, "doc_id long, chunk int, n_pieces long, score double, ids_crc32 long, n_bytes long, text_crc32 long")
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, chunks in zip(batch.column("doc_id").to_pylist(), batch.column("chunks").to_pylist()):
+                ids_crc, text_crc = chunks[0]["ids_crc32"], chunks[0]["text_crc32"]
+                for c in chunks[1:]:
+                    ids_crc = crc32_joined(ids_crc, c["ids_crc32"], 4 * c["n_pieces"])
+                    text_crc = crc32_joined(text_crc, c["text_crc32"], c["n_bytes"])
+                n_pieces, score, n_bytes = (sum(c[k] for c in chunks) for k in ("n_pieces", "score", "n_bytes"))
+                out.append((doc, 0, n_pieces, score, ids_crc, n_bytes, text_crc))
+            if out:
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in DIGESTS.split(", ")])
+
+    # rows meet by number, and only digests travel: 8,000 chunks of a text at most
+    chunks = F.sort_array(F.collect_list(F.struct("chunk", "n_pieces", "score", "ids_crc32", "n_bytes", "text_crc32"))).alias("chunks")
+    return encoded.mapInArrow(run, f"row long, {DIGESTS}").groupBy("row").agg(F.max("doc_id").alias("doc_id"), chunks).mapInArrow(join, DIGESTS)

@@ -109,5 +109,17 @@ def test_digests(odd_docs, odd_texts):
     assert Counter((r.doc_id, r.text_crc32) for r in got) == Counter((i, zlib.crc32((t or "").replace("▁", " ").encode())) for i, t in odd_texts)
 
 
+def test_digests_of_giants_are_of_the_whole_text(odd_docs, odd_texts):
+    pieces = maxplus.Pieces(VOCABULARY)
+    expected = Counter()
+    for i, t in odd_texts:
+        ids, _, (score,) = pieces.encode([maxplus.marked(t or "")])
+        text = (t or "").replace("▁", " ").encode()
+        expected[i, 0, len(ids), round(score, 3), zlib.crc32(ids.astype("<u4").tobytes()), len(text), zlib.crc32(text)] += 1
+    for chunk in (500, maxplus.CHUNK):
+        got = maxplus.digests(maxplus.encode(odd_docs, VOCABULARY, chunk=chunk), VOCABULARY).collect()
+        assert Counter((r.doc_id, r.chunk, r.n_pieces, round(r.score, 3), r.ids_crc32, r.n_bytes, r.text_crc32) for r in got) == expected
+
+
 def test_no_rows(no_docs):
     assert maxplus.digests(maxplus.encode(no_docs, VOCABULARY), VOCABULARY).collect() == []
