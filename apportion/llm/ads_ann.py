@@ -9,8 +9,9 @@ each block a hypothesis test drops the candidates whose partial distance says
 that they lie beyond the tenth best. Survivors are measured exactly on the
 original vectors.
 
-Null, zero, empty or other-length vectors and vectors with null or non-finite
-components take no part. Repeated rows are candidates of their own and ask
+The width is the commonest length of the usable vectors (of equally common ones
+the larger). Null, zero, empty or other-length vectors and vectors with null or
+non-finite components take no part. Repeated rows are candidates of their own and ask
 once; a query never finds rows of its own id. An empty table gives no rows.
 """
 
@@ -55,10 +56,10 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def fit_index(vectors: DataFrame, n_rows: int, rounds: int = 8, seed: int = 4) -> Index:
-    """Rotation and k-means centroids of a sample: the ``SAMPLE`` rows of smallest id hash."""
+    """Rotation and k-means centroids of a sample of vectors of one length: the ``SAMPLE`` rows of smallest id hash."""
     rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().column("v").to_pylist()
-    width = len(rows[0])
-    x = np.array([r for r in rows if len(r) == width])
+    x = np.array(rows)
+    width = x.shape[1]
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(width, width)))[0]
     x = x @ rotation
@@ -110,9 +111,12 @@ def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_shar
     rows = usable(vectors)
     schema = "query_id long, rank int, vec_id long, score double"
     asking = F.col("vec_id") % query_step == 0
-    n_rows, n_queries = rows.agg(F.count("*"), F.count(F.when(asking, 1))).first()
-    if not n_rows:
+    lengths = rows.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n"), F.count(F.when(asking, 1)).alias("asking"))
+    most = lengths.orderBy(F.desc("n"), F.desc("width")).first()
+    if most is None:
         return spark.createDataFrame([], schema)
+    n_rows, n_queries = most.n, most.asking
+    rows = rows.where(F.size("v") == most.width)
     index = fit_index(rows, n_rows)
     shared = spark.sparkContext.broadcast(index)
     n_lists, width = index.centroids.shape

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from apportion.llm import ads_ann
 from apportion.llm.ads_ann import nearest
@@ -68,3 +69,14 @@ def test_few_and_repeated_rows(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None, 0)]])
 def test_no_rows(spark, rows):
     assert nearest(spark.createDataFrame(rows, TABLE)).collect() == []
+
+
+def test_one_short_vector_does_not_set_the_width(spark):
+    rows = vectors(40)
+    first = spark.range(40).orderBy(F.xxhash64("id")).first().id  # the row that a sample begins with
+    cut = [(i, v[:3] if i == first else v, x) for i, v, x in rows]
+    got = found(nearest(spark.createDataFrame(cut, TABLE), query_step=5, probe_share=1.0))
+    expected = brute([r for r in rows if r[0] != first], 5)
+    assert {q: [j for _, j in x] for q, x in got.items()} == {q: [j for _, j in x] for q, x in expected.items()}
+    tied = [(i, [float(i + 1)] * (2 if i < 20 else 3), 0) for i in range(40)]
+    assert set(found(nearest(spark.createDataFrame(tied, TABLE), query_step=10, probe_share=1.0))) == {20, 30}
