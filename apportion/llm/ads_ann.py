@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors that the centroids and the width are fitted on, at most.
@@ -105,6 +105,11 @@ def _scan(rotated: np.ndarray, original: np.ndarray, ids: np.ndarray, q_rotated:
     return exact[order], ids[alive][order]
 
 
+def query_part(parts: int) -> Column:
+    """The part of an asking row, from its data alone: a task that runs again gives the same."""
+    return F.pmod(F.xxhash64("query_id", "q"), F.lit(parts)).cast("int").alias("part")
+
+
 def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_share: float = 0.75) -> DataFrame:
     """The ``top`` nearest other rows of each row whose id ``query_step`` divides, out of its probed lists."""
     spark = vectors.sparkSession
@@ -147,8 +152,7 @@ def nearest(vectors: DataFrame, query_step: int = 100, top: int = 10, probe_shar
     stored = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     queries = rows.where(asking).dropDuplicates(["vec_id", "v"]).mapInArrow(probed, "query_id long, q array<double>, lists array<int>")
     asked = queries.select("query_id", "q", F.explode("lists").alias("list")).join(F.broadcast(blocks), "list")
-    part = F.pmod(F.xxhash64("query_id", F.monotonically_increasing_id()), F.lit(parts)).cast("int").alias("part")
-    asked = asked.select("query_id", "q", "list", part, F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
+    asked = asked.select("query_id", "q", "list", query_part(parts), F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"))
 
     def scan(key: tuple, candidates: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}

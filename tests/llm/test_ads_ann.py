@@ -80,3 +80,13 @@ def test_one_short_vector_does_not_set_the_width(spark):
     assert {q: [j for _, j in x] for q, x in got.items()} == {q: [j for _, j in x] for q, x in expected.items()}
     tied = [(i, [float(i + 1)] * (2 if i < 20 else 3), 0) for i in range(40)]
     assert set(found(nearest(spark.createDataFrame(tied, TABLE), query_step=10, probe_share=1.0))) == {20, 30}
+
+
+def test_parts_come_from_the_data(spark, monkeypatch):
+    monkeypatch.setattr(ads_ann, "QUERIES", 2)
+    df = spark.createDataFrame(vectors(60), TABLE)
+    plan = nearest(df, query_step=5)._jdf.queryExecution().analyzed().toString()
+    assert not [line for line in plan.splitlines() if "xxhash64" in line and "monotonically_increasing_id" in line]
+    asked = df.selectExpr("vec_id query_id", "embedding q")
+    parts = [{r.query_id: r.part for r in asked.repartition(n).select("query_id", ads_ann.query_part(3)).collect()} for n in (1, 7)]
+    assert parts[0] == parts[1] and set(parts[0].values()) == {0, 1, 2}
