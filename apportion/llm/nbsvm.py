@@ -68,7 +68,7 @@ class Features:
             counts[i] = len(split)
         new = list({w for w in words if w not in self.index})
         if new:
-            h = [(xxhash.xxh64_intdigest(w), xxhash.xxh64_intdigest(shape(w.decode()[:64]).encode(), 1)) for w in new]
+            h = [(xxhash.xxh64_intdigest(w), xxhash.xxh64_intdigest(shape(w.decode()).encode(), 1)) for w in new]
             self.hashes = np.concatenate([self.hashes, np.array(h, np.uint64)])
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))

@@ -1,8 +1,9 @@
 import zlib
 
 import numpy as np
+import xxhash
 
-from apportion.llm.nbsvm import dual_coordinate_descent, keep_good, score_quality
+from apportion.llm.nbsvm import Features, dual_coordinate_descent, keep_good, score_quality, shape
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,3 +54,12 @@ def test_dual_coordinate_descent_meets_the_primal():
 
     best = loss(w, b)
     assert all(best <= loss(w + (np.arange(len(w)) < 8) * rng.normal(0, 0.05, len(w)), b + rng.normal(0, 0.05)) + 1e-6 for _ in range(50))
+
+
+def test_shape_is_of_the_whole_word():
+    words = ["漢字" * 40 + end for end in ("A1", "b!", "")]
+    features = Features()
+    features.of([w.encode() for w in words])
+    for w in words:
+        assert features.hashes[features.index[w.encode()], 1] == xxhash.xxh64_intdigest(shape(w).encode(), 1)
+    assert len(set(features.hashes[:, 1].tolist())) == 3
