@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from apportion.llm import maxplus
+from apportion.llm.active_lloyd import code_digests, encode_vectors
 from apportion.llm.ads_ann import nearest
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
@@ -71,6 +72,11 @@ def q_op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def q_op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as 16 codes of 64 entries after two active-entry Lloyd rounds."""
+    return code_digests(encode_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_previous_factors": q_op1,
     "op2_line_quality": q_op2,
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_min_max_hash": q_op8,
     "op9_power_of_two_packing": q_op9,
     "op10_log_bilinear": q_op10,
+    "op11_active_lloyd": q_op11,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -183,4 +190,43 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(chars + 24) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id""",
+    # vectors of 64 components; a part's entry and distance travel as distance * 64 + entry, whose minimum is the nearest, ties to the lower
+    "op11_active_lloyd": """
+        WITH k AS (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+                   list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), p AS (
+            SELECT r, part, x[4 * part + 1] AS a, x[4 * part + 2] AS b, x[4 * part + 3] AS c, x[4 * part + 4] AS d FROM k, range(16) t(part)
+        ), b0 AS (
+            SELECT part, r - 1 AS entry, a, b, c, d FROM p WHERE r <= 64
+        ), a0 AS (
+            SELECT r, part, min(((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c) + (p.d - q.d) * (p.d - q.d)) * 64 + entry) AS m
+            FROM p JOIN b0 q USING (part) GROUP BY r, part
+        ), m1 AS (
+            SELECT part, m % 64 AS entry, floor(sum(a) / count(*)) AS a, floor(sum(b) / count(*)) AS b, floor(sum(c) / count(*)) AS c, floor(sum(d) / count(*)) AS d
+            FROM a0 JOIN p USING (r, part) GROUP BY 1, 2
+        ), b1 AS (
+            SELECT part, entry, CAST(coalesce(m1.a, b0.a) AS BIGINT) AS a, CAST(coalesce(m1.b, b0.b) AS BIGINT) AS b,
+                   CAST(coalesce(m1.c, b0.c) AS BIGINT) AS c, CAST(coalesce(m1.d, b0.d) AS BIGINT) AS d
+            FROM b0 LEFT JOIN m1 USING (part, entry)
+        ), a1 AS (
+            SELECT r, part, min(((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c) + (p.d - q.d) * (p.d - q.d)) * 64 + entry) AS m
+            FROM p JOIN b1 q USING (part) GROUP BY r, part
+        ), m2 AS (
+            SELECT part, m % 64 AS entry, floor(sum(a) / count(*)) AS a, floor(sum(b) / count(*)) AS b, floor(sum(c) / count(*)) AS c, floor(sum(d) / count(*)) AS d
+            FROM a1 JOIN p USING (r, part) GROUP BY 1, 2
+        ), b2 AS (
+            SELECT part, entry, CAST(coalesce(m2.a, b1.a) AS BIGINT) AS a, CAST(coalesce(m2.b, b1.b) AS BIGINT) AS b,
+                   CAST(coalesce(m2.c, b1.c) AS BIGINT) AS c, CAST(coalesce(m2.d, b1.d) AS BIGINT) AS d
+            FROM b1 LEFT JOIN m2 USING (part, entry)
+        ), a2 AS (
+            SELECT r, part, min(((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b) + (p.c - q.c) * (p.c - q.c) + (p.d - q.d) * (p.d - q.d)) * 64 + entry) AS m
+            FROM p JOIN b2 q USING (part) GROUP BY r, part
+        ), coded AS (
+            SELECT r, string_agg(printf('%02x', m % 64), '' ORDER BY part) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY r
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+        FROM coded JOIN k USING (r)""",
 }
