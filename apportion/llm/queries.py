@@ -18,6 +18,7 @@ from apportion.llm.minmax_dedup import MinMaxRules, near_duplicates
 from apportion.llm.nbsvm import score_quality
 from apportion.llm.packing import pack_power_of_two
 from apportion.llm.sharding import shard_by_slots
+from apportion.llm.whitening import whitened_components
 
 
 def q_op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +78,11 @@ def q_op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(encode_vectors(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2))
 
 
+def q_op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four whitened directions of largest variance."""
+    return whitened_components(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_previous_factors": q_op1,
     "op2_line_quality": q_op2,
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_power_of_two_packing": q_op9,
     "op10_log_bilinear": q_op10,
     "op11_active_lloyd": q_op11,
+    "op12_eigen_whitening": q_op12,
 }
 
 ORACLE_SQL: dict[str, str] = {
