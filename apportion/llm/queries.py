@@ -11,6 +11,7 @@ from apportion.llm.active_lloyd import code_digests, encode_vectors
 from apportion.llm.ads_ann import nearest
 from apportion.llm.chat import conversation_digests, format_conversations, with_marked_conversation
 from apportion.llm.common import table, tokenizer_folder
+from apportion.llm.improbable_digest import edited_digests
 from apportion.llm.lbl import score_documents
 from apportion.llm.line_quality import line_quality
 from apportion.llm.lpf_dedup import repeat_digests
@@ -83,6 +84,11 @@ def q_op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(table(spark, sf_dir, "embeddings"), components=4)
 
 
+def q_op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness."""
+    return edited_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_previous_factors": q_op1,
     "op2_line_quality": q_op2,
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_log_bilinear": q_op10,
     "op11_active_lloyd": q_op11,
     "op12_eigen_whitening": q_op12,
+    "op13_improbable_digest": q_op13,
 }
 
 ORACLE_SQL: dict[str, str] = {

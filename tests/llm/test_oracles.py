@@ -26,6 +26,7 @@ def test_query_returns_its_contract(spark, name):
         "op6": "doc_id size text_crc32 law shard slot grown_shard",
         "op9": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
         "op10": "doc_id held_out n_tokens n_known train_tokens base_score score",
+        "op13": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
         "op12": "vec_id component n deviation whitened explained identity_error",
     }[name.split("_")[0]].split()
     df = QUERIES[name](spark, SF)
