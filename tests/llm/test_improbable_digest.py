@@ -140,7 +140,7 @@ def test_no_documents(spark, no_docs):
 
 def test_table(spark):
     """Equal texts have equal fingerprints, edited texts stay near, others do not; some rows against plain loops."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = {r.doc_id: r for r in edited_digests(docs).collect()}
     text = {r.doc_id: r.text for r in docs.collect()}
     ids = sorted(text)
@@ -153,7 +153,7 @@ def test_table(spark):
     assert dict(enumerate(level_counts(docs).tolist())) == {lv: counts[lv] for lv in range(1001)}
     order = {lv: k for k, lv in enumerate(sorted(range(1001), key=lambda lv: (lv < op.LEAST_LEVEL, counts[lv], lv)))}
     assert order == dict(enumerate(ranks(level_counts(docs)).tolist()))
-    for k in range(0, len(ids), 97):
+    for k in range(0, len(ids), 19):
         i, after = ids[k], ids[(k + 1) % len(ids)]
         half = len(text[i]) // 2
         e = text[i][: len(text[i]) - half] + text[after][:half]
