@@ -17,7 +17,7 @@ library's lazy operators:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -67,9 +67,10 @@ class DataSet:
 
 
 def load(spark: SparkSession, ds: DataSet, params: Mapping[str, Any], tables: Mapping[str, DataFrame],
-         stored: DataFrame | None = None) -> DataFrame:
+         stored: DataFrame | None = None, raw: Mapping[str, str] | None = None,
+         allowed_raw: Iterable[str] = ()) -> DataFrame:
     """One data set as a typed DataFrame (steps 1-3)."""
-    src = run_script(spark, ds.sql, params, **tables)
+    src = run_script(spark, ds.sql, params, raw, allowed_raw, **tables)
     extra: list[str] = []
     if ds.target is not None and stored is not None:
         keys = {f.source: ds.target.columns[f.out] for f in ds.fields if f.is_key}
@@ -87,12 +88,13 @@ class SettlementResult:
 def run(spark: SparkSession, datasets: Sequence[DataSet], formulas: Sequence[Formula],
         params: Mapping[str, Any], tables: Mapping[str, DataFrame],
         read_stored: Callable[[str], DataFrame] | None = None,
-        checkpoint_every: int | None = None) -> SettlementResult:
+        checkpoint_every: int | None = None, raw: Mapping[str, str] | None = None,
+        allowed_raw: Iterable[str] = ()) -> SettlementResult:
     """Load every data set and apply the formulas in order (lazy until saved)."""
     frames = {}
     for ds in datasets:
         stored = read_stored(ds.target.table) if (ds.target is not None and read_stored) else None
-        frames[ds.name] = load(spark, ds, params, tables, stored)
+        frames[ds.name] = load(spark, ds, params, tables, stored, raw, allowed_raw)
     out = settle(frames, formulas, checkpoint_every=checkpoint_every)
     return SettlementResult(out, changed_datasets(list(formulas)))
 

@@ -5,9 +5,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from apportion.plans.queries import QUERIES
+from apportion.plans import job_queries, queries
 
 SF = "/root/testdata/sf0.001"
+QUERIES = {**queries.QUERIES, **job_queries.QUERIES}
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
