@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportion.operators.formula import add_result_columns, settle
+from apportion.operators.running import running_balance
 from apportion.plans.catalog import run_catalog
 from apportion.plans.formula_text import formula_from_text
 from apportion.plans.oracle import ORACLE_SQL as _CORE_SQL
@@ -105,13 +106,52 @@ def q_catalog_job(spark: SparkSession, d: str) -> DataFrame:
     return customer.select(F.col("custkey").cast("bigint").alias("c_custkey"), "exposure", F.round("avg_gap", 8).alias("avg_gap"))
 
 
+# ------------------------------------------------------------------- running rules
+
+def _running(spark: SparkSession, d: str, key: str) -> DataFrame:
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    items = orders.select("o_orderkey", F.expr(key).alias("k"), "o_orderdate",
+                          (F.lit(150000) - F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("change"))
+    done = running_balance(items, "k", ["o_orderdate", "o_orderkey"], "change", floor=0, cap=400000)
+    return as_double(done.select("o_orderkey", "k", "balance"), "balance")
+
+
+def q_running_balance(spark: SparkSession, d: str) -> DataFrame:
+    """A customer's allowance: 150,000 an order less its price, carried over between 0 and 400,000."""
+    return _running(spark, d, "o_custkey")
+
+
+def q_running_balance_hot(spark: SparkSession, d: str) -> DataFrame:
+    """The same rule over five books, each of which lies in many ranges."""
+    return _running(spark, d, "o_custkey % 5")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "formula_text": q_formula_text,
     "formula_text_rules": q_formula_text_rules,
     "catalog_job": q_catalog_job,
+    "running_balance": q_running_balance,
+    "running_balance_hot": q_running_balance_hot,
 }
 
+
+
+def _running_sql(key: str) -> str:
+    return f"""
+        WITH RECURSIVE n AS (
+            SELECT o_orderkey, {key} AS k, 15000000 - CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+                   row_number() OVER (PARTITION BY {key} ORDER BY o_orderdate, o_orderkey) AS i FROM orders
+        ), r AS (
+            SELECT o_orderkey, k, i, least(greatest(cents, 0), 40000000) AS b FROM n WHERE i = 1
+            UNION ALL
+            SELECT n.o_orderkey, n.k, n.i, least(greatest(r.b + n.cents, 0), 40000000) FROM r JOIN n ON n.k = r.k AND n.i = r.i + 1
+        )
+        SELECT o_orderkey, k, b / 100 AS balance FROM r"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "running_balance": _running_sql("o_custkey"),
+    "running_balance_hot": _running_sql("o_custkey % 5"),
     "formula_text": _CORE_SQL["formula_chain"],
     "catalog_job": _CORE_SQL["formula_chain"],
     "formula_text_rules": """
