@@ -87,6 +87,10 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
         raise KeyError(f"formula {formula.name!r}: unknown data set {target!r}")
     df = frames[target]
     temps: list[str] = []
+    # what tells rows with a null match key apart: the first column and those the formula reads anyway
+    read = [df.columns[0], *(c for c, _ in formula.filter)]
+    for it in formula.items:
+        read += [it.field, *(left for i in it.inputs for left, _ in i.on), *(i.field for i in it.inputs if _is_self_value(i, target))]
 
     cond = equality(df, formula.filter)
     written = {it.field for it in formula.items}
@@ -119,7 +123,7 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
                         if inp.dataset not in frames:
                             raise KeyError(f"formula {formula.name!r}: unknown data set {inp.dataset!r}")
                         source = frames[inp.dataset]
-                    joined = join_group(df, source, pending)
+                    joined = join_group(df, source, pending, read)
                     df = joined.df
                     temps += joined.temps
                     live[key] = joined.bindings

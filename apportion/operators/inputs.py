@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from apportion.functions.filters import equality
 from apportion.functions.lists import get_list_fn
+from apportion.operators.keys import join_matches
 from apportion.specs import DECOMPOSABLE_LIST_FNS, Input
 
 _seq = itertools.count()
@@ -177,8 +178,9 @@ def _filtered_source(source: DataFrame, inputs: Sequence[Input]) -> tuple[DataFr
     return src, {k: _Rows(c) for k, c in by_filter.items()}
 
 
-def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joined:
-    """Aggregate ``source`` once for all ``inputs`` (same data set and match) and left-join onto ``df``."""
+def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input], spread_by: Sequence[str] = ()) -> Joined:
+    """Aggregate ``source`` once for all ``inputs`` (same data set and match) and left-join onto ``df``
+    (null match keys are spread by ``spread_by``, see :func:`apportion.operators.keys.join_matches`)."""
     first = inputs[0]
     src, selectors = _filtered_source(source, inputs)
     by_sig: dict[tuple, list[Input]] = {}
@@ -220,11 +222,8 @@ def join_group(df: DataFrame, source: DataFrame, inputs: Sequence[Input]) -> Joi
                  .select(*[F.col(packed)[k].alias(k) for k in keys], *[F.col(t) for t in temps]))
     else:
         right = src.groupBy(*named).agg(*aggs)  # the join reuses the aggregate's partitioning
-    on = [F.col(left) == F.col(k) for (left, _), k in zip(first.on, keys)]
-    cond_all = on[0]
-    for c in on[1:]:
-        cond_all = cond_all & c
-    out = df.join(right, cond_all, "left").drop(*keys)
+    pairs = [(left, k) for (left, _), k in zip(first.on, keys)]
+    out = join_matches(df, right, pairs, spread_by).drop(*keys)
     return Joined(out, bindings, temps)
 
 

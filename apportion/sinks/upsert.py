@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apportion.functions.scalar import text_to_ts
+from apportion.operators.keys import join_matches
 
 
 def _mapped(df: DataFrame, mapping: Mapping[str, str], dates: Sequence[str]) -> list:
@@ -69,20 +70,23 @@ def tag_changes(changed: DataFrame, mapping: Mapping[str, str], pk: str, old_id:
 
 def merge_changes(stored: DataFrame, changed: DataFrame, mapping: Mapping[str, str], pk: str,
                   old_id: str = "OLD_ID", dates: Sequence[str] = ()) -> DataFrame:
-    """The stored table after the changes, in ONE full outer join on the key:
-    stored rows without a change stay, updated rows take the mapped columns
-    from the change (unmapped columns from the stored row), inserts are
-    appended. Several updates of one stored row raise when it is evaluated."""
+    """The stored table after the changes: one left join with the updates, and the inserts appended as they lie.
+
+    Stored rows without a change stay, updated rows take the mapped columns
+    from the change (unmapped columns from the stored row). Updates of one
+    stored row are counted per key; several raise when it is evaluated. An
+    update of a row that is not stored changes nothing. Inserts are neither
+    shuffled nor aggregated, so keys that the store makes later (null here) gather nowhere.
+    """
     tagged = tag_changes(changed, mapping, pk, old_id, dates, action="__action")
     new = {c: f"__new_{c}" for c in tagged.columns if c != "__action"}
-    # one group per updated row (its count is the guard), one per insert
-    alone = F.when(F.col("__action") == "insert", F.monotonically_increasing_id())
-    right = (tagged.select("__action", *[F.col(c).alias(n) for c, n in new.items()], alone.alias("__alone"))
-             .groupBy(new[pk], "__action", "__alone")
-             .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[n for n in new.values()])).alias("__row")))
-    match = (F.col(pk) == F.col(new[pk])) & (F.col("__action") == "update")
-    j = stored.join(right, match, "full_outer")
+    updates = (tagged.where(F.col("__action") == "update").select(*[F.col(c).alias(n) for c, n in new.items()])
+               .groupBy(new[pk]).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*new.values())).alias("__row")))
+    j = join_matches(stored, updates, [(pk, new[pk])])
     several = F.raise_error(F.concat(F.lit("several changes of one stored row: "), F.col(new[pk]).cast("string")))
     changes = F.when(F.col("__n") > 1, several.cast("boolean")).otherwise(F.col("__n").isNotNull())
-    return j.select(*[F.when(changes, F.col("__row")[new[c]]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+    kept = j.select(*[F.when(changes, F.col("__row")[new[c]]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
                       for c in stored.columns])
+    inserts = tagged.where(F.col("__action") == "insert")
+    types = {f.name: f.dataType for f in stored.schema.fields}
+    return kept.unionByName(inserts.select(*[(F.col(c) if c in new else F.lit(None)).cast(types[c]).alias(c) for c in stored.columns]))

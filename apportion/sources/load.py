@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from apportion.functions.scalar import natural_key_id, ts_to_text
+from apportion.operators.keys import join_matches
 
 # Type codes of data set fields.
 STRING, NUMBER, DATE = 1, 2, 3
@@ -103,11 +104,11 @@ def attach_old_id(src: DataFrame, target: DataFrame, keys: Sequence[str] | Mappi
     named = [F.col(r).alias(t) for (_, r), t in zip(pairs, tk)]
     right = (target.where(reduce(and_, [F.col(r).isNotNull() for _, r in pairs])).groupBy(*named)
              .agg(F.count(F.lit(1)).alias("__n"), F.any_value(pk).alias("__pk")))
-    cond = reduce(and_, [F.col(left) == F.col(t) for (left, _), t in zip(pairs, tk)])
     several = F.raise_error(F.concat(F.lit(f"stored rows are not unique on {[r for _, r in pairs]}: "),
                                      F.to_json(F.struct(*tk))))
     guarded = F.when(F.col("__n") > 1, several).otherwise(F.col("__pk")).alias(out)
-    return src.join(right, cond, "left").select(*[F.col(c) for c in src.columns], guarded)
+    joined = join_matches(src, right, [(left, t) for (left, _), t in zip(pairs, tk)], [*src.columns[:1], *(left for left, _ in pairs)])
+    return joined.select(*[F.col(c) for c in src.columns], guarded)
 
 
 def duplicate_keys(target: DataFrame, keys: Sequence[str], src: DataFrame | None = None,
