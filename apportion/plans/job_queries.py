@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportion.operators.formula import add_result_columns, settle
+from apportion.operators.quantiles import keyed_quantiles
 from apportion.operators.running import running_balance
 from apportion.plans.catalog import run_catalog
 from apportion.plans.formula_text import formula_from_text
@@ -126,10 +127,18 @@ def q_running_balance_hot(spark: SparkSession, d: str) -> DataFrame:
     return _running(spark, d, "o_custkey % 5")
 
 
+def q_list_quantile(spark: SparkSession, d: str) -> DataFrame:
+    """Exact quantiles of the line prices of each return flag (one holds half of all rows)."""
+    lineitem = read_table(spark, d, "lineitem", ["l_returnflag", "l_extendedprice"])
+    shares = {"q10": "0.1", "q25": "0.25", "median": "0.5", "q90": "0.9", "q999": "0.999"}
+    return keyed_quantiles(lineitem, "l_returnflag", "l_extendedprice", shares)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "formula_text": q_formula_text,
     "formula_text_rules": q_formula_text_rules,
     "catalog_job": q_catalog_job,
+    "list_quantile": q_list_quantile,
     "running_balance": q_running_balance,
     "running_balance_hot": q_running_balance_hot,
 }
@@ -150,6 +159,11 @@ def _running_sql(key: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "list_quantile": """
+        SELECT l_returnflag, count(*) AS n, quantile_disc(l_extendedprice, 0.1) AS q10, quantile_disc(l_extendedprice, 0.25) AS q25,
+               quantile_disc(l_extendedprice, 0.5) AS median, quantile_disc(l_extendedprice, 0.9) AS q90,
+               quantile_disc(l_extendedprice, 0.999) AS q999
+        FROM lineitem GROUP BY l_returnflag""",
     "running_balance": _running_sql("o_custkey"),
     "running_balance_hot": _running_sql("o_custkey % 5"),
     "formula_text": _CORE_SQL["formula_chain"],
