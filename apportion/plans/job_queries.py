@@ -13,8 +13,11 @@ from apportion.operators.running import running_balance
 from apportion.plans.catalog import run_catalog
 from apportion.plans.formula_text import formula_from_text
 from apportion.plans.oracle import ORACLE_SQL as _CORE_SQL
-from apportion.plans.queries import as_double, formula_chain_frames, with_dec
-from apportion.sources.readers import read_table
+from apportion.plans.queries import as_double, dec2, formula_chain_formulas, formula_chain_frames, with_dec
+from apportion.sinks.stored_table import create_stored, read_stored, save_changes
+from apportion.sinks.together import read_saved, save_together
+from apportion.sources.load import attach_old_id
+from apportion.sources.readers import read_table, scratch_path
 
 # ------------------------------------------------------------------ formulas as text
 
@@ -134,11 +137,40 @@ def q_list_quantile(spark: SparkSession, d: str) -> DataFrame:
     return keyed_quantiles(lineitem, "l_returnflag", "l_extendedprice", shares)
 
 
+# ------------------------------------------------------------------- stored tables
+
+def q_rewrite_changed(spark: SparkSession, d: str) -> DataFrame:
+    """Nine tenths of the orders stored in 64 folders; some customers' orders change, orders not yet stored are inserted."""
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+    path = scratch_path(spark, "orders-stored")
+    rows = orders.select(F.col("o_orderkey").alias("id"), dec2("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+    create_stored(rows.where("id % 10 <> 0"), path, "id", 64)
+    changes = orders.where("o_custkey % 97 = 5 OR o_orderkey % 10 = 0").select("o_orderkey", (dec2("o_totalprice") + 1).alias("price"))
+    changed = attach_old_id(changes, read_stored(spark, path), {"o_orderkey": "id"}, "id")
+    save_changes(changed, path, {"o_orderkey": "id", "price": "price"}, "id", 64)
+    return as_double(read_stored(spark, path), "price")
+
+
+def q_save_together(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and customers of the flagship chain saved as one version over an earlier one, and read back."""
+    root = scratch_path(spark, "together")
+    frames = formula_chain_frames(spark, d)
+    save_together({n: frames[n] for n in ("orders", "customer")}, root, "before")
+    settled = settle({n: read_saved(spark, root, n) if n != "lineitem" else frames[n] for n in frames}, formula_chain_formulas())
+    for _ in range(2):  # the second run of the job changes nothing
+        save_together({n: settled[n] for n in ("orders", "customer")}, root, "after")
+    order = read_saved(spark, root, "orders").select(F.lit("orders").alias("saved"), F.col("o_orderkey").alias("id"), F.col("gap").alias("value"))
+    customer = read_saved(spark, root, "customer").select(F.lit("customer").alias("saved"), F.col("c_custkey").alias("id"), F.col("exposure").alias("value"))
+    return as_double(order.unionByName(customer), "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "formula_text": q_formula_text,
     "formula_text_rules": q_formula_text_rules,
     "catalog_job": q_catalog_job,
     "list_quantile": q_list_quantile,
+    "rewrite_changed": q_rewrite_changed,
+    "save_together": q_save_together,
     "running_balance": q_running_balance,
     "running_balance_hot": q_running_balance_hot,
 }
@@ -159,6 +191,23 @@ def _running_sql(key: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "rewrite_changed": """
+        SELECT o_orderkey AS id, CAST(CASE WHEN o_custkey % 97 = 5 OR o_orderkey % 10 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
+                                           ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price,
+               CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus END AS status
+        FROM orders""",
+    "save_together": """
+        WITH b AS (
+            SELECT l_orderkey, SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(20,4))) AS billed
+            FROM lineitem GROUP BY l_orderkey
+        ), o AS (
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F'
+                   THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) - COALESCE(billed, 0) AS DECIMAL(24,4)) ELSE 0 END AS gap
+            FROM orders LEFT JOIN b ON o_orderkey = l_orderkey
+        )
+        SELECT 'orders' AS saved, o_orderkey AS id, CAST(gap AS DOUBLE) AS value FROM o
+        UNION ALL
+        SELECT 'customer', c_custkey, CAST(COALESCE(SUM(gap), 0) AS DOUBLE) FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_custkey""",
     "list_quantile": """
         SELECT l_returnflag, count(*) AS n, quantile_disc(l_extendedprice, 0.1) AS q10, quantile_disc(l_extendedprice, 0.25) AS q25,
                quantile_disc(l_extendedprice, 0.5) AS median, quantile_disc(l_extendedprice, 0.9) AS q90,
