@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportion.operators.formula import add_result_columns, settle
+from apportion.operators.pages import paged_list
 from apportion.operators.quantiles import keyed_quantiles
 from apportion.operators.running import running_balance
 from apportion.plans.catalog import run_catalog
 from apportion.plans.formula_text import formula_from_text
 from apportion.plans.oracle import ORACLE_SQL as _CORE_SQL
-from apportion.plans.queries import as_double, dec2, formula_chain_formulas, formula_chain_frames, with_dec
+from apportion.plans.queries import LINE_ORDER, as_double, dec2, formula_chain_formulas, formula_chain_frames, with_dec
 from apportion.sinks.stored_table import create_stored, read_stored, save_changes
 from apportion.sinks.together import read_saved, save_together
+from apportion.sources.bucketed import save_bucketed
 from apportion.sources.load import attach_old_id
 from apportion.sources.readers import read_table, scratch_path
+from apportion.sources.semi import variant_field, with_variant
 
 # ------------------------------------------------------------------ formulas as text
 
@@ -137,6 +141,33 @@ def q_list_quantile(spark: SparkSession, d: str) -> DataFrame:
     return keyed_quantiles(lineitem, "l_returnflag", "l_extendedprice", shares)
 
 
+def q_list_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The order keys of each return flag's lines, in order, as text in pages of 500."""
+    lineitem = read_table(spark, d, "lineitem", ["l_returnflag", "l_orderkey", *LINE_ORDER])
+    return paged_list(lineitem, "l_returnflag", ["l_orderkey", *LINE_ORDER], ["l_orderkey"], 500, form="text")
+
+
+# ---------------------------------------------------------------------- sources
+
+def q_attach_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Stored ids for all line items' orders from a stored table bucketed by the natural key: only the line items move."""
+    stored = read_table(spark, d, "orders", where="o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("order_no"), F.concat(F.lit("S"), F.col("o_orderkey").cast("string")).alias("id"))
+    name = f"stored_orders_{uuid.uuid4().hex}"
+    bucketed = save_bucketed(stored, name, ["order_no"], 8, scratch_path(spark, "bucketed"))
+    lines = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    return attach_old_id(lines, bucketed, {"l_orderkey": "order_no"}, "id")
+
+
+def q_variant_props(spark: SparkSession, d: str) -> DataFrame:
+    """Event properties read without a schema, per event type; texts cut short (every seventeenth) are counted apart."""
+    events = read_table(spark, d, "events", ["event_id", "event_type", "props"])
+    cut = F.when(F.col("event_id") % 17 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    read = with_variant(events.withColumn("props", cut), "props")
+    k = variant_field("variant", "$.k", "bigint")
+    return read.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("malformed").alias("n_malformed"), F.sum(k).alias("sum_k"), F.max(k).alias("max_k"))
+
+
 # ------------------------------------------------------------------- stored tables
 
 def q_rewrite_changed(spark: SparkSession, d: str) -> DataFrame:
@@ -169,6 +200,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "formula_text_rules": q_formula_text_rules,
     "catalog_job": q_catalog_job,
     "list_quantile": q_list_quantile,
+    "list_pages": q_list_pages,
+    "attach_bucketed": q_attach_bucketed,
+    "variant_props": q_variant_props,
     "rewrite_changed": q_rewrite_changed,
     "save_together": q_save_together,
     "running_balance": q_running_balance,
@@ -191,6 +225,22 @@ def _running_sql(key: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "list_pages": f"""
+        WITH n AS (
+            SELECT l_returnflag, l_orderkey, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, {', '.join(LINE_ORDER)}) - 1 AS i FROM lineitem
+        )
+        SELECT l_returnflag, i // 500 AS page, count(*) AS n, string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY i) AS items
+        FROM n GROUP BY l_returnflag, i // 500""",
+    "attach_bucketed": """
+        SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN o_orderkey IS NOT NULL THEN 'S' || o_orderkey END AS OLD_ID
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus = 'F'""",
+    "variant_props": """
+        WITH e AS (
+            SELECT event_type, TRY_CAST(CASE WHEN event_id % 17 = 0 THEN left(props, length(props) - 1) ELSE props END AS JSON) AS j FROM events
+        )
+        SELECT event_type, count(*) AS n, count(*) FILTER (j IS NULL) AS n_malformed,
+               CAST(sum(CAST(j->>'$.k' AS BIGINT)) AS BIGINT) AS sum_k, max(CAST(j->>'$.k' AS BIGINT)) AS max_k
+        FROM e GROUP BY event_type""",
     "rewrite_changed": """
         SELECT o_orderkey AS id, CAST(CASE WHEN o_custkey % 97 = 5 OR o_orderkey % 10 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
                                            ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE) AS price,

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Hash-predicate templates per database dialect; {col}, {n}, {i} are filled in.
 HASH_PREDICATES = {
     "oracle": "MOD(ORA_HASH({col}, 10000), {n}) = {i}",
-    "postgres": "MOD(ABS(HASHTEXT(CAST({col} AS TEXT))), {n}) = {i}",
+    "postgres": "MOD(ABS(CAST(HASHTEXT(CAST({col} AS TEXT)) AS BIGINT)), {n}) = {i}",
     "mysql": "MOD(CRC32({col}), {n}) = {i}",
-    "derby": "MOD(ABS({col}), {n}) = {i}",
+    "derby": "MOD(MOD({col}, {n}) + {n}, {n}) = {i}",
 }
 
 

@@ -147,7 +147,7 @@ def avg_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = No
 
 def list_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = None,
             fn: str | Callable[[Column], Column] = "array", order_by: Sequence[str] = (),
-            fields: Sequence[str] = (), default: float | None = None) -> Input:
+            fields: Sequence[str] = (), default: float | None = None, hot_keys: bool = False) -> Input:
     """Matching rows as a list, reduced by ``fn``.
 
     ``fn`` is a decomposable name (count/sum/avg/min/max/first/last), a
@@ -157,7 +157,7 @@ def list_of(name: str, dataset: str, field: str, on: Any = None, filter: Any = N
     none are given) to their values as text.
     """
     return _mk("list", name, dataset, field, on, filter, fn=fn, order_by=tuple(order_by),
-               fields=tuple(fields), default=default)
+               fields=tuple(fields), default=default, hot_keys=hot_keys)
 
 
 @dataclass(frozen=True)
