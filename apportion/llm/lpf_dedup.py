@@ -83,36 +83,43 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return h[place[first]], place[first], first, last
 
 
-def keyed(docs: DataFrame, length: int) -> DataFrame:
-    """(doc, h, text): id, text hash and text of the documents that hold a window."""
+#: What tells documents apart: the id, and 128 bits of the text's hash where ids are equal or null.
+DOC = ["doc", "h", "g"]
+
+
+def key_columns() -> list[Column]:
+    """The columns DOC of a document."""
     text = F.col("text").cast("string")
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text_hash(text).alias("h"), text.alias("text")
-    ).where(F.octet_length("text") >= length)
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), *(h.alias(c) for h, c in zip(text_hashes(text), DOC[1:]))]
+
 
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a text."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
-def text_hash(text: Column) -> Column:
-    """31 bits of the text's hash, to tell texts of one id apart."""
-    return F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
+
+def keyed(docs: DataFrame, length: int) -> DataFrame:
+    """(doc, h, g, text): key and text of the documents that hold a window."""
+    return docs.select(*key_columns(), F.col("text").cast("string").alias("text")).where(F.octet_length("text") >= length)
 
 
 def anchor_rows(rows: DataFrame, length: int) -> DataFrame:
-    """(gram, stretch, doc, at, first, last): an anchor's hash, its stretch's hash, and its places; ``at`` is h << 32 | place."""
+    """(gram, stretch, doc, h, g, at, first, last): an anchor's hash, its stretch's hash, its document, its place and its windows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_in_worker("anchors", lambda: None)  # other operators' tables go
         for part in text_slices(batches):
             out: list[tuple[np.ndarray, ...]] = []
-            for doc, h, text in zip(part.column("doc").to_pylist(), part.column("h").to_pylist(), texts(part)):
+            for doc, h, g, text in zip(*(part.column(c).to_pylist() for c in DOC), texts(part)):
                 for base in range(0, len(text) - length + 1, BLOCK):
                     block = text[base : base + BLOCK + length - 1]
                     gram, place, first, last = anchors(np.frombuffer(block, np.uint8), length)
                     stretch = [xxhash.xxh64_intdigest(block[a : b + length], p - a) for a, b, p in zip(first.tolist(), last.tolist(), place.tolist())]
-                    out.append((gram, np.array(stretch, np.uint64), np.full(len(gram), doc), (h << 32) + base + place, base + first, base + last))
+                    out.append((gram, np.array(stretch, np.uint64), *(np.full(len(gram), x) for x in (doc, h, g)), base + place, base + first, base + last))
             columns = [np.concatenate(c).astype(np.uint64 if i < 2 else np.int64) for i, c in enumerate(zip(*out))]
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["gram", "stretch", "doc", "at", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["gram", "stretch", *DOC, "at", "first", "last"])
 
-    return rows.mapInArrow(run, "gram long, stretch long, doc long, at long, first long, last long")
+    return rows.mapInArrow(run, "gram long, stretch long, doc long, h long, g long, at long, first long, last long")
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
@@ -133,14 +140,14 @@ def suffix_ranks(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarra
     return _ranks(rank[places] * len(rank) + rank[places + length - w])
 
 
-def previous_and_next(rank: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def previous_and_next(rank: np.ndarray, *position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether the longest previous and the longest next factor of each window reach its whole length.
 
-    Windows of one rank are neighbours in suffix order; with their positions
-    ascending, the previous smaller position that shares the whole window is
+    Windows of one rank are neighbours in suffix order; with their positions (document
+    first) ascending, the previous smaller position that shares the whole window is
     the neighbour before, and the next greater one the neighbour behind.
     """
-    order = np.lexsort((at, doc, rank))
+    order = np.lexsort((*position[::-1], rank))
     r = rank[order]
     same = r[1:] == r[:-1]
     before, behind = np.zeros(len(r), bool), np.zeros(len(r), bool)
@@ -155,24 +162,24 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1) - 1
 
 
-STRETCH = "gram long, n long, kinds long, doc long, h long, first long, bytes binary"
+STRETCH = "gram long, n long, kinds long, doc long, h long, g long, first long, bytes binary"
 
 
 def stretch_bytes(kinds: DataFrame, rows: DataFrame, length: int) -> DataFrame:
     """The bytes of one stretch of each kind, cut from its document."""
-    wanted = kinds.groupBy("doc", "h").agg(F.collect_list(F.struct("gram", "n", "kinds", "first", "last")).alias("wanted"))  # bounded by a document
-    source = rows.join(wanted, ["doc", "h"]).dropDuplicates(["doc", "h"])
+    wanted = kinds.groupBy(*DOC).agg(F.collect_list(F.struct("gram", "n", "kinds", "first", "last")).alias("wanted"))  # bounded by a document
+    source = rows.join(wanted, DOC).dropDuplicates(DOC)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in STRETCH.split(", ")]
-        types = [pa.int64()] * 6 + [pa.binary()]
+        types = [pa.int64()] * 7 + [pa.binary()]
         for part in text_slices(batches):
             out = []
-            for doc, h, text, wanted in zip(part.column("doc").to_pylist(), part.column("h").to_pylist(), texts(part), part.column("wanted").to_pylist()):
-                out += [(w["gram"], w["n"], w["kinds"], doc, h, w["first"], text[w["first"] : w["last"] + length]) for w in wanted]
+            for doc, h, g, text, wanted in zip(*(part.column(c).to_pylist() for c in DOC), texts(part), part.column("wanted").to_pylist()):
+                out += [(w["gram"], w["n"], w["kinds"], doc, h, g, w["first"], text[w["first"] : w["last"] + length]) for w in wanted]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    return source.select("doc", "h", "text", "wanted").mapInArrow(run, STRETCH)
+    return source.select(*DOC, "text", "wanted").mapInArrow(run, STRETCH)
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -192,7 +199,7 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
 
 
 def matched(stretches: DataFrame, length: int, keep: str) -> DataFrame:
-    """(doc, h, a, b) byte spans of repeated windows, from stretches gathered by anchor."""
+    """(doc, h, g, a, b) byte spans of repeated windows, from stretches gathered by anchor."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _chunks(batches):
@@ -202,18 +209,18 @@ def matched(stretches: DataFrame, length: int, keep: str) -> DataFrame:
             owner = np.repeat(np.arange(len(rows)), counts)
             inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             rank = suffix_ranks(np.frombuffer(b"".join(r["bytes"] for r in rows), np.uint8), (ends - sizes)[owner] + inside, length)
-            doc, h, first = (np.array([r[c] for r in rows], np.int64) for c in ("doc", "h", "first"))
-            before, behind = previous_and_next(rank, doc[owner], (h[owner] << 32) + first[owner] + inside)
+            doc, h, g, first = (np.array([r[c] for r in rows], np.int64) for c in (*DOC, "first"))
+            before, behind = previous_and_next(rank, doc[owner], h[owner], g[owner], first[owner] + inside)
             flags = before if keep == "first" else before | behind
             flags = np.insert(flags, np.cumsum(counts), False)  # a run ends with its stretch
             a, b = _runs(flags)
             shifted = np.repeat(np.arange(len(rows)), counts + 1)
             starts = np.cumsum(counts + 1) - (counts + 1)
             who = shifted[a]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[who], h[who], first[who] + a - starts[who], first[who] + b - starts[who] + length)], names=["doc", "h", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[who], h[who], g[who], first[who] + a - starts[who], first[who] + b - starts[who] + length)], names=[*DOC, "a", "b"])
 
     by_anchor = stretches.where(F.col("kinds") <= GATHERED).repartition("gram").sortWithinPartitions("gram")
-    return by_anchor.mapInArrow(run, "doc long, h long, a long, b long")
+    return by_anchor.mapInArrow(run, "doc long, h long, g long, a long, b long")
 
 
 def counted(stretches: DataFrame, length: int, keep: str) -> DataFrame:
@@ -225,21 +232,20 @@ def counted(stretches: DataFrame, length: int, keep: str) -> DataFrame:
                 out = []
                 for r in batch.slice(a, 256).to_pylist():
                     data = r["bytes"]
-                    out += [(xxhash.xxh3_128_digest(data[i : i + length]), r["doc"], (r["h"] << 32) + r["first"] + i) for i in range(len(data) - length + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64()))], names=["window", "doc", "at"])
+                    out += [(xxhash.xxh3_128_digest(data[i : i + length]), r["doc"], r["h"], r["g"], r["first"] + i) for i in range(len(data) - length + 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), *[pa.int64()] * 4))], names=["window", *DOC, "at"])
 
-    windows = stretches.where(F.col("kinds") > GATHERED).mapInArrow(run, "window binary, doc long, at long")
+    windows = stretches.where(F.col("kinds") > GATHERED).mapInArrow(run, "window binary, doc long, h long, g long, at long")
     windows = written(windows, "windows")
-    shared = windows.groupBy("window").agg(F.min(F.struct("doc", "at")).alias("earliest"), F.count("*").alias("n")).where("n > 1")
+    shared = windows.groupBy("window").agg(F.min(F.struct(*DOC, "at")).alias("earliest"), F.count("*").alias("n")).where("n > 1")
     hit = windows.join(shared, "window")
     if keep == "first":
-        hit = hit.where(F.struct("doc", "at") != F.col("earliest"))
-    place = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
-    return hit.select("doc", F.shiftright("at", 32).alias("h"), place.alias("a"), (place + length).alias("b"))
+        hit = hit.where(F.struct(*DOC, "at") != F.col("earliest"))
+    return hit.select(*DOC, F.col("at").alias("a"), (F.col("at") + length).alias("b"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first") -> DataFrame:
-    """(doc, h, spans): for each document with repeated windows, the byte spans that they cover (unordered, overlapping)."""
+    """(doc, h, g, spans): for each document with repeated windows, the byte spans that they cover (unordered, overlapping)."""
     if keep not in ("first", "none"):
         raise ValueError("keep is 'first' or 'none'")
     rows = keyed(docs, length)
@@ -248,20 +254,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
     often = every.groupBy(F.struct("gram").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key.gram")
     found = written(every.join(often, "gram"), "anchors")
 
-    earliest = F.min(F.struct("doc", "at", "first", "last")).alias("earliest")
+    earliest = F.min(F.struct(*DOC, "at", "first", "last")).alias("earliest")
     kinds = written(found.groupBy("gram", "stretch").agg(F.count("*").alias("n"), earliest), "kinds")
     # copies of whole stretches
     copied = found.join(kinds.where("n > 1").select("gram", "stretch", "earliest"), ["gram", "stretch"])
     if keep == "first":
-        copied = copied.where((F.col("doc") != F.col("earliest.doc")) | (F.col("at") != F.col("earliest.at")))
-    spans = copied.select("doc", F.shiftright("at", 32).alias("h"), F.col("first").alias("a"), (F.col("last") + length).alias("b"))
+        copied = copied.where(F.struct(*DOC, "at") != F.struct(*[F.col(f"earliest.{c}") for c in (*DOC, "at")]))
+    spans = copied.select(*DOC, F.col("first").alias("a"), (F.col("last") + length).alias("b"))
 
     # anchors with several kinds of stretch: window by window
     several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    firsts = kinds.join(several, "gram").select("gram", "n", "kinds", "earliest.doc", F.shiftright("earliest.at", 32).alias("h"), "earliest.first", "earliest.last")
+    firsts = kinds.join(several, "gram").select("gram", "n", "kinds", *[f"earliest.{c}" for c in DOC], "earliest.first", "earliest.last")
     stretches = written(stretch_bytes(firsts, rows, length), "stretches")
     spans = spans.union(matched(stretches, length, keep)).union(counted(stretches, length, keep))
-    return spans.groupBy("doc", "h").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # bounded by a document
+    # a set: rows of one id and text send the same spans, so it is bounded by a document however often it repeats
+    return spans.groupBy(*DOC).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
@@ -283,22 +290,23 @@ def remaining(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _with_spans(docs: DataFrame, columns: list[str], length: int, keep: str) -> DataFrame:
-    spans = repeated_spans(docs, length, keep).withColumnsRenamed({"doc": "__doc", "h": "__h", "spans": "__spans"})
-    keys = docs.select(*columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__doc"), text_hash(F.col("text").cast("string")).alias("__h"))
-    return keys.join(spans, ["__doc", "__h"], "left").select(*columns, "__spans")
+    """The columns, numbered ``c0``, ``c1``, .. so that no name of theirs clashes, and ``spans``."""
+    numbered = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+    keys = docs.select(*numbered, *key_columns())
+    return keys.join(repeated_spans(docs, length, keep), DOC, "left").select(*[f"c{i}" for i in range(len(columns))], "spans")
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH, keep: str = "none") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the checksum of the remaining bytes of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, "c1"):
             out = []
-            for data, spans in zip(texts(part), part.column("__spans").to_pylist()):
+            for data, spans in zip(texts(part, "c1"), part.column("spans").to_pylist()):
                 joined = merged(spans)
                 out.append((len(data), sum(b - a for a, b in joined), len(joined), hashlib.sha256(remaining(data, joined)).hexdigest()))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column("c0"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     rows = _with_spans(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text"), ["doc_id", "text"], length, keep)
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -320,18 +328,19 @@ def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents without later copies of passages (whole characters); those with no word left of a cut text go."""
     names, schema = docs.columns, docs.schema
+    at = {c: f"c{i}" for i, c in enumerate(names)}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, at["text"]):
             out, keep = [], []
-            for text, data, spans in zip(part.column("text").to_pylist(), texts(part), part.column("__spans").to_pylist()):
+            for text, data, spans in zip(part.column(at["text"]).to_pylist(), texts(part, at["text"]), part.column("spans").to_pylist()):
                 cut = whole_characters(data, merged(spans))
                 out.append(remaining(data, cut).decode() if cut else text)
                 keep.append(not cut or bool(out[-1].strip()))
-            new = {"text": pa.array(out, part.schema.field("text").type)}
+            new = {"text": pa.array(out, part.schema.field(at["text"]).type)}
             if "n_chars" in names:
-                sizes = [len(t) if s else n for t, s, n in zip(out, part.column("__spans").to_pylist(), part.column("n_chars").to_pylist())]
-                new["n_chars"] = pa.array(sizes, part.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in names], names=names).filter(pa.array(keep, pa.bool_()))
+                sizes = [len(t) if s else n for t, s, n in zip(out, part.column("spans").to_pylist(), part.column(at["n_chars"]).to_pylist())]
+                new["n_chars"] = pa.array(sizes, part.schema.field(at["n_chars"]).type)
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else part.column(at[c]) for c in names], names=names).filter(pa.array(keep, pa.bool_()))
 
     return _with_spans(docs, names, length, "first").mapInArrow(run, schema)

@@ -4,10 +4,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import prose
 
 from apportion.llm import lpf_dedup
-from apportion.llm.lpf_dedup import drop_repeats, previous_and_next, repeat_digests, suffix_ranks, text_hash
+from apportion.llm.lpf_dedup import drop_repeats, previous_and_next, repeat_digests, repeated_spans, suffix_ranks, text_hashes
 
 
 def brute(rows, length, keep):
@@ -32,7 +33,8 @@ def brute(rows, length, keep):
 
 
 def given(docs):
-    return [(r.doc_id, r.h, (r.text or "").encode()) for r in docs.select("doc_id", "text", text_hash(docs.text).alias("h")).collect()]
+    h, g = text_hashes(docs.text)
+    return [(r.doc_id, (r.h, r.g), (r.text or "").encode()) for r in docs.select("doc_id", "text", h.alias("h"), g.alias("g")).collect()]
 
 
 def got(df):
@@ -97,3 +99,30 @@ def test_pipeline_form(spark, clashing, no_docs):
     assert out[5].text is None and out[6].text == ""
     assert drop_repeats(clashing).columns == clashing.columns and drop_repeats(no_docs).collect() == []
     assert repeat_digests(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_texts_of_one_id_are_told_apart_by_all_bits(spark, monkeypatch, keep):
+    """Null and equal ids whose texts agree in half of the hash."""
+    monkeypatch.setattr(lpf_dedup, "text_hashes", lambda text: (F.lit(5).cast("long"), F.xxhash64(F.lit(1), text)))
+    passage, other = prose(1, 60), prose(2, 90)
+    rows = [(None, f"{passage} {prose(3, 30)}"), (None, f"{prose(4, 70)} {passage[:250]}"), (None, other), (7, f"{other[20:300]}!"), (7, f"? {passage}"), (7, prose(9, 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    h, g = lpf_dedup.text_hashes(docs.text)
+    own = [(r.doc_id, (5, r.g), r.text.encode()) for r in docs.select("doc_id", "text", g.alias("g")).collect()]
+    assert got(repeat_digests(docs, keep=keep)) == brute(own, 200, keep)
+
+
+def test_spans_do_not_grow_with_repeated_rows(spark):
+    text = prose(1, 300)
+    docs = spark.createDataFrame([(None, text)] * 200 + [(1, text[100:900])], "doc_id long, text string").repartition(4)
+    assert repeated_spans(docs, 200, "none").agg(F.max(F.size("spans"))).first()[0] <= len(text)
+    rows = got(repeat_digests(docs))
+    assert rows == brute(given(docs), 200, "none") and sum(rows.values()) == 201
+
+
+def test_columns_named_like_its_own(spark):
+    passage = prose(1, 80)
+    docs = spark.createDataFrame([(1, passage, 1, 2, 3, 4), (2, f"a {passage} b", 5, 6, 7, 8)], "doc_id long, text string, __doc int, __h int, spans int, c0 int")
+    kept = {r.doc_id: r for r in drop_repeats(docs).collect()}
+    assert drop_repeats(docs).columns == docs.columns and kept[1].text == passage and kept[2].c0 == 8 and len(kept[2].text) < 20
