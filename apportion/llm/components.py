@@ -2,7 +2,9 @@
 
 Every round is joins and aggregates on the edges and is written to the shared
 folder, so the lineage stays short and nothing is collected. A node with very
-many neighbours is only ever aggregated to its minimum.
+many neighbours is aggregated to its minimum map-side; the join that hands the minimum to
+its edges is dealt anew, so that Spark can split such a node's edges over several tasks.
+Edges with a null end join nothing and are left out.
 """
 
 from __future__ import annotations
@@ -13,15 +15,21 @@ from pyspark.sql import functions as F
 from apportion.llm.common import written
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, least): the smallest neighbour of each node. Grouped by a struct, it is not already dealt by ``u``,
+    so a join by ``u`` shuffles both sides and adaptive execution can split a hub."""
+    return edges.groupBy(F.struct("u").alias("node")).agg(F.min("v").alias("least")).select("node.u", "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = _least(both).select("u", F.least("least", "u").alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(down).withColumnRenamed("least", "m")
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
