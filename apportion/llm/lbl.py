@@ -3,9 +3,10 @@
 Tokens are words (A-Z lowered) and one end per text. Spark counts every token
 of the training texts; the counts are exact and stay distributed. The model
 predicts a token's class from the classes of the tokens before it. The end and
-every word that the training texts hold ``LEAST`` times or more (and the most
-frequent ones of a small corpus) are classes of their own, so the classes grow with the
-corpus. The other words fall into rest classes, one for seven words with a
+every word that the training texts hold often enough (and the most
+frequent ones of a small corpus) are classes of their own. Often enough is ``LEAST`` times, or the
+root of the training tokens over ``ROOT`` where that is more, so the classes grow with the
+corpus, about with the root of its tokens. The other words fall into rest classes, one for seven words with a
 class: ranges of the words' last five bytes, read from the end, that hold
 about equally many training tokens. Inside a rest class a smoothed unigram
 shares out the class's probability (one share is kept for unseen words). The
@@ -46,9 +47,11 @@ from apportion.llm.common import kept_in_worker, text_slices, texts, written
 END = b""
 #: Words whose counts each worker holds; the rest meets its counts in a join.
 TOP_WORDS = 1 << 19
-#: Classes and rest classes of a small corpus; a word of LEAST training tokens is always a class.
+#: Classes and rest classes of a small corpus; least training tokens of a word with a class: LEAST, or root(tokens) / ROOT.
 CLASSES, REST = 512, 64
-LEAST = 64
+LEAST, ROOT = 64, 30
+#: Tokens of a trainer for each class, in a round.
+PER_CLASS = 64
 CONTEXT, WIDTH = 3, 16
 #: Noise classes and noise groups for each NEAR tokens of a batch.
 NOISE, GROUP_NOISE, NEAR = 48, 16, 256
@@ -357,7 +360,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     words = top.column("word").combine_chunks() if len(top) else pa.array([], pa.binary())
     count = top.column("n").to_numpy().astype(np.float64) if len(top) else np.zeros(0)
     n, v = sum(r.n for r in steps), sum(r.words for r in steps)
-    own = max(CLASSES - REST, 1 + int((count[1:] >= LEAST).sum()))
+    own = max(CLASSES - REST, 1 + int((count[1:] >= max(LEAST, np.sqrt(n) / ROOT)).sum()))
     taken, taken_counts = words.slice(0, own), count[:own]
     edges = rest_edges(counts, taken, taken_counts, max(REST, own * REST // (CLASSES - REST)), n)
     rest = len(edges) + 1
@@ -420,9 +423,10 @@ def train_round(train: DataFrame, vocab, params: Params, turn: int = 0) -> Param
             arrays = [pa.array(changed), pa.array(hits[changed]), *(pa.array(x.astype(np.float32)) for x in moved.T)]
             yield pa.RecordBatch.from_arrays(arrays, names=["i", "hits", *columns])
 
+    trainers = max(1, round(vocab.value.n / ROUNDS / (PER_CLASS * len(vocab.value.share))))
     schema = "i long, hits long, " + ", ".join(f"{c} float" for c in columns)
     means = [(F.sum(c) / F.sum("hits")).alias(c) for c in columns]
-    got = written(train.select("text").mapInArrow(learn, schema).groupBy("i").agg(*means), "params").toArrow()
+    got = written(train.select("text").coalesce(trainers).mapInArrow(learn, schema).groupBy("i").agg(*means), "params").toArrow()
     rows = params.rows().astype(np.float64)
     if len(got):
         rows[np.asarray(got.column("i"))] += np.stack([np.asarray(got.column(c)) for c in columns], axis=1)
