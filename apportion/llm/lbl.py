@@ -14,9 +14,8 @@ probabilities of all words of a context sum to one.
 
 The class model is log-bilinear: the predicted vector is the sum of the context
 vectors, each weighted by its place, and a class's logit is its product with
-the class vector plus a bias. Classes stand in groups, about as many as a group
-has members: a group's probability is normalised over the groups, a class's
-over its group, so a token costs about the root of the number of classes.
+the class vector plus a bias. Classes stand in groups, the frequent ones in small groups: a group's probability is normalised over the groups, a class's
+over its group, so a token costs less than the root of the number of classes.
 Groups have vectors and biases of their own. All learn by noise-contrastive
 estimation in numpy from all training texts, in ``ROUNDS`` rounds that share
 out the texts: each partition runs over its own texts from the same start with
@@ -119,9 +118,20 @@ def token_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def group_size(classes: int) -> int:
-    """Members of a group of classes (the last may have less): consecutive classes stand together."""
-    return int(np.ceil(np.sqrt(classes)))
+def group_starts(share: np.ndarray) -> np.ndarray:
+    """The first class of each group of consecutive classes.
+
+    A token costs one product for each group and one for each member of its
+    own group. That is least, in the mean, when a group about a class of share p has one over the
+    root of p members: frequent classes stand in small groups.
+    """
+    root = np.sqrt(share)
+    return np.flatnonzero(np.diff(np.floor(np.cumsum(root) - root / 2), prepend=-1))
+
+
+def group_of(targets: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each class's group."""
+    return np.searchsorted(starts, targets, "right") - 1
 
 
 @dataclass
@@ -151,7 +161,7 @@ class Params:
 
 def with_groups(share: np.ndarray) -> np.ndarray:
     """The shares of the classes and behind them those of the groups."""
-    return np.concatenate([share, np.add.reduceat(share, np.arange(0, len(share), group_size(len(share))))])
+    return np.concatenate([share, np.add.reduceat(share, group_starts(share))])
 
 
 def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -169,7 +179,8 @@ class Trainer:
 
     def __init__(self, params: Params, share: np.ndarray, seed: int | tuple[int, int] = 3) -> None:
         self.p = Params(*(x.astype(np.float32) for x in params.__dict__.values()))
-        self.classes, self.size = len(share), group_size(len(share))
+        self.classes = len(share)
+        self.group = group_of(np.arange(len(share)), group_starts(share))
         every = with_groups(share)
         self.upto, self.group_upto = np.cumsum(every[: self.classes]), np.cumsum(every[self.classes :])
         per = np.where(np.arange(len(every)) < self.classes, NOISE, GROUP_NOISE)
@@ -186,8 +197,9 @@ class Trainer:
 
     def change(self, name: str, rows: np.ndarray, add: np.ndarray, n: int) -> None:
         """A step along the gradient sums of the rows (repeating)."""
-        order = np.argsort(rows.astype(np.int32), kind="stable")
-        rows = rows[order]
+        packed = (rows << 24) | np.arange(len(rows))  # row, then place: sorting numbers is faster than sorting places
+        packed.sort()
+        order, rows = packed & 0xFFFFFF, packed >> 24
         cuts = np.flatnonzero(np.diff(rows, prepend=-1))
         rows, g = rows[cuts], np.add.reduceat(add[order], cuts, axis=0) / np.float32(n)
         seen = getattr(self.seen, name)
@@ -220,7 +232,7 @@ class Trainer:
         fake.reshape(blocks * NEAR, -1)[n:] = 0
         adds.append((fake.transpose(0, 2, 1) @ near).reshape(-1, WIDTH + 1))
         dq += (fake @ far).reshape(blocks * NEAR, -1)[:n]
-        for unit in (target, self.classes + target // self.size):
+        for unit in (target, self.classes + self.group[target]):
             own = p.target[unit]
             true = np.einsum("ij,ij->i", q[:n], own) - self.log_noise[unit]
             g = (1 / (1 + np.exp(np.clip(true, -30, 30))))[:, None]  # 1 - P(data)
@@ -236,13 +248,15 @@ class Trainer:
         self.n += n
 
 
-def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int = 1024) -> np.ndarray:
-    """log10 P(target class | context): of its group among the groups, and of the class inside its group."""
+def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, starts: np.ndarray | None = None, rows: int = 1024) -> np.ndarray:
+    """log10 P(target class | context): of its group among the groups, and of the class inside its group
+    (``starts``: those of the training; default: of equal shares)."""
     classes = len(params.context)
-    size = group_size(classes)
-    group = target // size
-    order = np.argsort(group, kind="stable")
-    out, bounds = np.empty(len(target), np.float64), np.searchsorted(group[order], np.arange(-(-classes // size) + 1))
+    starts = group_starts(np.full(classes, 1 / classes)) if starts is None else starts
+    group = group_of(target, starts)
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    out, bounds = np.empty(len(target), np.float64), np.searchsorted(group[order], np.arange(len(starts) + 1))
+    ends = np.append(starts[1:], classes)
     own, groups = params.target[:classes], np.ascontiguousarray(params.target[classes:].T)
     most = np.abs(params.target).max(0)
 
@@ -254,13 +268,13 @@ def log10_classes(params: Params, ctx: np.ndarray, target: np.ndarray, rows: int
         return picked - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
 
     for k in np.flatnonzero(np.diff(bounds)).tolist():
-        wide = np.ascontiguousarray(own[k * size : (k + 1) * size].T)
+        wide = np.ascontiguousarray(own[starts[k] : ends[k]].T)
         for a in range(bounds[k], bounds[k + 1], rows):
             at = order[a : min(a + rows, bounds[k + 1])]
             q = np.ones((len(at), WIDTH + 1), np.float32)
             q[:, :WIDTH] = sum(params.context[c[at]] * w for c, w in zip(ctx, params.place))
             far = np.abs(q).max(0) @ most > 80  # exp would leave single precision
-            out[at] = part(q, groups, np.full(len(at), k), far) + part(q, wide, target[at] - k * size, far)
+            out[at] = part(q, groups, np.full(len(at), k), far) + part(q, wide, target[at] - starts[k], far)
     return out / np.log(10)
 
 
@@ -450,14 +464,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, of_class, logs, inside = _table(vocab)
         v, p, row = vocab.value, final.value, TaskContext.get().partitionId() << 40
-        log_rest = v.log_rest()
+        log_rest, groups = v.log_rest(), group_starts(v.share)
         for part in text_slices(batches):
             at, first, tails, unknown = [], [], [], []
             ends = np.empty(part.num_rows, np.int64)
             for i, text in enumerate(texts(part)):
                 words = tokens(text)
                 first.append(np.full(len(words), len(at)))
-                got = [index.get(w, -1) for w in words]
+                got = list(map(index.get, words, repeat(-1)))
                 rare = [w for w, k in zip(words, got) if k < 0]
                 unknown += rare
                 tails.append(Counter(rare))
@@ -468,7 +482,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             target = np.empty(len(at), np.int64)
             target[known] = of_class[at[known]]
             target[~known] = v.rest_classes(pa.array(unknown, pa.binary()))
-            model = log10_classes(p, contexts(target, np.concatenate(first)), target)
+            model = log10_classes(p, contexts(target, np.concatenate(first)), target, groups)
             model[known] += inside[at[known]]
             model[~known] -= log_rest[target[~known]]
             base = np.where(known, logs[at] if len(logs) else 0.0, 0.0) - v.base_unit
