@@ -85,8 +85,8 @@ def merge_changes(stored: DataFrame, changed: DataFrame, mapping: Mapping[str, s
     j = join_matches(stored, updates, [(pk, new[pk])])
     several = F.raise_error(F.concat(F.lit("several changes of one stored row: "), F.col(new[pk]).cast("string")))
     changes = F.when(F.col("__n") > 1, several.cast("boolean")).otherwise(F.col("__n").isNotNull())
-    kept = j.select(*[F.when(changes, F.col("__row")[new[c]]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+    types = {f.name: f.dataType for f in stored.schema.fields}  # a change never alters a stored column's type
+    kept = j.select(*[F.when(changes, F.col("__row")[new[c]].cast(types[c])).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
                       for c in stored.columns])
     inserts = tagged.where(F.col("__action") == "insert")
-    types = {f.name: f.dataType for f in stored.schema.fields}
     return kept.unionByName(inserts.select(*[(F.col(c) if c in new else F.lit(None)).cast(types[c]).alias(c) for c in stored.columns]))

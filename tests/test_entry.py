@@ -26,10 +26,11 @@ def run(gone: str, missing: str = "") -> subprocess.CompletedProcess:
 
 
 def test_queries_without_the_subpackage():
-    from apportion.plans.queries import QUERIES
+    from apportion.plans import job_queries, queries
 
+    core = {**queries.QUERIES, **job_queries.QUERIES}
     for gone in ("apportion.llm", "corpus_pipeline"):
-        assert run(gone).stdout.split() == [str(len(QUERIES)), "False"]
+        assert run(gone).stdout.split() == [str(len(core)), "False"]
 
 
 @pytest.mark.skipif(not os.path.exists(os.path.join(ROOT, "corpus_pipeline.py")), reason="the subpackage was taken away")

@@ -32,6 +32,16 @@ def test_only_touched_folders_are_rewritten(spark, tmp_path):
     assert got.where("note <> 'n'").count() == 0
 
 
+def test_a_wider_change_keeps_the_stored_types(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_stored(spark.range(64).select(F.col("id"), F.lit(1).cast("decimal(9,2)").alias("v"), F.lit(1).alias("k")), path, "id", 16)
+    changed = spark.range(9).select(F.col("id").alias("OLD_ID"), F.lit(2).cast("decimal(28,2)").alias("x"), F.lit(5).cast("bigint").alias("y"))
+    save_changes(changed, path, {"x": "v", "y": "k"}, "id", 16)
+    got = read_stored(spark, path)
+    assert dict(got.dtypes) == {"id": "bigint", "v": "decimal(9,2)", "k": "int"}
+    assert got.agg(F.sum("v"), F.sum("k")).first() == (Decimal("73.00"), 64 + 9 * 4)
+
+
 def test_inserts_are_added_and_rewrite_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     create_stored(spark.range(100).select(F.col("id"), F.lit(1.0).alias("v")), path, "id", 8)
