@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "quality_rules", "minhash_near_dedup", "suffix_array_dedup", "packing"]
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_each_stage_on_its_own_input(spark):
