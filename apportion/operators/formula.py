@@ -16,8 +16,9 @@ filters and fuses the projections into whole-stage codegen.
 from __future__ import annotations
 
 import re
+from collections.abc import Container, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from decimal import Decimal
-from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,17 +81,75 @@ def apply_item(df: DataFrame, item: Item, bound: Mapping[str, Column], cond: Col
     return df
 
 
-def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str, DataFrame]:
-    """Apply one formula; returns a new registry with the target frame replaced."""
+@dataclass
+class _Carried:
+    """A target frame between formulas: with the joined columns that later formulas use again.
+
+    ``live`` maps (data set, match) to the bindings (by signature) that still hold;
+    ``temps`` are the columns behind them, which no one else sees.
+    """
+
+    df: DataFrame
+    live: dict[tuple, dict[tuple, Column]] = field(default_factory=dict)
+    temps: list[str] = field(default_factory=list)
+
+
+def _stale(inp: Input, written: set[str]) -> bool:
+    """Whether the input's value changes when these columns of its data set do."""
+    if inp.kind == "list" and inp.list_fn in ("objects", "json") and not inp.fields:
+        return bool(written)  # reads every column
+    reads = {inp.field, *inp.order_by, *inp.fields, *(c for c, _ in inp.filter), *(right for _, right in inp.on)}
+    return bool(reads & written)
+
+
+def _wanted(key: tuple, formula: Formula, idx: int, later: Sequence[Formula], have: Container[tuple]) -> list[Input]:
+    """The inputs that one join for ``key`` (data set, match) serves from item ``idx`` of ``formula`` on: those of
+    the later items and formulas of the same target, as long as nothing they read has been written by then.
+
+    A formula of which one input must be joined anew takes them all from that join: serving the others here would
+    keep two states of the source in the plan for nothing.
+    """
+    dataset, on = key
+    left = {a for a, _ in on}
+    found: list[Input] = []
+    written: set[str] = set()  # columns of the source
+    for f, items in [(formula, formula.items[idx:])] + [(f, f.items) for f in later]:
+        if f.dataset == dataset != formula.dataset:
+            written |= {item.field for item in items}
+        if f.dataset != formula.dataset:
+            continue
+        if any(i.group_key == key and _stale(i, written) for item in items for i in item.inputs):
+            return found
+        for item in items:
+            found += [i for i in item.inputs if not _is_self_value(i, formula.dataset) and i.group_key == key and input_signature(i) not in have]
+            if dataset == formula.dataset or item.field in left:
+                return found
+    return found
+
+
+def _spread(df: DataFrame, formulas: Sequence[Formula], written: Container[str] = ()) -> list[str]:
+    """What tells rows of a target with a null match key apart: its first column and those that its formulas use anyway.
+
+    Without the ``written`` ones these are the same values for every formula of a chain, so a later join by
+    the same match finds the rows dealt as it needs them.
+    """
+    target = formulas[0].dataset
+    names = [df.columns[0], *(c for f in formulas for c, _ in f.filter)]
+    for item in (item for f in formulas for item in f.items):
+        names += [item.field, *(left for i in item.inputs for left, _ in i.on), *(i.field for i in item.inputs if _is_self_value(i, target))]
+    return [c for c in dict.fromkeys(names) if c not in written] or names[:1]
+
+
+def _apply(frames: Mapping[str, DataFrame], formula: Formula, later: Sequence[Formula], carried: dict[str, _Carried],
+           spread: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """Apply one formula; ``later`` are formulas whose inputs may share its joins, ``carried`` is brought up to date."""
     target = formula.dataset
     if target not in frames:
         raise KeyError(f"formula {formula.name!r}: unknown data set {target!r}")
-    df = frames[target]
+    state = carried.pop(target, None) or _Carried(frames[target])
+    df, live, joins = state.df, state.live, state.temps
     temps: list[str] = []
-    # what tells rows with a null match key apart: the first column and those the formula reads anyway
-    read = [df.columns[0], *(c for c, _ in formula.filter)]
-    for it in formula.items:
-        read += [it.field, *(left for i in it.inputs for left, _ in i.on), *(i.field for i in it.inputs if _is_self_value(i, target))]
+    read = spread[target] if target in spread else _spread(df, [formula])
 
     cond = equality(df, formula.filter)
     written = {it.field for it in formula.items}
@@ -104,7 +163,6 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
     # (data set, match) -> (signature -> binding); groups become stale when an item
     # rewrites one of their target-side match columns, or (self aggregates)
     # any column of the target.
-    live: dict[tuple, dict[tuple, Column]] = {}
     for idx, item in enumerate(formula.items):
         bound: dict[str, Column] = {}
         for inp in item.inputs:
@@ -112,22 +170,19 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
                 # self lookup: the current row's value (an earlier item's result included)
                 c = F.col(inp.field)
             else:
-                key = inp.group_key
-                if key not in live:
-                    pending = [i for it in formula.items[idx:] for i in it.inputs
-                               if not _is_self_value(i, target) and i.group_key == key]
+                key, signature = inp.group_key, input_signature(inp)
+                if signature not in live.get(key, {}):
                     if inp.dataset == target:
-                        pending = [i for i in item.inputs if i.group_key == key]
-                        source = df
+                        source = df.drop(*temps, *joins)
                     else:
                         if inp.dataset not in frames:
                             raise KeyError(f"formula {formula.name!r}: unknown data set {inp.dataset!r}")
                         source = frames[inp.dataset]
-                    joined = join_group(df, source, pending, read)
+                    joined = join_group(df, source, _wanted(key, formula, idx, later, live.get(key, {})), read)
                     df = joined.df
-                    temps += joined.temps
-                    live[key] = joined.bindings
-                c = live[key][input_signature(inp)]
+                    joins += joined.temps
+                    live.setdefault(key, {}).update(joined.bindings)
+                c = live[key][signature]
             if inp.default is not None:
                 source = df if inp.dataset == target else frames[inp.dataset]
                 c = F.coalesce(c, _default_literal(inp.default, source.schema[inp.field].dataType))
@@ -141,26 +196,66 @@ def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str
 
     if temps:
         df = df.drop(*temps)
-    return {**frames, target: df}
+    # what other targets keep of this data set ends where the formula wrote
+    for other in carried.values():
+        for key, bindings in other.live.items():
+            if key[0] == target:
+                held = {s for f in later if f.dataset != target for i in _inputs(f) if i.group_key == key and not _stale(i, written) for s in [input_signature(i)]}
+                other.live[key] = {s: b for s, b in bindings.items() if s in held}
+    if any(live.values()) and any(f.dataset == target for f in later):
+        carried[target] = _Carried(df, live, joins)
+    return {**frames, target: df.drop(*joins) if joins else df}
+
+
+def _inputs(formula: Formula) -> list[Input]:
+    return [i for item in formula.items for i in item.inputs]
+
+
+def apply_formula(frames: Mapping[str, DataFrame], formula: Formula) -> dict[str, DataFrame]:
+    """Apply one formula; returns a new registry with the target frame replaced."""
+    return _apply(frames, formula, (), {}, {})
 
 
 def settle(frames: Mapping[str, DataFrame], formulas: Iterable[Formula],
-           checkpoint_every: int | None = None) -> dict[str, DataFrame]:
+           checkpoint_every: int | None = None, share: bool = True) -> dict[str, DataFrame]:
     """Apply formulas in order, each seeing the results of the earlier ones.
 
+    With ``share`` formulas of one target that take inputs from the same data
+    set by the same match also share one aggregate and one join, until a
+    formula between them writes a column that an input reads (or the match
+    columns of the target): from there on that input is joined anew.
+
     ``checkpoint_every=n`` cuts the lineage of a changed frame every n
     formulas with a reliable checkpoint (into ``spark.checkpoint.dir``) so a
     long chain neither grows the plan without bound nor is lost with an
-    executor.
+    executor; nothing is shared across a checkpoint.
     """
-    out = dict(frames)
+    out, formulas = dict(frames), list(formulas)
+    carried: dict[str, _Carried] = {}
+    spread: dict[str, list[str]] = {}
+    for target in {f.dataset for f in formulas if share and f.dataset in out}:
+        own = [f for f in formulas if f.dataset == target]
+        spread[target] = _spread(out[target], own, {item.field for f in own for item in f.items})
     for n, formula in enumerate(formulas, start=1):
-        out = apply_formula(out, formula)
+        end = len(formulas) if not checkpoint_every else -(-n // checkpoint_every) * checkpoint_every
+        out = _apply(out, formula, formulas[n:end] if share else (), carried, spread)
         if checkpoint_every and n % checkpoint_every == 0:
             out[formula.dataset] = out[formula.dataset].checkpoint(eager=True)
+            carried.clear()
     return out
 
 
+def data_set_reads(formulas: Sequence[Formula]) -> dict[str, set[str]]:
+    """For each changed data set the others its rows come from, directly or through others."""
+    reads: dict[str, set[str]] = {}
+    for f in formulas:
+        now = reads.setdefault(f.dataset, set())
+        for i in _inputs(f):
+            now |= {i.dataset, *reads.get(i.dataset, ())}
+        now.discard(f.dataset)
+    return reads
+
+
 def changed_datasets(formulas: Sequence[Formula]) -> list[str]:
     """Names of the changed data sets, each once, in order of its last change."""
     order: list[str] = []

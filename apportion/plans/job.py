@@ -23,7 +23,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from apportion.operators.formula import changed_datasets, settle
+from apportion.operators.formula import changed_datasets, data_set_reads, settle
 from apportion.sinks.upsert import split_changes
 from apportion.sinks.writers import save_changed
 from apportion.sources.load import DATE, Field, attach_old_id, normalise, run_script
@@ -83,6 +83,7 @@ def load(spark: SparkSession, ds: DataSet, params: Mapping[str, Any], tables: Ma
 class SettlementResult:
     frames: dict[str, DataFrame]
     changed: list[str]
+    reads: dict[str, set[str]] | None = None  # data sets that each changed one's rows come from
 
 
 def run(spark: SparkSession, datasets: Sequence[DataSet], formulas: Sequence[Formula],
@@ -96,15 +97,15 @@ def run(spark: SparkSession, datasets: Sequence[DataSet], formulas: Sequence[For
         stored = read_stored(ds.target.table) if (ds.target is not None and read_stored) else None
         frames[ds.name] = load(spark, ds, params, tables, stored, raw, allowed_raw)
     out = settle(frames, formulas, checkpoint_every=checkpoint_every)
-    return SettlementResult(out, changed_datasets(list(formulas)))
+    return SettlementResult(out, changed_datasets(list(formulas)), data_set_reads(formulas))
 
 
 def save(result: SettlementResult, datasets: Sequence[DataSet],
          write: Callable[[Target, DataFrame, DataFrame], None]) -> list[str]:
     """Split each changed data set with a target into (inserts, updates) and call
     ``write(target, inserts, updates)`` once per data set, in order of last change.
-    Frames are kept persisted until all writes are done (a frame feeding a later
-    one is computed once)."""
+    A frame that feeds later ones is kept until the last of them is written (it is
+    computed once)."""
     by_name = {d.name: d for d in datasets}
     todo = [n for n in result.changed if by_name.get(n) is not None and by_name[n].target is not None]
 
@@ -113,4 +114,4 @@ def save(result: SettlementResult, datasets: Sequence[DataSet],
         dates = [f.out for f in ds.fields if f.type == DATE]
         write(ds.target, *split_changes(frame, ds.target.columns, ds.target.pk, old_id=OLD_ID, dates=dates))
 
-    return save_changed(result.frames, todo, write_one)
+    return save_changed(result.frames, todo, write_one, reads=result.reads)

@@ -22,6 +22,7 @@ from apportion.sources.bucketed import save_bucketed
 from apportion.sources.load import attach_old_id
 from apportion.sources.readers import read_table, scratch_path
 from apportion.sources.semi import variant_field, with_variant
+from apportion.specs import Formula, Item, list_of, sum_of
 
 # ------------------------------------------------------------------ formulas as text
 
@@ -67,6 +68,30 @@ def q_formula_text_rules(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_orderkey", F.nanvl("share", F.lit(None).cast("double")).alias("share"), "grade", "kept")
 
 
+def shared_chain(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], list[Formula]]:
+    """Six formulas: formulas of one target take from one data set by one match, with others between them."""
+    frames = formula_chain_frames(spark, d)
+    frames["orders"] = add_result_columns(frames["orders"].drop("gap"), {"top": "decimal(24,4)"})
+    frames["customer"] = add_result_columns(frames["customer"].drop("avg_gap"), {"n": "double", "tops": "decimal(28,4)"})
+    lines, orders = {"o_orderkey": "l_orderkey"}, {"c_custkey": "o_custkey"}
+    return frames, [
+        formula_chain_formulas()[0],
+        Formula.of("billed", "orders", [Item("billed", "$b", (sum_of("b", "lineitem", "net", on=lines),))], filter={"o_orderstatus": "F"}),
+        Formula.of("orders_of", "customer", [Item("n", "$n", (list_of("n", "orders", "o_orderkey", on=orders, fn="count"),))]),
+        Formula.of("top_line", "orders", [Item("top", "$t", (list_of("t", "lineitem", "net", on=lines, fn="max"),))], filter={"o_orderstatus": "O"}),
+        # unchanged since the count: its join serves both
+        Formula.of("exposure", "customer", [Item("exposure", "$e", (sum_of("e", "orders", "billed", on=orders),))]),
+        # written since the count: joined anew
+        Formula.of("tops", "customer", [Item("tops", "$t", (sum_of("t", "orders", "top", on=orders),))]),
+    ]
+
+
+def q_shared_chain(spark: SparkSession, d: str) -> DataFrame:
+    """A chain whose formulas share joins across formulas until a column that they read is written."""
+    frames, formulas = shared_chain(spark, d)
+    return as_double(settle(frames, formulas)["customer"], "exposure", "tops")
+
+
 # ---------------------------------------------------------------- a job from catalog tables
 
 def settlement_catalog(spark: SparkSession) -> dict[str, DataFrame]:
@@ -207,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_together": q_save_together,
     "running_balance": q_running_balance,
     "running_balance_hot": q_running_balance_hot,
+    "shared_chain": q_shared_chain,
 }
 
 
@@ -263,6 +289,17 @@ ORACLE_SQL: dict[str, str] = {
                quantile_disc(l_extendedprice, 0.5) AS median, quantile_disc(l_extendedprice, 0.9) AS q90,
                quantile_disc(l_extendedprice, 0.999) AS q999
         FROM lineitem GROUP BY l_returnflag""",
+    "shared_chain": """
+        WITH l AS (
+            SELECT l_orderkey, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(20,4)) AS net FROM lineitem
+        ), o AS (
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN coalesce(sum(net), 0) ELSE 0 END AS billed,
+                   CASE WHEN o_orderstatus = 'O' THEN coalesce(max(net), 0) ELSE 0 END AS top
+            FROM orders LEFT JOIN l ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_custkey, o_orderstatus
+        )
+        SELECT c_custkey, CAST(coalesce(sum(billed), 0) AS DOUBLE) AS exposure, CAST(count(o_orderkey) AS DOUBLE) AS n,
+               CAST(coalesce(sum(top), 0) AS DOUBLE) AS tops
+        FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_custkey""",
     "running_balance": _running_sql("o_custkey"),
     "running_balance_hot": _running_sql("o_custkey % 5"),
     "formula_text": _CORE_SQL["formula_chain"],

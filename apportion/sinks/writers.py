@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -32,25 +32,32 @@ def save(df: DataFrame, path: str | None = None, fmt: str = "parquet", mode: str
 
 
 def save_changed(frames: Mapping[str, DataFrame], order: Sequence[str], writer,
-                 persist: bool = True) -> list[str]:
+                 persist: bool = True, reads: Mapping[str, Collection[str]] | None = None) -> list[str]:
     """Write each changed data set once, in order of last change; ``writer(name, df)``.
 
     A settled frame often feeds a later one (orders feed customers), so with
-    ``persist`` every frame to be written is kept (memory, spilling to disk)
-    until all writes are done: each is computed once, not once per consumer.
-    Lost cached blocks are recomputed from lineage.
+    ``persist`` every frame to be written is kept (memory, spilling to disk):
+    each is computed once, not once per consumer. ``reads`` (see
+    :func:`apportion.operators.formula.data_set_reads`) says from which others a
+    data set's rows come: a kept frame is then released after its last
+    reader's write; without it all are kept until the end. Lost cached blocks are
+    recomputed from lineage.
     """
-    kept = []
+    last = {name: max(n for n, other in enumerate(order) if reads is None or other == name or name in reads.get(other, ()))
+            for name in order}
+    kept: dict[str, DataFrame] = {}
     if persist:
         for name in order:
-            kept.append(frames[name].persist(StorageLevel.MEMORY_AND_DISK))
+            kept[name] = frames[name].persist(StorageLevel.MEMORY_AND_DISK)
     done = []
     try:
-        for name in order:
+        for n, name in enumerate(order):
             writer(name, frames[name])
             done.append(name)
+            for over in [k for k in kept if last[k] <= n]:
+                kept.pop(over).unpersist()
     finally:
-        for df in kept:
+        for df in kept.values():
             df.unpersist()
     return done
 
