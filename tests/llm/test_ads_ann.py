@@ -36,6 +36,7 @@ def test_recall_on_table(spark):
     rows = [(r.vec_id, r.embedding) for r in table.collect()]
     expected, got = brute(rows, 100), found(nearest(table))
     hits = sum(len({j for _, j in expected[q]} & {j for _, j in got[q]}) for q in expected)
+    print("recall", hits / sum(map(len, expected.values())))
     assert set(got) == set(expected) and hits >= 0.9 * sum(map(len, expected.values()))
     exact = {q: dict((j, d) for d, j in brute(rows, 100, len(rows))[q]) for q in list(expected)[:3]}
     assert all(abs(exact[q][j] - d) < 1e-12 for q in exact for d, j in got[q])
@@ -43,7 +44,7 @@ def test_recall_on_table(spark):
 
 def test_all_lists_are_exact_with_ties_and_hot_vectors(spark, monkeypatch):
     monkeypatch.setattr(ads_ann, "BLOCK", 32)
-    monkeypatch.setattr(ads_ann, "QUERIES", 2)
+    monkeypatch.setattr(ads_ann, "LIST_ROWS", 50)
     rows = vectors(300) + [(1000 + i, [1.0] * 24, 0) for i in range(200)]  # a large part of all rows is one vector
     got = found(nearest(spark.createDataFrame(rows, TABLE).repartition(4), query_step=50, probe_share=1.0))
     expected = brute(rows, 50)
@@ -82,11 +83,32 @@ def test_one_short_vector_does_not_set_the_width(spark):
     assert set(found(nearest(spark.createDataFrame(tied, TABLE), query_step=10, probe_share=1.0))) == {20, 30}
 
 
-def test_parts_come_from_the_data(spark, monkeypatch):
-    monkeypatch.setattr(ads_ann, "QUERIES", 2)
-    df = spark.createDataFrame(vectors(60), TABLE)
-    plan = nearest(df, query_step=5)._jdf.queryExecution().analyzed().toString()
-    assert not [line for line in plan.splitlines() if "xxhash64" in line and "monotonically_increasing_id" in line]
-    asked = df.selectExpr("vec_id query_id", "embedding q")
-    parts = [{r.query_id: r.part for r in asked.repartition(n).select("query_id", ads_ann.query_part(3)).collect()} for n in (1, 7)]
-    assert parts[0] == parts[1] and set(parts[0].values()) == {0, 1, 2}
+def test_blocks_come_from_the_data(spark):
+    df = spark.createDataFrame(vectors(60), TABLE).selectExpr("vec_id", "cast(embedding as array<double>) v")
+    dealt = [{r.vec_id: r.b for r in df.repartition(n).select("vec_id", ads_ann.block_of(F.lit(3)).alias("b")).collect()} for n in (1, 7)]
+    assert dealt[0] == dealt[1] and set(dealt[0].values()) == {0, 1, 2}
+
+
+def test_waves_cover_the_probed_lists_once():
+    for n in (1, 2, 7, 8, 9, 40, 1875):
+        assert [k for a, b in ads_ann.waves(n) for k in range(a, b)] == list(range(n))
+
+
+def test_tests_abandon_components(spark):
+    """The share of components that the table's queries look at, exact measures of survivors included."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    shares = {r.query_id: r.scanned_share for r in nearest(table).collect()}
+    print("mean scanned share", sum(shares.values()) / len(shares))
+    assert sum(shares.values()) / len(shares) < 0.85
+
+
+def test_shares_of_a_random_rotation_pass_the_test():
+    x = np.random.default_rng(1).normal(size=(4000, 64))
+    parts = (x**2).cumsum(1) / (x**2).sum(1, keepdims=True)
+    assert all((parts[:, b - 1] > ads_ann.share_below(b, 64)).mean() < 0.025 for b in (16, 32, 48))
+
+
+def test_repeated_rows_are_found_as_often_as_they_occur(spark):
+    rows = [(0, [1.0, 0.0], 0)] * 3 + [(1, [0.0, 1.0], 0)] * 4 + [(2, [5.0, 5.0], 0)] * 50
+    got = nearest(spark.createDataFrame(rows, TABLE).repartition(3)).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(0, 1)] * 4 + [(0, 2)] * 6
