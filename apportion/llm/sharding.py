@@ -6,8 +6,10 @@ shard owns which slot. Rebalancing edits the map (a new version, as few moved
 slots as possible); no record is rehashed. The slot table has ``n_slots`` rows
 whatever the data, so it is planned on the driver and broadcast.
 
-A null ``doc_id`` or text hashes like any other value; repeated rows share a
-slot and take different places in it; an empty table gives no rows.
+A null ``doc_id`` or text hashes like any other value. Repeated rows (one
+``doc_id``, text checksum and size) are counted and numbered; the first has the
+slot of a single row, each further one hashes with its number, so that they
+spread over the slots and the shards stay even. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from apportion.llm.common import shared_folder
 
 N_SLOTS = 8192
 ROW_OVERHEAD = 16
+#: Repeated rows that one row of the counted table stands for at most, before they are dealt and numbered.
+COPIES = 4096
 
 
 @dataclass(frozen=True)
@@ -96,10 +100,15 @@ def grow(old: SlotMap, slot_bytes: dict[int, int]) -> SlotMap:
 
 
 def slotted(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32 and the fixed virtual slot of each record."""
+    """doc_id, size, text_crc32, number among equal rows (from 0) and the fixed virtual slot of each record."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    return rows.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(n_slots)).cast("int"))
+    record = ["doc_id", "text_crc32", "size"]
+    counted = rows.groupBy(*record).agg(F.count("*").alias("n"))  # combined in each map task
+    some = counted.select(*record, "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")).alias("some")).repartition(*record, "some")
+    each = some.select(*record, F.explode(F.expr(f"sequence(some * {COPIES}, least(n, (some + 1) * {COPIES}) - 1)")).alias("copy"))
+    hashed = F.when(F.col("copy") == 0, F.xxhash64(*record)).otherwise(F.xxhash64(*record, "copy"))
+    return each.select("doc_id", "size", "text_crc32", "copy", F.pmod(hashed, F.lit(n_slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_sizes(rows: DataFrame) -> DataFrame:
@@ -128,7 +137,7 @@ def shard_by_slots(docs: DataFrame, n_shards: int = 40, n_slots: int = N_SLOTS,
         owners.append((slot, shard, before[shard]))
         before[shard] += sizes[slot].rows if slot in sizes else 0
     owned = spark.createDataFrame(owners, "virtual_slot int, shard int, first_place long")
-    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
+    place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "copy"))
     return (
         rows.withColumn("place", place)
         .join(F.broadcast(owned), "virtual_slot")

@@ -1,6 +1,7 @@
 import zlib
 from collections import Counter, defaultdict
 
+from apportion.llm import sharding
 from apportion.llm.common import shared_folder
 from apportion.llm.sharding import SlotMap, even_map, grow, rebalance, shard_by_slots
 
@@ -31,6 +32,19 @@ def test_bytes_near_equal(spark):
     assert max(total.values()) - min(total.values()) < 0.01 * max(total.values())
 
 
+def test_repeated_rows_keep_the_law(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 64)
+    same = spark.range(8000).selectExpr("cast(null as long) doc_id", "repeat('y', 500) text")
+    others = spark.range(12000).selectExpr("id as doc_id", "repeat('x', cast(50 + pmod(hash(id), 900) as int)) as text")
+    rows = shard_by_slots(same.union(others).repartition(5), 40).collect()
+    check(rows, [(None, "y" * 500)] * 8000 + [(r.doc_id, r.text) for r in others.collect()], 40)
+    total = Counter()
+    for r in rows:
+        total[r.shard] += r["size"]
+    assert len(total) == 40 and max(total.values()) - min(total.values()) < 0.01 * max(total.values())
+    assert len({r.virtual_slot for r in rows if r.doc_id is None}) > 3000
+
+
 def test_maps_are_versions(spark):
     sizes = {s: 100 + 7 * (s % 13) for s in range(512)}
     first = even_map(512, 8)
